@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from strataloom.llm import chat, mixing, pieces, simhash
+from strataloom.llm import chat, html, lines, mixing, pieces, quantised, simhash, toxicity
 
-_MODULES = [chat, mixing, pieces, simhash]
+_MODULES = [quantised, html, lines, pieces, chat, simhash, mixing, toxicity]
 
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in m.ORACLES.items()}
