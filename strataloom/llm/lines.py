@@ -120,6 +120,13 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     return met.select(*[text.alias("text") if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
 
+def drop_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
+    """docs with repeated lines taken out and n_chars set anew; a document all of whose words went is dropped."""
+    out = dedup_lines(docs, percent)
+    out = out.where((F.col("n_removed") == 0) | F.col("text").isNull() | (F.length(F.trim(F.replace("text", F.lit("\n"), F.lit(" ")))) > 0))
+    return out.select(*[F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+
+
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:
     """All documents after line dedup: doc_id, n_lines, n_removed, text."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")

@@ -99,6 +99,15 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.
     return placed.join(taken, ["key", "start", "size"], "left").join(shares, "key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("copies", F.lit(0)).cast("long").alias("copies"))
 
 
+def take(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of docs as often as they start in the mix, in no order; settings are those of mix()."""
+    plan = mix(docs, **settings).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
+    plan = stored(plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"), "plan")
+    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
+    met = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (size == F.col("_size")))
+    return met.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
     """What a mix of 150% of all words by the weights 3, 1, 2 takes of each document."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")

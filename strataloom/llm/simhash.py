@@ -240,6 +240,17 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFra
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
+def keep_one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
+    """The rows of docs with the smallest doc_id of their class; of rows that share that id, one.
+
+    Rows without a doc_id can't be told apart: those of a class in which no row has an id all stay.
+    """
+    heads = stored(simhash_classes(docs, shingle, bits).where("doc_id <=> component_id").select("doc_id").distinct(), "kept")
+    own = F.col("doc_id").cast("long")
+    named = docs.join(heads.withColumnRenamed("doc_id", "_id"), own == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
+    return named.union(docs.where(own.isNull())) if heads.where("doc_id is null").count() else named
+
+
 def op7_simhash(spark, sf_dir: str) -> DataFrame:
     """SimHash classes of all documents: doc_id, fingerprint (16 hex digits), component_id."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
