@@ -26,6 +26,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    spark._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what is written now
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

@@ -1,100 +1,260 @@
-"""Line dedup by an exact set-similarity join over the words of lines. DataFrame functions only.
+"""Line dedup by an exact set-similarity join over the words of lines.
 
-A line is the set of its lower-case words, ordered by rarity: by the magnitude of a count over
-all documents, kept for WORD_CLASSES classes of words, then by the word. Two sets with a Jaccard
-similarity of t or more share a word among the first of each in that order (prefix filter);
-length and position filters thin the candidates, whose words are then compared. Equal sets are
-one before the join, so a line with many copies adds no pairs.
+A line is the set of its words, ordered by rarity: by the magnitude of a count over all documents,
+kept for WORD_CLASSES classes of words, then by hash. Two sets with a Jaccard similarity of t or
+more share a word among the first of each in that order (prefix filter). Rows of a word are sorted
+by length, so only compatible lengths meet; position and a parity sketch thin the candidates,
+whose words are then compared. Equal sets are one before the join, so copies of a line add no pairs.
 """
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import forget, stored
 
 #: Classes of words, by hash, that are counted: bounds the table that every task sees.
-WORD_CLASSES = 1 << 16
-
-
-def _words(c: Column) -> Column:
-    """Lower-case words of a line or text, repeats included."""
-    c = F.replace(F.lower(c), F.lit("\n"), F.lit(" "))
-    other = "[\t\x0b\x0c\r]"
-    return F.array_remove(F.split(F.when(c.rlike(other), F.regexp_replace(c, other, " ")).otherwise(c), " "), "")
-
-
-def _class(word: Column) -> Column:
-    return F.pmod(F.xxhash64(word), F.lit(WORD_CLASSES)).cast("int")
-
-
-def magnitudes(docs: DataFrame) -> bytes:
-    """A letter for each class of words, the base-2 magnitude of its count over all documents: WORD_CLASSES letters."""
-    words = docs.select(F.explode(_words(F.col("text").cast("string"))).alias("w")).select(_class(F.col("w")).alias("class"))
-    out = bytearray(b"A" * WORD_CLASSES)
-    for r in words.groupBy("class").agg(F.least(F.floor(F.log2(F.count("*"))), F.lit(50)).alias("m")).collect():
-        out[r["class"]] += r.m
-    return bytes(out)
-
-
-def line_sets(docs: DataFrame, magnitude: bytes) -> DataFrame:
-    """One row per line with words: doc_id, th (hash of the text), line, tokens (the rarest first), s1, s2 (name of the set)."""
-    letters = F.lit(magnitude)
-
-    def token(w: Column) -> Column:
-        return F.concat(F.substring(letters, _class(w) + 1, F.lit(1)).cast("string"), w)
-
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "text"))
-    rows = rows.select("doc_id", "th", "line", F.sort_array(F.transform(F.array_distinct(_words(F.col("text"))), token)).alias("tokens")).where(F.size("tokens") > 0)
-    return rows.withColumns({"s1": F.xxhash64("tokens"), "s2": F.xxhash64(F.lit(7), "tokens")})
-
-
-def similar_sets(sets: DataFrame, percent: int = 80) -> DataFrame:
-    """(x, y): names s1 of candidate pairs of sets that pass the prefix, length and position filters; y is the shorter."""
-    n = F.size("tokens")
-    least = lambda size: F.floor((percent * size + 99) / 100)  # noqa: E731  of the words of one set that the other must hold
-    both = lambda size: F.floor((2 * percent * size + 99 + percent) / (100 + percent))  # noqa: E731  the same, of two sets of one size
-
-    def first(many: Column, name: str, size: str, place: str, band: Column) -> DataFrame:
-        rows = sets.where(n > 1).select(F.col("s1").alias(name), n.cast("short").alias(size), F.col("sketch").alias(f"sketch_{name}"), band.alias("band"), F.posexplode(F.slice("tokens", 1, (n - many + 1).cast("int"))).alias(place, "word"))
-        return rows.select(name, size, f"sketch_{name}", F.xxhash64("band", "word").alias("token"), F.col(place).cast("short").alias(place))
-
-    # sizes within the ratio lie in one band or in neighbouring ones: the shorter set stands in its own and the next
-    band = F.floor(F.log(n.cast("double")) / F.log(F.lit(100.0 / percent)) + 1e-9)
-    probe = first(least(n), "x", "nx", "i", band)
-    index = first(both(n), "y", "ny", "j", F.explode(F.array(band, band + 1)))
-    shared = F.floor((percent * (F.col("nx") + F.col("ny")) + 99 + percent) / (100 + percent))
-    most = F.least("i", "j") + F.least(F.col("nx") - F.col("i"), F.col("ny") - F.col("j"))
-    length = (F.col("ny") * 100 >= F.col("nx") * percent) & ((F.col("ny") < F.col("nx")) | ((F.col("ny") == F.col("nx")) & (F.col("y") < F.col("x"))))
-    apart = sum((F.bit_count(F.col(f"sketch_x.{k}").bitwiseXOR(F.col(f"sketch_y.{k}"))) for k in "ab"), F.lit(0))
-    return probe.join(index, "token").where(length & (most >= shared) & (apart <= F.col("nx") + F.col("ny") - 2 * shared)).select("x", "y").distinct()
-
-
-def sketch(tokens: Column) -> Column:
-    """128 bits, each the parity of the tokens that hash to it: two sets differ in no more bits than tokens."""
-    bit = lambda t: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(F.hash(t), F.lit(64)))
-    half = lambda own: F.aggregate(F.filter(tokens, own), F.lit(0).cast("long"), lambda acc, t: acc.bitwiseXOR(bit(t)))
-    low = lambda t: F.pmod(F.hash(t), F.lit(128)) < 64
-    return F.struct(half(low).alias("a"), half(lambda t: ~low(t)).alias("b"))
+WORD_CLASSES = 1 << 20
+#: Words that a worker remembers at most; documents and pairs that it handles at a time.
+REMEMBER, ROWS, PAIRS = 1_000_000, 256, 2_000_000
+#: Rows of one word that one task compares; words with more go to pairs of chunks of this size.
+CHUNK = 50_000
+#: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
+MARKS = 1 << 26
+
+
+def magnitudes(docs: DataFrame) -> np.ndarray:
+    """For each class of words the base-2 magnitude of its count over all documents."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, total = Counter(), np.zeros(WORD_CLASSES, np.int64)
+
+        def flush() -> None:
+            h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+            np.add.at(total, (h % np.uint64(WORD_CLASSES)).astype(np.int64), np.fromiter(words.values(), np.int64, len(words)))
+            words.clear()
+
+        for b in batches:
+            for text in b.column("text").to_pylist():
+                words.update((text or "").encode("utf-8", "surrogatepass").lower().split())
+            if len(words) > REMEMBER:
+                flush()
+        flush()
+        on = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(total[on])], ["class", "n"])
+
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(work, "class int, n long").groupBy("class").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("m"))
+    out, got = np.zeros(WORD_CLASSES, np.uint8), counts.toArrow()
+    out[got.column("class").to_numpy()] = np.minimum(got.column("m").to_numpy(), 63)
+    return out
+
+
+class Ranks(dict):
+    """A number per word that sorts by rarity: the magnitude of its class, then 58 bits of its hash."""
+
+    def __init__(self, magnitude: np.ndarray) -> None:
+        super().__init__()
+        self.magnitude = magnitude
+
+    def __missing__(self, word: bytes) -> int:
+        h = xxhash.xxh64_intdigest(word)
+        self[word] = n = int(self.magnitude[h % WORD_CLASSES]) << 58 | h >> 6
+        return n
+
+
+def shares(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many of the first words of a set of n can be the first shared with a shorter set, and with one as long or longer."""
+    return n - (percent * n + 99) // 100 + 1, n - (2 * percent * n + 99 + percent) // (100 + percent) + 1
+
+
+def line_sets(docs: DataFrame, magnitude: np.ndarray, percent: int) -> DataFrame:
+    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, sketch, prefix (its rarest words' hashes)."""
+    shared = docs.sparkSession.sparkContext.broadcast(magnitude)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ranks = Ranks(shared.value)
+        for whole in batches:
+            for i in range(0, len(whole), ROWS):
+                b = whole.slice(i, ROWS)
+                if len(ranks) > REMEMBER:
+                    ranks.clear()
+                words, sizes, doc, line = [], [], [], []
+                for d, text in enumerate(b.column("text").to_pylist()):
+                    for k, x in enumerate((text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")):
+                        own = x.split()
+                        if own:
+                            words += own
+                            sizes.append(len(own))
+                            doc.append(d)
+                            line.append(k)
+                if not sizes:
+                    continue
+                at = np.repeat(np.arange(len(sizes)), sizes)
+                key = np.fromiter(map(ranks.__getitem__, words), np.uint64, len(words))
+                order = np.lexsort((key, at))
+                at, key = at[order], key[order]
+                new = np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])]
+                at, key = at[new], key[new]
+                start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+                n = np.diff(np.r_[start, len(at)])
+                sketch = np.bitwise_xor.reduceat(np.uint64(1) << ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)), start)
+                inside = np.arange(len(at)) - np.repeat(start, n) < np.repeat(np.where(n > 1, shares(n, percent)[0], 0), n)
+                sums = np.r_[0, np.cumsum(inside)]
+                cuts = np.r_[sums[start], sums[-1]].astype(np.int32)
+                raw = memoryview(key.tobytes())
+                names = [[xxhash.xxh64_intdigest(raw[8 * s : 8 * (s + m)], seed) for s, m in zip(start, n, strict=True)] for seed in (0, 7)]
+                prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array((key[inside] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
+                own = b.select(["doc_id", "th"]).take(pa.array(doc))
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(line, pa.int32()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in names], pa.array(n.astype(np.int32)), pa.array(sketch.view(np.int64)), prefix], ["doc_id", "th", "line", "s1", "s2", "n", "sketch", "prefix"])
+
+    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string"))
+    return rows.mapInArrow(work, "doc_id long, th long, line int, s1 long, s2 long, n int, sketch long, prefix array<int>")
+
+
+def matches(word: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray, name: np.ndarray, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Names (x, y) of candidate pairs among rows sorted by (word, n). side: with it, only pairs of rows of two sides count."""
+    if not len(word):
+        return name, name
+    group = np.cumsum(np.r_[0, word[1:] != word[:-1]])
+    key = group * (1 << 33) + n
+    end = np.searchsorted(key, group * (1 << 33) + n * 100 // percent, "right")
+    begin = np.arange(len(word)) + 1
+    many = np.where(place < shares(n, percent)[1], end - begin, 0)
+    out_x, out_y = [name[:0]], [name[:0]]
+    upto = np.cumsum(many)
+    lo = 0
+    while lo < len(many):
+        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, "right")))
+        own = np.repeat(np.arange(lo, hi), many[lo:hi])
+        if len(own):
+            first = np.repeat(upto[lo:hi] - many[lo:hi] - (upto[lo - 1] if lo else 0), many[lo:hi])
+            other = begin[own] + np.arange(len(own)) - first
+            both = (percent * (n[own] + n[other]) + 99 + percent) // (100 + percent)
+            ok = np.bitwise_count(sketch[own] ^ sketch[other]) <= n[own] + n[other] - 2 * both
+            ok &= np.minimum(place[own], place[other]) + np.minimum(n[own] - place[own], n[other] - place[other]) >= both
+            if side is not None:
+                ok &= side[own] != side[other]
+            out_x.append(name[other[ok]])
+            out_y.append(name[own[ok]])
+        lo = hi
+    pairs = np.unique(np.stack([np.concatenate(out_x), np.concatenate(out_y)], axis=1), axis=0)
+    return pairs[:, 0], pairs[:, 1]
+
+
+FOUND = "deferred boolean, x long, y long, word int, n int, place int, chunk int"
+
+
+def _frame(deferred: bool, x, y, word=0, n=0, place=0, chunk: int = 0) -> pd.DataFrame:
+    return pd.DataFrame({"deferred": deferred, "x": x, "y": y, "word": np.int32(word) if np.isscalar(word) else word, "n": np.int32(n) if np.isscalar(n) else n, "place": np.int32(place) if np.isscalar(place) else place, "chunk": np.int32(chunk)})
+
+
+def _columns(part: pd.DataFrame) -> list[np.ndarray]:
+    return [part["word"].to_numpy(), part["n"].to_numpy(np.int64), part["place"].to_numpy(np.int64), part["sketch"].to_numpy().view(np.uint64), part["name"].to_numpy()]
+
+
+def _within(percent: int, most: int):
+    """Pairs of whole words of a sorted partition. The rows of a word over `most` come out again, numbered by chunk."""
+
+    def work(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        carry, open_word, chunk = None, None, 0
+
+        def defer(part: pd.DataFrame) -> pd.DataFrame:
+            return _frame(True, part["name"], part["sketch"], part["word"], part["n"], part["place"], chunk)
+
+        for pdf in pdfs:
+            if open_word is not None:
+                k = int((pdf["word"] == open_word).sum())
+                if k:
+                    yield defer(pdf.iloc[:k])
+                    chunk += 1
+                pdf = pdf.iloc[k:]
+                if not len(pdf):
+                    continue
+                open_word = None
+            if carry is not None:
+                pdf = pd.concat([carry, pdf], ignore_index=True)
+            cut = int(np.searchsorted(pdf["word"].to_numpy(), pdf["word"].iloc[-1]))
+            if cut:
+                yield _frame(False, *matches(*_columns(pdf.iloc[:cut]), percent))
+            carry = pdf.iloc[cut:]
+            if len(carry) > most:
+                open_word, chunk = carry["word"].iloc[0], 0
+                yield defer(carry)
+                carry, chunk = None, 1
+        if carry is not None and len(carry):
+            yield _frame(False, *matches(*_columns(carry), percent))
+
+    return work
+
+
+def _across(percent: int):
+    """Pairs of two chunks of one word, or of one chunk with itself."""
+
+    def work(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("n")
+        side = None if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf["chunk"].to_numpy()
+        x, y = matches(*_columns(pdf), percent, side)
+        return pd.DataFrame({"x": x, "y": y})
+
+    return work
+
+
+def similar_sets(sets: DataFrame, percent: int = 80, most: int = CHUNK) -> DataFrame:
+    """(x, y): names s1 of candidate pairs of sets that pass the filters. A word of over `most` sets is compared in chunks of its own tasks."""
+    rows = sets.select(F.col("s1").alias("name"), "n", "sketch", F.posexplode("prefix").alias("place", "word"))
+    found = rows.repartition("word").sortWithinPartitions("word", "n").mapInPandas(_within(percent, most), FOUND)
+    found = stored(found, "found")
+    rest = found.where("deferred").select("word", "n", "place", F.col("y").alias("sketch"), F.col("x").alias("name"), "chunk")
+    last = rest.groupBy("word").agg(F.max("chunk").alias("last"))
+    tiles = rest.join(last, "word").select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
+    tiles = tiles.select("word", "n", "place", "sketch", "name", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    large = tiles.groupBy("word", "i", "j").applyInPandas(_across(percent), "x long, y long")
+    return found.where("not deferred").select("x", "y").union(large).distinct()
+
+
+def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
+    """docs with `_marked`: false only for texts whose hash isn't in keys (th). Reads a bitmap of MARKS bits, 4 KB a row."""
+    bit = lambda c: F.pmod(c, F.lit(MARKS))
+    maps = keys.select(bit(F.col("th")).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("_bits"))
+    at = F.bitmap_bit_position(bit(th))
+    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    met = docs.join(F.broadcast(maps), F.bitmap_bucket_number(bit(th)) == F.col("_bucket"), "left")
+    return met.withColumn("_marked", F.coalesce(F.get(F.split(F.lpad(F.conv(byte.cast("string"), 10, 2), 8, "0"), ""), (7 - at % 8).cast("int")) == "1", F.lit(False))).drop("_bucket", "_bits")
 
 
 def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, th, line): the lines that match a line before them, by (doc_id, hash of the text, line), null ids last."""
-    rows = stored(line_sets(docs, magnitudes(docs)), "lines")
+    """(doc_id, th, line), stored: the lines that match a line before them, by (doc_id, hash of the text, line), null ids last."""
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
-    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), F.any_value("tokens").alias("tokens"))
-    sets = stored(sets.withColumn("sketch", sketch(F.col("tokens"))), "sets")
+    rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
+    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")])
+    sets = stored(sets, "sets")
     found = stored(similar_sets(sets, percent), "candidates")
-    one = sets.select(F.col("s1").alias("x"), F.col("s2").alias("x2"), F.col("first").alias("first_x"), F.col("tokens").alias("wx"))
-    two = sets.select(F.col("s1").alias("y"), F.col("s2").alias("y2"), F.col("first").alias("first_y"), F.col("tokens").alias("wy"))
+    names = found.select(F.explode(F.array("x", "y")).alias("s1")).distinct()
+    wanted = stored(sets.join(names, "s1").select("s1", "s2", "first"), "wanted")
+    need = wanted.select("s1", "s2", "first", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("first.line").alias("_line"))
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    texts = marked(texts, F.xxhash64("text"), wanted.select("first.th")).where("_marked").withColumn("th", F.xxhash64("text"))
+    near = texts.join(need, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    line = F.get(F.split("text", "\n"), F.col("_line"))
+    words = F.array_distinct(F.array_remove(F.split(F.regexp_replace(F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x09-\x0D]", " "), " "), ""))
+    near = stored(near.select("s1", "s2", "first", words.alias("words")).dropDuplicates(["s1", "s2"]), "words")
+    one = near.select(F.col("s1").alias("x"), F.col("s2").alias("x2"), F.col("first").alias("first_x"), F.col("words").alias("wx"))
+    two = near.select(F.col("s1").alias("y"), F.col("s2").alias("y2"), F.col("first").alias("first_y"), F.col("words").alias("wy"))
     met = found.join(one, "x").join(two, "y").withColumn("both", F.size(F.array_intersect("wx", "wy")))
     met = met.where(F.col("both") * 100 >= (F.size("wx") + F.size("wy") - F.col("both")) * percent)
     ends = F.explode(F.array(F.struct(F.col("x").alias("s1"), F.col("x2").alias("s2"), F.col("first_y").alias("first")), F.struct(F.col("y").alias("s1"), F.col("y2").alias("s2"), F.col("first_x").alias("first"))))
     floors = met.select(ends.alias("f")).select("f.*").union(sets.select("s1", "s2", "first")).groupBy("s1", "s2").agg(F.min("first").alias("first"))
     later = rows.select("s1", "s2", at.alias("at")).join(floors, ["s1", "s2"]).where("at > first").select("at.doc_id", "at.th", "at.line")
     later = stored(later, "later")
-    for t in (rows, sets, found):
+    for t in (rows, sets, found, wanted, near):
         forget(t)
     return later
 
@@ -102,20 +262,21 @@ def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
 def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """docs with the lines taken out that match an earlier one, and columns n_lines, n_removed.
 
-    Lines are what "\\n" separates; two match if the Jaccard similarity of their sets of
-    lower-case words is percent or more. A line is removed if any line before it matches, removed
-    or not, so the result doesn't depend on the order of work. Lines without words always stay.
-    Rows equal in doc_id and text are one place: they don't remove each other's lines. A null
-    text stays null, with no lines. Other columns pass through.
+    Lines are what "\\n" separates; two match if the Jaccard similarity of their sets of words
+    (A to Z in lower case) is percent or more. A line is removed if any line before it matches,
+    removed or not, so the result doesn't depend on the order of work. Lines without words always
+    stay. Rows equal in doc_id and text are one place: they don't remove each other's lines. A
+    null text stays null, with no lines. Other columns pass through.
     """
-    gone = later_matches(docs, percent).groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("line").alias("_gone"))
-    gone = stored(gone, "gone")
-    rows = docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string")))
-    met = rows.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left")
+    later = later_matches(docs, percent)
+    gone = stored(later.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("line").alias("_gone")), "gone")
+    rows = marked(docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string"))), F.col("_hash"), gone.select(F.col("_th").alias("th")))
+    met = rows.where("_marked").join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left").drop("_id", "_th")
+    met = met.unionByName(rows.where("not _marked").withColumn("_gone", F.lit(None).cast("array<int>")))
     lines = F.split(F.col("text").cast("string"), "\n")
     stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
     text = F.when(F.col("_gone").isNull(), F.col("text").cast("string")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    out = {"n_lines": F.coalesce(F.size(lines), F.lit(0)), "n_removed": F.coalesce(F.size("_gone"), F.lit(0))}
+    out = {"n_lines": F.coalesce(F.size(lines), F.lit(0)), "n_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))}
     out = {k: F.when(F.col("text").isNull(), 0).otherwise(v).cast("long") for k, v in out.items()}
     return met.select(*[text.alias("text") if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
 
