@@ -119,16 +119,20 @@ def line_sets(docs: DataFrame, magnitude: np.ndarray, percent: int) -> DataFrame
     return rows.mapInArrow(work, "doc_id long, th long, line int, s1 long, s2 long, n int, sketch long, prefix array<int>")
 
 
-def matches(word: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray, name: np.ndarray, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Names (x, y) of candidate pairs among rows sorted by (word, n). side: with it, only pairs of rows of two sides count."""
+def matches(word: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray, age: np.ndarray, chosen: np.ndarray, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Ages (later, earlier) of candidate pairs among rows sorted by (word, n).
+
+    A later set comes out with the earliest of its candidates, or, if it is chosen, with all.
+    side: with it, only pairs of rows of two sides count.
+    """
     if not len(word):
-        return name, name
+        return age, age
     group = np.cumsum(np.r_[0, word[1:] != word[:-1]])
     key = group * (1 << 33) + n
     end = np.searchsorted(key, group * (1 << 33) + n * 100 // percent, "right")
     begin = np.arange(len(word)) + 1
     many = np.where(place < shares(n, percent)[1], end - begin, 0)
-    out_x, out_y = [name[:0]], [name[:0]]
+    held = np.zeros((0, 3), np.int64)
     upto = np.cumsum(many)
     lo = 0
     while lo < len(many):
@@ -142,22 +146,25 @@ def matches(word: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarr
             ok &= np.minimum(place[own], place[other]) + np.minimum(n[own] - place[own], n[other] - place[other]) >= both
             if side is not None:
                 ok &= side[own] != side[other]
-            out_x.append(name[other[ok]])
-            out_y.append(name[own[ok]])
+            own, other = own[ok], other[ok]
+            turn = age[own] > age[other]
+            late, soon = np.where(turn, own, other), np.where(turn, other, own)
+            held = np.concatenate([held, np.stack([age[late], age[soon], chosen[late]], axis=1)])
+            held = np.unique(held, axis=0)
+            held = held[np.r_[True, held[1:, 0] != held[:-1, 0]] | (held[:, 2] > 0)] if len(held) else held
         lo = hi
-    pairs = np.unique(np.stack([np.concatenate(out_x), np.concatenate(out_y)], axis=1), axis=0)
-    return pairs[:, 0], pairs[:, 1]
+    return held[:, 0], held[:, 1]
 
 
-FOUND = "deferred boolean, x long, y long, word int, n int, place int, chunk int"
+FOUND = "deferred boolean, x long, y long, word int, n int, place int, chunk int, chosen boolean"
 
 
-def _frame(deferred: bool, x, y, word=0, n=0, place=0, chunk: int = 0) -> pd.DataFrame:
-    return pd.DataFrame({"deferred": deferred, "x": x, "y": y, "word": np.int32(word) if np.isscalar(word) else word, "n": np.int32(n) if np.isscalar(n) else n, "place": np.int32(place) if np.isscalar(place) else place, "chunk": np.int32(chunk)})
+def _frame(deferred: bool, x, y, word=0, n=0, place=0, chunk: int = 0, chosen=False) -> pd.DataFrame:
+    return pd.DataFrame({"deferred": deferred, "x": x, "y": y, "word": np.int32(word) if np.isscalar(word) else word, "n": np.int32(n) if np.isscalar(n) else n, "place": np.int32(place) if np.isscalar(place) else place, "chunk": np.int32(chunk), "chosen": chosen})
 
 
 def _columns(part: pd.DataFrame) -> list[np.ndarray]:
-    return [part["word"].to_numpy(), part["n"].to_numpy(np.int64), part["place"].to_numpy(np.int64), part["sketch"].to_numpy().view(np.uint64), part["name"].to_numpy()]
+    return [part["word"].to_numpy(), part["n"].to_numpy(np.int64), part["place"].to_numpy(np.int64), part["sketch"].to_numpy().view(np.uint64), part["age"].to_numpy(), part["chosen"].to_numpy(np.int64)]
 
 
 def _within(percent: int, most: int):
@@ -167,7 +174,7 @@ def _within(percent: int, most: int):
         carry, open_word, chunk = None, None, 0
 
         def defer(part: pd.DataFrame) -> pd.DataFrame:
-            return _frame(True, part["name"], part["sketch"], part["word"], part["n"], part["place"], chunk)
+            return _frame(True, part["age"], part["sketch"], part["word"], part["n"], part["place"], chunk, part["chosen"])
 
         for pdf in pdfs:
             if open_word is not None:
@@ -207,17 +214,28 @@ def _across(percent: int):
     return work
 
 
-def similar_sets(sets: DataFrame, percent: int = 80, most: int = CHUNK) -> DataFrame:
-    """(x, y): names s1 of candidate pairs of sets that pass the filters. A word of over `most` sets is compared in chunks of its own tasks."""
-    rows = sets.select(F.col("s1").alias("name"), "n", "sketch", F.posexplode("prefix").alias("place", "word"))
+def similar_sets(sets: DataFrame, percent: int = 80, chosen: DataFrame | None = None, most: int = CHUNK) -> DataFrame:
+    """(later, earlier), stored: ages of candidate pairs of sets (age, n, sketch, prefix) that pass the filters.
+
+    Per word a set comes with the earliest of its candidates before it, so pairs grow with sets,
+    not with the square of a group of near copies. With chosen (age), only those sets come out,
+    with all candidates before them. A word of over `most` sets is compared in chunks of its own tasks.
+    """
+    flag = F.lit(False).alias("chosen")
+    if chosen is not None:
+        sets, flag = sets.join(chosen.select(F.col("age").alias("_age")), F.col("age") == F.col("_age"), "left"), F.col("_age").isNotNull().alias("chosen")
+    rows = sets.select("age", "n", "sketch", flag, F.posexplode("prefix").alias("place", "word"))
     found = rows.repartition("word").sortWithinPartitions("word", "n").mapInPandas(_within(percent, most), FOUND)
     found = stored(found, "found")
-    rest = found.where("deferred").select("word", "n", "place", F.col("y").alias("sketch"), F.col("x").alias("name"), "chunk")
+    rest = found.where("deferred").select("word", "n", "place", F.col("y").alias("sketch"), F.col("x").alias("age"), "chunk", "chosen")
     last = rest.groupBy("word").agg(F.max("chunk").alias("last"))
     tiles = rest.join(last, "word").select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
-    tiles = tiles.select("word", "n", "place", "sketch", "name", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
+    tiles = tiles.select("word", "n", "place", "sketch", "age", "chosen", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
     large = tiles.groupBy("word", "i", "j").applyInPandas(_across(percent), "x long, y long")
-    return found.where("not deferred").select("x", "y").union(large).distinct()
+    pairs = found.where("not deferred").select("x", "y").union(large).select(F.col("x").alias("later"), F.col("y").alias("earlier"))
+    if chosen is not None:
+        return stored(pairs.join(chosen, F.col("later") == F.col("age"), "left_semi").distinct(), "candidates")
+    return stored(pairs.groupBy("later").agg(F.min("earlier").alias("earlier")), "candidates")
 
 
 def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
@@ -230,31 +248,46 @@ def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
     return met.withColumn("_marked", F.coalesce(F.get(F.split(F.lpad(F.conv(byte.cast("string"), 10, 2), 8, "0"), ""), (7 - at % 8).cast("int")) == "1", F.lit(False))).drop("_bucket", "_bits")
 
 
-def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """(doc_id, th, line), stored: the lines that match a line before them, by (doc_id, hash of the text, line), null ids last."""
-    at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
-    rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
-    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")])
-    sets = stored(sets, "sets")
-    found = stored(similar_sets(sets, percent), "candidates")
-    names = found.select(F.explode(F.array("x", "y")).alias("s1")).distinct()
-    wanted = stored(sets.join(names, "s1").select("s1", "s2", "first"), "wanted")
-    need = wanted.select("s1", "s2", "first", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("first.line").alias("_line"))
+def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough."""
+    ages = pairs.select(F.explode(F.array("later", "earlier")).alias("age")).distinct()
+    wanted = stored(sets.join(ages, "age").select("age", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("first.line").alias("_line")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = marked(texts, F.xxhash64("text"), wanted.select("first.th")).where("_marked").withColumn("th", F.xxhash64("text"))
-    near = texts.join(need, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    texts = marked(texts, F.xxhash64("text"), wanted.select(F.col("_th").alias("th"))).where("_marked").withColumn("th", F.xxhash64("text"))
+    near = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
     line = F.get(F.split("text", "\n"), F.col("_line"))
     words = F.array_distinct(F.array_remove(F.split(F.regexp_replace(F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x09-\x0D]", " "), " "), ""))
-    near = stored(near.select("s1", "s2", "first", words.alias("words")).dropDuplicates(["s1", "s2"]), "words")
-    one = near.select(F.col("s1").alias("x"), F.col("s2").alias("x2"), F.col("first").alias("first_x"), F.col("words").alias("wx"))
-    two = near.select(F.col("s1").alias("y"), F.col("s2").alias("y2"), F.col("first").alias("first_y"), F.col("words").alias("wy"))
-    met = found.join(one, "x").join(two, "y").withColumn("both", F.size(F.array_intersect("wx", "wy")))
+    near = stored(near.select("age", words.alias("words")).dropDuplicates(["age"]), "words")
+    one = near.select(F.col("age").alias("later"), F.col("words").alias("wx"))
+    two = near.select(F.col("age").alias("earlier"), F.col("words").alias("wy"))
+    met = pairs.join(one, "later").join(two, "earlier").withColumn("both", F.size(F.array_intersect("wx", "wy")))
     met = met.where(F.col("both") * 100 >= (F.size("wx") + F.size("wy") - F.col("both")) * percent)
-    ends = F.explode(F.array(F.struct(F.col("x").alias("s1"), F.col("x2").alias("s2"), F.col("first_y").alias("first")), F.struct(F.col("y").alias("s1"), F.col("y2").alias("s2"), F.col("first_x").alias("first"))))
-    floors = met.select(ends.alias("f")).select("f.*").union(sets.select("s1", "s2", "first")).groupBy("s1", "s2").agg(F.min("first").alias("first"))
-    later = rows.select("s1", "s2", at.alias("at")).join(floors, ["s1", "s2"]).where("at > first").select("at.doc_id", "at.th", "at.line")
+    out = stored(met.select(F.col("later").alias("age")).distinct(), "verified")
+    for t in (wanted, near):
+        forget(t)
+    return out
+
+
+def later_matches(docs: DataFrame, percent: int = 80, most: int = CHUNK) -> DataFrame:
+    """(doc_id, th, line), stored: the lines that match a line before them, by (doc_id, hash of the text, line), null ids last.
+
+    A set's age is its place in the order of first lines. Each set is held against its earliest
+    candidate first; those that this doesn't remove are held against all of their candidates.
+    """
+    at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
+    rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
+    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")])
+    sets = sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("age", F.monotonically_increasing_id())
+    sets = stored(sets, "sets")
+    first = similar_sets(sets, percent, None, most)
+    removed = verified(docs, sets, first, percent)
+    left = stored(first.select(F.col("later").alias("age")).join(removed, "age", "left_anti"), "left")
+    rest = similar_sets(sets, percent, left, most)
+    more = verified(docs, sets, rest, percent)
+    whole = sets.join(removed.union(more).withColumn("gone", F.lit(True)), "age", "left").select("s1", "s2", "first", "gone")
+    later = rows.select("s1", "s2", at.alias("at")).join(whole, ["s1", "s2"]).where("gone or at > first").select("at.doc_id", "at.th", "at.line")
     later = stored(later, "later")
-    for t in (rows, sets, found, wanted, near):
+    for t in (rows, sets, first, removed, left, rest, more):
         forget(t)
     return later
 
