@@ -76,7 +76,7 @@ def shares(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def line_sets(docs: DataFrame, magnitude: np.ndarray, percent: int) -> DataFrame:
-    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, sketch, prefix (its rarest words' hashes)."""
+    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, sketch and wide (64 and 256 parity bits), prefix (its rarest words' hashes)."""
     shared = docs.sparkSession.sparkContext.broadcast(magnitude)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -106,6 +106,10 @@ def line_sets(docs: DataFrame, magnitude: np.ndarray, percent: int) -> DataFrame
                 start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
                 n = np.diff(np.r_[start, len(at)])
                 sketch = np.bitwise_xor.reduceat(np.uint64(1) << ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)), start)
+                bit = (key * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(56)
+                flip = np.uint64(1) << (bit & np.uint64(63))
+                wide = np.stack([np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == k, flip, np.uint64(0)), start) for k in range(4)], axis=1)
+                wide = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * 4), pa.array(wide.ravel().view(np.int64)))
                 inside = np.arange(len(at)) - np.repeat(start, n) < np.repeat(np.where(n > 1, shares(n, percent)[0], 0), n)
                 sums = np.r_[0, np.cumsum(inside)]
                 cuts = np.r_[sums[start], sums[-1]].astype(np.int32)
@@ -113,10 +117,10 @@ def line_sets(docs: DataFrame, magnitude: np.ndarray, percent: int) -> DataFrame
                 names = [[xxhash.xxh64_intdigest(raw[8 * s : 8 * (s + m)], seed) for s, m in zip(start, n, strict=True)] for seed in (0, 7)]
                 prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array((key[inside] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
                 own = b.select(["doc_id", "th"]).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(line, pa.int32()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in names], pa.array(n.astype(np.int32)), pa.array(sketch.view(np.int64)), prefix], ["doc_id", "th", "line", "s1", "s2", "n", "sketch", "prefix"])
+                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(line, pa.int32()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in names], pa.array(n.astype(np.int32)), pa.array(sketch.view(np.int64)), wide, prefix], ["doc_id", "th", "line", "s1", "s2", "n", "sketch", "wide", "prefix"])
 
     rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, th long, line int, s1 long, s2 long, n int, sketch long, prefix array<int>")
+    return rows.mapInArrow(work, "doc_id long, th long, line int, s1 long, s2 long, n int, sketch long, wide array<long>, prefix array<int>")
 
 
 def matches(word: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray, age: np.ndarray, chosen: np.ndarray, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -249,7 +253,15 @@ def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough."""
+    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough.
+
+    Two sets differ in no fewer words than their parity bits do, so the wide sketches leave few pairs to read.
+    """
+    one = sets.select(F.col("age").alias("later"), F.col("n").alias("nx"), F.col("wide").alias("vx"))
+    two = sets.select(F.col("age").alias("earlier"), F.col("n").alias("ny"), F.col("wide").alias("vy"))
+    apart = F.aggregate(F.zip_with("vx", "vy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, k: acc + k)
+    both = F.floor((percent * (F.col("nx") + F.col("ny")) + 99 + percent) / (100 + percent))
+    pairs = stored(pairs.join(one, "later").join(two, "earlier").where(apart <= F.col("nx") + F.col("ny") - 2 * both).select("later", "earlier"), "pairs")
     ages = pairs.select(F.explode(F.array("later", "earlier")).alias("age")).distinct()
     wanted = stored(sets.join(ages, "age").select("age", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("first.line").alias("_line")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -263,7 +275,7 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -
     met = pairs.join(one, "later").join(two, "earlier").withColumn("both", F.size(F.array_intersect("wx", "wy")))
     met = met.where(F.col("both") * 100 >= (F.size("wx") + F.size("wy") - F.col("both")) * percent)
     out = stored(met.select(F.col("later").alias("age")).distinct(), "verified")
-    for t in (wanted, near):
+    for t in (pairs, wanted, near):
         forget(t)
     return out
 
@@ -276,7 +288,7 @@ def later_matches(docs: DataFrame, percent: int = 80, most: int = CHUNK) -> Data
     """
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
     rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
-    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "prefix")])
+    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "wide", "prefix")])
     sets = sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("age", F.monotonically_increasing_id())
     sets = stored(sets, "sets")
     first = similar_sets(sets, percent, None, most)
