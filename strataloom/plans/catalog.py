@@ -274,7 +274,8 @@ def char_profile(spark: SparkSession, d: str) -> DataFrame:
     return P.char_counts(_t(spark, d, "customer"), F.col("c_name"))
 
 
-@register("SELECT p_partkey, p_brand FROM part")
+@register("""WITH c AS (SELECT p_partkey, pos, p_brand[pos + 1] AS ch FROM part, range(50) g(pos) WHERE pos < length(p_brand)), k AS (SELECT pos, ch AS kept FROM c GROUP BY 1, 2 HAVING count(*) >= 5)
+SELECT p_partkey, rtrim(string_agg(coalesce(kept, ''), '' ORDER BY c.pos)) AS p_brand FROM c LEFT JOIN k ON k.pos = c.pos AND kept = ch GROUP BY 1""")
 def char_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "part").select("p_partkey", "p_brand")
     p = P.profile_table(rows.select("p_brand"), {"p_brand": "character"}, PINNED)
@@ -519,10 +520,10 @@ def impute_mode(spark: SparkSession, d: str) -> DataFrame:
 _DRAWS = """WITH t AS (SELECT o_custkey, o_totalprice AS x FROM orders) """
 
 
-@register(_DRAWS + " SELECT o_custkey, avg(x) AS mean, median(x) AS median, (SELECT y.x FROM (SELECT t2.x, count(*) AS n FROM t t2 WHERE t2.o_custkey = t.o_custkey GROUP BY 1 ORDER BY n DESC, x LIMIT 1) y) AS mode FROM t GROUP BY 1")
+@register(_DRAWS + " SELECT o_custkey, round(avg(x), 5) AS mean, median(x) AS median, (SELECT y.x FROM (SELECT t2.x, count(*) AS n FROM t t2 WHERE t2.o_custkey = t.o_custkey GROUP BY 1 ORDER BY n DESC, x LIMIT 1) y) AS mode FROM t GROUP BY 1")
 def trial_picks(spark: SparkSession, d: str) -> DataFrame:
     x = F.col("o_totalprice")
-    return _t(spark, d, "orders").groupBy("o_custkey").agg(*[M.pick_cell(k, x).alias(k) for k in ("mean", "median", "mode")])
+    return _t(spark, d, "orders").groupBy("o_custkey").agg(*[M.pick_cell(k, x).alias(k) for k in ("mean", "median", "mode")]).withColumn("mean", F.round("mean", 5))
 
 
 @register(_HOLED + " SELECT h.o_orderkey, coalesce(h.o_totalprice, o.o_totalprice) AS o_totalprice FROM h JOIN orders o USING (o_orderkey)")
