@@ -24,7 +24,7 @@ from strataloom.llm.common import forget, stored
 #: Classes of words, by hash, that are counted: bounds the table that every task sees.
 WORD_CLASSES = 1 << 20
 #: Words that a worker remembers at most; documents and pairs that it handles at a time.
-REMEMBER, ROWS, PAIRS = 1_000_000, 256, 2_000_000
+REMEMBER, ROWS, PAIRS = 300_000, 256, 2_000_000
 #: Rows of one word that one task compares; words with more go to pairs of chunks of this size.
 CHUNK = 50_000
 #: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
@@ -45,8 +45,8 @@ def magnitudes(docs: DataFrame) -> np.ndarray:
         for b in batches:
             for text in b.column("text").to_pylist():
                 words.update((text or "").encode("utf-8", "surrogatepass").lower().split())
-            if len(words) > REMEMBER:
-                flush()
+                if len(words) > REMEMBER:
+                    flush()
         flush()
         on = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(total[on])], ["class", "n"])
