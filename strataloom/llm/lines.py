@@ -1,245 +1,107 @@
-"""Line dedup by an exact set-similarity join over the words of lines.
+"""Line dedup by an exact set-similarity join over the words of lines. DataFrame functions only.
 
 A line is the set of its words, ordered by rarity: by the magnitude of a count over all documents,
 kept for WORD_CLASSES classes of words, then by hash. Two sets with a Jaccard similarity of t or
-more share a word among the first of each in that order (prefix filter). Rows of a word are sorted
-by length, so only compatible lengths meet; position and a parity sketch thin the candidates,
-whose words are then compared. Equal sets are one before the join, so copies of a line add no pairs.
+more share a word among the first of each in that order (prefix filter). Length, position and a
+bitmap of each prefix thin the candidates, whose words are then compared. Equal sets are one
+before the join, so copies of a line add no pairs.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-import pyarrow as pa
-import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import forget, stored
 
 #: Classes of words, by hash, that are counted: bounds the table that every task sees.
-WORD_CLASSES = 1 << 20
-#: Words that a worker remembers at most; documents and pairs that it handles at a time.
-REMEMBER, ROWS, PAIRS = 300_000, 256, 2_000_000
-#: Rows of one word that one task compares; words with more go to pairs of chunks of this size.
-CHUNK = 50_000
+WORD_CLASSES = 1 << 17
+#: Words of classes of this magnitude are dealt to SALTS tasks in the first round.
+FREQUENT, SALTS = 14, 64
 #: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
 MARKS = 1 << 26
 
 
-def magnitudes(docs: DataFrame) -> np.ndarray:
-    """For each class of words the base-2 magnitude of its count over all documents."""
+def _words(c: Column) -> Column:
+    """Lower-case words of a line, repeats included; empty strings stand between doubled blanks."""
+    c, other = F.lower(c), "[\t\x0b\x0c\r]"
+    return F.split(F.when(c.rlike(other), F.regexp_replace(c, other, " ")).otherwise(c), " ")
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = Counter(), np.zeros(WORD_CLASSES, np.int64)
 
-        def flush() -> None:
-            h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
-            np.add.at(total, (h % np.uint64(WORD_CLASSES)).astype(np.int64), np.fromiter(words.values(), np.int64, len(words)))
-            words.clear()
+def magnitudes(docs: DataFrame) -> bytes:
+    """For each class of words the base-2 magnitude of its count over all documents, and 1: WORD_CLASSES bytes."""
+    words = docs.select(F.explode(_words(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" ")))).alias("w")).where("w <> ''")
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(WORD_CLASSES - 1).alias("class")).count()
+    out = bytearray(b"\1" * WORD_CLASSES)
+    for r in counts.select("class", F.least(F.floor(F.log2("count")), F.lit(60)).alias("m")).collect():
+        out[r["class"]] = 1 + r.m
+    return bytes(out)
 
-        for b in batches:
-            for text in b.column("text").to_pylist():
-                words.update((text or "").encode("utf-8", "surrogatepass").lower().split())
-                if len(words) > REMEMBER:
-                    flush()
-        flush()
-        on = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(on.astype(np.int32)), pa.array(total[on])], ["class", "n"])
 
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(work, "class int, n long").groupBy("class").agg(F.floor(F.log2(F.sum("n"))).cast("int").alias("m"))
-    out, got = np.zeros(WORD_CLASSES, np.uint8), counts.toArrow()
-    out[got.column("class").to_numpy()] = np.minimum(got.column("m").to_numpy(), 63)
-    return out
+def shares(n: Column, percent: int) -> tuple[Column, Column]:
+    """How many of the first words of a set of n can be the first shared with a shorter set, and with one as long or longer."""
+    return n - F.floor((percent * n + 99) / 100) + 1, n - F.floor((2 * percent * n + 99 + percent) / (100 + percent)) + 1
 
 
-class Ranks(dict):
-    """A number per word that sorts by rarity: the magnitude of its class, then 58 bits of its hash."""
+def line_sets(docs: DataFrame, magnitude: bytes, percent: int) -> DataFrame:
+    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, prefix (its rarest words).
 
-    def __init__(self, magnitude: np.ndarray) -> None:
-        super().__init__()
-        self.magnitude = magnitude
+    A word is a number that sorts by rarity: the magnitude of its class, then 57 bits of its hash.
+    """
+    table = F.lit(magnitude)
 
-    def __missing__(self, word: bytes) -> int:
-        h = xxhash.xxh64_intdigest(word)
-        self[word] = n = int(self.magnitude[h % WORD_CLASSES]) << 58 | h >> 6
-        return n
+    def word(h: Column) -> Column:
+        m = F.ascii(F.substring(table, h.bitwiseAND(WORD_CLASSES - 1).cast("int") + 1, F.lit(1)).cast("string"))
+        return F.shiftleft(m.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
 
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "text"))
+    hashes = F.array_remove(F.array_distinct(F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    rows = rows.select("doc_id", "th", "line", F.sort_array(F.transform(hashes, word)).alias("words")).where(F.size("words") > 0)
+    n = F.size("words")
+    return rows.select("doc_id", "th", "line", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(7), "words").alias("s2"), n.alias("n"), F.slice("words", 1, F.when(n > 1, shares(n, percent)[0]).otherwise(0).cast("int")).alias("prefix"))
 
-def shares(n: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """How many of the first words of a set of n can be the first shared with a shorter set, and with one as long or longer."""
-    return n - (percent * n + 99) // 100 + 1, n - (2 * percent * n + 99 + percent) // (100 + percent) + 1
-
-
-def line_sets(docs: DataFrame, magnitude: np.ndarray, percent: int) -> DataFrame:
-    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, sketch and wide (64 and 256 parity bits), prefix (its rarest words' hashes)."""
-    shared = docs.sparkSession.sparkContext.broadcast(magnitude)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = Ranks(shared.value)
-        for whole in batches:
-            for i in range(0, len(whole), ROWS):
-                b = whole.slice(i, ROWS)
-                if len(ranks) > REMEMBER:
-                    ranks.clear()
-                words, sizes, doc, line = [], [], [], []
-                for d, text in enumerate(b.column("text").to_pylist()):
-                    for k, x in enumerate((text or "").encode("utf-8", "surrogatepass").lower().split(b"\n")):
-                        own = x.split()
-                        if own:
-                            words += own
-                            sizes.append(len(own))
-                            doc.append(d)
-                            line.append(k)
-                if not sizes:
-                    continue
-                at = np.repeat(np.arange(len(sizes)), sizes)
-                key = np.fromiter(map(ranks.__getitem__, words), np.uint64, len(words))
-                order = np.lexsort((key, at))
-                at, key = at[order], key[order]
-                new = np.r_[True, (key[1:] != key[:-1]) | (at[1:] != at[:-1])]
-                at, key = at[new], key[new]
-                start = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
-                n = np.diff(np.r_[start, len(at)])
-                sketch = np.bitwise_xor.reduceat(np.uint64(1) << ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(58)), start)
-                bit = (key * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(56)
-                flip = np.uint64(1) << (bit & np.uint64(63))
-                wide = np.stack([np.bitwise_xor.reduceat(np.where(bit >> np.uint64(6) == k, flip, np.uint64(0)), start) for k in range(4)], axis=1)
-                wide = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1, dtype=np.int32) * 4), pa.array(wide.ravel().view(np.int64)))
-                inside = np.arange(len(at)) - np.repeat(start, n) < np.repeat(np.where(n > 1, shares(n, percent)[0], 0), n)
-                sums = np.r_[0, np.cumsum(inside)]
-                cuts = np.r_[sums[start], sums[-1]].astype(np.int32)
-                raw = memoryview(key.tobytes())
-                names = [[xxhash.xxh64_intdigest(raw[8 * s : 8 * (s + m)], seed) for s, m in zip(start, n, strict=True)] for seed in (0, 7)]
-                prefix = pa.ListArray.from_arrays(pa.array(cuts), pa.array((key[inside] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)))
-                own = b.select(["doc_id", "th"]).take(pa.array(doc))
-                yield pa.RecordBatch.from_arrays([*own.columns, pa.array(line, pa.int32()), *[pa.array(np.array(x, np.uint64).view(np.int64)) for x in names], pa.array(n.astype(np.int32)), pa.array(sketch.view(np.int64)), wide, prefix], ["doc_id", "th", "line", "s1", "s2", "n", "sketch", "wide", "prefix"])
-
-    rows = docs.select(F.col("doc_id").cast("long"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.col("text").cast("string"))
-    return rows.mapInArrow(work, "doc_id long, th long, line int, s1 long, s2 long, n int, sketch long, wide array<long>, prefix array<int>")
-
-
-def matches(word: np.ndarray, n: np.ndarray, place: np.ndarray, sketch: np.ndarray, age: np.ndarray, chosen: np.ndarray, percent: int, side: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Ages (later, earlier) of candidate pairs among rows sorted by (word, n).
-
-    A later set comes out with the earliest of its candidates, or, if it is chosen, with all.
-    side: with it, only pairs of rows of two sides count.
-    """
-    if not len(word):
-        return age, age
-    group = np.cumsum(np.r_[0, word[1:] != word[:-1]])
-    key = group * (1 << 33) + n
-    end = np.searchsorted(key, group * (1 << 33) + n * 100 // percent, "right")
-    begin = np.arange(len(word)) + 1
-    many = np.where(place < shares(n, percent)[1], end - begin, 0)
-    held = np.zeros((0, 3), np.int64)
-    upto = np.cumsum(many)
-    lo = 0
-    while lo < len(many):
-        hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + PAIRS, "right")))
-        own = np.repeat(np.arange(lo, hi), many[lo:hi])
-        if len(own):
-            first = np.repeat(upto[lo:hi] - many[lo:hi] - (upto[lo - 1] if lo else 0), many[lo:hi])
-            other = begin[own] + np.arange(len(own)) - first
-            both = (percent * (n[own] + n[other]) + 99 + percent) // (100 + percent)
-            ok = np.bitwise_count(sketch[own] ^ sketch[other]) <= n[own] + n[other] - 2 * both
-            ok &= np.minimum(place[own], place[other]) + np.minimum(n[own] - place[own], n[other] - place[other]) >= both
-            if side is not None:
-                ok &= side[own] != side[other]
-            own, other = own[ok], other[ok]
-            turn = age[own] > age[other]
-            late, soon = np.where(turn, own, other), np.where(turn, other, own)
-            held = np.concatenate([held, np.stack([age[late], age[soon], chosen[late]], axis=1)])
-            held = np.unique(held, axis=0)
-            held = held[np.r_[True, held[1:, 0] != held[:-1, 0]] | (held[:, 2] > 0)] if len(held) else held
-        lo = hi
-    return held[:, 0], held[:, 1]
-
-
-FOUND = "deferred boolean, x long, y long, word int, n int, place int, chunk int, chosen boolean"
-
-
-def _frame(deferred: bool, x, y, word=0, n=0, place=0, chunk: int = 0, chosen=False) -> pd.DataFrame:
-    return pd.DataFrame({"deferred": deferred, "x": x, "y": y, "word": np.int32(word) if np.isscalar(word) else word, "n": np.int32(n) if np.isscalar(n) else n, "place": np.int32(place) if np.isscalar(place) else place, "chunk": np.int32(chunk), "chosen": chosen})
-
-
-def _columns(part: pd.DataFrame) -> list[np.ndarray]:
-    return [part["word"].to_numpy(), part["n"].to_numpy(np.int64), part["place"].to_numpy(np.int64), part["sketch"].to_numpy().view(np.uint64), part["age"].to_numpy(), part["chosen"].to_numpy(np.int64)]
-
-
-def _within(percent: int, most: int):
-    """Pairs of whole words of a sorted partition. The rows of a word over `most` come out again, numbered by chunk."""
-
-    def work(pdfs: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        carry, open_word, chunk = None, None, 0
-
-        def defer(part: pd.DataFrame) -> pd.DataFrame:
-            return _frame(True, part["age"], part["sketch"], part["word"], part["n"], part["place"], chunk, part["chosen"])
-
-        for pdf in pdfs:
-            if open_word is not None:
-                k = int((pdf["word"] == open_word).sum())
-                if k:
-                    yield defer(pdf.iloc[:k])
-                    chunk += 1
-                pdf = pdf.iloc[k:]
-                if not len(pdf):
-                    continue
-                open_word = None
-            if carry is not None:
-                pdf = pd.concat([carry, pdf], ignore_index=True)
-            cut = int(np.searchsorted(pdf["word"].to_numpy(), pdf["word"].iloc[-1]))
-            if cut:
-                yield _frame(False, *matches(*_columns(pdf.iloc[:cut]), percent))
-            carry = pdf.iloc[cut:]
-            if len(carry) > most:
-                open_word, chunk = carry["word"].iloc[0], 0
-                yield defer(carry)
-                carry, chunk = None, 1
-        if carry is not None and len(carry):
-            yield _frame(False, *matches(*_columns(carry), percent))
-
-    return work
-
-
-def _across(percent: int):
-    """Pairs of two chunks of one word, or of one chunk with itself."""
-
-    def work(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("n")
-        side = None if pdf["i"].iloc[0] == pdf["j"].iloc[0] else pdf["chunk"].to_numpy()
-        x, y = matches(*_columns(pdf), percent, side)
-        return pd.DataFrame({"x": x, "y": y})
-
-    return work
-
-
-def similar_sets(sets: DataFrame, percent: int = 80, chosen: DataFrame | None = None, most: int = CHUNK) -> DataFrame:
-    """(later, earlier), stored: ages of candidate pairs of sets (age, n, sketch, prefix) that pass the filters.
-
-    Per word a set comes with the earliest of its candidates before it, so pairs grow with sets,
-    not with the square of a group of near copies. With chosen (age), only those sets come out,
-    with all candidates before them. A word of over `most` sets is compared in chunks of its own tasks.
+
+def _bits(words: Column, half: int) -> Column:
+    """64 of 128 bits, each set if a word hashes to it."""
+    own = lambda t: F.shiftright(t, 6).bitwiseAND(1).bitwiseXOR(1 - half)
+    return F.aggregate(words, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", own(t), t.bitwiseAND(63).cast("int"))))
+
+
+def prefix_rows(sets: DataFrame, percent: int) -> DataFrame:
+    """A row per set and word of its prefix: word, heavy, age, top (age if chosen, else -1), n, place, short (can meet a set as long or longer), last (of the prefix), b0, b1 (its bitmap)."""
+    n = F.col("n")
+    rows = sets.where("n > 1").select("age", "top", "n", F.shiftright(F.element_at("prefix", -1), 31).cast("int").alias("last"), "b0", "b1", F.posexplode("prefix").alias("place", "w"))
+    return rows.select(F.hash("w").alias("word"), (F.shiftright("w", 57) > FREQUENT).alias("heavy"), "age", "top", "n", "place", (F.col("place") < shares(n, percent)[1]).alias("short"), "last", "b0", "b1")
+
+
+def near(x: str, y: str, percent: int) -> Column:
+    """Whether rows x and y of one word can be of similar sets: length, position, and words of the lower prefix that the other set lacks."""
+    c = lambda side, name: F.col(f"{side}.{name}")
+    nx, ny = c(x, "n"), c(y, "n")
+    both = F.floor((percent * (nx + ny) + 99 + percent) / (100 + percent))
+    most = F.least(c(x, "place"), c(y, "place")) + F.least(nx - c(x, "place"), ny - c(y, "place"))
+
+    def lacks(a: str, b: str) -> Column:
+        return sum((F.bit_count(c(a, k).bitwiseAND(F.bitwise_not(c(b, k)))) for k in ("b0", "b1")), F.lit(0)) <= c(a, "n") - both
+
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & F.when(nx <= ny, c(x, "short")).otherwise(c(y, "short")) & (most >= both) & F.when(c(x, "last") < c(y, "last"), lacks(x, y)).when(c(x, "last") > c(y, "last"), lacks(y, x)).otherwise(lacks(x, y) | lacks(y, x))
+
+
+def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier), stored: each set with the earliest sets of its words (of a share of them, for frequent words), where they can be similar.
+
+    One pair per row at most, so a group of near copies adds pairs as it grows, not as its square.
     """
-    flag = F.lit(False).alias("chosen")
-    if chosen is not None:
-        sets, flag = sets.join(chosen.select(F.col("age").alias("_age")), F.col("age") == F.col("_age"), "left"), F.col("_age").isNotNull().alias("chosen")
-    rows = sets.select("age", "n", "sketch", flag, F.posexplode("prefix").alias("place", "word"))
-    found = rows.repartition("word").sortWithinPartitions("word", "n").mapInPandas(_within(percent, most), FOUND)
-    found = stored(found, "found")
-    rest = found.where("deferred").select("word", "n", "place", F.col("y").alias("sketch"), F.col("x").alias("age"), "chunk", "chosen")
-    last = rest.groupBy("word").agg(F.max("chunk").alias("last"))
-    tiles = rest.join(last, "word").select("*", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
-    tiles = tiles.select("word", "n", "place", "sketch", "age", "chosen", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"))
-    large = tiles.groupBy("word", "i", "j").applyInPandas(_across(percent), "x long, y long")
-    pairs = found.where("not deferred").select("x", "y").union(large).select(F.col("x").alias("later"), F.col("y").alias("earlier"))
-    if chosen is not None:
-        return stored(pairs.join(chosen, F.col("later") == F.col("age"), "left_semi").distinct(), "candidates")
-    return stored(pairs.groupBy("later").agg(F.min("earlier").alias("earlier")), "candidates")
+    names = [k for k in rows.columns if k not in ("word", "heavy")]
+    salt = F.when(F.col("heavy"), F.pmod("age", F.lit(SALTS))).otherwise(0)
+    met = rows.select(F.struct(*names).alias("x"), F.first(F.struct(*names)).over(Window.partitionBy("word", salt).orderBy("age")).alias("y"))
+    return stored(met.where(F.col("x.age") > F.col("y.age")).where(near("x", "y", percent)).select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier")).distinct(), "candidates")
+
+
+def all_candidates(rows: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier), stored: each chosen set with all sets before it that can be similar. Both sides read one shuffle."""
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("x.top") > F.col("y.age")) & near("x", "y", percent))
+    return stored(met.select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier")).distinct(), "candidates")
 
 
 def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
@@ -253,53 +115,45 @@ def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
 
 
 def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough.
-
-    Two sets differ in no fewer words than their parity bits do, so the wide sketches leave few pairs to read.
-    """
-    one = sets.select(F.col("age").alias("later"), F.col("n").alias("nx"), F.col("wide").alias("vx"))
-    two = sets.select(F.col("age").alias("earlier"), F.col("n").alias("ny"), F.col("wide").alias("vy"))
-    apart = F.aggregate(F.zip_with("vx", "vy", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda acc, k: acc + k)
-    both = F.floor((percent * (F.col("nx") + F.col("ny")) + 99 + percent) / (100 + percent))
-    pairs = stored(pairs.join(one, "later").join(two, "earlier").where(apart <= F.col("nx") + F.col("ny") - 2 * both).select("later", "earlier"), "pairs")
+    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough."""
     ages = pairs.select(F.explode(F.array("later", "earlier")).alias("age")).distinct()
     wanted = stored(sets.join(ages, "age").select("age", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("first.line").alias("_line")), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     texts = marked(texts, F.xxhash64("text"), wanted.select(F.col("_th").alias("th"))).where("_marked").withColumn("th", F.xxhash64("text"))
-    near = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    line = F.get(F.split("text", "\n"), F.col("_line"))
-    words = F.array_distinct(F.array_remove(F.split(F.regexp_replace(F.translate(line, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), r"[\x09-\x0D]", " "), " "), ""))
-    near = stored(near.select("age", words.alias("words")).dropDuplicates(["age"]), "words")
-    one = near.select(F.col("age").alias("later"), F.col("words").alias("wx"))
-    two = near.select(F.col("age").alias("earlier"), F.col("words").alias("wy"))
+    met = texts.join(wanted.groupBy("_id", "_th").agg(F.collect_set(F.struct("age", "_line")).alias("own")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
+    met = met.select(F.split("text", "\n").alias("lines"), F.explode("own").alias("o")).select("o.age", F.get("lines", F.col("o._line")).alias("line"))
+    words = stored(met.dropDuplicates(["age"]).select("age", F.array_distinct(F.array_remove(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))).alias("words")), "words")
+    one = words.select(F.col("age").alias("later"), F.col("words").alias("wx"))
+    two = words.select(F.col("age").alias("earlier"), F.col("words").alias("wy"))
     met = pairs.join(one, "later").join(two, "earlier").withColumn("both", F.size(F.array_intersect("wx", "wy")))
     met = met.where(F.col("both") * 100 >= (F.size("wx") + F.size("wy") - F.col("both")) * percent)
     out = stored(met.select(F.col("later").alias("age")).distinct(), "verified")
-    for t in (pairs, wanted, near):
+    for t in (wanted, words):
         forget(t)
     return out
 
 
-def later_matches(docs: DataFrame, percent: int = 80, most: int = CHUNK) -> DataFrame:
+def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, th, line), stored: the lines that match a line before them, by (doc_id, hash of the text, line), null ids last.
 
-    A set's age is its place in the order of first lines. Each set is held against its earliest
-    candidate first; those that this doesn't remove are held against all of their candidates.
+    A set's age is its place in the order of first lines. Each set is held against the earliest
+    sets of its words first; those that this doesn't remove are held against all sets before them.
     """
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
     rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
-    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "sketch", "wide", "prefix")])
+    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix")])
     sets = sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("age", F.monotonically_increasing_id())
-    sets = stored(sets, "sets")
-    first = similar_sets(sets, percent, None, most)
+    sets = stored(sets.withColumns({"b0": _bits(F.col("prefix"), 0), "b1": _bits(F.col("prefix"), 1)}), "sets")
+    first = first_candidates(prefix_rows(sets.withColumn("top", F.col("age")), percent), percent)
     removed = verified(docs, sets, first, percent)
-    left = stored(first.select(F.col("later").alias("age")).join(removed, "age", "left_anti"), "left")
-    rest = similar_sets(sets, percent, left, most)
+    gone = removed.select("age", F.lit(True).alias("gone"))
+    chosen = sets.join(gone, "age", "left").withColumn("top", F.when(F.col("gone"), F.lit(-1).cast("long")).otherwise(F.col("age")))
+    rest = all_candidates(prefix_rows(chosen, percent), percent)
     more = verified(docs, sets, rest, percent)
-    whole = sets.join(removed.union(more).withColumn("gone", F.lit(True)), "age", "left").select("s1", "s2", "first", "gone")
+    whole = sets.select("s1", "s2", "first", "age").join(removed.union(more).withColumn("gone", F.lit(True)), "age", "left").select("s1", "s2", "first", "gone")
     later = rows.select("s1", "s2", at.alias("at")).join(whole, ["s1", "s2"]).where("gone or at > first").select("at.doc_id", "at.th", "at.line")
     later = stored(later, "later")
-    for t in (rows, sets, first, removed, left, rest, more):
+    for t in (rows, sets, first, removed, rest, more):
         forget(t)
     return later
 
@@ -308,7 +162,7 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     """docs with the lines taken out that match an earlier one, and columns n_lines, n_removed.
 
     Lines are what "\\n" separates; two match if the Jaccard similarity of their sets of words
-    (A to Z in lower case) is percent or more. A line is removed if any line before it matches,
+    in lower case is percent or more. A line is removed if any line before it matches,
     removed or not, so the result doesn't depend on the order of work. Lines without words always
     stay. Rows equal in doc_id and text are one place: they don't remove each other's lines. A
     null text stays null, with no lines. Other columns pass through.

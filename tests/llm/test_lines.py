@@ -46,10 +46,12 @@ def test_matches_brute_force(spark, monkeypatch):
     assert all(r.n_lines - r.n_removed == len(want[i].split("\n")) or not want[i] for i, r in got.items())
 
 
-def test_words_of_many_lines_are_compared_in_chunks(spark):
+def test_frequent_words_are_dealt_out(spark, monkeypatch):
     rows = made(80, 2)
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    whole, parts = (sorted(map(tuple, lines.later_matches(df, 80, most).collect())) for most in (lines.CHUNK, 7))
+    whole = sorted(map(tuple, lines.later_matches(df).collect()))
+    monkeypatch.setattr(lines, "FREQUENT", 0)
+    parts = sorted(map(tuple, lines.later_matches(df).collect()))
     assert whole == parts and len(whole) == sum(len(t.split("\n")) for _, t in rows if t) - sum(len(t.split("\n")) for t in brute(rows).values() if t)
 
 
