@@ -3,12 +3,14 @@
 A line is the set of its words, ordered by rarity: by the magnitude of a count over all documents,
 kept for WORD_CLASSES classes of words, then by hash. Two sets with a Jaccard similarity of t or
 more share a word among the first of each in that order (prefix filter). Length, position and a
-bitmap of each prefix thin the candidates, whose words are then compared. Equal sets are one
+bitmap of each set's rarest words thin the candidates, whose words are then compared. Equal sets are one
 before the join, so copies of a line add no pairs.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -18,6 +20,12 @@ from strataloom.llm.common import forget, stored
 WORD_CLASSES = 1 << 17
 #: Words of classes of this magnitude are dealt to SALTS tasks in the first round.
 FREQUENT, SALTS = 14, 64
+#: Columns of 64 bits each, a bitmap of a set's SEEN rarest words, or of its prefix if that is longer.
+BITMAP, SEEN = ("b0", "b1", "b2", "b3"), 32
+#: The `last` of a set whose words are all in its bitmap.
+ALL = (1 << 31) - 1
+#: The words of prefixes are shuffled and joined in so many turns: bounds the disk that the join takes.
+TURNS = 4
 #: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
 MARKS = 1 << 26
 
@@ -44,7 +52,7 @@ def shares(n: Column, percent: int) -> tuple[Column, Column]:
 
 
 def line_sets(docs: DataFrame, magnitude: bytes, percent: int) -> DataFrame:
-    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, prefix (its rarest words).
+    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, prefix (its rarest words), last (of its bitmap), b0 to b3 (its bitmap).
 
     A word is a number that sorts by rarity: the magnitude of its class, then 57 bits of its hash.
     """
@@ -58,50 +66,64 @@ def line_sets(docs: DataFrame, magnitude: bytes, percent: int) -> DataFrame:
     hashes = F.array_remove(F.array_distinct(F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
     rows = rows.select("doc_id", "th", "line", F.sort_array(F.transform(hashes, word)).alias("words")).where(F.size("words") > 0)
     n = F.size("words")
-    return rows.select("doc_id", "th", "line", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(7), "words").alias("s2"), n.alias("n"), F.slice("words", 1, F.when(n > 1, shares(n, percent)[0]).otherwise(0).cast("int")).alias("prefix"))
+    rows = rows.select("doc_id", "th", "line", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(7), "words").alias("s2"), n.alias("n"), F.slice("words", 1, F.when(n > 1, shares(n, percent)[0]).otherwise(0).cast("int")).alias("prefix"), F.slice("words", 1, F.greatest(F.lit(SEEN), shares(n, percent)[0]).cast("int")).alias("seen"))
+    last = F.when(F.size("seen") == F.col("n"), ALL).otherwise(F.shiftright(F.element_at("seen", -1), 32).cast("int"))
+    return rows.select("doc_id", "th", "line", "s1", "s2", "n", "prefix", last.alias("last"), *[_bits(F.col("seen"), i).alias(k) for i, k in enumerate(BITMAP)])
 
 
-def _bits(words: Column, half: int) -> Column:
-    """64 of 128 bits, each set if a word hashes to it."""
-    own = lambda t: F.shiftright(t, 6).bitwiseAND(1).bitwiseXOR(1 - half)
+def _bits(words: Column, part: int) -> Column:
+    """64 of 256 bits, each set if a word hashes to it."""
+    other = lambda t: F.shiftright(t, 6).bitwiseAND(3).bitwiseXOR(part)
+    own = lambda t: F.shiftrightunsigned(other(t) - 1, 63)
     return F.aggregate(words, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", own(t), t.bitwiseAND(63).cast("int"))))
 
 
-def prefix_rows(sets: DataFrame, percent: int) -> DataFrame:
-    """A row per set and word of its prefix: word, heavy, age, top (age if chosen, else -1), n, place, short (can meet a set as long or longer), last (of the prefix), b0, b1 (its bitmap)."""
+def prefix_rows(sets: DataFrame, percent: int, turn: int) -> DataFrame:
+    """A row per set and word of its prefix, of the words of one turn: word, heavy, age, top (age if chosen, else -1), n, place, short (can meet a set as long or longer), last, b0 to b3 (of line_sets)."""
     n = F.col("n")
-    rows = sets.where("n > 1").select("age", "top", "n", F.shiftright(F.element_at("prefix", -1), 31).cast("int").alias("last"), "b0", "b1", F.posexplode("prefix").alias("place", "w"))
-    return rows.select(F.hash("w").alias("word"), (F.shiftright("w", 57) > FREQUENT).alias("heavy"), "age", "top", "n", "place", (F.col("place") < shares(n, percent)[1]).alias("short"), "last", "b0", "b1")
+    rows = sets.where("n > 1").select("age", "top", "n", "last", *BITMAP, F.posexplode("prefix").alias("place", "w"))
+    rows = rows.where(F.col("w").bitwiseAND(TURNS - 1) == turn)
+    return rows.select(F.hash("w").alias("word"), (F.shiftright("w", 57) > FREQUENT).alias("heavy"), "age", "top", "n", "place", (F.col("place") < shares(n, percent)[1]).alias("short"), "last", *BITMAP)
 
 
 def near(x: str, y: str, percent: int) -> Column:
-    """Whether rows x and y of one word can be of similar sets: length, position, and words of the lower prefix that the other set lacks."""
+    """Whether rows x and y of one word can be of similar sets: length, position, and words that the other set lacks, up to the lower of the bitmaps' last words."""
     c = lambda side, name: F.col(f"{side}.{name}")
     nx, ny = c(x, "n"), c(y, "n")
     both = F.floor((percent * (nx + ny) + 99 + percent) / (100 + percent))
     most = F.least(c(x, "place"), c(y, "place")) + F.least(nx - c(x, "place"), ny - c(y, "place"))
 
     def lacks(a: str, b: str) -> Column:
-        return sum((F.bit_count(c(a, k).bitwiseAND(F.bitwise_not(c(b, k)))) for k in ("b0", "b1")), F.lit(0)) <= c(a, "n") - both
+        return sum((F.bit_count(c(a, k).bitwiseAND(F.bitwise_not(c(b, k)))) for k in BITMAP), F.lit(0)) <= c(a, "n") - both
 
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & F.when(nx <= ny, c(x, "short")).otherwise(c(y, "short")) & (most >= both) & F.when(c(x, "last") < c(y, "last"), lacks(x, y)).when(c(x, "last") > c(y, "last"), lacks(y, x)).otherwise(lacks(x, y) | lacks(y, x))
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & F.when(nx <= ny, c(x, "short")).otherwise(c(y, "short")) & (most >= both) & F.when(c(x, "last") < c(y, "last"), lacks(x, y)).when(c(x, "last") > c(y, "last"), lacks(y, x)).when(c(x, "last") == ALL, lacks(x, y) & lacks(y, x)).otherwise(lacks(x, y) | lacks(y, x))
 
 
 def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier), stored: each set with the earliest sets of its words (of a share of them, for frequent words), where they can be similar.
+    """(later, earlier): each set with the earliest sets of its words (of a share of them, for frequent words), where they can be similar.
 
     One pair per row at most, so a group of near copies adds pairs as it grows, not as its square.
     """
-    names = [k for k in rows.columns if k not in ("word", "heavy")]
+    names = [k for k in rows.columns if k not in ("word", "heavy", "top")]
     salt = F.when(F.col("heavy"), F.pmod("age", F.lit(SALTS))).otherwise(0)
     met = rows.select(F.struct(*names).alias("x"), F.first(F.struct(*names)).over(Window.partitionBy("word", salt).orderBy("age")).alias("y"))
-    return stored(met.where(F.col("x.age") > F.col("y.age")).where(near("x", "y", percent)).select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier")).distinct(), "candidates")
+    return met.where(F.col("x.age") > F.col("y.age")).where(near("x", "y", percent)).select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
 
 
 def all_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier), stored: each chosen set with all sets before it that can be similar. Both sides read one shuffle."""
-    met = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & (F.col("x.top") > F.col("y.age")) & near("x", "y", percent))
-    return stored(met.select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier")).distinct(), "candidates")
+    """(later, earlier): each chosen set with all sets before it that can be similar. Both sides have the same columns and read one shuffle."""
+    x, y = F.col("x.top") > F.col("y.age"), F.col("y.top") < F.col("x.age")
+    met = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & x & y & near("x", "y", percent))
+    return met.select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
+
+
+def in_turns(candidates, sets: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier), stored: the candidates of all turns, once each."""
+    found = [stored(candidates(prefix_rows(sets, percent, k), percent).distinct(), "found") for k in range(TURNS)]
+    out = stored(reduce(DataFrame.union, found).distinct(), "candidates")
+    for t in found:
+        forget(t)
+    return out
 
 
 def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
@@ -141,14 +163,16 @@ def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
     """
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
     rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
-    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix")])
+    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "last", *BITMAP)])
     sets = sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("age", F.monotonically_increasing_id())
-    sets = stored(sets.withColumns({"b0": _bits(F.col("prefix"), 0), "b1": _bits(F.col("prefix"), 1)}), "sets")
-    first = first_candidates(prefix_rows(sets.withColumn("top", F.col("age")), percent), percent)
+    sets = stored(sets, "sets")
+    first = in_turns(first_candidates, sets.withColumn("top", F.col("age")), percent)
     removed = verified(docs, sets, first, percent)
     gone = removed.select("age", F.lit(True).alias("gone"))
-    chosen = sets.join(gone, "age", "left").withColumn("top", F.when(F.col("gone"), F.lit(-1).cast("long")).otherwise(F.col("age")))
-    rest = all_candidates(prefix_rows(chosen, percent), percent)
+    chosen = sets.select("age", "n", "prefix", "last", *BITMAP).join(gone, "age", "left")
+    chosen = stored(chosen.withColumn("top", F.when(F.col("gone"), F.lit(-1).cast("long")).otherwise(F.col("age"))), "chosen")
+    rest = in_turns(all_candidates, chosen, percent)
+    forget(chosen)
     more = verified(docs, sets, rest, percent)
     whole = sets.select("s1", "s2", "first", "age").join(removed.union(more).withColumn("gone", F.lit(True)), "age", "left").select("s1", "s2", "first", "gone")
     later = rows.select("s1", "s2", at.alias("at")).join(whole, ["s1", "s2"]).where("gone or at > first").select("at.doc_id", "at.th", "at.line")
