@@ -165,12 +165,16 @@ def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
     rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
     sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "last", *BITMAP)])
     sets = sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("age", F.monotonically_increasing_id())
-    sets = stored(sets, "sets")
+    sets, whole = stored(sets, "sets"), rows
+    rows = stored(rows.select("doc_id", "th", "line", "s1", "s2"), "places")
+    forget(whole)
     first = in_turns(first_candidates, sets.withColumn("top", F.col("age")), percent)
     removed = verified(docs, sets, first, percent)
     gone = removed.select("age", F.lit(True).alias("gone"))
     chosen = sets.select("age", "n", "prefix", "last", *BITMAP).join(gone, "age", "left")
     chosen = stored(chosen.withColumn("top", F.when(F.col("gone"), F.lit(-1).cast("long")).otherwise(F.col("age"))), "chosen")
+    whole, sets = sets, stored(sets.select("s1", "s2", "first", "age"), "names")
+    forget(whole)
     rest = in_turns(all_candidates, chosen, percent)
     forget(chosen)
     more = verified(docs, sets, rest, percent)
