@@ -45,8 +45,13 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float
     return rows.withColumn("target", F.least(F.col("cap"), F.coalesce(level, F.lit(float("inf"))) * F.col("weight"))).select("key", "source_size", "weight", "target")
 
 
-def schedule(shares: DataFrame, block: int, slots: int) -> DataFrame:
-    """(slot, key, rank): the source of each slot and how many slots of that source came before it."""
+def blocks(shares: DataFrame, block: int, fine: int = 128) -> DataFrame:
+    """shares with `block`: the words that one slot of a source takes, `block` at most and a fine-th of its target, and 1 at least."""
+    return shares.withColumn("block", F.greatest(F.lit(1), F.least(F.lit(block), F.floor(F.col("target") / fine))).cast("long"))
+
+
+def _met(shares: DataFrame, slots: int) -> DataFrame:
+    """(slot, key): the source of each slot. shares: key, target."""
     spark = shares.sparkSession
     top = Window.orderBy("key").rowsBetween(Window.unboundedPreceding, 0)
     total = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -55,11 +60,24 @@ def schedule(shares: DataFrame, block: int, slots: int) -> DataFrame:
     ends = ends.withColumn("lo", F.coalesce(F.lag("hi").over(Window.orderBy("key")), F.lit(0))).where("hi > lo")
     width = 2**32 // CELLS
     ends = ends.select("key", "lo", "hi", F.explode(F.sequence(F.floor(F.col("lo") / width), F.floor((F.col("hi") - 1) / width))).alias("cell"))
-    points = spark.range(slots).select(F.col("id").alias("slot"), ((F.col("id") * STEP) % F.lit(2**32)).alias("point"))
-    met = points.withColumn("cell", F.floor(F.col("point") / width)).join(ends, "cell").where("point >= lo and point < hi").select("slot", "key", F.floor(F.col("slot") / 1024).alias("run"))
+    # STEP - 2^32 gives the same points as STEP, and a product below 2^63 for all of the 2^32 slots after which they repeat
+    points = spark.range(slots).select(F.col("id").alias("slot"), F.pmod((F.col("id") % F.lit(2**32)) * F.lit(STEP - 2**32), F.lit(2**32)).alias("point"))
+    return points.withColumn("cell", F.floor(F.col("point") / width)).join(F.broadcast(ends), "cell").where("point >= lo and point < hi").select("slot", "key")
+
+
+def schedule(shares: DataFrame, block: int, slots: int) -> DataFrame:
+    """(slot, key, rank): the source of each slot and how many slots of that source came before it."""
+    met = _met(shares, slots).withColumn("run", F.floor(F.col("slot") / 1024))
     return _ranked(met, "run", F.lit(1), ["slot"], "rank").select("slot", "key", "rank")
 
 
+def slots_of(shares: DataFrame) -> DataFrame:
+    """(key, slots): how many slots of the whole mix each source gets; their number grows with the words. shares: key, target, block."""
+    wanted = shares.select("key", (F.col("target") / F.col("block")).alias("target"))
+    whole = float(wanted.agg(F.sum("target")).first()[0] or 0)
+    return _met(wanted, -int(-whole // 1)).groupBy("key").agg(F.count("*").alias("slots"))
+
+
 def _ranked(rows: DataFrame, part: str, amount: Column, order: list, name: str) -> DataFrame:
     """rows with `name`: the sum of `amount` over the rows of the same key before it, in the order of (part, order).
 
@@ -73,30 +91,29 @@ def _ranked(rows: DataFrame, part: str, amount: Column, order: list, name: str)
     return rows.withColumn("inside", F.coalesce(F.sum("amount").over(inside), F.lit(0))).join(sums, ["key", part]).withColumn(name, F.col("ahead") + F.col("inside")).drop("ahead", "inside", "amount")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, slots: int = 1 << 18, least_block: int = 16) -> DataFrame:
+def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block: int = 16) -> DataFrame:
     """What the mix takes: doc_id, source, size, source_size, target, taken, copies (how often it starts in the mix).
 
     The words of a source stand in the order of md5(doc_id), cut into blocks of equal size (the
-    last may be shorter); a block is total / slots words, least_block at least. A null text has no
+    last may be shorter): `block` words, fewer where a source's target is small. A null text has no
     words; a document without words is taken 0 times. A source's slots stop after `most` passes.
+    Its slots rank 0, 1, 2, ... without gaps, so their number says how often each block is taken:
+    whole passes over all blocks, and one more over the first ones.
     Rows that are equal in doc_id, source and size are told apart by a running number, so repeated rows each count.
     """
     sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string").alias("source"), _key("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("draw"))
     sized = stored(sized, "sized")
-    shares = stored(targets(sized.groupBy("key").agg(F.sum("size").alias("source_size")), weights, share, most), "targets")
-    wanted = float(shares.agg(F.sum("target")).first()[0] or 0)
-    block = max(least_block, -int(-wanted // slots))
-    per_pass = F.ceil(F.col("source_size") / block)
-    plan = schedule(shares, block, -int(-wanted // block)).join(shares, "key").where(F.col("rank") < per_pass * most)
-    times = plan.groupBy("key", (F.col("rank") % per_pass).alias("block")).agg(F.count("*").alias("times"))
+    shares = stored(blocks(targets(sized.groupBy("key").agg(F.sum("size").alias("source_size")), weights, share, most), block), "targets")
+    per_pass = F.ceil(F.col("source_size") / F.col("block"))
+    got = F.least(F.coalesce("slots", F.lit(0)), per_pass * most)
+    whole = F.when(per_pass > 0, F.floor(got / per_pass)).otherwise(0)
+    plan = shares.join(slots_of(shares), "key", "left").select("key", "source_size", "target", "block", whole.alias("passes"), (got - whole * per_pass).alias("more"))
     sized = sized.withColumn("part", F.conv(F.substring("draw", 1, 2), 16, 10).cast("int"))
-    placed = _ranked(sized, "part", F.col("size"), ["draw", "doc_id", "size"], "start")
-    placed = stored(placed, "placed")
-    pieces = placed.where("size > 0").select("key", "start", "size", "doc_id", F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
-    words = F.least(F.col("start") + F.col("size"), (F.col("block") + 1) * block) - F.greatest(F.col("start"), F.col("block") * block)
-    begins = F.when(F.floor(F.col("start") / block) == F.col("block"), F.col("times")).otherwise(0)
-    taken = pieces.join(times, ["key", "block"]).groupBy("key", "start", "size").agg(F.sum(words * F.col("times")).alias("taken"), F.sum(begins).alias("copies"))
-    return placed.join(taken, ["key", "start", "size"], "left").join(shares, "key").select("doc_id", "source", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), F.coalesce("copies", F.lit(0)).cast("long").alias("copies"))
+    placed = stored(_ranked(sized, "part", F.col("size"), ["draw", "doc_id", "size"], "start"), "placed")
+    again = F.least(F.col("size"), F.greatest(F.lit(0), F.col("more") * F.col("block") - F.col("start")))
+    taken = (F.col("passes") * F.col("size") + again).cast("long")
+    copies = F.when(F.col("size") > 0, F.col("passes") + (F.floor(F.col("start") / F.col("block")) < F.col("more")).cast("long")).otherwise(0).cast("long")
+    return placed.join(F.broadcast(plan), "key").select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))
 
 
 def take(docs: DataFrame, **settings) -> DataFrame:

@@ -72,3 +72,22 @@ def test_empty_table_and_no_words(spark):
     assert mixing.mix(docs(spark).where("false")).count() == 0
     got = mixing.mix(docs(spark).withColumn("text", F.lit(" "))).agg(F.sum("taken"), F.count("*")).first()
     assert got[0] == 0 and got[1] == 406
+
+
+def test_small_sources_beside_huge_ones_meet_their_targets(spark):
+    """At 79 million words, about 0.5 GB, and at 4.7 billion, about 30 GB."""
+    for words in (79_000_000, 4_700_000_000):
+        sizes = {f"=big{i:02}": words // 20 for i in range(20)} | {f"={c}{n}": n for n in (50, 200, 1000, 10_000, 100_000) for c in "amz"}
+        shares = mixing.blocks(mixing.targets(spark.createDataFrame(list(sizes.items()), "key string, source_size long")), 16)
+        for r in shares.join(mixing.slots_of(shares), "key", "left").collect():
+            assert abs((r.slots or 0) * r.block - r.target) <= 8 * r.block + 0.002 * r.target, r
+
+
+def test_documents_of_small_sources_are_taken(spark):
+    huge = spark.range(40).selectExpr("id as doc_id", "repeat('w ', 500000) as text", "'huge' as source")
+    small = spark.createDataFrame([(1000 + 100 * k + i, "w " * (n // 10), f"s{n}") for k, n in enumerate((50, 200, 1000)) for i in range(10)], "doc_id long, text string, source string")
+    by = {r.source: r for r in mixing.mix(huge.union(small)).groupBy("source").agg(F.sum("taken").alias("taken"), F.max("target").alias("target"), F.min("copies").alias("copies")).collect()}
+    for n in (50, 200, 1000):
+        assert by[f"s{n}"].target == 2 * n and by[f"s{n}"].taken >= 0.9 * by[f"s{n}"].target and by[f"s{n}"].copies >= 1
+    kept = {r.source for r in mixing.take(huge.union(small)).select("source").distinct().collect()}
+    assert kept == {"huge", "s50", "s200", "s1000"}
