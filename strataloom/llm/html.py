@@ -2,7 +2,8 @@
 
 Each block of text passes points for its length and commas to its parent and half of them to the
 grandparent, discounted by the share of its text that is links. The container with the most
-points, or the article around it, is kept with its siblings of the same kind.
+points, or the article around it, is kept, and so is all text beside it and beside the containers
+around it, up to <main> if there is one, but for boilerplate and parts that are largely links.
 """
 
 from __future__ import annotations
@@ -185,18 +186,16 @@ class Page:
                 if self.tag[at] == "article":
                     break
             at = self.parent[at]
-        keep, least = {best}, max(5.0, score[best] * 0.2)
-        if best > 0 and self.tag[best] != "main":
-            for node in range(1, len(self.tag)):
-                if node != best and self.parent[node] == self.parent[best] and length[node]:
-                    plain = linked[node] < 0.25 * length[node]
-                    heading = self.tag[node] in ("h1", "h2") and node < best
-                    if plain and (score[node] >= least or heading or self.tag[node] == "p" and length[node] >= 80 or self.tag[node] == self.tag[best] == "article"):
-                        keep.add(node)
+        around, at = set(), best  # the nodes above the best one, up to <main> if there is one
+        while at > 0 and self.tag[at] != "main":
+            at = self.parent[at]
+            around.add(at)
         inside = [False] * len(self.tag)
         for node in range(len(self.tag)):
-            inside[node] = node in keep or node > 0 and inside[self.parent[node]]
-        return "\n".join(text for node, text, _ in self.blocks if inside[node])
+            up = self.parent[node]
+            beside = up in around and node not in around and linked[node] < 0.25 * length[node]
+            inside[node] = node == best or beside or node > 0 and inside[up]
+        return "\n".join(text for node, text, links in self.blocks if inside[node] or node in around and links < 0.25 * len(text))
 
 
 def extract(html: str | None) -> str:

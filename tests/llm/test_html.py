@@ -47,3 +47,22 @@ def test_edge_rows(spark):
     df = spark.createDataFrame([(1, None, None, 1), (None, "u", "<p>x", 2), (2, "u", "", 3), (2, "u", "", 3)], "page_id long, url string, html string, text int")
     got = extract_pages(df).collect()
     assert sorted(r.text for r in got) == ["", "", "", "x"] and extract_pages(df.where("false")).count() == 0
+
+
+LINKS = "<ul><li><a href=/1>One other page</a><li><a href=/2>Another other page</a></ul>"
+BODY = f"<div class=body><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div>"
+KEPT = "\n".join([LONG] * 3)
+
+
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        (f"<div id=content><p>Short lead</p>{BODY}<ul><li>one<li>two</ul></div>", f"Short lead\n{KEPT}\none\ntwo"),
+        (f"<div><h3>Head</h3>{BODY}<h2>After</h2><blockquote>Quote</blockquote><table><tr><td>c1<td>c2</table><p>End.</p></div>", f"Head\n{KEPT}\nAfter\nQuote\nc1\nc2\nEnd."),
+        (f"<body><nav>{LINKS}</nav><div><div>{BODY}</div><section><h2>Second</h2><p>Few words</p></section></div>{LINKS}<footer>F</footer></body>", f"{KEPT}\nSecond\nFew words"),
+        (f"<body><p>Lead</p><article>{BODY}</article>loose text<p>End</p>{LINKS}<div class=ad>Buy</div></body>", f"Lead\n{KEPT}\nloose text\nEnd"),
+        (f"<body><p>Outside</p><main><p>Lead</p><article>{BODY}</article></main></body>", f"Lead\n{KEPT}"),
+    ],
+)
+def test_nothing_beside_the_best_container_is_lost(page, text):
+    assert extract(page) == text
