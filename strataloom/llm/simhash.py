@@ -46,15 +46,15 @@ def fingerprint(text: str | None, shingle: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h)).view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp): one row per document; fp holds the 64 bits as a signed long. No shuffle."""
+def fingerprints(docs: DataFrame, shingle: int = 3, more: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the long columns named in `more`: one row per document; fp holds the 64 bits as a signed long. No shuffle."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = np.fromiter((fingerprint(t, shingle) for t in b.column("text").to_pylist()), np.uint64, len(b))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(fp.view(np.int64)), *[b.column(c) for c in more]], ["doc_id", "fp", *more])
 
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(work, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more).mapInArrow(work, ", ".join(["doc_id long, fp long", *[f"{c} long" for c in more]]))
 
 
 def anchors(fp: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -225,6 +225,13 @@ def near_pairs(fps: DataFrame, bits: int = 3, most: int = CHUNK) -> DataFrame:
     return found.where("not deferred").select("a", "b").union(large)
 
 
+def _classes(rows: DataFrame, bits: int) -> DataFrame:
+    """(fp, first, root), stored, of stored fingerprints: the smallest doc_id of each fp, and what names its class."""
+    firsts = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
+    linked = connected_components(near_pairs(firsts, bits))
+    return stored(firsts.join(linked, firsts.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root")), "classes")
+
+
 def simhash_classes(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     """(doc_id, fp, component_id) per document: component_id is the smallest doc_id reachable over links.
 
@@ -232,23 +239,25 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFra
     names a component unless no other member has an id. Repeated rows keep one output row each.
     """
     rows = stored(fingerprints(docs, shingle), "fingerprints")
-    firsts = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "firsts")
-    linked = connected_components(near_pairs(firsts, bits))
-    classes = stored(firsts.join(linked, firsts.fp == linked.node, "left").select("fp", "first", F.coalesce("component", "fp").alias("root")), "classes")
+    classes = _classes(rows, bits)
     heads = stored(classes.groupBy("root").agg(F.min("first").alias("component_id")), "heads")
     ids = stored(classes.join(heads, "root").select("fp", "component_id"), "ids")
     return rows.join(ids, "fp").select("doc_id", "fp", "component_id")
 
 
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
-    """The rows of docs with the smallest doc_id of their class; of rows that share that id, one.
+    """One row of docs per class: the one with the smallest doc_id, of those the one with the smallest hashes of text and row.
 
-    Rows without a doc_id can't be told apart: those of a class in which no row has an id all stay.
+    A row without a doc_id stands for a class only if no row of the class has one.
     """
-    heads = stored(simhash_classes(docs, shingle, bits).where("doc_id <=> component_id").select("doc_id").distinct(), "kept")
-    own = F.col("doc_id").cast("long")
-    named = docs.join(heads.withColumnRenamed("doc_id", "_id"), own == F.col("_id"), "left_semi").dropDuplicates(["doc_id"])
-    return named.union(docs.where(own.isNull())) if heads.where("doc_id is null").count() else named
+    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_h1": F.xxhash64(F.col("text").cast("string")), "_h2": F.xxhash64(F.lit(7), *[F.col(f"`{c}`") for c in docs.columns])})
+    rows = stored(fingerprints(marked, shingle, ("_h1", "_h2")), "fingerprints")
+    # per fp first, so that a large group of copies is not joined row by row
+    best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), "_h1", "_h2")).alias("best"))
+    heads = _classes(rows, bits).join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
+    heads = stored(heads.select(F.col("_id").alias("_i"), F.col("_h1").alias("_a"), F.col("_h2").alias("_b")), "kept")
+    met = marked.join(heads, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h1") == F.col("_a")) & (F.col("_h2") == F.col("_b")), "left_semi")
+    return met.dropDuplicates(["_id", "_h1", "_h2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

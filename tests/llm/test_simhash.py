@@ -94,3 +94,27 @@ def test_components_of_chain_and_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)]
     got = {r.node: r.component for r in connected_components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == components({x for e in edges for x in e}, edges)
+
+
+def test_one_row_of_each_class_stays(spark):
+    """Also where classes share a doc_id, and where rows have none."""
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 10**6, 40)) for _ in range(60)]
+    rows = [(i // 2, x, i) for i, x in enumerate(texts)] + [(i, texts[i], 0) for i in range(20)] + [(None, texts[0], 1), (None, "no id", 2), (None, "no id", 2), (5, None, 3), (6, "", 4)]
+    kept = [(r.doc_id, r.text) for r in simhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string, n int").repartition(5)).collect()]
+    by = {}
+    for i, x, _ in rows:
+        by.setdefault(simhash.fingerprint(x), []).append((i is None, i, x))
+    fps = list(by)
+    root = {a: a for a in fps}
+    for a in fps:
+        for b in fps:
+            if (a ^ b).bit_count() <= 3:
+                old, new = root[a], root[b]
+                root = {k: new if v == old else v for k, v in root.items()}
+    least = {}
+    for f, members in by.items():
+        for none, i, _ in members:
+            least[root[f]] = min(least.get(root[f], (True, 0)), (none, i or 0))
+    assert sorted(root[simhash.fingerprint(x)] for _, x in kept) == sorted(set(root.values()))
+    assert all((i is None, i or 0) == least[root[simhash.fingerprint(x)]] for i, x in kept)
