@@ -1,197 +1,250 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Terms are words and word beginnings. Fitting picks the terms that go with the toxic label from a
-bounded sample of labelled rows, counts their document frequency over all documents, and builds
-an index of the sample's vectors. The examples stand in blocks; a term's entry holds its highest
-weight in each block, so a query visits blocks by falling bound and stops once none can hold a
-nearer example. Weights of the nearest examples, by cosine, vote for the score.
+A term is the beginning of a run of letters. A term's weight in a text is its damped frequency times
+its inverse document frequency over all documents, times how surely it goes with label 1 in the
+labelled sample; no term is left out. The examples stand in blocks. Terms that many examples hold
+have their entries as dense rows, with the highest entry of each block; the others have postings.
+A text's postings are summed first, then it visits only the blocks whose bound, from those sums
+and the blocks' highest entries, reaches its kth cosine so far. The nearest examples vote by
+distance; votes are calibrated on the examples, each without itself.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import stored
+from strataloom.llm.common import forget, stored
 
 LETTERS = re.compile(r"[^\W\d_]+")
-#: Lengths of the word beginnings that are terms of their own.
-STARTS = (3, 4, 5, 6)
-#: Words that a worker remembers at most; then it starts anew.
-REMEMBER = 200_000
-#: Examples of one block.
-BLOCK = 64
-
-
-def word_terms(word: str) -> list[str]:
-    """Terms of one lower-case token: its letter runs whole ("=idiot") and their beginnings ("idi*")."""
-    out = []
-    for run in LETTERS.findall(word):
-        out.append("=" + run)
-        out.extend(run[:n] + "*" for n in STARTS if len(run) > n)
-    return out
+#: Letters of a run that make its term.
+START = 5
+#: Examples of one block; texts that are looked up together.
+BLOCK, TOGETHER = 128, 256
+#: A term that more than this share of the examples hold has a dense row.
+COMMON = 0.04
+#: Weight of the vote that all examples cast together, and how many made-up votes hold the calibration to the votes as they are.
+PRIOR, HELD = 1e-6, 5.0
 
 
 class Reader:
-    """Term counts of texts; terms: the index of each known term, or None to know all."""
+    """Numbers and counts of the terms of texts; unknown terms are left out, or numbered on sight if `terms` is None."""
 
     def __init__(self, terms: dict[str, int] | None) -> None:
-        self.terms, self.seen = terms, {}
-
-    def counts(self, text: str | None) -> Counter:
-        out, seen = Counter(), self.seen
-        for word, n in Counter((text or "").lower().split()).items():
-            got = seen.get(word)
-            if got is None:
-                got = word_terms(word)
-                if self.terms is not None:
-                    got = [self.terms[t] for t in got if t in self.terms]
-                if len(seen) >= REMEMBER:
-                    seen.clear()
-                seen[word] = got
-            for t in got:
-                out[t] += n
-        return out
+        self.grow, self.terms = terms is None, {} if terms is None else terms
+
+    def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
+        """(term, count), ascending by term."""
+        runs = [w[:START] for w in LETTERS.findall((text or "").lower())]
+        if self.grow:
+            for w in runs:
+                self.terms.setdefault(w, len(self.terms))
+        get = self.terms.get
+        own = np.fromiter((get(w, -1) for w in runs), np.int64, len(runs))
+        return np.unique(own[own >= 0], return_counts=True)
+
+
+def weighed(term: np.ndarray, n: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """The unit vector of a text's terms."""
+    x = (1 + np.log(n)) * weights[term]
+    size = np.sqrt((x * x).sum())
+    return x / size if size else x
+
+
+def telling(with_one: np.ndarray, with_zero: np.ndarray, ones: int, zeros: int, floor: float = 0.3) -> np.ndarray:
+    """A factor per term: `floor` and the square of the z-score of its log odds of label 1, where positive. Counts are of examples; two made-up ones hold each term to the average."""
+    p = (ones + 1) / (ones + zeros + 2)
+    a, c = with_one + 2 * p, with_zero + 2 * (1 - p)
+    z = np.log((a / (ones + 2)) / (c / (zeros + 2))) / np.sqrt(1 / a + 1 / c)
+    return floor + np.maximum(z, 0) ** 2
 
 
 @dataclass
 class Model:
-    """terms: term to number; idf: per term; the examples' vectors in blocks, and what a text without terms scores."""
+    """terms: term to number; weights: per term; the examples' ids, labels and vectors (example, term, entry)."""
 
     terms: dict[str, int]
-    idf: np.ndarray
+    weights: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    matrix: np.ndarray
-    prior: float
-    blank: float
+    entries: tuple[np.ndarray, np.ndarray, np.ndarray]
     k: int = 15
     power: float = 4.0
+    slope: float = 1.0
+    shift: float = 0.0
+    prior: float = field(init=False)
 
     def __post_init__(self) -> None:
         n = len(self.ids)
-        starts = np.arange(0, n, BLOCK)
-        self.highest = np.maximum.reduceat(self.matrix, starts, axis=0) if n else np.zeros((0, len(self.idf)))
-        self.starts = np.append(starts, n)
-
-    def vector(self, counts: Counter) -> np.ndarray:
-        return vector(counts, self.idf)
-
-    def nearest(self, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(cosine, row) of the k nearest examples with a cosine above 0, nearest first, ties to the smaller row."""
-        on = np.flatnonzero(v)
-        bounds = self.highest[:, on] @ v[on]
-        cos, row, kth = np.zeros(0), np.zeros(0, np.int64), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or len(cos) == self.k and bounds[b] < kth - 1e-9:
-                break
-            lo, hi = self.starts[b], self.starts[b + 1]
-            got = self.matrix[lo:hi][:, on] @ v[on]
-            near = np.flatnonzero((got > 0) & (got >= kth - 1e-9))
-            cos, row = np.append(cos, got[near]), np.append(row, lo + near)
-            best = np.lexsort((row, -cos))[: self.k]
-            cos, row = cos[best], row[best]
-            kth = cos[-1] if len(cos) == self.k else 0.0
-        return cos, row
-
-    def score(self, counts: Counter) -> tuple[float, np.ndarray, np.ndarray]:
-        if not counts:
-            return self.blank, np.zeros(0), np.zeros(0, np.int64)
-        cos, row = self.nearest(self.vector(counts))
-        w = cos**self.power
-        return float((w @ self.labels[row] + 0.02 * self.prior) / (w.sum() + 0.02)), cos, row
-
-
-def vector(counts: Counter, idf: np.ndarray) -> np.ndarray:
-    """The unit TF-IDF vector of term counts, tf damped by a logarithm."""
-    v = np.zeros(len(idf))
-    for t, n in counts.items():
-        v[t] = (1 + np.log(n)) * idf[t]
-    size = np.linalg.norm(v)
-    return v / size if size else v
+        self.prior = (float(self.labels.sum()) + 0.1) / (n + 2.0)
+        row, term, x = self.entries
+        often = np.bincount(term, minlength=len(self.weights)) > COMMON * n
+        self.common = np.flatnonzero(often)
+        self.place = np.where(often, np.cumsum(often) - 1, -1)  # of a common term among them
+        on = often[term]
+        self.dense = np.zeros((len(self.common), n))
+        self.dense[self.place[term[on]], row[on]] = x[on]
+        order = np.argsort(term[~on], kind="stable")
+        self.row, self.entry = row[~on][order], x[~on][order]
+        self.first = np.searchsorted(term[~on][order], np.arange(len(self.weights) + 1))
+        self.starts = np.arange(0, n, BLOCK)
+        self.highest = np.maximum.reduceat(self.dense, self.starts, axis=1) if n else np.zeros((len(self.common), 0))
+
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(cosines, rows) of the k nearest examples of each text (term, count), ties to smaller rows; -1 where there are fewer with a cosine above 0. own: a row of each text that doesn't count."""
+        b, n, k = len(texts), len(self.ids), self.k
+        best, rows = np.zeros((b, k)), np.full((b, k), -1)
+        if not n or not b:
+            return best, rows
+        term = np.concatenate([t for t, _ in texts])
+        x = np.concatenate([weighed(t, c, self.weights) for t, c in texts])
+        who = np.repeat(np.arange(b), [len(t) for t, _ in texts])
+        dense = np.zeros((b, len(self.common)))
+        on = self.place[term] >= 0
+        dense[who[on], self.place[term[on]]] = x[on]
+        term, x, who = term[~on], x[~on], who[~on]
+        many = self.first[term + 1] - self.first[term]
+        at = np.arange(many.sum()) + np.repeat(self.first[term] - np.cumsum(many) + many, many)
+        sums = np.bincount(np.repeat(who, many) * n + self.row[at], np.repeat(x, many) * self.entry[at], b * n).astype(float, copy=False).reshape(b, n)
+        if own is not None:
+            sums[np.arange(b), own] = -np.inf
+        bounds = np.maximum.reduceat(sums, self.starts, axis=1) + dense @ self.highest
+        scores, top = np.full((b, n), -np.inf), np.zeros((b, k))  # top: the highest cosines so far, the least of them first
+        for block in np.argsort(-bounds.max(0), kind="stable"):
+            lo, hi = self.starts[block], min(self.starts[block] + BLOCK, n)
+            ask = np.flatnonzero((bounds[:, block] > 0) & (bounds[:, block] >= top[:, 0] - 1e-9))
+            if len(ask):
+                scores[ask, lo:hi] = got = sums[ask, lo:hi] + dense[ask] @ self.dense[:, lo:hi]
+                top[ask] = np.partition(np.concatenate([top[ask], got], axis=1), hi - lo, axis=1)[:, hi - lo :]
+        who, row = np.nonzero((scores > 0) & (scores >= top[:, :1] - 1e-9))
+        cos = np.round(scores[who, row], 12)  # equal cosines may differ by the order of sums
+        order = np.lexsort((row, -cos, who))
+        who, row, cos = who[order], row[order], cos[order]
+        rank = np.arange(len(who)) - np.searchsorted(who, np.arange(b))[who]
+        on = rank < k
+        best[who[on], rank[on]], rows[who[on], rank[on]] = cos[on], row[on]
+        return best, rows
+
+    def votes(self, cos: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """The share of label 1 among each text's nearest examples, weighed by a power of the cosine, and of all examples by a little."""
+        w = np.where(rows >= 0, cos, 0.0) ** self.power
+        return ((w * (self.labels[rows] if len(self.labels) else 0.0)).sum(1) + PRIOR * self.prior) / (w.sum(1) + PRIOR)
+
+    def score(self, votes: np.ndarray) -> np.ndarray:
+        return sigmoid(self.slope * logit(votes) + self.shift)
+
+
+def logit(v: np.ndarray) -> np.ndarray:
+    v = np.clip(v, 1e-4, 1 - 1e-4)
+    return np.log(v / (1 - v))
+
+
+def sigmoid(x: np.ndarray) -> np.ndarray:
+    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
+
+
+def calibrated(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of a logistic curve from votes to labels, held to (1, 0) by HELD: Newton's steps."""
+    x = np.stack([logit(votes), np.ones(len(votes))], axis=1)
+    ones = labels.sum()
+    aim = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
+    w, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
+    for _ in range(25):
+        p = sigmoid(x @ w)
+        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + HELD * np.eye(2), x.T @ (p - aim) + HELD * (w - start))
+        w = w - step
+        if np.abs(step).max() < 1e-9:
+            break
+    return (float(w[0]), float(w[1])) if np.isfinite(w).all() and w[0] > 0 else (1.0, 0.0)
 
 
 def _texts(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
 
 
-def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 20_000, max_terms: int = 400, least: float = 35.0) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 8_000) -> Model:
     """Learn from labelled (doc_id, toxic) joined with docs.
 
     max_examples bounds the labelled rows: of more, those with the smallest hashes of doc_id are
-    taken, about max_examples of them; equal texts with equal labels count once. max_terms bounds
-    the terms, which are those most associated with label 1 by a likelihood ratio of `least` at
-    least. Document frequencies come from all docs. Null ids and labels are not learned from.
+    taken, about max_examples of them; equal texts with equal labels count once. The terms are all
+    of theirs. Document frequencies come from all docs. Null ids and labels are not learned from;
+    an id with several labels counts as 1 if one of them is.
     """
-    spark = docs.sparkSession
-    labelled = labelled.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    n = labelled.count()
-    rate = min(1.0, max_examples / max(n, 1))
-    chosen = labelled.where((F.xxhash64(F.col("doc_id").cast("long")).bitwiseAND(0xFFFFFF)) < rate * float(1 << 24))
+    labelled = labelled.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(F.col("toxic").cast("int")).alias("label"))
+    rate = min(1.0, max_examples / max(labelled.count(), 1))
+    chosen = labelled.where(F.xxhash64("doc_id").bitwiseAND(0xFFFFFF) < rate * float(1 << 24))
     rows = _texts(docs).join(F.broadcast(chosen), "doc_id")
-    rows = rows.groupBy(F.xxhash64("text").alias("same"), "toxic").agg(F.min(F.struct("doc_id", "text")).alias("d")).select("d.doc_id", F.col("toxic").alias("label"), "d.text")
+    rows = rows.groupBy(F.xxhash64("text").alias("same"), "label").agg(F.min(F.struct("doc_id", "text")).alias("d")).select("d.doc_id", "label", "d.text")
     rows = stored(rows, "examples")
 
-    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, total = Reader(None), (Counter(), Counter())
+    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for text, label in zip(b.column("text").to_pylist(), b.column("label").to_pylist(), strict=True):
-                own = total[label > 0]
-                own[""] += 1
-                own.update(reader.counts(text).keys())
-        for label, own in enumerate(total):
-            yield pa.RecordBatch.from_arrays([pa.array(own.keys(), pa.string()), pa.array([label] * len(own), pa.int32()), pa.array(own.values(), pa.int64())], ["term", "label", "n"])
-
-    by = rows.mapInArrow(seen, "term string, label int, n long").groupBy("term").agg(*[F.coalesce(F.sum(F.when(F.col("label") == x, F.col("n"))), F.lit(0)).alias(f"n{x}") for x in (0, 1)])
-    by = stored(by, "term-counts")
-    whole = by.where("term = ''").first()
-    size = (float(whole.n0), float(whole.n1)) if whole else (0.0, 0.0)
-
-    def part(n, e):
-        return F.when(n > 0, n * F.log(n / e)).otherwise(0.0)
-
-    df = F.col("n0") + F.col("n1")
-    everything = max(sum(size), 1.0)
-    expected = [df * (s / everything) for s in size]
-    ratio = 2 * sum((part(F.col(f"n{x}").cast("double"), expected[x]) + part(F.lit(size[x]) - F.col(f"n{x}"), F.lit(size[x]) - expected[x]) for x in (0, 1)), F.lit(0.0))
-    top = by.where((F.col("term") != "") & (F.col("n1") >= 5) & (F.col("n1") > expected[1])).select("term", ratio.alias("ratio")).where(F.col("ratio") >= least).orderBy(F.desc("ratio"), "term").limit(max_terms).collect()
-    terms = {r.term: i for i, r in enumerate(top)}
+            reader = Reader(None)
+            own = [reader.counts(t) for t in b.column("text").to_pylist()]
+            names = np.array([*reader.terms], object)
+            said = [names[t].tolist() for t, _ in own]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(said, pa.list_(pa.string())), pa.array([c.tolist() for _, c in own], pa.list_(pa.int64()))], ["doc_id", "label", "terms", "n"])
+
+    table = rows.mapInArrow(coded, "doc_id long, label int, terms array<string>, n array<long>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    forget(rows)
+    names = table.column("terms").combine_chunks().flatten().dictionary_encode()
+    term, n = names.indices.to_numpy().astype(np.int64), table.column("n").combine_chunks().flatten().to_numpy()
+    terms = {t: i for i, t in enumerate(names.dictionary.to_pylist())}
+    row = np.repeat(np.arange(len(table)), np.array([len(x) for x in table.column("n").to_pylist()], np.int64))
+    labels, ids = (table.column("label").to_numpy() > 0).astype(float), table.column("doc_id").to_numpy()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, total = Reader(terms), np.zeros(len(terms) + 1, np.int64)
         for b in batches:
             total[-1] += len(b)
             for text in b.column("text").to_pylist():
-                total[list(reader.counts(text))] += 1
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(total)), pa.int32()), pa.array(total)], ["term", "n"])
+                total[reader.counts(text)[0]] += 1
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], ["term", "n"])
 
+    seen = docs.select(F.col("text").cast("string")).mapInArrow(found, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(terms) + 1)
-    for r in _texts(docs).mapInArrow(found, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        df[r.term] = r.n
-    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+    df[seen.column("term").to_numpy()] = seen.column("n").to_numpy()
+    with_one = np.bincount(term, labels[row], len(terms))
+    weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * telling(with_one, np.bincount(term, minlength=len(terms)) - with_one, int(labels.sum()), int((1 - labels).sum()))
+    vectors = np.split(np.arange(len(term)), np.flatnonzero(np.diff(row)) + 1) if len(term) else []
+    entry = np.concatenate([weighed(term[v], n[v], weights) for v in vectors]) if vectors else np.zeros(0)
+    # examples that lean on the same term share blocks, which makes the bounds tight
+    lead = np.full(len(ids), -1)
+    for v in vectors:
+        lead[row[v[0]]] = term[v[np.argmax(entry[v])]]
+    order = np.lexsort((ids, lead))
+    to = np.empty(len(order), np.int64)
+    to[order] = np.arange(len(order))
+    model = Model(terms, weights, ids[order], labels[order], (to[row], term, entry))
+    own = [(term[v], n[v]) for v in vectors]
+    votes = _own_votes(docs, model, own, to[np.array([row[v[0]] for v in vectors], np.int64)])
+    model.slope, model.shift = calibrated(*votes)
+    return model
+
+
+def _own_votes(docs: DataFrame, model: Model, texts: list, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(votes, labels) of the examples, each looked up without itself, in tasks of a few hundred."""
+    spark = docs.sparkSession
+    shared = spark.sparkContext.broadcast((model, texts, rows))
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(terms)
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, own, place = shared.value
         for b in batches:
-            counts = [reader.counts(t) for t in b.column("text").to_pylist()]
-            on = pa.array([[*c] for c in counts], pa.list_(pa.int32()))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), on, pa.array([[*c.values()] for c in counts], pa.list_(pa.int32()))], ["doc_id", "label", "on", "n"])
+            for start in b.column("id").to_numpy():
+                at = slice(start * TOGETHER, (start + 1) * TOGETHER)
+                votes = m.votes(*m.nearest(own[at], place[at]))
+                yield pa.RecordBatch.from_arrays([pa.array(votes), pa.array(m.labels[place[at]])], ["vote", "label"])
 
-    got = rows.mapInArrow(coded, "doc_id long, label int, on array<int>, n array<int>").toPandas()
-    got["key"] = [tuple(sorted(x)) for x in got["on"]]
-    empty = got["key"].map(len) == 0
-    blank = (float((got["label"][empty] > 0).sum()) + 0.1) / (float(empty.sum()) + 2.0)
-    kept = got[~empty].sort_values(["key", "doc_id"])  # like examples share blocks, which makes the bounds tight
-    matrix = np.array([vector(Counter(dict(zip(on, n, strict=True))), idf) for on, n in zip(kept["on"], kept["n"], strict=True)]).reshape(len(kept), len(terms))
-    prior = float((got["label"] > 0).sum() + 0.1) / (len(got) + 2.0)
-    return Model(terms, idf, kept["doc_id"].to_numpy(np.int64), (kept["label"] > 0).to_numpy(float), matrix, prior, blank)
+    parts = -(-len(texts) // TOGETHER)
+    got = spark.range(0, parts, 1, max(1, parts)).mapInArrow(work, "vote double, label double").toArrow()
+    return got.column("vote").to_numpy(), got.column("label").to_numpy()
 
 
 def score_documents(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:
@@ -199,37 +252,36 @@ def score_documents(docs: DataFrame, model: Model, keep: bool = False) -> DataFr
 
     keep: the struct column `row`, all columns of docs, instead of doc_id.
 
-    A null or empty text, like any text without known terms, scores what such examples score.
-    Repeated rows come out repeated. The model, bounded by fit's parameters, is broadcast.
+    A null or empty text, like any text without known terms, has no neighbours and scores what all
+    examples together vote. Whole texts of any length are read. Repeated rows come out repeated, an
+    empty table gives an empty one. The model, bounded by fit's max_examples, is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, known = shared.value, {}
+        m = shared.value
         reader = Reader(m.terms)
-        for b in batches:
-            scores, evidence = [], []
-            for text in b.column("text").to_pylist():
-                counts = reader.counts(text)
-                key = tuple(sorted(counts.items()))
-                if key not in known:
-                    if len(known) >= 20_000:
-                        known.clear()
-                    s, cos, row = m.score(counts)
-                    known[key] = s, [{"doc_id": int(m.ids[r]), "cosine": float(c), "label": int(m.labels[r])} for c, r in zip(cos, row, strict=True)]
-                scores.append(known[key][0])
-                evidence.append(known[key][1])
-            s = np.array(scores, float)
-            yield pa.RecordBatch.from_arrays([b.column(own), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array(evidence, kind)], [own, "score", "predicted", "evidence"])
+        for whole in batches:
+            for i in range(0, len(whole), TOGETHER):
+                b = whole.slice(i, TOGETHER)
+                cos, rows = m.nearest([reader.counts(t) for t in b.column("text").to_pylist()])
+                s = m.score(m.votes(cos, rows))
+                on = rows >= 0
+                flat = pa.StructArray.from_arrays([pa.array(m.ids[rows[on]]), pa.array(cos[on]), pa.array(m.labels[rows[on]].astype(np.int32))], fields=list(kind.value_type))
+                evidence = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(on.sum(1))].astype(np.int32)), flat, type=kind)
+                yield pa.RecordBatch.from_arrays([b.column(own), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), evidence], [own, "score", "predicted", "evidence"])
 
     own = "row" if keep else "doc_id"
-    rows = docs.select(F.struct("*").alias("row"), F.col("text").cast("string")) if keep else _texts(docs)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string")) if keep else _texts(docs)
     return rows.mapInArrow(work, f"{own} {rows.schema[own].dataType.simpleString()}, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, label: int>>")
 
 
 def drop_toxic(docs: DataFrame, model: Model) -> DataFrame:
-    """The rows of docs that aren't predicted to be toxic, with all their columns."""
+    """The rows of docs that aren't predicted to be toxic, with all their columns, whatever their names.
+
+    Null and empty texts stay unless most examples are toxic; an empty table stays empty.
+    """
     return score_documents(docs, model, keep=True).where("predicted = 0").select("row.*")
 
 

@@ -1,3 +1,8 @@
+import math
+import re
+import zlib
+from collections import Counter
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -6,24 +11,81 @@ from strataloom.llm import toxicity
 SF = "/root/testdata/sf0.01"
 
 
-def test_terms_of_a_word():
-    assert toxicity.word_terms("idiot,") == ["=idiot", "idi*", "idio*"]
-    assert toxicity.word_terms("%%%") == []
+def test_terms_of_a_text():
+    reader = toxicity.Reader(None)
+    term, n = reader.counts("Idiot, idiotic %%% don't")
+    assert dict(zip([*reader.terms], n.tolist(), strict=True)) == {"idiot": 2, "don": 1, "t": 1} and term.tolist() == [0, 1, 2]
+    assert len(reader.counts(None)[0]) == len(toxicity.Reader({}).counts("idiot")[0]) == 0
+
+
+def random_model(rng, n=700, terms=60):
+    m = rng.random((n, terms)) * (rng.random((n, terms)) < np.linspace(0.01, 0.4, terms))
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
+    row, term = np.nonzero(m)
+    return m, toxicity.Model({}, np.linspace(3, 1, terms), np.arange(n), (rng.random(n) < 0.5).astype(float), (row, term, m[row, term]))
 
 
 def test_pruned_search_finds_what_brute_force_finds():
     rng = np.random.default_rng(3)
-    m = rng.random((700, 30)) * (rng.random((700, 30)) < 0.15)
-    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-    model = toxicity.Model({}, np.ones(30), np.arange(700), (rng.random(700) < 0.5).astype(float), m, 0.5, 0.0)
-    for _ in range(60):
-        v = rng.random(30) * (rng.random(30) < 0.2)
-        v /= max(np.linalg.norm(v), 1e-12)
-        cos, row = model.nearest(v)
-        all_cos = m @ v
-        best = np.lexsort((np.arange(700), -np.round(all_cos, 9)))[: model.k]
-        best = best[all_cos[best] > 1e-12]
-        assert np.allclose(cos, all_cos[best]) and len(row) == len(best)
+    m, model = random_model(rng)
+    assert 0 < len(model.common) < 60
+    texts = [(t, rng.integers(1, 9, len(t))) for t in (np.flatnonzero(rng.random(60) < 0.2) for _ in range(80))]
+    own = rng.integers(0, 700, 80)
+    for skip in (None, own):
+        cos, row = model.nearest(texts, skip)
+        for i, (t, n) in enumerate(texts):
+            v = np.zeros(60)
+            v[t] = toxicity.weighed(t, n, model.weights)
+            whole = np.round(m @ v, 12)
+            if skip is not None:
+                whole[skip[i]] = 0
+            best = np.lexsort((np.arange(700), -whole))[: model.k]
+            best = best[whole[best] > 0]
+            assert row[i][row[i] >= 0].tolist() == best.tolist() and np.allclose(cos[i][: len(best)], whole[best])
+
+
+def test_query_agrees_with_brute_force(spark):
+    """Terms, weights, vectors, neighbours, votes and calibration of the query, by plain Python over all labelled texts."""
+    docs = [(r.doc_id, r.text or "") for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    texts, labels = dict(docs), {r.doc_id: r.toxic for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    terms = lambda x: Counter(w[:5] for w in re.findall(r"[^\W\d_]+", x.lower()))
+    df = Counter(t for _, x in docs for t in terms(x))
+    same = {}
+    for i in sorted(i for i, y in labels.items() if y is not None and zlib.crc32(str(i).encode()) % 5):
+        same.setdefault((texts[i], labels[i]), i)
+    ids, ys = [*same.values()], np.array([y for _, y in same])
+    seen = [terms(texts[i]) for i in ids]
+    ones, p = int(ys.sum()), (ys.sum() + 1) / (len(ys) + 2)
+    by = [Counter(t for c, y in zip(seen, ys, strict=True) if y == k for t in c) for k in (0, 1)]
+
+    def weight(t):
+        a, c = by[1][t] + 2 * p, by[0][t] + 2 * (1 - p)
+        z = math.log(a / (ones + 2) / (c / (len(ys) - ones + 2))) / math.sqrt(1 / a + 1 / c)
+        return (math.log((1 + len(docs)) / (1 + df[t])) + 1) * (0.3 + max(z, 0) ** 2)
+
+    known = {t: weight(t) for t in by[0] | by[1]}
+
+    def vector(c):
+        v = {t: (1 + math.log(n)) * known[t] for t, n in c.items() if t in known}
+        size = math.sqrt(sum(x * x for x in v.values()))
+        return {t: x / size for t, x in v.items()}
+
+    vectors = [vector(c) for c in seen]
+
+    def vote(v, but=None):
+        cos = [sum(x * w.get(t, 0) for t, x in v.items()) if k != but else 0 for k, w in enumerate(vectors)]
+        near = sorted((k for k in range(len(cos)) if cos[k] > 0), key=lambda k: -cos[k])[:15]
+        w = [cos[k] ** 4 for k in near]
+        prior = (ones + 0.1) / (len(ys) + 2)
+        return (sum(x * ys[k] for x, k in zip(w, near, strict=True)) + 1e-6 * prior) / (sum(w) + 1e-6), sum(cos[k] for k in near)
+
+    slope, shift = toxicity.calibrated(np.array([vote(v, k)[0] for k, v in enumerate(vectors)]), ys.astype(float))
+    got = {r.doc_id: r for r in toxicity.score_documents(spark.read.parquet(f"{SF}/documents.parquet"), toxicity.fit_tables(spark.read.parquet(f"{SF}/documents.parquet"), SF)).collect()}
+    for i, x in docs[::9]:
+        v, total = vote(vector(terms(x)))
+        v = min(max(v, 1e-4), 1 - 1e-4)
+        assert math.isclose(got[i].score, 1 / (1 + math.exp(-(slope * math.log(v / (1 - v)) + shift))), abs_tol=1e-6)
+        assert math.isclose(sum(e.cosine for e in got[i].evidence), total, rel_tol=1e-6, abs_tol=1e-9)
 
 
 def test_held_out_accuracy(spark):
