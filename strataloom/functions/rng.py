@@ -6,9 +6,9 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def uniform(seed: int, *keys: Column | str) -> Column:
+def uniform(seed: int | Column, *keys: Column | str) -> Column:
     """A uniform number in [0, 1) of the seed and the keys: 52 bits of an MD5."""
-    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys])
+    text = F.concat_ws("|", seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed)), *[F.coalesce((F.col(k) if isinstance(k, str) else k).cast("string"), F.lit("")) for k in keys])
     return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("double") / float(1 << 52)
 
 

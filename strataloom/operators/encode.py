@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from strataloom.functions import values as V
 from strataloom.functions.rng import uniform
-from strataloom.operators.profile import ColumnProfile, Profile, code_name, number_label
+from strataloom.operators.profile import ColumnProfile, Profile, code_name, number_label, value_ranks
+from strataloom.operators.ranks import at_ranks
 
 #: Labels up to which a lookup is a literal map; longer vocabularies are joined.
 MAP_LABELS = 2000
@@ -35,36 +37,50 @@ def bin_code(v: Column, edges: list[float]) -> Column:
     return within(0, max(len(edges) - 1, 1)).cast("int")
 
 
-def column_codes(c: Column, p: ColumnProfile, seed: int = 0, row: Column | None = None) -> dict[str, Column]:
-    """The code of each sub-column of a value. Digits, dates and characters of a null are those of a value drawn within the bounds."""
+def fill_missing(df: DataFrame, column: str, row: str, seed: int = 0, name: str | None = None) -> DataFrame:
+    """df with `name` (the column itself if None): its values, and for nulls values drawn from those of the other rows, as often as they have them.
+
+    A row's draw is a hash of the seed, the column and its `row`: the rank of a value among all
+    sorted ones. Without any values nulls stay.
+    """
+    name = name or column
+    ranked, total = value_ranks(df, F.col(f"`{column}`"))
+    if not total:
+        return df.withColumn(name, F.col(f"`{column}`"))
+    c = F.col(f"`{column}`")
+    gone = c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
+    rank = F.least(F.floor(uniform(seed, F.lit(column), row) * total), F.lit(total - 1)).cast("long")
+    made = at_ranks(ranked, df.where(gone).select(F.col(row).alias("_row"), rank.alias("rank")).distinct(), total).select("_row", F.col("x").alias("_drawn"))
+    met = df.join(made, F.col(f"`{row}`") == F.col("_row"), "left")
+    return met.withColumn("_value", F.when(gone, F.col("_drawn")).otherwise(c)).drop("_row", "_drawn", *([name] if name in df.columns else [])).withColumnRenamed("_value", name)
+
+
+def column_codes(c: Column, p: ColumnProfile, gone: Column | None = None) -> dict[str, Column]:
+    """The code of each sub-column of a value. gone: whether the value stands in for a null."""
     if p.encoding == "categorical":
         return {"cat": _lookup(V.escape_tokens(V.to_text(c, p.kind)), p.labels, p.has_null)}
     if p.encoding == "character":
         text = c.cast("string")
-        out = {"nan": text.isNull().cast("int")} if "nan" in p.subs else {}
+        out = {"nan": (text.isNull() if gone is None else gone).cast("int")} if "nan" in p.subs else {}
         for i, chars in enumerate(p.chars):
             table = F.array(*[F.lit(ch) for ch in chars])
             out[f"P{i}"] = F.greatest(F.array_position(table, V.char_at(text, i)) - 1, F.lit(0)).cast("int") if chars else F.lit(0)
         return {k: F.coalesce(v, F.lit(0)) for k, v in out.items()}
     if p.encoding == "datetime":
         t = V.to_datetime(c) if p.kind == "string" else c.cast("timestamp")
-        out = {"nan": t.isNull().cast("int")} if "nan" in p.subs else {}
+        out = {"nan": (t.isNull() if gone is None else gone).cast("int")} if "nan" in p.subs else {}
         if p.bounds:
             lo, hi = (F.timestamp_micros(F.lit(b)) for b in p.bounds)
             t = V.clamp(t, lo, hi)
-            if row is not None:
-                t = F.coalesce(t, F.timestamp_micros((F.lit(p.bounds[0]) + uniform(seed, F.lit(p.name), row) * (p.bounds[1] - p.bounds[0])).cast("long")))
         parts = V.datetime_parts(t)
         return out | {k: F.greatest(F.least(parts[k] - p.low[k], F.lit(n - 1)), F.lit(0)).cast("int") for k, n in p.subs.items() if k != "nan"}
     v = V.to_number(c, p.kind)
     if p.encoding == "numeric_discrete":
         return {"cat": _lookup(number_label(v, p.min_decimal), p.labels, p.has_null)}
     if p.encoding == "numeric_digit":
-        out = {"nan": v.isNull().cast("int")} if "nan" in p.subs else {}
+        out = {"nan": (v.isNull() if gone is None else gone).cast("int")} if "nan" in p.subs else {}
         if p.bounds:
             v = V.clamp(v, F.lit(p.bounds[0]), F.lit(p.bounds[1]))
-            if row is not None:
-                v = F.coalesce(v, F.lit(p.bounds[0]) + uniform(seed, F.lit(p.name), row) * (p.bounds[1] - p.bounds[0]))
         if "neg" in p.subs:
             out["neg"] = F.coalesce((v < 0).cast("int"), F.lit(0))
         return out | {k: F.greatest(F.least(V.digit(v, int(k[1:])) - p.low[k], F.lit(n - 1)), F.lit(0)).cast("int") for k, n in p.subs.items() if k[0] == "E"}
@@ -76,15 +92,23 @@ def column_codes(c: Column, p: ColumnProfile, seed: int = 0, row: Column | None
 
 
 def encode_columns(df: DataFrame, profile: Profile, keep: tuple[str, ...] = (), seed: int = 0, row: str | None = None) -> DataFrame:
-    """df's columns in the profile as code columns, besides those to keep. Columns that the profile doesn't know are left out."""
+    """df's columns in the profile as code columns, besides those to keep. Columns that the profile doesn't know are left out.
+
+    row: a column that tells rows apart. With it, digits, dates and characters of a null are those
+    of a value drawn from the other rows (fill_missing); without it they are those of nothing.
+    """
     out = [F.col(f"`{k}`") for k in keep]
-    long = {}
+    long, gone = {}, {}
+    for name, p in profile.columns.items():
+        if row and name in df.columns and "nan" in p.subs:
+            gone[name] = F.col(f"_gone:{name}")
+            df = fill_missing(df.withColumn(f"_gone:{name}", F.col(f"`{name}`").isNull()), name, row, seed)
     for name, p in profile.columns.items():
         if name in df.columns:
             if p.encoding in ("categorical", "numeric_discrete") and len(p.labels) > MAP_LABELS:
                 long[name] = p
                 continue
-            codes = column_codes(F.col(f"`{name}`"), p, seed, F.col(row) if row else None)
+            codes = column_codes(F.col(f"`{name}`"), p, gone.get(name))
             out += [codes[s].alias(code_name(name, s)) for s in p.subs]
     if not long:
         return df.select(*out)

@@ -8,9 +8,10 @@ bounded by the profile, so these tables are too.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strataloom.config import Bias, Distribution, ModelConfig, Synthetic, check_scalars, merged, resolve_config
@@ -29,11 +30,11 @@ def pair_counts(codes: DataFrame, columns: list[str]) -> DataFrame:
     return codes.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").groupBy("i", "j", "a", "b").agg(F.count("*").alias("n"))
 
 
-def best_parents(pairs: DataFrame, columns: list[str]) -> dict[int, int]:
-    """For each column the earlier one with the highest mutual information, if it says anything."""
+def best_parents(pairs: DataFrame, columns: list[str], among: int | None = None) -> dict[int, int]:
+    """For each column the earlier one with the highest mutual information, if it says anything; among the first so many if given."""
     one = pairs.where("i = j").select(F.col("i").alias("c"), F.col("a").alias("v"), F.col("n").alias("m"))
     total = one.where("c = 0").agg(F.coalesce(F.sum("m"), F.lit(1))).first()[0]
-    two = pairs.where("i < j")
+    two = pairs.where("i < j") if among is None else pairs.where((F.col("i") < among) & (F.col("j") >= among))
     x = one.select(F.col("c").alias("i"), F.col("v").alias("a"), F.col("m").alias("na"))
     y = one.select(F.col("c").alias("j"), F.col("v").alias("b"), F.col("m").alias("nb"))
     n = F.col("n").cast("double")
@@ -88,8 +89,11 @@ class Model:
     config: ModelConfig
     status: str = "ready"
     key: str | None = None  # of sequences
+    order: tuple[str, ...] = ()  # of their steps
     lengths: DataFrame | None = None  # (n, many): sequence lengths, 0 for childless parents
     steps: DataFrame | None = None  # (column, prev, code, n): code by the step before
+    parents: Profile | None = None  # of the parents' columns that first steps depend on
+    starts: dict[str, tuple[str, DataFrame]] = field(default_factory=dict)  # by column: the parents' code column that says most about its first step, and (_p, code, n)
 
     def close(self) -> None:
         for df in (self.pairs, self.lengths, self.steps):
@@ -102,8 +106,11 @@ class Model:
             raise NotReadyError(f"the model is {self.status}")
 
 
-def fit(df: DataFrame, config: ModelConfig | dict | None = None, key: str | None = None, order: list[str] = (), parents: DataFrame | None = None, pk: str | None = None) -> Model:
-    """Profile and encode df, and count what sampling needs. key: the entity of sequential rows, in `order`; parents: all entities."""
+def fit(df: DataFrame, config: ModelConfig | dict | None = None, key: str | None = None, order: list[str] = (), parents: DataFrame | None = None, pk: str | None = None, context: list[str] = ()) -> Model:
+    """Profile and encode df, and count what sampling needs. key: the entity of sequential rows, in `order`; parents: all entities.
+
+    context: columns of the parents; a sequence's first step is drawn given the one that says most about it.
+    """
     config = resolve_config(config)
     features = [c for c in df.columns if c != key and c not in (order if key else ())] if key else df.columns
     profile = profile_table(df.select(*[F.col(f"`{c}`") for c in features]), {k: v for k, v in config.encoding_types.items() if k in features}, config.privacy, config.seed or 0)
@@ -111,10 +118,8 @@ def fit(df: DataFrame, config: ModelConfig | dict | None = None, key: str | None
     codes = encode_columns(df, profile, keep)
     columns = [code_name(p.name, s) for p in profile.columns.values() for s in p.subs]
     pairs = pair_counts(codes, columns).persist()
-    out = Model(profile, columns, pairs, df.count(), config, key=key)
+    out = Model(profile, columns, pairs, df.count(), config, key=key, order=tuple(order))
     if key:
-        from pyspark.sql import Window
-
         own = Window.partitionBy(key).orderBy(*order)
         moves = codes.select(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("code"), F.coalesce(F.lag(f"`{c}`").over(own), F.lit(-1)).alias("prev")).alias(f"m{i}") for i, c in enumerate(columns)])
         out.steps = moves.select(F.explode(F.array(*moves.columns)).alias("m")).select("m.*").groupBy("column", "prev", "code").agg(F.count("*").alias("n")).persist()
@@ -122,6 +127,15 @@ def fit(df: DataFrame, config: ModelConfig | dict | None = None, key: str | None
         if parents is not None:
             sizes = sizes.select("n").union(S.childless(parents, pk, df, key).select(F.lit(0).cast("long")))
         out.lengths = sizes.groupBy("n").agg(F.count("*").alias("many")).persist()
+        if context:
+            out.parents = profile_table(parents.select(*[F.col(f"`{c}`") for c in context]), {k: v for k, v in config.parent_encoding_types.items() if k in context}, config.privacy, config.seed or 0)
+            firsts = codes.withColumn("_at", F.row_number().over(own)).where("_at = 1").select(F.col(key).alias("_key"), *columns)
+            known = encode_columns(parents, out.parents, (pk,)).withColumnsRenamed({c: f"parent:{c}" for c in out.parents.cardinalities})
+            theirs = [f"parent:{c}" for c in out.parents.cardinalities]
+            both = pair_counts(firsts.join(known, F.col("_key") == F.col(pk)).select(*theirs, *columns), [*theirs, *columns]).persist()
+            for j, i in best_parents(both, [*theirs, *columns], len(theirs)).items():
+                if j >= len(theirs):
+                    out.starts[columns[j - len(theirs)]] = (theirs[i], both.where((F.col("i") == i) & (F.col("j") == j)).select(F.col("a").alias("_p"), F.col("b").alias("code"), "n"))
     return out
 
 
@@ -136,11 +150,14 @@ def _fixed_of(c: str, codes: DataFrame, draw: Column) -> Column:
     return F.when(F.col(f"`_f{c}`") >= 0, F.col(f"`_f{c}`")).otherwise(draw) if f"_f{c}" in codes.columns else draw
 
 
-def sample_codes(model: Model, rows: DataFrame, order: list[str], weights: C.Weights, seed: int, diversity: float = 1.0, cutoff: float = 1.0, bias: Bias | None = None) -> DataFrame:
-    """rows (row_id, and _f<column> for conditions) with a code for each column of the model, drawn in the order of features."""
+def sample_codes(model: Model, rows: DataFrame, order: list[str], weights: C.Weights, seed: int | Column, diversity: float = 1.0, cutoff: float = 1.0, bias: Bias | None = None) -> DataFrame:
+    """rows (row_id, and _f<column> for conditions) with a code for each column of the model, drawn in the order of features.
+
+    The target of a bias is drawn by its own shares, given no other column: any column may stand in
+    for a sensitive one. It comes last, so no column is drawn by it.
+    """
     index = {c: i for i, c in enumerate(model.columns)}
     ordered = [code_name(f, s) for f in order for s in model.profile.columns[f].subs]
-    barred = {code_name(b, "cat") for b in bias.sensitive} if bias else set()
     parents = best_parents(_in_order(model.pairs, [index[c] for c in ordered]), ordered)
     for at, c in enumerate(ordered):
         own = model.pairs.where((F.col("i") == index[c]) & (F.col("j") == index[c])).select(F.col("a").alias("code"), "n")
@@ -148,7 +165,7 @@ def sample_codes(model: Model, rows: DataFrame, order: list[str], weights: C.Wei
         u = uniform(seed, F.lit(c), "row_id")
         rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(alone), "_one", "left").drop("_one")
         p = parents.get(at)
-        if p is not None and not (bias and c == code_name(bias.target, "cat") and ordered[p] in barred):
+        if p is not None and not (bias and c == code_name(bias.target, "cat")):
             i, j = index[ordered[p]], index[c]
             a, b = ("a", "b") if i < j else ("b", "a")
             both = model.pairs.where((F.col("i") == min(i, j)) & (F.col("j") == max(i, j))).select(F.col(a).alias("_p"), F.col(b).alias("code"), "n")
@@ -169,9 +186,10 @@ def _in_order(pairs: DataFrame, at: list[int]) -> DataFrame:
     return rows.select(F.least("pi", "pj").alias("i"), F.greatest("pi", "pj").alias("j"), F.when(turn, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turn, F.col("a")).otherwise(F.col("b")).alias("b"), "n")
 
 
-def generate(spark: SparkSession, model: Model, n: int | None = None, preset: Synthetic | None = None, conditions: DataFrame | None = None, distribution: list[Distribution] | Distribution | None = None, bias: Bias | None = None, imputed: list[str] = (), **given: object) -> DataFrame:
+def generate(spark: SparkSession, model: Model, n: int | None = None, preset: Synthetic | None = None, conditions: DataFrame | None = None, distribution: list[Distribution] | Distribution | None = None, bias: Bias | None = None, imputed: list[str] = (), trials: int | None = None, **given: object) -> DataFrame:
     """New flat rows. conditions: one row per row to make, with `row_id` from 0; its values come back as they are.
 
+    trials: make every row so many times, told apart by `trial` from 0, which adds to the seed; all in one pass.
     given: seed, diversity, rare_cutoff, rare_strategy; they win over the preset.
     """
     model._ready()
@@ -189,29 +207,46 @@ def generate(spark: SparkSession, model: Model, n: int | None = None, preset: Sy
     else:
         codes = fixed_values(conditions.select("row_id", *named), profile, tuple(imputed), ("row_id",))
         rows = codes.select("row_id", *[F.col(f"`{c}`").alias(f"_f{c}") for c in codes.columns if c != "row_id"])
-    out = decode_columns(sample_codes(model, rows, order, weights, seed, want.diversity, want.rare_cutoff, bias), profile, rare, seed, "row_id", ("row_id",))
+    keys = ("row_id",)
+    if trials is not None:
+        rows, keys = rows.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))), ("row_id", "trial")
+        seed = F.lit(seed) + F.col("trial")
+    out = decode_columns(sample_codes(model, rows, order, weights, seed, want.diversity, want.rare_cutoff, bias), profile, rare, seed, "row_id", keys)
     if conditions is not None:
         given_cells = conditions.select(F.col("row_id").alias("_id"), *[F.col(f"`{c}`").alias(f"_c{c}") for c in named])
         met = out.join(given_cells, F.col("row_id") == F.col("_id"))
-        out = met.select("row_id", *[F.coalesce(F.col(f"`_c{c}`").cast(out.schema[c].dataType), F.col(f"`{c}`")).alias(c) if c in named and c in imputed else (F.col(f"`_c{c}`").alias(c) if c in named else F.col(f"`{c}`")) for c in profile.columns])
+        out = met.select(*keys, *[F.coalesce(F.col(f"`_c{c}`").cast(out.schema[c].dataType), F.col(f"`{c}`")).alias(c) if c in named and c in imputed else (F.col(f"`_c{c}`").alias(c) if c in named else F.col(f"`{c}`")) for c in profile.columns])
     return out
 
 
-def _move(seed: int, column: str, key: str):
+def _move(seed: int | Column, column: str, key: str, fixed: bool, start: bool):
     """A step of a fold: the path so far and the number of the step to the path with one more code."""
 
     def move(path: Column, i: Column) -> Column:
         before = F.when(F.size(path) > 0, F.element_at(path, -1)).otherwise(F.lit(-1))
-        return F.concat(path, F.array(drawn(uniform(seed, F.lit(column), key, i), F.coalesce(F.try_element_at(F.col("_moves"), before), F.col("_any")))))
+        cdf = F.coalesce(F.try_element_at(F.col("_moves"), before), F.col("_any"))
+        if start:
+            cdf = F.when(i == 1, F.coalesce(F.col("_start"), cdf)).otherwise(cdf)
+        code = drawn(uniform(seed, F.lit(column), key, i), cdf)
+        if fixed:
+            given = F.get(F.col(f"`_f{column}`"), i - 1)
+            code = F.when(given >= 0, given).otherwise(code)
+        return F.concat(path, F.array(code))
 
     return move
 
 
-def generate_sequences(spark: SparkSession, model: Model, parents: DataFrame | None = None, pk: str | None = None, n: int | None = None, preset: Synthetic | None = None, **given: object) -> DataFrame:
+def generate_sequences(
+    spark: SparkSession, model: Model, parents: DataFrame | None = None, pk: str | None = None, n: int | None = None, preset: Synthetic | None = None,
+    conditions: DataFrame | None = None, imputed: list[str] = (), trials: int | None = None, **given: object,
+) -> DataFrame:
     """New rows per entity: a length drawn for each, then each column step by step given the step before.
 
     Steps of one entity depend on each other, so a column's whole path is drawn in one row by a
-    fold over its steps. Entities are the parents, or n (100) numbered ones.
+    fold over its steps. Entities are the parents, or n (100) numbered ones. A first step is drawn
+    given the parents' columns if the model has any. conditions: rows of steps, by the model's key
+    and order; what they hold is not drawn, but null cells of `imputed` columns are. An entity has
+    at least as many steps as conditions, and with `trials` (see generate) just as many.
     """
     model._ready()
     if not model.key:
@@ -219,25 +254,49 @@ def generate_sequences(spark: SparkSession, model: Model, parents: DataFrame | N
     want = merged(preset, n=n, **given)
     seed = any_seed(want.seed if want.seed is not None else model.config.seed)
     rare = want.rare_strategy or model.config.privacy.rare_strategy
-    weights = C.rare_weights(model.profile, rare)
-    entities = parents.select(F.col(pk).alias(model.key)) if parents is not None else spark.range(want.n or model.config.n or 100).select(F.col("id").alias(model.key))
+    weights = C.merged_weights(C.rare_weights(model.profile, rare), C.imputation_weights(model.profile, list(imputed)))
+    keys = (model.key, "step")
+    rows = parents.select(F.col(pk).alias(model.key)) if parents is not None else spark.range(want.n or model.config.n or 100).select(F.col("id").alias(model.key))
+    fixed = []
+    if conditions is not None:
+        named = [c for c in conditions.columns if c in model.profile.columns]
+        codes = fixed_values(conditions.select(model.key, *model.order, *named), model.profile, tuple(imputed), (model.key, *model.order))
+        fixed = [c for c in codes.columns if c in model.columns]
+        known = S.sequential_conditions(codes, model.key, list(model.order), fixed, rows, model.key)
+        rows = known.select(model.key, *[F.col(f"`{c}`").alias(f"_f{c}") for c in fixed])
+        many = conditions.groupBy(F.col(model.key).alias("_key")).agg(F.count("*").cast("int").alias("_many"))
+        rows = rows.join(many, F.col(model.key) == F.col("_key"), "left").drop("_key").withColumn("_many", F.coalesce("_many", F.lit(0)))
+    starts = {}
+    if model.starts and parents is not None and set(model.parents.columns) <= set(parents.columns):
+        own = encode_columns(parents, model.parents, (pk,)).withColumnsRenamed({c: f"parent:{c}" for c in model.parents.cardinalities}).withColumnRenamed(pk, "_pk")
+        rows, starts = rows.join(own, F.col(model.key) == F.col("_pk"), "left").drop("_pk"), model.starts
+    if trials is not None:
+        rows, keys = rows.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))), (*keys, "trial")
+        seed = F.lit(seed) + F.col("trial")
     sizes = _cdf(model.lengths.select(F.lit(1).alias("_one"), F.col("n").alias("code"), F.col("many").alias("n")), ["_one"], {}, 1.0, 1.0)
-    rows = entities.withColumn("_one", F.lit(1)).join(F.broadcast(sizes), "_one").withColumn("_n", drawn(uniform(seed, F.lit("length"), model.key), F.col("cdf"))).drop("cdf")
+    rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(sizes), "_one").withColumn("_n", drawn(uniform(seed, F.lit("length"), model.key), F.col("cdf"))).drop("cdf")
+    if conditions is not None:
+        rows = rows.withColumn("_n", F.col("_many") if trials is not None else F.greatest("_n", "_many"))
     for c in model.columns:
         counts = model.steps.where(F.col("column") == c).select("prev", "code", "n")
         table = _cdf(counts, ["prev"], weights.get(c, {}), want.diversity, want.rare_cutoff)
         whole = _cdf(counts.groupBy("code").agg(F.sum("n").alias("n")).withColumn("_one", F.lit(1)), ["_one"], weights.get(c, {}), want.diversity, want.rare_cutoff).select("_one", F.col("cdf").alias("_any"))
         moves = table.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("prev", "cdf"))).alias("_moves")).withColumn("_one", F.lit(1))
         rows = rows.join(F.broadcast(moves), "_one").join(F.broadcast(whole), "_one")
+        if c in starts:
+            first = _cdf(starts[c][1], ["_p"], weights.get(c, {}), want.diversity, want.rare_cutoff).select("_p", F.col("cdf").alias("_start"))
+            rows = rows.join(first, F.col(f"`{starts[c][0]}`") == F.col("_p"), "left").drop("_p")
         steps = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n"))).otherwise(F.array().cast("array<int>"))
-
-        rows = rows.withColumn(c, F.aggregate(steps, F.array().cast("array<int>"), _move(seed, c, model.key))).drop("_moves", "_any")
-    flat = S.flattened(rows, model.key, F.col("_n"), model.columns).withColumn("row_id", F.concat_ws("|", F.col(model.key).cast("string"), "step"))
-    return decode_columns(flat, model.profile, rare, seed, "row_id", (model.key, "step"))
+        rows = rows.withColumn(c, F.aggregate(steps, F.array().cast("array<int>"), _move(seed, c, model.key, c in fixed, c in starts))).drop("_moves", "_any", "_start")
+    own = [k for k in keys if k != "step"]
+    flat = S.flattened(rows, own, F.col("_n"), model.columns).withColumn("row_id", F.concat_ws("|", F.col(model.key).cast("string"), "step"))
+    return decode_columns(flat, model.profile, rare, seed, "row_id", keys)
 
 
-def pick_cell(name: str, values: Column) -> Column:
-    """One value of many: the mode (ties to the smallest), mean or median. Nulls don't count."""
+def pick_cell(name: str | Callable[[Column], Column], values: Column) -> Column:
+    """One value of many: the mode (ties to the smallest), mean or median, or what a callable makes of the array of them. Nulls don't count."""
+    if callable(name):
+        return name(F.array_sort(F.collect_list(values)))
     if name == "mode":
         return F.mode(values, True)
     if name == "mean":
@@ -247,33 +306,78 @@ def pick_cell(name: str, values: Column) -> Column:
     raise InvalidRequestError(f"unknown pick {name!r}", "pick")
 
 
-def impute(spark: SparkSession, model: Model, df: DataFrame, row_id: str = "row_id", trials: int = 1, pick: str = "mode", columns: list[str] | None = None, **given: object) -> DataFrame:
-    """df with its null cells filled: `trials` draws per cell, of which `pick` takes one value; "all" gives one row per trial."""
+def impute(spark: SparkSession, model: Model, df: DataFrame, row_id: str = "row_id", trials: int = 1, pick: str | Callable[[Column], Column] = "mode", columns: list[str] | None = None, **given: object) -> DataFrame:
+    """df with its null cells filled: `trials` draws per cell, of which `pick` takes one value; "all" gives one row per trial.
+
+    A callable pick gets the sorted array of a cell's draws and returns a value. Of a sequential
+    model, df's rows are steps of its entities, in the model's order.
+    """
     if not isinstance(trials, int) or isinstance(trials, bool) or trials < 1:
         raise InvalidRequestError("trials must be 1 at least", "trials")
-    if pick not in ("mode", "mean", "median", "all"):
+    if not callable(pick) and pick not in ("mode", "mean", "median", "all"):
         raise InvalidRequestError(f"unknown pick {pick!r}", "pick")
     names = [c for c in (columns or null_columns(df.drop(row_id))) if c in model.profile.columns]
     seed = any_seed(given.pop("seed", None))
     conditions = df.withColumnRenamed(row_id, "row_id")
-    made = None
-    for t in range(trials):
-        one = generate(spark, model, conditions=conditions, imputed=names, seed=seed + t, **given).select("row_id", *names).withColumn("trial", F.lit(t))
-        made = one if made is None else made.unionByName(one)
+    if model.key:
+        made = _drawn_steps(spark, model, conditions, names, trials, seed, **given)
+    else:
+        made = generate(spark, model, conditions=conditions, imputed=names, seed=seed, trials=trials, **given).select("row_id", *names, "trial")
     if pick == "all":
         own = made.withColumnRenamed("row_id", "_id")
         met = conditions.join(own.select("_id", "trial", *[F.col(c).alias(f"_g{c}") for c in names]), conditions["row_id"] == F.col("_id"))
         return met.select("trial", *[F.coalesce(c, F.col(f"_g{c}").cast(df.schema[c].dataType)).alias(c) if c in names else F.col(c) for c in conditions.columns]).withColumnRenamed("row_id", row_id)
-    best = made.groupBy("row_id").agg(*[pick_cell(pick if pick == "mode" or isinstance(made.schema[c].dataType, _numbers()) else "mode", F.col(c)).alias(c) for c in names])
+    best = made.groupBy("row_id").agg(*[pick_cell(pick if callable(pick) or pick == "mode" or isinstance(made.schema[c].dataType, _numbers()) else "mode", F.col(c)).alias(c) for c in names])
     return S.restored(conditions, best, ["row_id"], names).withColumnRenamed("row_id", row_id)
 
 
+def _drawn_steps(spark: SparkSession, model: Model, rows: DataFrame, names: list[str], trials: int, seed: int, **given: object) -> DataFrame:
+    """(row_id, names, trial): the steps of sequences drawn given what they hold, one for each row."""
+    step = F.row_number().over(Window.partitionBy(model.key).orderBy(*model.order)) - 1
+    placed = rows.withColumn("_step", step.cast("int"))
+    made = generate_sequences(spark, model, rows.select(model.key).distinct(), model.key, conditions=rows, imputed=names, trials=trials, seed=seed, **given)
+    own = placed.select("row_id", F.col(model.key).alias("_key"), "_step")
+    return made.join(own, (F.col(model.key) == F.col("_key")) & (F.col("step") == F.col("_step"))).select("row_id", *names, "trial")
+
+
 def _numbers() -> type:
     from pyspark.sql.types import NumericType
 
     return NumericType
 
 
+def check_context(df: DataFrame, parent: DataFrame | None, parent_encoding_types: dict[str, str] | None = None, foreign_key: str | None = None, parent_key: str | None = None) -> str | None:
+    """The parent's key for a foreign key: the given one, or the column of the same name. Raises if what is given doesn't fit together."""
+    for name, value in (("parent_encoding_types", parent_encoding_types), ("parent_key", parent_key)):
+        if value is not None and parent is None:
+            raise InvalidRequestError(f"{name} needs a parent", name)
+    if foreign_key is not None and foreign_key not in df.columns:
+        raise InvalidRequestError(f"no column {foreign_key!r}", "foreign_key")
+    if parent is None or foreign_key is None:
+        return None
+    if parent_key is None and foreign_key not in parent.columns:
+        raise InvalidRequestError(f"the parent has no column {foreign_key!r}; name its key", "parent_key")
+    if parent_key is not None and parent_key not in parent.columns:
+        raise InvalidRequestError(f"the parent has no column {parent_key!r}", "parent_key")
+    return parent_key or foreign_key
+
+
+def with_context(df: DataFrame, parent: DataFrame, order: list[str], parent_order: list[str], foreign_key: str | None = None, parent_key: str | None = None) -> DataFrame:
+    """df with the parent's columns as parent:<name>: of the row at the same place in the orders, or of the row with the foreign key."""
+    pk = check_context(df, parent, None, foreign_key, parent_key)
+    if foreign_key is None:
+        renamed = parent.withColumnsRenamed({c: f"parent:{c}" for c in parent.columns})
+        return S.zipped(df, renamed, order, [f"parent:{c}" for c in parent_order])
+    own = parent.withColumnsRenamed({c: f"parent:{c}" for c in parent.columns if c != pk})
+    return S.with_parent(df, foreign_key, own, pk, [f"parent:{c}" for c in parent.columns if c != pk])
+
+
+def generate_with_context(spark: SparkSession, model: Model, parent: DataFrame, row_id: str, **given: object) -> DataFrame:
+    """New rows of a model of with_context() rows, one for each row of the parent (row_id from 0, and its columns): child columns drawn given the parent's."""
+    known = parent.select(F.col(row_id).alias("row_id"), *[F.col(f"`{c}`").alias(f"parent:{c}") for c in parent.columns if c != row_id])
+    return generate(spark, model, conditions=known, **given).drop(*[c for c in known.columns if c != "row_id"])
+
+
 def synthesize(spark: SparkSession, df: DataFrame, n: int | None = None, config: ModelConfig | dict | None = None, preset: Synthetic | None = None, **given: object) -> DataFrame:
     """Fit a model of df and generate rows from it; the scalars are checked before any work starts."""
     check_scalars(n, given.get("seed"), given.get("diversity", 1.0), given.get("rare_cutoff", 1.0), given.get("rare_strategy"))

@@ -5,21 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataloom.operators.ranks import cumulated
 
-def with_index(df: DataFrame, order: list[str], name: str = "index") -> DataFrame:
-    """df with a dense row number from 0 in the given order.
 
-    Rows are dealt by ranges of the first order column, numbered within each and moved by how many
-    come before, so no task holds all rows. The first order column must be a number.
-    """
-    spread = df.agg(F.min(order[0]).alias("lo"), F.max(order[0]).alias("hi")).first()
-    width = ((spread.hi - spread.lo) / 1024 or 1.0) if spread.lo is not None else 1.0
-    rows = df.withColumn("_cell", F.floor((F.col(order[0]) - F.lit(spread.lo)) / F.lit(width)))
-    cells = rows.groupBy("_cell").agg(F.count("*").alias("_many"))
-    ahead = F.coalesce(F.sum("_many").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.row_number().over(Window.partitionBy("_cell").orderBy(*order)) - 1
-    met = rows.withColumn("_inside", inside).join(cells.select(F.col("_cell").alias("_c"), ahead.alias("_ahead")), F.col("_cell").eqNullSafe(F.col("_c")))
-    return met.withColumn(name, (F.col("_ahead") + F.col("_inside")).cast("long")).drop("_cell", "_c", "_inside", "_ahead")
+def with_index(df: DataFrame, order: list[str], name: str = "index") -> DataFrame:
+    """df with a dense row number from 0 in the given order."""
+    return cumulated(df, order, F.lit(1), name).withColumn(name, F.col(name).cast("long"))
 
 
 def zipped(left: DataFrame, right: DataFrame, left_order: list[str], right_order: list[str]) -> DataFrame:
@@ -76,16 +67,25 @@ def padded(df: DataFrame, columns: list[str], fill: int = -1) -> DataFrame:
     return df.withColumns({c: F.concat(c, F.array_repeat(F.lit(fill).cast(df.schema[c].dataType.elementType), F.lit(most) - F.size(c))) for c in columns})
 
 
+def positional(values: Column, most: int, prefix: str) -> dict[str, Column]:
+    """Codes of positions from 0 to `most`: one column below 100, from there on a column per decimal digit, the highest first."""
+    if most < 100:
+        return {f"{prefix}cat": values.cast("int")}
+    digits = len(str(most))
+    return {f"{prefix}E{e}": (F.floor(values / 10**e) % 10).cast("int") for e in reversed(range(digits))}
+
+
 def lengths(ridx: Column) -> Column:
     """Length of an entity from its list of ridx: the first 0 ends it."""
     at = F.array_position(ridx, 0)
     return F.when(at > 0, at - 1).otherwise(F.size(ridx)).cast("int")
 
 
-def flattened(df: DataFrame, key: str, length: Column, columns: list[str]) -> DataFrame:
+def flattened(df: DataFrame, key: str | list[str], length: Column, columns: list[str]) -> DataFrame:
     """One row per step of each entity's lists, step from 0, up to its length."""
     packed = F.arrays_zip(*[F.col(c) for c in columns])
-    return df.select(key, F.posexplode(F.slice(packed, 1, length)).alias("step", "_s")).select(key, "step", *[F.col(f"_s.{c}") for c in columns])
+    keys = [key] if isinstance(key, str) else key
+    return df.select(*keys, F.posexplode(F.slice(packed, 1, length)).alias("step", "_s")).select(*keys, "step", *[F.col(f"_s.{c}") for c in columns])
 
 
 def with_parent(children: DataFrame, fk: str, parents: DataFrame, pk: str, columns: list[str]) -> DataFrame:
@@ -116,12 +116,21 @@ def restored(originals: DataFrame, generated: DataFrame, keys: list[str], column
 
 
 def train_split(df: DataFrame, key: list[str], share: float, seed: int = 0) -> DataFrame:
-    """df with `part`: "val" for max(1, round(share * n)) rows by the order of a hash, else "train"."""
+    """df with `part`: "val" for max(1, round(share * n)) rows by the order of a hash, else "train".
+
+    The cut is found from counts per range of the hash; only the rows of the range that holds it are sorted.
+    """
+    rows = df.withColumn("_h", F.xxhash64(F.lit(seed), *key))
     n = df.count()
     most = max(1, round(n * share)) if n > 1 else 0
-    rows = df.withColumn("_h", F.xxhash64(F.lit(seed), *key))
-    limit = rows.select("_h", *key).orderBy("_h", *key).limit(most).agg(F.max(F.struct("_h", *key))).first()[0] if most else None
-    if limit is None:
+    ranges = max(64, n // 10_000)
+    width = (1 << 64) // ranges + 1
+    at = F.floor((F.col("_h").cast("double") + float(1 << 63)) / float(width)).cast("long")  # never falls as _h grows
+    counts = rows.groupBy(at.alias("at")).agg(F.count("*").alias("n"))
+    ahead = F.coalesce(F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    cut = counts.withColumn("ahead", ahead).where((F.col("ahead") < most) & (F.col("ahead") + F.col("n") >= most)).first()
+    if cut is None:
         return rows.withColumn("part", F.lit("train")).drop("_h")
+    limit = rows.where(at == cut["at"]).select(F.struct("_h", *key).alias("k")).orderBy("k").limit(most - cut["ahead"]).agg(F.max("k")).first()[0]
     inside = F.struct("_h", *key) <= F.struct(*[F.lit(v).cast(t) for v, t in zip(limit, ["long", *[df.schema[k].dataType for k in key]], strict=True)])
     return rows.withColumn("part", F.when(inside, "val").otherwise("train")).drop("_h")

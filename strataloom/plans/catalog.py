@@ -159,6 +159,37 @@ def num_bins_encode(spark: SparkSession, d: str) -> DataFrame:
     return E.encode_columns(rows, p, ("l_orderkey", "l_linenumber"))
 
 
+@register(_PROBE.format(c="o_totalprice", t="orders", m=1000) + """, b AS (SELECT (SELECT o_totalprice FROM orders ORDER BY 1 LIMIT 1 OFFSET 5) AS lo, (SELECT o_totalprice FROM orders ORDER BY 1 DESC LIMIT 1 OFFSET 5) AS hi),
+q AS (SELECT row_number() OVER (ORDER BY i) - 1 AS pos, least(greatest(x, lo), hi) AS x FROM a JOIN r USING (k), b),
+g AS (SELECT i, 1001 * (i / 100.0) - 1.5 AS h FROM range(101) g(i)),
+e AS (SELECT DISTINCT x FROM q JOIN g ON pos = least(greatest(CASE WHEN h = floor(h) AND CAST(floor(h) AS BIGINT) % 2 <> 0 THEN floor(h) ELSE floor(h) + 1 END, 0), 1000)),
+c AS (SELECT o_orderkey, o_totalprice AS v, (SELECT count(*) FROM e WHERE x <= o_totalprice) AS below, (SELECT count(*) FROM e) AS m, lo, hi FROM orders, b)
+SELECT o_orderkey, CAST(CASE WHEN v = lo THEN 1 WHEN v = hi THEN 2 ELSE 3 + least(greatest(below - 1, 0), m - 2) END AS INTEGER) AS o_totalprice__bin FROM c""")
+def num_bins_many(spark: SparkSession, d: str) -> DataFrame:
+    """Bins of a column with many distinct values, by quantiles of quantiles."""
+    rows = _t(spark, d, "orders").select("o_orderkey", "o_totalprice")
+    return E.encode_columns(rows, P.profile_table(rows.select("o_totalprice"), {"o_totalprice": "numeric_binned"}, PINNED), ("o_orderkey",))
+
+
+@register(_HOLED + f""", s AS (SELECT o_totalprice AS x, row_number() OVER (ORDER BY o_totalprice) - 1 AS k, count(*) OVER () AS n FROM h WHERE o_totalprice IS NOT NULL),
+p AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice IS NULL THEN CAST(floor({_u(5, "'o_totalprice'", "o_orderkey")} * (SELECT max(n) FROM s)) AS BIGINT) END AS k FROM h)
+SELECT o_orderkey, coalesce(o_totalprice, x) AS o_totalprice FROM p LEFT JOIN s USING (k)""")
+def fill_missing(spark: SparkSession, d: str) -> DataFrame:
+    return E.fill_missing(_holed(spark, d).select("o_orderkey", "o_totalprice"), "o_totalprice", "o_orderkey", 5)
+
+
+@register(_HOLED + f""", s AS (SELECT o_totalprice AS x, row_number() OVER (ORDER BY o_totalprice) - 1 AS k, count(*) OVER () AS n FROM h WHERE o_totalprice IS NOT NULL),
+p AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice IS NULL THEN CAST(floor({_u(5, "'o_totalprice'", "o_orderkey")} * (SELECT max(n) FROM s)) AS BIGINT) END AS k FROM h),
+b AS (SELECT (SELECT o_totalprice FROM h WHERE o_totalprice IS NOT NULL ORDER BY 1 LIMIT 1 OFFSET 5) AS lo, (SELECT o_totalprice FROM h WHERE o_totalprice IS NOT NULL ORDER BY 1 DESC LIMIT 1 OFFSET 5) AS hi)
+SELECT o_orderkey, CAST(o_totalprice IS NULL AS INTEGER) AS gone, round(least(greatest(coalesce(o_totalprice, x), lo), hi), 2) AS o_totalprice FROM p LEFT JOIN s USING (k), b""")
+def num_digit_nulls(spark: SparkSession, d: str) -> DataFrame:
+    """Digits of nulls are those of values drawn from the other rows."""
+    rows = _holed(spark, d).select("o_orderkey", "o_totalprice")
+    p = P.profile_table(rows.select("o_totalprice"), {"o_totalprice": "numeric_digit"}, PINNED)
+    codes = E.encode_columns(rows, p, ("o_orderkey",), 5, "o_orderkey").withColumnRenamed("o_totalprice__nan", "gone").withColumn("o_totalprice__nan", F.lit(0))
+    return decode_columns(codes, p, row="o_orderkey", keep=("o_orderkey", "gone")).withColumn("o_totalprice", F.round("o_totalprice", 2))
+
+
 @register("SELECT count(*) AS n, CAST(0 AS BIGINT) AS outside FROM lineitem")
 def num_bins_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     rows, p = _bins(spark, d)
@@ -195,7 +226,14 @@ def num_log_hist(spark: SparkSession, d: str) -> DataFrame:
     return P.log_histogram(_t(spark, d, "customer"), F.col("c_acctbal"))
 
 
-@register()
+_DP = [1e-8 * 10**k for k in range(6)]
+
+
+@register("""WITH h AS (SELECT CAST(CASE WHEN x >= 1 THEN 65 + floor(log2(x)) WHEN x >= 0 THEN 64 ELSE 63 END AS INTEGER) AS bucket, count(*) AS n FROM (SELECT o_totalprice AS x FROM orders) GROUP BY 1),
+b AS (SELECT CAST(i AS INTEGER) AS bucket FROM range(128) g(i)), """ + f"""n AS (SELECT bucket, coalesce(n, 0) - 1.0 * sign({_u(11, 'bucket')} - 0.5) * ln(greatest(1 - 2 * abs({_u(11, 'bucket')} - 0.5), 1e-300)) AS n FROM b LEFT JOIN h USING (bucket)),
+k AS (SELECT * FROM (VALUES {', '.join(f'({i}, CAST(-ln(2 - 2 * pow(CAST({1 - c!r} AS DOUBLE), 1 / 127.0::DOUBLE)) AS DOUBLE))' for i, c in enumerate(_DP))}) v(i, least)),
+o AS (SELECT i, min(bucket) AS lo, max(bucket) AS hi FROM n JOIN k ON n > least GROUP BY i ORDER BY i LIMIT 1)
+SELECT pow(2.0, lo - 65) AS low, pow(2.0, hi - 64) AS high FROM o""")
 def dp_bounds(spark: SparkSession, d: str) -> DataFrame:
     return spark.createDataFrame([P.dp_bounds(_t(spark, d, "orders"), F.col("o_totalprice"), 1.0, 11)], "low double, high double")
 
@@ -370,21 +408,20 @@ def seq_padded(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("o_custkey", F.concat_ws(",", F.transform("o_orderkey", lambda x: x.cast("string"))).alias("keys"))
 
 
-@register("SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS step, o_orderkey FROM orders QUALIFY step < 7")
+@register("SELECT o_custkey, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) - 1 AS INTEGER) AS step, o_orderkey FROM orders")
 def seq_flatten(spark: SparkSession, d: str) -> DataFrame:
     rows = S.lists(_t(spark, d, "orders"), "o_custkey", ["o_orderdate", "o_orderkey"], ["o_orderkey"])
-    # ridx of an entity that the model ended after 7 steps at most
-    ridx = F.transform("o_orderkey", lambda x, i: F.least(F.size("o_orderkey"), F.lit(7)) - i)
+    ridx = F.transform("o_orderkey", lambda x, i: F.size("o_orderkey") - i)
     return S.flattened(rows.withColumn("ridx", ridx), "o_custkey", S.lengths(F.col("ridx")), ["o_orderkey"])
 
 
-@register("""WITH c AS (SELECT o_custkey, CAST(coalesce(code, 0) AS VARCHAR) AS x, o_orderkey FROM orders LEFT JOIN (SELECT value, row_number() OVER (ORDER BY value) AS code FROM (SELECT o_orderpriority AS value FROM orders GROUP BY 1 HAVING count(*) >= 5)) ON value = o_orderpriority WHERE o_custkey % 2 = 0),
+@register("""WITH c AS (SELECT o_custkey, CAST(coalesce(code, 0) AS VARCHAR) AS x, o_orderkey FROM orders LEFT JOIN (SELECT value, row_number() OVER (ORDER BY value) AS code FROM (SELECT o_orderpriority AS value FROM orders GROUP BY 1 HAVING count(*) >= 5)) ON value = o_orderpriority WHERE o_orderpriority >= '4'),
 s AS (SELECT o_custkey, string_agg(x, ',' ORDER BY o_orderkey) AS codes, count(*) AS n FROM c GROUP BY 1)
 SELECT c_custkey AS o_custkey, trim(coalesce(codes, '') || repeat(',-1', CAST((SELECT max(n) FROM s) - coalesce(n, 0) AS BIGINT)), ',') AS codes FROM customer LEFT JOIN s ON c_custkey = o_custkey""")
 def seq_conditions(spark: SparkSession, d: str) -> DataFrame:
     rows = _t(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderpriority")
     p = P.profile_table(rows.select("o_orderpriority"), privacy=PINNED)
-    codes = E.fixed_values(rows.where("o_custkey % 2 = 0"), p, keep=("o_custkey", "o_orderkey"))
+    codes = E.fixed_values(rows.where("o_orderpriority >= '4'"), p, keep=("o_custkey", "o_orderkey"))
     out = S.sequential_conditions(codes, "o_custkey", ["o_orderkey"], ["o_orderpriority__cat"], _t(spark, d, "customer"), "c_custkey")
     return out.select("o_custkey", F.concat_ws(",", F.transform("o_orderpriority__cat", lambda x: x.cast("string"))).alias("codes"))
 
@@ -491,6 +528,51 @@ def bias_parity(spark: SparkSession, d: str) -> DataFrame:
     return M.generate(spark, _nation_model(spark, d), 1000, bias=Bias("t", ("g",)), seed=9)
 
 
+_PROXY = """WITH c AS (SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS g, CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 20 > 0 THEN 'yes' ELSE 'no' END AS h,
+  CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 20 > 0 AND c_acctbal > 0 THEN 'rich' ELSE 'poor' END AS t FROM customer)"""
+
+
+@register(f"""{_PROXY}, p AS (SELECT t AS value, sum(count(*)) OVER (ORDER BY t) / (SELECT count(*) FROM c)::DOUBLE AS cum FROM c GROUP BY t), {_ROWS}
+SELECT i AS row_id, (SELECT min_by(value, cum) FROM p WHERE cum > {_u(9, "'t__cat'", "i")}) AS t FROM rows""")
+def bias_proxy(spark: SparkSession, d: str) -> DataFrame:
+    """The target stays independent of a sensitive column when a third one nearly repeats it."""
+    even = F.col("c_nationkey") % 2 == 0
+    yes = even & (F.col("c_custkey") % 20 > 0)
+    rows = _t(spark, d, "customer").select(F.when(even, "even").otherwise("odd").alias("g"), F.when(yes, "yes").otherwise("no").alias("h"), F.when(yes & (F.col("c_acctbal") > 0), "rich").otherwise("poor").alias("t"))
+    return M.generate(spark, M.fit(rows, {"privacy": PINNED}), 1000, bias=Bias("t", ("g",)), seed=9).select("row_id", "t")
+
+
+@register(f"""WITH c AS (SELECT c_custkey, c_mktsegment AS s, n_regionkey AS r FROM customer JOIN nation ON c_nationkey = n_nationkey),
+p AS (SELECT r, s, sum(count(*)) OVER (PARTITION BY r ORDER BY s) / sum(count(*)) OVER (PARTITION BY r)::DOUBLE AS cum FROM c GROUP BY r, s)
+SELECT c_custkey AS row_id, (SELECT min_by(s, cum) FROM p WHERE p.r = c.r AND cum > {_u(9, "'c_mktsegment__cat'", "c_custkey")}) AS c_mktsegment FROM c""")
+def sample_context(spark: SparkSession, d: str) -> DataFrame:
+    """New child rows drawn given their parents' columns."""
+    nation = _t(spark, d, "nation").select("n_nationkey", F.col("n_regionkey").cast("string").alias("region"))
+    child = _t(spark, d, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    both = M.with_context(child, nation, [], [], "c_nationkey", "n_nationkey")
+    model = M.fit(both.drop("c_custkey", "c_nationkey"), {"privacy": Privacy(threshold=1), "encoding_types": {"parent:region": "categorical", "c_mktsegment": "categorical"}})
+    return M.generate_with_context(spark, model, both.select(F.col("c_custkey").alias("row_id"), F.col("`parent:region`").alias("region")), "row_id", seed=9)
+
+
+_PATHS = f"""e AS (SELECT user_id, event_type AS c, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+m AS (SELECT coalesce(b.c, '') AS prev, a.c AS c, count(*) AS n FROM e a LEFT JOIN e b ON a.user_id = b.user_id AND a.pos = b.pos + 1 GROUP BY 1, 2),
+cdf AS (SELECT prev, c, sum(n) OVER (PARTITION BY prev ORDER BY c) / sum(n) OVER (PARTITION BY prev)::DOUBLE AS cum FROM m),
+z AS (SELECT n, sum(count(*)) OVER (ORDER BY n) / (SELECT count(DISTINCT user_id) FROM events)::DOUBLE AS cum FROM (SELECT count(*) AS n FROM events GROUP BY user_id) GROUP BY n),
+f AS (SELECT user_id, event_type AS given, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events WHERE event_type = 'purchase'),
+l AS (SELECT user_id, greatest((SELECT min_by(n, cum) FROM z WHERE cum > {_u(6, "'length'", "user_id")}), (SELECT count(*) FROM f WHERE f.user_id = u.user_id)) AS n FROM (SELECT DISTINCT user_id FROM events) u),
+g AS (SELECT user_id, pos, given, {_u(6, "'event_type__cat'", "user_id", "pos")} AS u FROM l JOIN (SELECT unnest(range(1, (SELECT max(n) + 1 FROM l))) AS pos) ON pos <= n LEFT JOIN f USING (user_id, pos)),
+paths AS (SELECT user_id, CAST(0 AS BIGINT) AS pos, '' AS c FROM l UNION ALL
+  SELECT g.user_id, CAST(g.pos AS BIGINT), coalesce(g.given, (SELECT min_by(cdf.c, cdf.cum) FROM cdf WHERE cdf.prev = paths.c AND cdf.cum > g.u)) FROM paths JOIN g ON g.user_id = paths.user_id AND g.pos = paths.pos + 1)"""
+
+
+@register(f"WITH RECURSIVE {_PATHS} SELECT user_id, CAST(pos - 1 AS INTEGER) AS step, c AS event_type FROM paths WHERE pos > 0")
+def sample_sequence_fixed(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences whose first steps are given: a user's purchases."""
+    rows = _t(spark, d, "events").select("user_id", "ts", "event_id", "event_type")
+    model = M.fit(rows, {"privacy": PINNED}, "user_id", ["ts", "event_id"])
+    return M.generate_sequences(spark, model, rows.select("user_id").distinct(), "user_id", conditions=rows.where("event_type = 'purchase'"), seed=6)
+
+
 @register(f"""WITH c AS (SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS g, CASE WHEN c_nationkey % 2 = 0 AND c_acctbal > 0 THEN 'rich' ELSE 'poor' END AS t FROM customer),
 pg AS (SELECT g AS value, sum(count(*)) OVER (ORDER BY g) / (SELECT count(*) FROM c)::DOUBLE AS cum FROM c GROUP BY g),
 pt AS (SELECT g, t AS value, sum(count(*)) OVER (PARTITION BY g ORDER BY t) / sum(count(*)) OVER (PARTITION BY g)::DOUBLE AS cum FROM c GROUP BY g, t), {_ROWS},

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import base64
 import json
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,3 +56,23 @@ def embedding_to_json(c: Column) -> Column:
 
 def embedding_from_json(c: Column) -> Column:
     return F.from_json(c, "array<float>")
+
+
+def embedding_to_base64(c: Column) -> Column:
+    """An array of floats as base64 of its 32-bit little-endian floats; a null component becomes NaN."""
+
+    @F.pandas_udf("string")
+    def coded(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: None if x is None else base64.b64encode(np.asarray(x, "<f4").tobytes()).decode())
+
+    return coded(c)
+
+
+def embedding_from_base64(c: Column) -> Column:
+    """What embedding_to_base64 wrote; null for null."""
+
+    @F.pandas_udf("array<float>")
+    def read(v: pd.Series) -> pd.Series:
+        return v.map(lambda x: None if x is None else np.frombuffer(base64.b64decode(x), "<f4"))
+
+    return read(c)
