@@ -10,12 +10,16 @@ from pyspark.sql import functions as F
 
 #: Regular expression of one word: a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Spark's setting by which a query's shuffle files go when it ends; on while a table is written.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own in a local test."""
+    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only in local mode, as in tests."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = f"file://{tempfile.mkdtemp(prefix='strataloom-')}"
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base}/strataloom-{spark.sparkContext.applicationId}"
@@ -25,8 +29,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    spark._jvm.System.gc()  # lets Spark's cleaner delete the shuffle files of what is written now
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
     out = spark.read.schema(df.schema).parquet(path)
     out._stored_at = path
     return out

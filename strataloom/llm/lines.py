@@ -3,46 +3,57 @@
 A line is the set of its words, ordered by rarity: by the magnitude of a count over all documents,
 kept for WORD_CLASSES classes of words, then by hash. Two sets with a Jaccard similarity of t or
 more share a word among the first of each in that order (prefix filter). Length, position and a
-bitmap of each set's rarest words thin the candidates, whose words are then compared. Equal sets are one
-before the join, so copies of a line add no pairs.
+parity sketch of the whole set thin the candidates, whose words are then compared. Equal sets are
+one before the join, so copies of a line add no pairs.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import forget, stored
+from strataloom.llm.common import WORD, forget, stored
 
-#: Classes of words, by hash, that are counted: bounds the table that every task sees.
-WORD_CLASSES = 1 << 17
-#: Words of classes of this magnitude are dealt to SALTS tasks in the first round.
-FREQUENT, SALTS = 14, 64
-#: Columns of 64 bits each, a bitmap of a set's SEEN rarest words, or of its prefix if that is longer.
-BITMAP, SEEN = ("b0", "b1", "b2", "b3"), 32
-#: The `last` of a set whose words are all in its bitmap.
-ALL = (1 << 31) - 1
+#: Classes of words, by hash, that are counted: bounds the table that every task sees, a byte a class.
+WORD_CLASSES = 1 << 20
+#: How many of its rarest words a set meets other sets by first, and how many of those sets for each.
+RAREST, MET = 4, 2
+#: Sets of a word of this magnitude or more are dealt to tasks of about 2^FREQUENT rows when they meet a few, and stand apart by size when they meet all.
+FREQUENT = 14
+#: Sets of fewer words have a sketch of 64 bits, others of 128.
+SHORT = 80
 #: The words of prefixes are shuffled and joined in so many turns: bounds the disk that the join takes.
 TURNS = 4
 #: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
 MARKS = 1 << 26
 
 
-def _words(c: Column) -> Column:
-    """Lower-case words of a line, repeats included; empty strings stand between doubled blanks."""
-    c, other = F.lower(c), "[\t\x0b\x0c\r]"
-    return F.split(F.when(c.rlike(other), F.regexp_replace(c, other, " ")).otherwise(c), " ")
+def _lowered(docs: DataFrame) -> DataFrame:
+    """doc_id, th (hash of the text), low: the text in lower case, its white space but line ends as blanks."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("th"), F.lower(text).alias("low"))
+    other = reduce(Column.__or__, [F.contains("low", F.lit(c)) for c in "\t\x0b\x0c\r"])
+    return rows.withColumn("low", F.when(other, F.translate("low", "\t\x0b\x0c\r", "    ")).otherwise(F.col("low")))
+
+
+def _hashes(line: str) -> Column:
+    """64-bit hashes of the words of a lowered line, each once."""
+    return F.array_remove(F.array_distinct(F.transform(F.split(line, " "), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
 
 
 def magnitudes(docs: DataFrame) -> bytes:
     """For each class of words the base-2 magnitude of its count over all documents, and 1: WORD_CLASSES bytes."""
-    words = docs.select(F.explode(_words(F.replace(F.col("text").cast("string"), F.lit("\n"), F.lit(" ")))).alias("w")).where("w <> ''")
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(WORD_CLASSES - 1).alias("class")).count()
+    words = _lowered(docs).select(F.explode(F.split(F.replace("low", F.lit("\n"), F.lit(" ")), " ")).alias("w"))
+    counts = words.groupBy(F.when(F.col("w") != "", F.xxhash64("w").bitwiseAND(WORD_CLASSES - 1)).alias("class")).count().where("class is not null")
+    # the classes of a part, 4,096 or fewer, come to the driver as one row
+    parts = counts.groupBy(F.shiftright("class", 12).alias("part")).agg(F.collect_list(F.struct(F.col("class").bitwiseAND(4095).cast("int").alias("at"), (1 + F.least(F.floor(F.log2("count")), F.lit(60))).cast("int").alias("m"))).alias("own"))
     out = bytearray(b"\1" * WORD_CLASSES)
-    for r in counts.select("class", F.least(F.floor(F.log2("count")), F.lit(60)).alias("m")).collect():
-        out[r["class"]] = 1 + r.m
+    for r in parts.select("part", F.col("own.at").alias("at"), F.col("own.m").alias("m")).toLocalIterator():
+        for i, m in zip(r.at, r.m, strict=True):
+            out[(r.part << 12) + i] = m
     return bytes(out)
 
 
@@ -52,7 +63,7 @@ def shares(n: Column, percent: int) -> tuple[Column, Column]:
 
 
 def line_sets(docs: DataFrame, magnitude: bytes, percent: int) -> DataFrame:
-    """A row per line with words: doc_id, th (hash of the text), line, s1, s2 (name of its set), n, prefix (its rarest words), last (of its bitmap), b0 to b3 (its bitmap).
+    """A row per line with words: doc_id, th, line, s1, s2 (name of its set), n, prefix (its rarest words), whole, odd (its parity sketch: of all words, and of the odd half of them in sets of SHORT words or more).
 
     A word is a number that sorts by rarity: the magnitude of its class, then 57 bits of its hash.
     """
@@ -62,89 +73,95 @@ def line_sets(docs: DataFrame, magnitude: bytes, percent: int) -> DataFrame:
         m = F.ascii(F.substring(table, h.bitwiseAND(WORD_CLASSES - 1).cast("int") + 1, F.lit(1)).cast("string"))
         return F.shiftleft(m.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.col("text").cast("string")).alias("th"), F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("line", "text"))
-    hashes = F.array_remove(F.array_distinct(F.transform(_words(F.col("text")), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
-    rows = rows.select("doc_id", "th", "line", F.sort_array(F.transform(hashes, word)).alias("words")).where(F.size("words") > 0)
-    n = F.size("words")
-    rows = rows.select("doc_id", "th", "line", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(7), "words").alias("s2"), n.alias("n"), F.slice("words", 1, F.when(n > 1, shares(n, percent)[0]).otherwise(0).cast("int")).alias("prefix"), F.slice("words", 1, F.greatest(F.lit(SEEN), shares(n, percent)[0]).cast("int")).alias("seen"))
-    last = F.when(F.size("seen") == F.col("n"), ALL).otherwise(F.shiftright(F.element_at("seen", -1), 32).cast("int"))
-    return rows.select("doc_id", "th", "line", "s1", "s2", "n", "prefix", last.alias("last"), *[_bits(F.col("seen"), i).alias(k) for i, k in enumerate(BITMAP)])
+    def parity(bit: Callable[[Column], Column]) -> Column:
+        return F.aggregate("words", F.lit(0).cast("long"), lambda acc, w: acc.bitwiseXOR(F.call_function("shiftleft", bit(w), w.bitwiseAND(63).cast("int"))))
 
+    lines = _lowered(docs).select("doc_id", "th", F.posexplode(F.split("low", "\n")).alias("line", "low")).where(F.length(F.trim("low")) > 0)
+    rows = lines.select("doc_id", "th", "line", _hashes("low").alias("hashes"))
+    rows = rows.select("doc_id", "th", "line", F.sort_array(F.transform("hashes", word)).alias("words"))
+    n, whole = F.size("words"), parity(lambda w: F.lit(1).cast("long"))
+    odd = F.when(n >= SHORT, parity(lambda w: F.shiftright(w, 6).bitwiseAND(1))).otherwise(F.lit(0).cast("long"))
+    rows = rows.select("doc_id", "th", "line", F.xxhash64("words").alias("s1"), F.xxhash64(F.lit(7), "words").alias("s2"), n.alias("n"), F.slice("words", 1, F.when(n > 1, shares(n, percent)[0]).otherwise(0).cast("int")).alias("prefix"), whole.alias("whole"), odd.alias("odd"))
+    return rows.select("doc_id", "th", "line", "s1", "s2", "n", "prefix", "whole", "odd")
 
-def _bits(words: Column, part: int) -> Column:
-    """64 of 256 bits, each set if a word hashes to it."""
-    other = lambda t: F.shiftright(t, 6).bitwiseAND(3).bitwiseXOR(part)
-    own = lambda t: F.shiftrightunsigned(other(t) - 1, 63)
-    return F.aggregate(words, F.lit(0).cast("long"), lambda acc, t: acc.bitwiseOR(F.call_function("shiftleft", own(t), t.bitwiseAND(63).cast("int"))))
 
-
-def prefix_rows(sets: DataFrame, percent: int, turn: int) -> DataFrame:
-    """A row per set and word of its prefix, of the words of one turn: word, heavy, age, top (age if chosen, else -1), n, place, short (can meet a set as long or longer), last, b0 to b3 (of line_sets)."""
-    n = F.col("n")
-    rows = sets.where("n > 1").select("age", "top", "n", "last", *BITMAP, F.posexplode("prefix").alias("place", "w"))
-    rows = rows.where(F.col("w").bitwiseAND(TURNS - 1) == turn)
-    return rows.select(F.hash("w").alias("word"), (F.shiftright("w", 57) > FREQUENT).alias("heavy"), "age", "top", "n", "place", (F.col("place") < shares(n, percent)[1]).alias("short"), "last", *BITMAP)
+def prefix_rows(sets: DataFrame) -> DataFrame:
+    """A row per set and word of its prefix: word, age, at (size, place, and 1 if chosen, in one number), whole, odd. sets: age, n, prefix, whole, odd, chosen (0 or 1)."""
+    rows = sets.where("n > 1").select("age", "n", "chosen", "whole", "odd", F.posexplode("prefix").alias("place", "word"))
+    at = F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.shiftleft(F.col("place").cast("long"), 1)).bitwiseOR(F.col("chosen").cast("long"))
+    return rows.select("word", "age", at.alias("at"), "whole", "odd")
 
 
 def near(x: str, y: str, percent: int) -> Column:
-    """Whether rows x and y of one word can be of similar sets: length, position, and words that the other set lacks, up to the lower of the bitmaps' last words."""
+    """Whether rows x and y of one word can be of similar sets: by length, position, and how far their sketches differ."""
     c = lambda side, name: F.col(f"{side}.{name}")
-    nx, ny = c(x, "n"), c(y, "n")
+    n = lambda side: F.shiftright(c(side, "at"), 32)
+    place = lambda side: F.shiftright(c(side, "at"), 1).bitwiseAND((1 << 31) - 1)
+    nx, ny, px, py = n(x), n(y), place(x), place(y)
     both = F.floor((percent * (nx + ny) + 99 + percent) / (100 + percent))
-    most = F.least(c(x, "place"), c(y, "place")) + F.least(nx - c(x, "place"), ny - c(y, "place"))
+    most = F.least(px, py) + F.least(nx - px, ny - py)
+    odd, whole = c(x, "odd").bitwiseXOR(c(y, "odd")), c(x, "whole").bitwiseXOR(c(y, "whole"))
+    # a bit that differs stands for a word that one set lacks; of two long sets, the odd and the other words have 64 bits each
+    apart = F.when((nx >= SHORT) & (ny >= SHORT), F.bit_count(odd) + F.bit_count(whole.bitwiseXOR(odd))).otherwise(F.bit_count(whole))
+    short = F.when(nx <= ny, px < shares(nx, percent)[1]).otherwise(py < shares(ny, percent)[1])
+    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & (apart <= nx + ny - 2 * both) & (most >= both) & short
 
-    def lacks(a: str, b: str) -> Column:
-        return sum((F.bit_count(c(a, k).bitwiseAND(F.bitwise_not(c(b, k)))) for k in BITMAP), F.lit(0)) <= c(a, "n") - both
 
-    return (F.least(nx, ny) * 100 >= F.greatest(nx, ny) * percent) & F.when(nx <= ny, c(x, "short")).otherwise(c(y, "short")) & (most >= both) & F.when(c(x, "last") < c(y, "last"), lacks(x, y)).when(c(x, "last") > c(y, "last"), lacks(y, x)).when(c(x, "last") == ALL, lacks(x, y) & lacks(y, x)).otherwise(lacks(x, y) | lacks(y, x))
+def _magnitude(word: Column) -> Column:
+    return F.shiftright(word, 57)
 
 
-def first_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier): each set with the earliest sets of its words (of a share of them, for frequent words), where they can be similar.
+def first_candidates(sets: DataFrame, percent: int) -> DataFrame:
+    """(later, earlier): each set with the MET sets before it in a shuffled order of those with each of its RAREST words, where they can be similar.
 
-    One pair per row at most, so a group of near copies adds pairs as it grows, not as its square.
+    A bounded number of pairs per set, so a group of near copies adds pairs as it grows, not as its
+    square. The order differs from word to word, so a set meets different members of its group.
     """
-    names = [k for k in rows.columns if k not in ("word", "heavy", "top")]
-    salt = F.when(F.col("heavy"), F.pmod("age", F.lit(SALTS))).otherwise(0)
-    met = rows.select(F.struct(*names).alias("x"), F.first(F.struct(*names)).over(Window.partitionBy("word", salt).orderBy("age")).alias("y"))
-    return met.where(F.col("x.age") > F.col("y.age")).where(near("x", "y", percent)).select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
+    rows = prefix_rows(sets.withColumn("prefix", F.slice("prefix", 1, RAREST)))
+    names = [k for k in rows.columns if k != "word"]
+    salts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.lit(0), _magnitude(F.col("word")) - FREQUENT).cast("int"))
+    rows = rows.withColumn("draw", F.xxhash64("age", "word"))
+    order = Window.partitionBy("word", F.pmod("draw", salts)).orderBy("draw")
+    met = rows.select(F.struct(*names).alias("x"), *[F.lag(F.struct(*names), i + 1).over(order).alias(f"y{i}") for i in range(MET)])
+    met = met.where("y0 is not null").select("x", F.explode(F.array(*[f"y{i}" for i in range(MET)])).alias("y")).where(near("x", "y", percent))
+    return met.select(F.greatest("x.age", "y.age").alias("later"), F.least("x.age", "y.age").alias("earlier"))
 
 
 def all_candidates(rows: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier): each chosen set with all sets before it that can be similar. Both sides have the same columns and read one shuffle."""
-    x, y = F.col("x.top") > F.col("y.age"), F.col("y.top") < F.col("x.age")
-    met = rows.alias("x").join(rows.alias("y"), (F.col("x.word") == F.col("y.word")) & x & y & near("x", "y", percent))
-    return met.select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
+    """(later, earlier): each chosen set with all sets before it that can be similar. Both sides have the same columns and read one shuffle.
 
-
-def in_turns(candidates, sets: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier), stored: the candidates of all turns, once each."""
-    found = [stored(candidates(prefix_rows(sets, percent, k), percent).distinct(), "found") for k in range(TURNS)]
-    out = stored(reduce(DataFrame.union, found).distinct(), "candidates")
-    for t in found:
-        forget(t)
-    return out
+    The sets of a frequent word stand in bands of sizes. Sets that can be similar are of one band or
+    of neighbouring ones; each stands in its own and the next, and they meet in the upper one of their own.
+    """
+    own = F.floor(F.log(F.shiftright("at", 32).cast("double")) / F.log(F.lit(100 / percent))).cast("int")
+    rows = rows.withColumn("own", F.when(_magnitude(F.col("word")) >= FREQUENT, own).otherwise(-1))
+    rows = rows.withColumn("band", F.explode(F.when(F.col("own") < 0, F.array(F.lit(-1))).otherwise(F.array("own", F.col("own") + 1))))
+    same = (F.col("x.word") == F.col("y.word")) & (F.col("x.band") == F.col("y.band")) & (F.col("x.band") == F.greatest("x.own", "y.own"))
+    met = rows.alias("x").join(rows.alias("y"), same & (F.col("x.age") > F.col("y.age")) & (F.col("x.at").bitwiseAND(1) == 1) & near("x", "y", percent))
+    return met.select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
 
 
 def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
-    """docs with `_marked`: false only for texts whose hash isn't in keys (th). Reads a bitmap of MARKS bits, 4 KB a row."""
+    """(row, marked): the columns of docs as one struct, and false only for texts whose hash isn't in keys (th). Reads a bitmap of MARKS bits, 4 KB a row."""
     bit = lambda c: F.pmod(c, F.lit(MARKS))
-    maps = keys.select(bit(F.col("th")).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("_bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("_bits"))
-    at = F.bitmap_bit_position(bit(th))
-    byte = F.conv(F.hex(F.substring(F.col("_bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    met = docs.join(F.broadcast(maps), F.bitmap_bucket_number(bit(th)) == F.col("_bucket"), "left")
-    return met.withColumn("_marked", F.coalesce(F.get(F.split(F.lpad(F.conv(byte.cast("string"), 10, 2), 8, "0"), ""), (7 - at % 8).cast("int")) == "1", F.lit(False))).drop("_bucket", "_bits")
+    maps = keys.select(bit(F.col("th")).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), bit(th).alias("b"))
+    met = rows.join(F.broadcast(maps), F.bitmap_bucket_number("b") == F.col("bucket"), "left")
+    at = F.bitmap_bit_position("b")
+    byte = F.conv(F.hex(F.substring(F.col("bits"), (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return met.select("row", F.coalesce(F.get(F.split(F.lpad(F.conv(byte.cast("string"), 10, 2), 8, "0"), ""), (7 - at % 8).cast("int")) == "1", F.lit(False)).alias("marked"))
 
 
-def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough."""
+def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(age), stored: the later sets of pairs whose words, read from the documents, are similar enough. names: age, doc_id, th, line."""
     ages = pairs.select(F.explode(F.array("later", "earlier")).alias("age")).distinct()
-    wanted = stored(sets.join(ages, "age").select("age", F.col("first.doc_id").alias("_id"), F.col("first.th").alias("_th"), F.col("first.line").alias("_line")), "wanted")
+    wanted = stored(names.select("age", "doc_id", "th", "line").join(ages, "age"), "wanted")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = marked(texts, F.xxhash64("text"), wanted.select(F.col("_th").alias("th"))).where("_marked").withColumn("th", F.xxhash64("text"))
-    met = texts.join(wanted.groupBy("_id", "_th").agg(F.collect_set(F.struct("age", "_line")).alias("own")), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("th") == F.col("_th")))
-    met = met.select(F.split("text", "\n").alias("lines"), F.explode("own").alias("o")).select("o.age", F.get("lines", F.col("o._line")).alias("line"))
-    words = stored(met.dropDuplicates(["age"]).select("age", F.array_distinct(F.array_remove(F.transform(_words(F.col("line")), lambda w: F.xxhash64(w)), F.xxhash64(F.lit("")))).alias("words")), "words")
+    texts = marked(texts, F.xxhash64("text"), wanted.select("th")).where("marked").select("row.*")
+    lines = _lowered(texts).select("doc_id", "th", F.posexplode(F.split("low", "\n")).alias("line", "low"))
+    there = wanted.select("age", F.col("doc_id").alias("id"), F.col("th").alias("t"), F.col("line").alias("l"))
+    met = lines.join(there, (F.col("th") == F.col("t")) & (F.col("line") == F.col("l")) & F.col("doc_id").eqNullSafe(F.col("id")))
+    words = stored(met.select("age", _hashes("low").alias("words")).dropDuplicates(["age"]), "words")  # repeated rows give equal ones
     one = words.select(F.col("age").alias("later"), F.col("words").alias("wx"))
     two = words.select(F.col("age").alias("earlier"), F.col("words").alias("wy"))
     met = pairs.join(one, "later").join(two, "earlier").withColumn("both", F.size(F.array_intersect("wx", "wy")))
@@ -155,33 +172,40 @@ def verified(docs: DataFrame, sets: DataFrame, pairs: DataFrame, percent: int) -
     return out
 
 
+def named_sets(rows: DataFrame) -> DataFrame:
+    """(s1, s2, late, doc_id, th, line, row, age, n, prefix, whole, odd), stored, per set of the stored line_sets: its first line, its place in the order of first lines, and its RAREST words."""
+    at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line", "row")
+    own = {"n": F.col("n"), "prefix": F.slice("prefix", 1, RAREST), "whole": F.col("whole"), "odd": F.col("odd")}
+    names = rows.groupBy("s1", "s2").agg(F.min(at).alias("at"), *[F.any_value(v).alias(k) for k, v in own.items()])
+    names = names.repartitionByRange("at").sortWithinPartitions("at")
+    return stored(names.select("s1", "s2", "at.*", F.monotonically_increasing_id().alias("age"), *own), "names")
+
+
 def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, th, line), stored: the lines that match a line before them, by (doc_id, hash of the text, line), null ids last.
 
-    A set's age is its place in the order of first lines. Each set is held against the earliest
-    sets of its words first; those that this doesn't remove are held against all sets before them.
+    A set's age is its place in the order of first lines. Sets are held against a few sets of
+    their rarest words first; those that this doesn't remove are held against all sets before them.
     """
-    at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line")
-    rows = stored(line_sets(docs, magnitudes(docs), percent), "lines")
-    sets = rows.groupBy("s1", "s2").agg(F.min(at).alias("first"), *[F.any_value(c).alias(c) for c in ("n", "prefix", "last", *BITMAP)])
-    sets = sets.repartitionByRange("first").sortWithinPartitions("first").withColumn("age", F.monotonically_increasing_id())
-    sets, whole = stored(sets, "sets"), rows
-    rows = stored(rows.select("doc_id", "th", "line", "s1", "s2"), "places")
-    forget(whole)
-    first = in_turns(first_candidates, sets.withColumn("top", F.col("age")), percent)
-    removed = verified(docs, sets, first, percent)
-    gone = removed.select("age", F.lit(True).alias("gone"))
-    chosen = sets.select("age", "n", "prefix", "last", *BITMAP).join(gone, "age", "left")
-    chosen = stored(chosen.withColumn("top", F.when(F.col("gone"), F.lit(-1).cast("long")).otherwise(F.col("age"))), "chosen")
-    whole, sets = sets, stored(sets.select("s1", "s2", "first", "age"), "names")
-    forget(whole)
-    rest = in_turns(all_candidates, chosen, percent)
-    forget(chosen)
-    more = verified(docs, sets, rest, percent)
-    whole = sets.select("s1", "s2", "first", "age").join(removed.union(more).withColumn("gone", F.lit(True)), "age", "left").select("s1", "s2", "first", "gone")
-    later = rows.select("s1", "s2", at.alias("at")).join(whole, ["s1", "s2"]).where("gone or at > first").select("at.doc_id", "at.th", "at.line")
+    rows = stored(line_sets(docs, magnitudes(docs), percent).withColumn("row", F.monotonically_increasing_id()), "lines")
+    names = named_sets(rows)
+    pairs = stored(first_candidates(names.withColumn("chosen", F.lit(1)), percent).distinct(), "met")
+    gone = verified(docs, names, pairs, percent)
+    forget(pairs)
+    first = names.join(gone.withColumn("gone", F.lit(1)), "age", "left").select("s1", "s2", "late", *[F.col(c).alias(f"first_{c}") for c in ("doc_id", "th", "line", "row")], "age", F.when(F.col("gone") == 1, 0).otherwise(1).alias("chosen"))
+    is_first = F.col("row") == F.col("first_row")
+    again = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line") > F.struct("late", *[F.col(f"first_{c}").alias(c) for c in ("doc_id", "th", "line")])
+    sets = rows.join(first, ["s1", "s2"]).select("age", "doc_id", "th", "line", again.alias("again"), "n", F.when(is_first, F.col("prefix")).alias("prefix"), "whole", "odd", "chosen")
+    sets = stored(sets, "sets")
+    forget(rows)
+    rows = prefix_rows(sets.where("prefix is not null"))
+    parts = [stored(all_candidates(rows.where(F.col("word").bitwiseAND(TURNS - 1) == k), percent).distinct(), "found") for k in range(TURNS)]
+    pairs = stored(reduce(DataFrame.union, parts).distinct(), "candidates")
+    more = verified(docs, names, pairs, percent)
+    out = gone.union(more).withColumn("gone", F.lit(True))  # a set of the one isn't chosen for the other
+    later = sets.select("age", "doc_id", "th", "line", "again").join(out, "age", "left").where("gone or again").select("doc_id", "th", "line")
     later = stored(later, "later")
-    for t in (rows, sets, first, removed, rest, more):
+    for t in (names, sets, gone, more, pairs, *parts):
         forget(t)
     return later
 
@@ -193,26 +217,43 @@ def dedup_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
     in lower case is percent or more. A line is removed if any line before it matches,
     removed or not, so the result doesn't depend on the order of work. Lines without words always
     stay. Rows equal in doc_id and text are one place: they don't remove each other's lines. A
-    null text stays null, with no lines. Other columns pass through.
+    null text stays null, with no lines; a null doc_id comes last. An empty table gives an empty
+    one. Other columns pass through whatever their names, but columns of docs named n_lines or
+    n_removed are replaced. Texts of any length are read whole.
     """
     later = later_matches(docs, percent)
-    gone = stored(later.groupBy(F.col("doc_id").alias("_id"), F.col("th").alias("_th")).agg(F.collect_set("line").alias("_gone")), "gone")
-    rows = marked(docs.withColumn("_hash", F.xxhash64(F.col("text").cast("string"))), F.col("_hash"), gone.select(F.col("_th").alias("th")))
-    met = rows.where("_marked").join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_th")), "left").drop("_id", "_th")
-    met = met.unionByName(rows.where("not _marked").withColumn("_gone", F.lit(None).cast("array<int>")))
-    lines = F.split(F.col("text").cast("string"), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("_gone"))
-    text = F.when(F.col("_gone").isNull(), F.col("text").cast("string")).otherwise(F.array_join(F.transform(stay, lambda i: F.get(lines, i)), "\n"))
-    out = {"n_lines": F.coalesce(F.size(lines), F.lit(0)), "n_removed": F.when(F.col("_gone").isNull(), 0).otherwise(F.size("_gone"))}
-    out = {k: F.when(F.col("text").isNull(), 0).otherwise(v).cast("long") for k, v in out.items()}
-    return met.select(*[text.alias("text") if c.lower() == "text" else F.col(f"`{c}`") for c in docs.columns if c not in out], *[v.alias(k) for k, v in out.items()])
+    gone = stored(later.groupBy(F.col("doc_id").alias("id"), F.col("th").alias("t")).agg(F.collect_set("line").alias("gone")), "gone")
+    forget(later)
+    text = F.col("row.text").cast("string")
+    rows = marked(docs, F.xxhash64(F.col("text").cast("string")), gone.select(F.col("t").alias("th")))
+    met = rows.where("marked").join(gone, F.col("row.doc_id").cast("long").eqNullSafe(F.col("id")) & (F.xxhash64(text) == F.col("t")), "left").select("row", "gone")
+    met = met.unionByName(rows.where("not marked").select("row", F.lit(None).cast("array<int>").alias("gone")))
+    met = met.withColumn("lines", F.when(F.col("gone").isNotNull(), F.split(text, "\n")))
+    stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("gone"))
+    kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.transform(stay, lambda i: F.get("lines", i)), "\n"))
+    out = {"n_lines": F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1, "n_removed": F.when(F.col("gone").isNotNull(), F.size("gone"))}
+    out = {k: F.coalesce(v, F.lit(0)).cast("long") for k, v in out.items()}
+    return met.select(*[kept.alias("text") if c.lower() == "text" else F.col(f"row.`{c}`") for c in docs.columns if c.lower() not in out], *[v.alias(k) for k, v in out.items()])
 
 
 def drop_repeated_lines(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """docs with repeated lines taken out and n_chars set anew; a document all of whose words went is dropped."""
-    out = dedup_lines(docs, percent)
-    out = out.where((F.col("n_removed") == 0) | F.col("text").isNull() | (F.length(F.trim(F.replace("text", F.lit("\n"), F.lit(" ")))) > 0))
-    return out.select(*[F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")).alias("n_chars") if c == "n_chars" else F.col(f"`{c}`") for c in docs.columns])
+    """docs with repeated lines taken out and n_chars set anew; a document all of whose words went is dropped.
+
+    A document without words before stays as it is; a null text and an empty table stay so too.
+    All columns of docs come back, n_lines and n_removed as well if docs has them.
+    """
+    whole = docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("whole"))
+    out = dedup_lines(whole, percent)
+    out = out.where((F.col("n_removed") == 0) | F.col("text").isNull() | F.col("text").rlike(WORD))
+
+    def column(c: str) -> Column:
+        if c.lower() == "text":
+            return F.when(F.col("n_removed") > 0, F.col("text")).otherwise(F.col("whole.text")).alias(c)
+        if c.lower() == "n_chars":
+            return F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col(f"whole.`{c}`")).alias(c)
+        return F.col(f"whole.`{c}`").alias(c)
+
+    return out.select(*[column(c) for c in docs.columns])
 
 
 def op3_line_dedup(spark, sf_dir: str) -> DataFrame:

@@ -37,7 +37,7 @@ def made(n=120, seed=1):
     return rows
 
 
-def test_matches_brute_force(spark, monkeypatch):
+def test_matches_brute_force(spark):
     rows = made()
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
     want = brute(rows)
@@ -50,11 +50,35 @@ def test_frequent_words_are_dealt_out(spark, monkeypatch):
     rows = made(80, 2)
     df = spark.createDataFrame(rows, "doc_id long, text string")
     whole = sorted(map(tuple, lines.later_matches(df).collect()))
-    monkeypatch.setattr(lines, "FREQUENT", 0)
+    monkeypatch.setattr(lines, "FREQUENT", 1)
+    monkeypatch.setattr(lines, "TURNS", 2)
     parts = sorted(map(tuple, lines.later_matches(df).collect()))
     assert whole == parts and len(whole) == sum(len(t.split("\n")) for _, t in rows if t) - sum(len(t.split("\n")) for t in brute(rows).values() if t)
 
 
+def test_long_lines_and_near_copies_of_one_line(spark):
+    """Lines of 60 to 120 words on both sides of SHORT, and a group of near copies that don't all match its first line."""
+    rng = random.Random(4)
+    base = [f"v{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        x = base[: rng.choice((60, 75, 79, 80, 85, 120))]
+        for _ in range(rng.randint(0, 9)):
+            x[rng.randrange(len(x))] = f"u{rng.randrange(40)}"
+        rng.shuffle(x)
+        rows.append((i, " ".join(x)))
+    got = {r.doc_id: r.text for r in lines.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows) and 0 < sum(v == "" for v in got.values()) < 90
+
+
+def test_clashing_names(spark):
+    rows = [(1, "a b c", 7, 8, 9), (2, "a b c\nx", 7, 8, 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, row int, marked int, gone int").withColumnsRenamed({"row": "_hash"}).withColumns({"row": F.lit(1), "b": F.lit(2), "th": F.lit(3), "lines": F.lit(4), "bits": F.lit(5), "bucket": F.lit(6), "id": F.lit(7), "n_lines": F.lit(8), "whole": F.lit(9)})
+    got = {r.doc_id: r for r in lines.drop_repeated_lines(df).collect()}
+    assert got[2].text == "x" and got[1].asDict() == {**df.where("doc_id = 1").first().asDict()} and got[2].n_lines == 8
+    assert lines.dedup_lines(df).where("doc_id = 2").first().n_lines == 2
+
+
 def test_edge_rows(spark):
     rows = [(1, "a b c\n\na b c", 1), (2, None, 2), (None, "a b c\nx y", 3), (3, "", 4), (4, "Q r s t u", 5), (4, "q r s t u", 6), (5, "long words " * 30_000 + "\na b c", 7), (6, "only one", 8), (6, "only one", 9)]
     df = spark.createDataFrame(rows, "doc_id long, text string, n_lines int")
