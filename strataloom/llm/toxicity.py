@@ -13,7 +13,8 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass, fields
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -25,8 +26,8 @@ from strataloom.llm.common import forget, stored
 LETTERS = re.compile(r"[^\W\d_]+")
 #: Letters of a run that make its term.
 START = 5
-#: Examples of one block; texts that are looked up together.
-BLOCK, TOGETHER = 128, 256
+#: Examples of one block; texts that are looked up together, and their postings at most, but for a single text.
+BLOCK, TOGETHER, POSTINGS = 128, 128, 1 << 21
 #: A term that more than this share of the examples hold has a dense row.
 COMMON = 0.04
 #: Weight of the vote that all examples cast together, and how many made-up votes hold the calibration to the votes as they are.
@@ -65,36 +66,59 @@ def telling(with_one: np.ndarray, with_zero: np.ndarray, ones: int, zeros: int,
     return floor + np.maximum(z, 0) ** 2
 
 
+class Index:
+    """Vectors of n examples (row, term, entry x): dense rows of common terms with the blocks' maxima, postings of the others."""
+
+    def __init__(self, row: np.ndarray, term: np.ndarray, x: np.ndarray, n: int, terms: int) -> None:
+        often = np.bincount(term, minlength=terms) > COMMON * n
+        self.common = np.flatnonzero(often)
+        self.place = np.where(often, np.cumsum(often) - 1, -1)  # of a common term among them
+        on = often[term]
+        self.dense = np.zeros((len(self.common), n))
+        self.dense[self.place[term[on]], row[on]] = x[on]
+        order = np.argsort(term[~on], kind="stable")
+        self.row, self.entry = row[~on][order], x[~on][order]
+        self.first = np.searchsorted(term[~on][order], np.arange(terms + 1))
+        self.starts = np.arange(0, n, BLOCK)
+        self.highest = np.maximum.reduceat(self.dense, self.starts, axis=1) if n else np.zeros((len(self.common), 0))
+
+
 @dataclass
 class Model:
-    """terms: term to number; weights: per term; the examples' ids, labels and vectors (example, term, entry)."""
+    """terms: term to number; weights: per term; the examples' ids, labels, and their terms and counts one after the other, sizes of them each.
+
+    Only these travel; the index over them is built where it is used.
+    """
 
     terms: dict[str, int]
     weights: np.ndarray
     ids: np.ndarray
     labels: np.ndarray
-    entries: tuple[np.ndarray, np.ndarray, np.ndarray]
+    term: np.ndarray
+    n: np.ndarray
+    sizes: np.ndarray
     k: int = 15
     power: float = 4.0
     slope: float = 1.0
     shift: float = 0.0
-    prior: float = field(init=False)
 
-    def __post_init__(self) -> None:
-        n = len(self.ids)
-        self.prior = (float(self.labels.sum()) + 0.1) / (n + 2.0)
-        row, term, x = self.entries
-        often = np.bincount(term, minlength=len(self.weights)) > COMMON * n
-        self.common = np.flatnonzero(often)
-        self.place = np.where(often, np.cumsum(often) - 1, -1)  # of a common term among them
-        on = often[term]
-        self.dense = np.zeros((len(self.common), n))
-        self.dense[self.place[term[on]], row[on]] = x[on]
-        order = np.argsort(term[~on], kind="stable")
-        self.row, self.entry = row[~on][order], x[~on][order]
-        self.first = np.searchsorted(term[~on][order], np.arange(len(self.weights) + 1))
-        self.starts = np.arange(0, n, BLOCK)
-        self.highest = np.maximum.reduceat(self.dense, self.starts, axis=1) if n else np.zeros((len(self.common), 0))
+    def __getstate__(self) -> dict:
+        return {f.name: self.__dict__[f.name] for f in fields(self)}
+
+    @property
+    def prior(self) -> float:
+        return (float(self.labels.sum()) + 0.1) / (len(self.labels) + 2.0)
+
+    def texts(self, rows: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(term, count) of the examples at rows."""
+        ends = np.cumsum(self.sizes)
+        return [(self.term[e - s : e].astype(np.int64), self.n[e - s : e]) for e, s in zip(ends[rows], self.sizes[rows], strict=True)]
+
+    @cached_property
+    def index(self) -> Index:
+        own = self.texts(np.arange(len(self.ids)))
+        x = np.concatenate([weighed(t, n, self.weights) for t, n in own]) if own else np.zeros(0)
+        return Index(np.repeat(np.arange(len(self.ids)), self.sizes), self.term, x, len(self.ids), len(self.weights))
 
     def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(cosines, rows) of the k nearest examples of each text (term, count), ties to smaller rows; -1 where there are fewer with a cosine above 0. own: a row of each text that doesn't count."""
@@ -102,25 +126,29 @@ class Model:
         best, rows = np.zeros((b, k)), np.full((b, k), -1)
         if not n or not b:
             return best, rows
+        index = self.index
         term = np.concatenate([t for t, _ in texts])
         x = np.concatenate([weighed(t, c, self.weights) for t, c in texts])
         who = np.repeat(np.arange(b), [len(t) for t, _ in texts])
-        dense = np.zeros((b, len(self.common)))
-        on = self.place[term] >= 0
-        dense[who[on], self.place[term[on]]] = x[on]
+        dense = np.zeros((b, len(index.common)))
+        on = index.place[term] >= 0
+        dense[who[on], index.place[term[on]]] = x[on]
         term, x, who = term[~on], x[~on], who[~on]
-        many = self.first[term + 1] - self.first[term]
-        at = np.arange(many.sum()) + np.repeat(self.first[term] - np.cumsum(many) + many, many)
-        sums = np.bincount(np.repeat(who, many) * n + self.row[at], np.repeat(x, many) * self.entry[at], b * n).astype(float, copy=False).reshape(b, n)
+        many = index.first[term + 1] - index.first[term]
+        if b > 1 and many.sum() > POSTINGS:
+            halves = [self.nearest(texts[part], None if own is None else own[part]) for part in (slice(b // 2), slice(b // 2, b))]
+            return np.concatenate([h[0] for h in halves]), np.concatenate([h[1] for h in halves])
+        at = np.arange(many.sum()) + np.repeat(index.first[term] - np.cumsum(many) + many, many)
+        sums = np.bincount(np.repeat(who, many) * n + index.row[at], np.repeat(x, many) * index.entry[at], b * n).astype(float, copy=False).reshape(b, n)
         if own is not None:
             sums[np.arange(b), own] = -np.inf
-        bounds = np.maximum.reduceat(sums, self.starts, axis=1) + dense @ self.highest
+        bounds = np.maximum.reduceat(sums, index.starts, axis=1) + dense @ index.highest
         scores, top = np.full((b, n), -np.inf), np.zeros((b, k))  # top: the highest cosines so far, the least of them first
         for block in np.argsort(-bounds.max(0), kind="stable"):
-            lo, hi = self.starts[block], min(self.starts[block] + BLOCK, n)
+            lo, hi = index.starts[block], min(index.starts[block] + BLOCK, n)
             ask = np.flatnonzero((bounds[:, block] > 0) & (bounds[:, block] >= top[:, 0] - 1e-9))
             if len(ask):
-                scores[ask, lo:hi] = got = sums[ask, lo:hi] + dense[ask] @ self.dense[:, lo:hi]
+                scores[ask, lo:hi] = got = sums[ask, lo:hi] + dense[ask] @ index.dense[:, lo:hi]
                 top[ask] = np.partition(np.concatenate([top[ask], got], axis=1), hi - lo, axis=1)[:, hi - lo :]
         who, row = np.nonzero((scores > 0) & (scores >= top[:, :1] - 1e-9))
         cos = np.round(scores[who, row], 12)  # equal cosines may differ by the order of sums
@@ -213,38 +241,36 @@ def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 8_000) -> Mode
     df[seen.column("term").to_numpy()] = seen.column("n").to_numpy()
     with_one = np.bincount(term, labels[row], len(terms))
     weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * telling(with_one, np.bincount(term, minlength=len(terms)) - with_one, int(labels.sum()), int((1 - labels).sum()))
-    vectors = np.split(np.arange(len(term)), np.flatnonzero(np.diff(row)) + 1) if len(term) else []
-    entry = np.concatenate([weighed(term[v], n[v], weights) for v in vectors]) if vectors else np.zeros(0)
+    sizes = np.bincount(row, minlength=len(ids))
     # examples that lean on the same term share blocks, which makes the bounds tight
-    lead = np.full(len(ids), -1)
-    for v in vectors:
-        lead[row[v[0]]] = term[v[np.argmax(entry[v])]]
+    ends, lead = np.cumsum(sizes), np.full(len(ids), -1)
+    for i in np.flatnonzero(sizes):
+        own = slice(ends[i] - sizes[i], ends[i])
+        lead[i] = term[own][np.argmax(weighed(term[own], n[own], weights))]
     order = np.lexsort((ids, lead))
-    to = np.empty(len(order), np.int64)
-    to[order] = np.arange(len(order))
-    model = Model(terms, weights, ids[order], labels[order], (to[row], term, entry))
-    own = [(term[v], n[v]) for v in vectors]
-    votes = _own_votes(docs, model, own, to[np.array([row[v[0]] for v in vectors], np.int64)])
-    model.slope, model.shift = calibrated(*votes)
+    at = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in order]) if len(order) else np.zeros(0, np.int64)
+    model = Model(terms, weights, ids[order], labels[order], term[at].astype(np.int32), n[at].astype(np.int32), sizes[order])
+    model.slope, model.shift = calibrated(_own_votes(docs, model), model.labels)
     return model
 
 
-def _own_votes(docs: DataFrame, model: Model, texts: list, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(votes, labels) of the examples, each looked up without itself, in tasks of a few hundred."""
-    spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model, texts, rows))
+def _own_votes(docs: DataFrame, model: Model) -> np.ndarray:
+    """The vote on each example, looked up without itself, in tasks of a few hundred."""
+    spark, parts = docs.sparkSession, -(-len(model.ids) // TOGETHER)
+    shared = spark.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m, own, place = shared.value
+        m = shared.value
         for b in batches:
             for start in b.column("id").to_numpy():
-                at = slice(start * TOGETHER, (start + 1) * TOGETHER)
-                votes = m.votes(*m.nearest(own[at], place[at]))
-                yield pa.RecordBatch.from_arrays([pa.array(votes), pa.array(m.labels[place[at]])], ["vote", "label"])
-
-    parts = -(-len(texts) // TOGETHER)
-    got = spark.range(0, parts, 1, max(1, parts)).mapInArrow(work, "vote double, label double").toArrow()
-    return got.column("vote").to_numpy(), got.column("label").to_numpy()
+                rows = np.arange(start * TOGETHER, min((start + 1) * TOGETHER, len(m.ids)))
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(m.votes(*m.nearest(m.texts(rows), rows)))], ["row", "vote"])
+
+    got = spark.range(0, parts, 1, max(1, min(parts, spark.sparkContext.defaultParallelism))).mapInArrow(work, "row long, vote double").toArrow()
+    votes = np.zeros(len(model.ids))
+    votes[got.column("row").to_numpy()] = got.column("vote").to_numpy()
+    shared.destroy()
+    return votes
 
 
 def score_documents(docs: DataFrame, model: Model, keep: bool = False) -> DataFrame:

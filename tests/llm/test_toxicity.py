@@ -4,6 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from strataloom.llm import toxicity
@@ -19,16 +20,22 @@ def test_terms_of_a_text():
 
 
 def random_model(rng, n=700, terms=60):
-    m = rng.random((n, terms)) * (rng.random((n, terms)) < np.linspace(0.01, 0.4, terms))
-    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-12)
-    row, term = np.nonzero(m)
-    return m, toxicity.Model({}, np.linspace(3, 1, terms), np.arange(n), (rng.random(n) < 0.5).astype(float), (row, term, m[row, term]))
-
-
-def test_pruned_search_finds_what_brute_force_finds():
+    counts = rng.integers(1, 9, (n, terms)) * (rng.random((n, terms)) < np.linspace(0.01, 0.4, terms))
+    row, term = np.nonzero(counts)
+    model = toxicity.Model({}, np.linspace(3, 1, terms), np.arange(n), (rng.random(n) < 0.5).astype(float), term, counts[row, term], (counts > 0).sum(1))
+    m = np.zeros((n, terms))
+    for i in range(n):
+        t = np.flatnonzero(counts[i])
+        m[i, t] = toxicity.weighed(t, counts[i, t], model.weights)
+    return m, model
+
+
+@pytest.mark.parametrize("postings", (1 << 21, 1000))
+def test_pruned_search_finds_what_brute_force_finds(monkeypatch, postings):
+    monkeypatch.setattr(toxicity, "POSTINGS", postings)
     rng = np.random.default_rng(3)
     m, model = random_model(rng)
-    assert 0 < len(model.common) < 60
+    assert 0 < len(model.index.common) < 60
     texts = [(t, rng.integers(1, 9, len(t))) for t in (np.flatnonzero(rng.random(60) < 0.2) for _ in range(80))]
     own = rng.integers(0, 700, 80)
     for skip in (None, own):
