@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from strataloom.llm import lines, mixing, pieces, simhash, toxicity
-from strataloom.llm.common import stored
+from strataloom.llm.common import forget, stored
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,12 +37,21 @@ STAGES = [("toxicity", drop_toxic), ("line dedup", dedup_lines), ("simhash near-
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply the stages to documents; each one's output is written and read again."""
+    """Apply the stages to documents; each one's output is written and read again, and deleted once the next is written.
+
+    Nulls in any column, empty and very long texts, repeated rows and an empty table pass through
+    as each stage says; columns of any name stay up to the last stage, which returns its own. A
+    document without words has nothing that the mix could take, so it ends there.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    before = None
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            forget(before)
+        before = docs
     return STAGES[-1][1](spark, docs, sf_dir)
 
 
-#: SQL can't express the stages; tests hold each against brute force.
+#: SQL can't express the stages; tests/llm/test_pipeline.py holds what each keeps against plain Python.
 ORACLE_SQL = None
