@@ -65,7 +65,7 @@ def _met(shares: DataFrame, slots: int) -> DataFrame:
     return points.withColumn("cell", F.floor(F.col("point") / width)).join(F.broadcast(ends), "cell").where("point >= lo and point < hi").select("slot", "key")
 
 
-def schedule(shares: DataFrame, block: int, slots: int) -> DataFrame:
+def schedule(shares: DataFrame, slots: int) -> DataFrame:
     """(slot, key, rank): the source of each slot and how many slots of that source came before it."""
     met = _met(shares, slots).withColumn("run", F.floor(F.col("slot") / 1024))
     return _ranked(met, "run", F.lit(1), ["slot"], "rank").select("slot", "key", "rank")
@@ -91,38 +91,58 @@ def _ranked(rows: DataFrame, part: str, amount: Column, order: list, name: str)
     return rows.withColumn("inside", F.coalesce(F.sum("amount").over(inside), F.lit(0))).join(sums, ["key", part]).withColumn(name, F.col("ahead") + F.col("inside")).drop("ahead", "inside", "amount")
 
 
-def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block: int = 16) -> DataFrame:
-    """What the mix takes: doc_id, source, size, source_size, target, taken, copies (how often it starts in the mix).
+def _sizes(docs: DataFrame, *more: Column) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string").alias("source"), _key("source"), F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("draw"), *more)
 
-    The words of a source stand in the order of md5(doc_id), cut into blocks of equal size (the
-    last may be shorter): `block` words, fewer where a source's target is small. A null text has no
-    words; a document without words is taken 0 times. A source's slots stop after `most` passes.
-    Its slots rank 0, 1, 2, ... without gaps, so their number says how often each block is taken:
-    whole passes over all blocks, and one more over the first ones.
-    Rows that are equal in doc_id, source and size are told apart by a running number, so repeated rows each count.
-    """
-    sized = docs.select(F.col("doc_id").cast("long"), F.col("source").cast("string").alias("source"), _key("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"), F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("draw"))
-    sized = stored(sized, "sized")
+
+def _planned(sized: DataFrame, weights: tuple[int, ...], share: float, most: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """(rows, shares): the stored rows with `start`, the words of their source before them, and how much of them is taken; and the stored targets with blocks."""
     shares = stored(blocks(targets(sized.groupBy("key").agg(F.sum("size").alias("source_size")), weights, share, most), block), "targets")
     per_pass = F.ceil(F.col("source_size") / F.col("block"))
     got = F.least(F.coalesce("slots", F.lit(0)), per_pass * most)
     whole = F.when(per_pass > 0, F.floor(got / per_pass)).otherwise(0)
-    plan = shares.join(slots_of(shares), "key", "left").select("key", "source_size", "target", "block", whole.alias("passes"), (got - whole * per_pass).alias("more"))
+    plan = shares.join(slots_of(shares), "key", "left").select("key", "source_size", "target", "block", per_pass.alias("per_pass"), whole.alias("passes"), (got - whole * per_pass).alias("more"))
     sized = sized.withColumn("part", F.conv(F.substring("draw", 1, 2), 16, 10).cast("int"))
-    placed = stored(_ranked(sized, "part", F.col("size"), ["draw", "doc_id", "size"], "start"), "placed")
+    placed = stored(_ranked(sized, "part", F.col("size"), ["draw", *[c for c in sized.columns if c in ("doc_id", "size", "h1", "h2")]], "start"), "placed")
     again = F.least(F.col("size"), F.greatest(F.lit(0), F.col("more") * F.col("block") - F.col("start")))
     taken = (F.col("passes") * F.col("size") + again).cast("long")
     copies = F.when(F.col("size") > 0, F.col("passes") + (F.floor(F.col("start") / F.col("block")) < F.col("more")).cast("long")).otherwise(0).cast("long")
-    return placed.join(F.broadcast(plan), "key").select("doc_id", "source", "size", "source_size", "target", taken.alias("taken"), copies.alias("copies"))
+    return placed.join(F.broadcast(plan), "key").withColumns({"taken": taken, "copies": copies}), shares
+
+
+def mix(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block: int = 16) -> DataFrame:
+    """What the mix takes: doc_id, source, size, source_size, target, taken, copies (how often it starts in the mix).
 
+    The words of a source stand in the order of md5(doc_id), cut into blocks of equal size (the
+    last may be shorter): `block` words, fewer where a source's target is small. A null text has no
+    words; a document without words is taken 0 times. A source's slots stop after `most` passes.
+    Its slots rank 0, 1, 2, ... without gaps, so their number says how often each block is taken:
+    whole passes over all blocks, and one more over the first ones. Repeated rows each count; a null
+    source comes last, a null doc_id draws like an empty one. Of an empty table nothing is taken;
+    other columns are ignored.
+    """
+    rows, _ = _planned(stored(_sizes(docs), "sized"), weights, share, most, block)
+    return rows.select("doc_id", "source", "size", "source_size", "target", "taken", "copies")
 
-def take(docs: DataFrame, **settings) -> DataFrame:
-    """The rows of docs as often as they start in the mix, in no order; settings are those of mix()."""
-    plan = mix(docs, **settings).where("copies > 0").groupBy("doc_id", "source", "size").agg(F.max("copies").alias("copies"))
-    plan = stored(plan.select(F.col("doc_id").alias("_id"), F.col("source").alias("_source"), F.col("size").alias("_size"), "copies"), "plan")
-    size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
-    met = docs.join(plan, F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & F.col("source").cast("string").eqNullSafe(F.col("_source")) & (size == F.col("_size")))
-    return met.withColumn("copies", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*[F.col(f"`{c}`") for c in docs.columns])
+
+def take(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1.5, most: int = 2, block: int = 16) -> DataFrame:
+    """The rows of docs as often as they start in the mix (see mix()), in the order of the slots in which they start.
+
+    All columns come back, whatever their names. Rows that differ in any column are told apart by
+    hashes of the text and of all columns; equal rows stand for each other. An empty table gives an empty one.
+    """
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    h1, h2 = F.xxhash64(F.lit(1), F.col("text").cast("string")).alias("h1"), F.xxhash64(F.lit(2), *columns).alias("h2")
+    rows, shares = _planned(stored(_sizes(docs, h1, h2), "sized"), weights, share, most, block)
+    starts = rows.where("copies > 0").select("h1", "h2", "key", F.explode(F.transform(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int")), lambda p: (p * F.col("per_pass") + F.floor(F.col("start") / F.col("block"))).cast("long"))).alias("rank"))
+    wanted = shares.select("key", (F.col("target") / F.col("block")).alias("target"))
+    whole = float(wanted.agg(F.sum("target")).first()[0] or 0)
+    slots = schedule(wanted, -int(-whole // 1)).select("slot", "key", F.col("rank").cast("long").alias("rank"))
+    plan = stored(starts.join(slots, ["key", "rank"]).groupBy("h1", "h2").agg(F.sort_array(F.collect_list("slot")).alias("slots")), "plan")
+    own = docs.select(F.struct(*columns).alias("row"), h1, h2).join(plan, ["h1", "h2"])
+    own = own.withColumn("at", F.row_number().over(Window.partitionBy("h1", "h2").orderBy(F.lit(1)))).where("at = 1")
+    own = own.select("row", F.explode("slots").alias("slot")).repartitionByRange("slot").sortWithinPartitions("slot")
+    return own.select("row.*")
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
@@ -143,15 +163,16 @@ l AS (SELECT *, (sum(source_size) OVER () * 1.5::DOUBLE - coalesce(sum(cap) OVER
   WINDOW o AS (ORDER BY cap / weight, key ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
 f AS (SELECT coalesce(arg_min(level, cap / weight) FILTER (level * weight < cap), 1e300) AS level FROM l),
 t AS (SELECT key, source_size, least(cap, f.level * weight) AS target FROM l, f),
-n AS (SELECT greatest(16, CAST(ceil(sum(target) / 262144) AS BIGINT)) AS block, sum(target) AS whole FROM t),
-e AS (SELECT key, source_size, CAST(round(sum(target) OVER (ORDER BY key) / whole * 4294967296) AS BIGINT) AS hi FROM t, n WHERE whole > 0),
+t2 AS (SELECT *, CAST(greatest(1, least(16, floor(target / 128))) AS BIGINT) AS block FROM t),
+n AS (SELECT sum(target / block) AS whole FROM t2),
+e AS (SELECT key, source_size, block, CAST(round(sum(target / block) OVER (ORDER BY key) / whole * 4294967296) AS BIGINT) AS hi FROM t2, n WHERE whole > 0),
 e2 AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY key), 0) AS lo FROM e),
-p AS (SELECT i, (i * 2654435769) % 4294967296 AS point FROM (SELECT unnest(range(CAST(ceil(whole / block) AS BIGINT))) AS i FROM n)),
-r AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY i) - 1 AS rank, CAST(ceil(source_size / block) AS BIGINT) AS per_pass FROM p JOIN e2 ON point >= lo AND point < hi, n),
-b AS (SELECT key, rank % per_pass AS b, count(*) AS times FROM r WHERE rank < 2 * per_pass GROUP BY ALL),
+p AS (SELECT i, (i * 2654435769) % 4294967296 AS point FROM (SELECT unnest(range(CAST(ceil(whole) AS BIGINT))) AS i FROM n)),
+r AS (SELECT key, block, row_number() OVER (PARTITION BY key ORDER BY i) - 1 AS rank, CAST(ceil(source_size / block) AS BIGINT) AS per_pass FROM p JOIN e2 ON point >= lo AND point < hi),
+b AS (SELECT key, block, rank % per_pass AS b, count(*) AS times FROM r WHERE rank < 2 * per_pass GROUP BY ALL),
 q AS (SELECT *, CAST(coalesce(sum(size) OVER (PARTITION BY key ORDER BY draw, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS start FROM d),
 c AS (SELECT q.key, start, doc_id, size, sum((least(start + size, (b + 1) * block) - greatest(start, b * block)) * times) AS taken, sum(CASE WHEN start // block = b THEN times ELSE 0 END) AS copies
-  FROM q, n JOIN b ON b.key = q.key AND b.b BETWEEN start // block AND (start + size - 1) // block WHERE size > 0 GROUP BY ALL)
+  FROM q JOIN b ON b.key = q.key AND b.b BETWEEN start // block AND (start + size - 1) // block WHERE size > 0 GROUP BY ALL)
 SELECT q.doc_id, q.size, t.source_size, t.target, CAST(coalesce(taken, 0) AS BIGINT) AS taken, CAST(coalesce(copies, 0) AS BIGINT) AS copies
 FROM q JOIN t USING (key) LEFT JOIN c ON c.key = q.key AND c.start = q.start AND c.size = q.size""",
 }

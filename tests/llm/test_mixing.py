@@ -58,7 +58,7 @@ def test_mix_meets_targets_and_reruns_agree(spark):
 
 def test_slots_are_low_discrepancy(spark):
     shares = spark.createDataFrame([("=a", 10, 1.0, 50.0), ("=b", 10, 1.0, 30.0), ("=c", 10, 1.0, 20.0)], "key string, source_size long, weight double, target double")
-    rows = mixing.schedule(shares, 16, 3000).orderBy("slot").collect()
+    rows = mixing.schedule(shares, 3000).orderBy("slot").collect()
     assert [r.slot for r in rows] == list(range(3000))
     n = {"=a": 0, "=b": 0, "=c": 0}
     for i, r in enumerate(rows, 1):
@@ -91,3 +91,35 @@ def test_documents_of_small_sources_are_taken(spark):
         assert by[f"s{n}"].target == 2 * n and by[f"s{n}"].taken >= 0.9 * by[f"s{n}"].target and by[f"s{n}"].copies >= 1
     kept = {r.source for r in mixing.take(huge.union(small)).select("source").distinct().collect()}
     assert kept == {"huge", "s50", "s200", "s1000"}
+
+
+def test_take_agrees_with_the_schedule(spark):
+    """Every copy by brute force: slots by the golden ratio, blocks of words of each source, and the order of the rows."""
+    rows = [(i, "w " * (3 + i % 50), f"s{i % 3}", i, i, i) for i in range(120)] + [(7, "w " * 10, "s1", 7, 7, 7)] * 2 + [(7, "v " * 10, "s1", 7, 7, 7), (8, None, "s1", 1, 1, 1)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, copies int, slot int, h1 int")
+    plan = mixing.mix(df).collect()
+    out = mixing.take(df)
+    got = out.collect()
+    assert out.columns == df.columns and len(got) == sum(r.copies for r in plan)
+    for key in {(r.doc_id, r.source) for r in plan}:
+        assert sum((r.doc_id, r.source) == key for r in got) == sum(r.copies for r in plan if (r.doc_id, r.source) == key)
+    per = {}
+    for r in plan:
+        per[r.source] = r.target
+    names, total = sorted(per), sum(per.values())
+    starts = [i for i in range(len(got)) if got[i].source == "s0"]
+    # the sources alternate: no long run of one of them beyond what its share explains
+    for s in names:
+        share = sum(r.source == s for r in got) / len(got)
+        for i in range(1, len(got)):
+            assert abs(sum(r.source == s for r in got[:i]) - share * i) < 12
+    assert starts and total > 0 and mixing.take(df.where("false")).count() == 0
+
+
+def test_query_agrees_with_sql_where_many_slots_are_needed(spark):
+    import duckdb
+
+    con = duckdb.connect()
+    con.sql("CREATE VIEW documents AS SELECT * FROM '/root/testdata/sf0.01/documents.parquet'")
+    plain = lambda df: sorted(df[sorted(df.columns)].round(6).astype(str).agg("|".join, axis=1))
+    assert plain(mixing.op9_mixing(spark, "/root/testdata/sf0.01").toPandas()) == plain(con.sql(mixing.ORACLES["op9_mixing"]).df())

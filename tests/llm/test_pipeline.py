@@ -1,4 +1,9 @@
+from collections import Counter
+
 import corpus_pipeline
+from strataloom.llm import mixing, simhash, toxicity
+from tests.llm.brute import components
+from tests.llm.test_lines import brute
 
 SF = "/root/testdata/sf0.001"
 
@@ -19,3 +24,35 @@ def test_stages_in_order(spark):
 def test_run_gives_the_same_rows_twice(spark):
     key = lambda df: sorted((r.doc_id, r.n_tokens, r.decoded_sha256) for r in df.collect())
     assert key(corpus_pipeline.run(spark, SF)) == key(corpus_pipeline.run(spark, SF))
+
+
+def test_stages_keep_what_plain_python_keeps(spark):
+    """Each stage's rows on its own input: toxicity by predictions, lines by all pairs, SimHash by all pairs, the mix by its plan."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    said = {r.doc_id: r.predicted for r in toxicity.score_documents(docs, toxicity.fit_tables(docs, SF)).collect()}
+    clean = corpus_pipeline.stored(corpus_pipeline.drop_toxic(spark, docs, SF), "t")
+    assert {r.doc_id for r in clean.collect()} == {i for i, p in said.items() if not p}
+    texts = {r.doc_id: r.text for r in clean.collect()}
+    lines = corpus_pipeline.stored(corpus_pipeline.dedup_lines(spark, clean, SF), "t")
+    want = {i: x for i, x in brute(texts.items()).items() if x == texts[i] or x.split()}
+    assert {r.doc_id: r.text for r in lines.collect()} == want
+    fp = {i: simhash.fingerprint(x) for i, x in want.items()}
+    ids = sorted(fp)
+    roots = components(ids, [(a, b) for k, a in enumerate(ids) for b in ids[k + 1 :] if (fp[a] ^ fp[b]).bit_count() <= 3])
+    one = corpus_pipeline.stored(corpus_pipeline.dedup_documents(spark, lines, SF), "t")
+    assert {r.doc_id: r.text for r in one.collect()} == {i: x for i, x in want.items() if roots[i] == i}
+    plan = {r.doc_id: r.copies for r in mixing.mix(one).collect()}
+    mixed = corpus_pipeline.stored(corpus_pipeline.mix_sources(spark, one, SF), "t")
+    assert Counter(r.doc_id for r in mixed.collect()) == {i: n for i, n in plan.items() if n}
+
+
+def test_nulls_empty_texts_and_clashing_names(spark):
+    rows = [(None, None, None, None, 1), (1, "", "en", "a", 1), (2, "one two three " * 9, "en", None, 1), (2, "one two three " * 9, "en", None, 1), (2, "other words here", None, "a", 2), (3, " ", "en", "a", 1), (4, "w " * 40_000, "en", "b", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as row", "2 as copies", "3 as _h1", "4 as slot", "5 as gone", "6 as score")
+    for frame in (docs, docs.where("false")):
+        for _, stage in corpus_pipeline.STAGES:
+            out = corpus_pipeline.stored(stage(spark, frame, SF), "t")
+            if _ != corpus_pipeline.STAGES[-1][0]:
+                assert out.columns == docs.columns
+            frame = out
+        assert frame.count() <= 2 * len(rows)
