@@ -9,6 +9,7 @@ around it, up to <main> if there is one, but for boilerplate and parts that are
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -25,47 +26,55 @@ ROLES = frozenset("navigation banner contentinfo complementary search dialog ale
 #: Words of a class or id that mark what isn't the article.
 MARKS = frozenset(
     "ad ads adv advert adverts advertisement advertising adsense adbox adslot sponsor sponsored sponsors promo promoted promotion banner cookie cookies consent gdpr notice notices newsletter subscribe subscription paywall"
-    " sidebar sidebars sidenav nav navbar navigation menu menus breadcrumb breadcrumbs footer footers foot header masthead topbar toolbar comment comments commentlist disqus reply replies respond"
+    " sidebar sidebars sidenav nav navbar navigation menu menus breadcrumb breadcrumbs footer footers foot header headers masthead topbar toolbar comment comments commentlist disqus reply replies respond thread threads discussion discussions"
     " share sharing social related recommended recommendations popup modal overlay pagination pager login signup widget widgets outbrain taboola skip hidden".split()
 )
-#: Words beside those that tell of a layout with or without such a part: "with-sidebar".
+#: Words before those, in one name, that tell of a layout with or without such a part: "with-sidebar".
 LAYOUT = frozenset(("with", "has", "no", "without"))
+#: Those of them that also stand in names of parts of an article: "entry-header", "notice-of-ruling".
+DOUBTFUL = frozenset("notice notices header headers head foot banner share sharing social related promotion hidden skip widget widgets overlay".split())
+#: Words that name no subject: a doubtful word among these only is not an article's.
+PLAIN = frozenset("a box bar area block blocks list wrap wrapper container inner outer item items top bottom left right site page global main primary secondary sticky fixed text link links button buttons form panel unit slot label message msg policy the this is my our js c u l o".split())
+#: Characters of text, at least, and share of links, at most, by which a part with a doubtful name is taken for the article's.
+TELLS, LINKED = 160, 0.25
 #: The elements that an opening tag ends without an end tag, and where the search for them stops.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
 
-TAG = re.compile(r"""<(?:!--(?:.*?--!?>|.*)|([/]?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|[!?/][^>]*>)""", re.S)
+NAME = re.compile(r"/?[a-zA-Z][^\s/>]*+")
+#: The rest of a tag behind its name: a quote opens a value only behind "=", and only if it is closed again.
+REST = re.compile(r"""((?:[^=>]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+)>""")
 ATTRIBUTE = re.compile(r"""(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
 WORDS = re.compile(r"[a-z]+")
-CUT = re.compile(r"<[/!?a-zA-Z][^<>]*$")
 
 
-def _marked(tag: str, attributes: str) -> bool:
-    """Whether an element's attributes say that it isn't part of the article."""
-    if tag in ("html", "body", "article", "main"):
-        own = ()
-    else:
-        own = ("class", "id")
+def _marked(tag: str, attributes: str) -> int:
+    """Whether an element's attributes say that it isn't part of the article: 0 no, 1 perhaps, 2 yes."""
+    out = 0
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
-        if name in own:
-            words = WORDS.findall(value)
-            if not MARKS.isdisjoint(words) and LAYOUT.isdisjoint(words):
-                return True
+        if name in ("class", "id"):
+            if tag not in ("html", "body", "article", "main"):
+                for token in value.split():
+                    words = WORDS.findall(token)
+                    marks = MARKS.intersection(words)
+                    if marks and not any(x in LAYOUT and y in MARKS for x, y in zip(words, words[1:], strict=False)):
+                        doubt = marks <= DOUBTFUL and not MARKS.union(PLAIN).issuperset(words)
+                        out = max(out, 1 if doubt else 2)
+            elif tag == "article" and {"comment", "comments", "reply", "related", "ad", "promo", "sponsored"} & {*WORDS.findall(value)}:
+                return 2
         elif name == "role":
             if value.strip() in ROLES:
-                return True
+                return 2
         elif name == "hidden" or name == "aria-hidden" and value == "true" or name == "style" and "display:none" in value.replace(" ", ""):
-            return True
-        elif name in ("class", "id") and tag == "article" and {"comment", "comments", "reply", "related", "ad", "promo", "sponsored"} & {*WORDS.findall(value)}:
-            return True
-    return False
+            return 2
+    return out
 
 
 class Page:
     """The tree of one page: per node its tag, parent and whether it is boilerplate; and the blocks of text."""
 
     def __init__(self, html: str) -> None:
-        self.tag, self.parent, self.off = ["#root"], [-1], [False]
+        self.tag, self.parent, self.off, self.doubt = ["#root"], [-1], [False], []
         self.blocks: list[tuple[int, str, int]] = []  # node, text, characters of links
         self._text: list[str] = []
         self._links = 0
@@ -86,19 +95,23 @@ class Page:
                 self._links += len(said.strip())
 
     def _read(self, html: str) -> None:
-        stack, home, at, links = [0], [0], 0, 0  # home: the nearest block around each open node
+        stack, home, at, said, links = [0], [0], 0, 0, 0  # home: the nearest block around each open node; said: where what hasn't been said begins
+        open_ = Counter()
 
         def close(upto: int) -> None:
             nonlocal links
             while len(stack) > upto:
                 node = stack.pop()
                 home.pop()
+                open_[self.tag[node]] -= 1
                 if self.tag[node] == "a":
                     links -= 1
                 if self.tag[node] in BLOCKS:
                     self._flush(node)
 
         def find(names, stops) -> int:
+            if not any(open_[t] for t in names):
+                return 0
             for i in range(len(stack) - 1, 0, -1):
                 t = self.tag[stack[i]]
                 if t in names:
@@ -107,19 +120,25 @@ class Page:
                     return 0
             return 0
 
-        raw_end = 0
-        for m in TAG.finditer(html):
-            start = m.start()
-            if start < raw_end:
-                continue
-            if start > at:
-                self._say(html[at:start], stack[-1], links)
-            at = m.end()
-            name = m[2]
-            if not name:
+        while (start := html.find("<", at)) >= 0:
+            if start > said:
+                self._say(html[said:start], stack[-1], links)
+            said, at = start, start + 1
+            if html.startswith(("!", "?"), at):
+                end = html.find("-->" if html.startswith("!--", at) else ">", at)
+                at = said = len(html) if end < 0 else end + (3 if html.startswith("!--", at) else 1)
                 continue
+            m = NAME.match(html, at)
+            if not m:
+                continue  # a bare "<"
+            rest = REST.match(html, m.end())
+            if not rest:  # the page ends within the tag
+                said = len(html)
+                break
+            at = said = rest.end()
+            name, ends = m[0].lstrip("/"), m[0][0] == "/"
             name = name.lower()
-            if m[1]:
+            if ends:
                 if name in BLOCKS:
                     i = find({name}, ())
                     if i:
@@ -145,21 +164,51 @@ class Page:
             node = len(self.tag)
             self.tag.append(name)
             self.parent.append(stack[-1])
-            self.off.append(self.off[stack[-1]] or name in BOILERPLATE or bool(m[3]) and _marked(name, m[3]))
+            mark = _marked(name, rest[1]) if len(rest[1]) > 3 else 0
+            self.off.append(self.off[stack[-1]] or name in BOILERPLATE or mark == 2)
+            if mark == 1:
+                self.doubt.append(node)
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(html, at)
-                raw_end = at = end.end() if end else len(html)
+                at = said = end.end() if end else len(html)
                 continue
             stack.append(node)
+            open_[name] += 1
             home.append(node if name in BLOCKS else home[-1])
             links += name == "a"
-        if at < len(html):
-            self._say(CUT.sub("", html[at:]), stack[-1], links)
+        if said < len(html):
+            self._say(html[said:], stack[-1], links)
         self._flush(home[-1])
+        self._settle()
+
+    def _settle(self) -> None:
+        """Drop the parts with doubtful names that hold little text or many links, unless they hold a heading of the article."""
+        if not self.doubt:
+            return
+        length, linked, titled = self._sums()
+        gone = {n for n in self.doubt if not titled[n] and (length[n] < TELLS or linked[n] > LINKED * length[n])}
+        off = [False] * len(self.tag)
+        for node in range(1, len(self.tag)):
+            off[node] = node in gone or off[self.parent[node]]
+        self.blocks = [b for b in self.blocks if not off[b[0]]]
+
+    def _sums(self) -> tuple[list[int], list[int], list[bool]]:
+        """Per node the characters of text and of links below it, and whether it holds an <h1> or <h2>."""
+        length, linked, titled = [0] * len(self.tag), [0] * len(self.tag), [False] * len(self.tag)
+        for node, text, links in self.blocks:
+            length[node] += len(text)
+            linked[node] += links
+            titled[node] = titled[node] or self.tag[node] in ("h1", "h2")
+        for node in range(len(self.tag) - 1, 0, -1):  # children come after their parents
+            up = self.parent[node]
+            length[up] += length[node]
+            linked[up] += linked[node]
+            titled[up] = titled[up] or titled[node]
+        return length, linked, titled
 
     def points(self) -> tuple[list[float], list[int], list[int]]:
         """Per node: its points, and the characters of text and of links below it."""
-        score, length, linked = ([0.0] * len(self.tag) for _ in range(3))
+        score = [0.0] * len(self.tag)
         for node, text, links in self.blocks:
             own = (1 + text.count(",") + text.count("，") + text.count("、") + min(len(text) / 100, 3.0)) * (1 if len(text) >= 25 else 0.25)
             own *= 1 - min(1.0, links / len(text))
@@ -167,11 +216,7 @@ class Page:
             score[to] += own
             if to > 0:
                 score[self.parent[to]] += own / 2
-            length[node] += len(text)
-            linked[node] += links
-        for node in range(len(self.tag) - 1, 0, -1):  # children come after their parents
-            length[self.parent[node]] += length[node]
-            linked[self.parent[node]] += linked[node]
+        length, linked, _ = self._sums()
         return [s * (1 - min(1.0, k / n)) if n else 0.0 for s, n, k in zip(score, length, linked, strict=True)], length, linked
 
     def main_text(self) -> str:
@@ -206,8 +251,10 @@ def extract(html: str | None) -> str:
 def extract_pages(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars per row; no shuffle, no state between pages.
 
-    A null or empty html gives an empty text. Broken markup is read as far as it goes, nothing is
-    capped. Repeated rows come out repeated; other columns are ignored.
+    A null or empty html gives an empty text. Broken markup is read as far as it goes: a quote that
+    isn't closed is none, and a tag that the page's end cuts off is left out. Pages of any length are read
+    whole, in time that grows with their length. Repeated rows come out repeated; other columns are
+    ignored; an empty table gives an empty one.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -66,3 +66,28 @@ KEPT = "\n".join([LONG] * 3)
 )
 def test_nothing_beside_the_best_container_is_lost(page, text):
     assert extract(page) == text
+
+
+def test_broken_tags_never_reach_the_text():
+    long = "Some text, with commas, that is long enough to count as a paragraph of the article."
+    for page in (f"<p title=it's>{long}</p><p>Next</p>", f'<p class="x>{long}</p>', f"<div data-x='1' title=\"a>b\"><p>{long}</p></div>", f"<p>{long}</p><a href='x"):
+        text = extract(page)
+        assert "<" not in text and "title" not in text and "class" not in text and long in text, page
+    assert extract(f"<p>{long} 1 < 2 and <3 hearts</p>") == f"{long} 1 < 2 and <3 hearts"
+    assert extract(f"<!-- <p>no</p> --><p>{long}</p><!-- open <p>lost") == long
+
+
+def test_names_with_doubtful_words():
+    long = "Some text, with commas, that is long enough to count as a paragraph of the article, and then a bit more of it, so that it can't be a mere notice on the page."
+    page = f'<div class="post"><div class="entry-header"><h1>The title</h1></div><p>{long}</p><section id="notice-of-ruling"><p>{long} Again.</p></section>'
+    page += f'<div class="cookie-notice"><p>We use cookies.</p></div><div class="with-ads promo"><p>{long} Buy.</p></div><div class="thread"><p>{long} I agree.</p></div><div class="with-sidebar"><p>{long} End.</p></div></div>'
+    assert extract(page) == f"The title\n{long}\n{long} Again.\n{long} End."
+
+
+def test_long_pages_take_time_in_proportion():
+    import time
+
+    start = time.perf_counter()
+    for page in ("<a " * 300_000, "<b>" * 200_000 + "</i>" * 200_000, "<b>" * 100_000 + "<h1>x</h1>" * 50_000, '<a b="' * 200_000, "<a b='>" * 200_000, "<!-- " * 200_000, "<" * 500_000, "<div>" * 100_000 + "text"):
+        extract(page)
+    assert time.perf_counter() - start < 60
