@@ -94,6 +94,7 @@ def unit_rows(arrays: list, width: int) -> np.ndarray:
     out = np.zeros((len(arrays), width))
     for i, a in enumerate(arrays):
         out[i, : len(a)] = a
+    out /= np.abs(out).max(axis=1, keepdims=True)  # so that no square is lost or infinite
     return out / np.linalg.norm(out, axis=1, keepdims=True)
 
 
@@ -170,7 +171,9 @@ def vector_classes(vectors: DataFrame, least: float = 0.93, probes: int = PROBES
 
     Rows link when their labels are equal and their cosine is `least` or more. Rows whose label is
     null or whose vector has no direction link with nothing. Equal vectors of a label are one node
-    with copies. A shorter vector counts as filled up with zeros only against its own length.
+    with copies. Vectors of different lengths don't link. A null vec_id links like any other and
+    names a component only if no other member has an id; repeated rows come out repeated and link
+    with each other. An empty table gives an empty one; other columns are ignored.
     The quantiser is fitted on about MAX_SAMPLE nodes with the smallest hashes; all are indexed.
     """
     rows = vectors.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>").alias("vec"), F.col("label"))

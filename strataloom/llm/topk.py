@@ -4,6 +4,7 @@ Every component of a vector is a term. Documents stand in ranges of like vectors
 of ROWS; a block keeps the highest and lowest value of each term, so that the sum of the better
 product per term bounds every score in it. A query visits the blocks of a chunk by falling bound,
 scores their rows from the block's forward index, and stops when the bound falls below its kth score.
+Chunks have such bounds too: a query searches its own chunk first, then those that can still matter.
 """
 
 from __future__ import annotations
@@ -15,46 +16,60 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import stored
+from strataloom.llm.common import forget, stored
 
 #: Rows of a block, blocks scored at a time, rows of a chunk (about), queries of a group (about).
 ROWS, STEP, CHUNK, GROUP = 64, 8, 8192, 1024
 #: Products are summed in floating point only where every sum is exact: below this.
 EXACT = float(1 << 52)
+#: The largest 64-bit number; stands for a null vec_id, which so comes last.
+TOP = (1 << 63) - 1
 
 
-def search(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(query row, scores, ids) of each query's k best rows but its own, ties to smaller ids. Integer matrices of one width."""
+def search(queries: np.ndarray, own: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int, names: np.ndarray | None = None, floor: np.ndarray | None = None) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(query row, scores, ids) of each query's k best rows but its own, ties to smaller names, then ids. Matrices of whole numbers of one width.
+
+    names: what ties are settled by, the ids if None. floor: a score below which each query needs no rows.
+    """
+    names = ids if names is None else names
     size = float(np.abs(queries).max(initial=0)) * float(np.abs(rows).max(initial=0)) * max(1, rows.shape[1])
-    kind = np.float64 if size < EXACT else object
+    exact = size < EXACT
+    q, d = (queries.astype(np.float64), rows.astype(np.float64)) if exact else (_whole(queries), _whole(rows))
     starts = np.arange(0, len(rows), ROWS)
-    q, d = queries.astype(kind), rows.astype(kind)
-    high, low = np.maximum.reduceat(rows, starts, axis=0).astype(kind), np.minimum.reduceat(rows, starts, axis=0).astype(kind)
+    high, low = np.maximum.reduceat(d, starts, axis=0), np.minimum.reduceat(d, starts, axis=0)
     bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
     out = []
     for i in range(len(q)):
         order = np.argsort(-bounds[i], kind="stable")
-        score, name = np.zeros(0, kind), np.zeros(0, np.int64)
+        score, best_of = np.zeros(0, d.dtype), np.zeros(0, np.int64)
+        least = None if floor is None or floor[i] == -np.inf else float(floor[i]) if exact else int(floor[i] - abs(floor[i]) * 1e-9)
         for at in range(0, len(order), STEP):
-            if len(score) == k and bounds[i][order[at]] < score[-1]:
+            most = bounds[i][order[at]]
+            if len(score) == k and most < score[-1] or least is not None and most < least:
                 break
             at = np.concatenate([np.arange(starts[b], min(starts[b] + ROWS, len(rows))) for b in order[at : at + STEP]])
             at = at[ids[at] != own[i]]
-            s, n = np.append(score, d[at] @ q[i]), np.append(name, ids[at])
-            best = np.lexsort((n, -s))[:k]
-            score, name = s[best], n[best]
-        out.append((i, score, name))
+            s, n = np.append(score, d[at] @ q[i]), np.append(best_of, at)
+            best = np.lexsort((ids[n], names[n], -s))[:k]
+            score, best_of = s[best], n[best]
+        out.append((i, score, ids[best_of]))
     return out
 
 
-def _tiles(k: int, width: int):
-    """Reads tiles from a sorted partition: the queries of a tile come before its rows."""
+def _whole(x: np.ndarray) -> np.ndarray:
+    """Python's whole numbers, for sums beyond what a double holds."""
+    return np.array([[int(v) for v in row] for row in x], object).reshape(x.shape)
+
+
+def _matrix(arrays: list, width: int) -> np.ndarray:
+    out = np.zeros((len(arrays), width))
+    for i, a in enumerate(arrays):
+        out[i, : len(a)] = a
+    return out
 
-    def matrix(arrays: list) -> np.ndarray:
-        out = np.zeros((len(arrays), width), np.int64)
-        for i, a in enumerate(arrays):
-            out[i, : len(a)] = a
-        return out
+
+def _tiles(k: int, width: int):
+    """Reads tiles from a sorted partition: the queries of a tile come before its rows. Scores beyond 64 bits are cut to them; `size` orders them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, held = None, []
@@ -62,13 +77,14 @@ def _tiles(k: int, width: int):
         def done() -> Iterator[pa.RecordBatch]:
             whole = pa.Table.from_batches(held)
             asks = whole.column("is_row").to_numpy() == 0
-            ids, vec = whole.column("vec_id").to_numpy(), matrix(whole.column("vec").to_numpy())
             if asks.all() or not asks.any():
                 return
-            group = whole.column("ask").to_numpy()[asks]
-            for i, score, name in search(vec[asks], ids[asks], ids[~asks], vec[~asks], k):
-                n = len(name)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, ids[asks][i])), pa.array(np.full(n, group[i])), pa.array(name), pa.array(score.astype(np.int64))], ["query_id", "ask", "vec_id", "score"])
+            ids, names, vec = whole.column("row").to_numpy(), whole.column("name").to_numpy(), _matrix(whole.column("vec").to_numpy(), width)
+            floor = whole.column("floor").to_numpy()[asks]
+            name_of = dict(zip(ids[~asks].tolist(), names[~asks].tolist(), strict=True))
+            for i, score, found in search(vec[asks], ids[asks], ids[~asks], vec[~asks], k, names[~asks], floor):
+                n, cut = len(found), [max(-TOP - 1, min(TOP, int(x))) for x in score]
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(n, ids[asks][i])), pa.array(np.full(n, names[asks][i])), pa.array([name_of[x] for x in found.tolist()], pa.int64()), pa.array(found), pa.array(cut, pa.int64()), pa.array([float(x) for x in score], pa.float64())], ["ask", "query_id", "name", "row", "score", "size"])
 
         for whole in batches:
             pairs = np.stack([whole.column(c).to_numpy() for c in ("chunk", "part")], axis=1)
@@ -87,48 +103,96 @@ def _tiles(k: int, width: int):
     return work
 
 
+def _reach(width: int):
+    """Reads tiles of queries and of chunks' highest and lowest terms; which chunks can hold a row of each query's k best."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list] = {}
+        for whole in batches:
+            part, asks = whole.column("part").to_numpy(), whole.column("is_row").to_numpy() == 0
+            for p in np.unique(part):
+                if p not in held:
+                    held = {p: []}
+                own = (part == p) & ~asks
+                if own.any():
+                    mine = whole.filter(pa.array(own))
+                    held[p].append((mine.column("row").to_numpy(), _matrix(mine.column("vec").to_numpy(zero_copy_only=False), width), _matrix(mine.column("low").to_numpy(zero_copy_only=False), width)))
+                own = (part == p) & asks
+                if not own.any():
+                    continue
+                mine = whole.filter(pa.array(own))
+                q, home, floor = _matrix(mine.column("vec").to_numpy(zero_copy_only=False), width), mine.column("chunk").to_numpy(), mine.column("floor").to_numpy()
+                for chunk, high, low in held[p]:
+                    bounds = np.maximum(q, 0) @ high.T + np.minimum(q, 0) @ low.T
+                    # a bound may lose what a double can't hold
+                    can = (bounds + np.abs(bounds) * 1e-9 >= floor[:, None]) & (chunk[None, :] != home[:, None])
+                    a, b = np.nonzero(can)
+                    yield pa.RecordBatch.from_arrays([pa.array(mine.column("row").to_numpy()[a]), pa.array(chunk[b].astype(np.int32))], ["row", "chunk"])
+
+    return work
+
+
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: int = 256, chunk: int = CHUNK, group: int = GROUP) -> DataFrame:
     """query_id, rank, vec_id, score: the k rows with the highest integer inner product with each query.
 
-    vectors: vec_id, embedding. A component x counts as floor(scale * x). Queries are the rows
-    where is_query holds, candidates all rows with another vec_id. Rows without a vec_id, or whose
-    vector is null or holds null or non-finite components, take no part; a shorter vector counts
-    as filled up with zeros. Rows equal in vec_id and vector are one row.
+    vectors: vec_id, embedding; other columns are only read by is_query. A component x counts as
+    floor(scale * x). Queries are the rows where is_query holds, candidates all other rows, repeated
+    ones too: a repeated query comes out as often, and its copies are candidates. Ties go to the
+    smaller vec_id, a null one last. Vectors that are null or hold null or non-finite components take no part; a shorter vector counts
+    as filled up with zeros. A score beyond 64 bits is cut to them, but ranks as it is, to a double's
+    precision. An empty table gives an empty one.
+
+    Rows of like vectors stand in chunks. Each query searches its own chunk first; its kth score
+    there decides to which other chunks, by their highest and lowest terms, it is sent.
     """
     v = F.col("embedding")
     finite = F.coalesce(F.forall(v, lambda x: F.coalesce(F.abs(x) < float("inf"), F.lit(False)) & ~F.isnan(x)), F.lit(False))
-    vec = F.transform(v, lambda x: F.floor(x.cast("double") * scale).cast("long"))
-    rows = vectors.where(finite & F.col("vec_id").isNotNull()).select(F.col("vec_id").cast("long"), vec.alias("vec")).distinct()
+    floor = lambda y: F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)  # noqa: E731  larger doubles are whole
+    vec = F.transform(v, lambda x: floor(x.cast("double") * scale))
+    rows = vectors.where(finite).select(F.coalesce(F.col("vec_id").cast("long"), F.lit(TOP)).alias("name"), F.coalesce(is_query, F.lit(False)).alias("asks"), vec.alias("vec"))
     # like vectors stand together: by the term of the largest magnitude, its sign, and the vector itself
     size = F.array_max(F.transform("vec", lambda x: F.abs(x)))
     rows = rows.withColumn("term", F.coalesce(F.array_position(F.transform("vec", lambda x: F.abs(x)), size) * F.when(F.array_contains("vec", size), 1).otherwise(-1), F.lit(0)))
     rows = stored(rows, "rows")
     n, width = rows.agg(F.count("*"), F.coalesce(F.max(F.size("vec")), F.lit(0))).first()
-    if not n or not width:
-        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long") if not n else _unscored(rows, is_query, k)
-    placed = rows.repartitionByRange(max(1, -(-n // chunk)), "term", "vec", "vec_id").withColumn("chunk", F.spark_partition_id())
-    placed = stored(placed.sortWithinPartitions("term", "vec", "vec_id"), "placed")
-    chunks, asked = placed.agg(F.max("chunk"), F.count(F.when(is_query, 1))).first()
+    if not n:
+        return rows.sparkSession.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    width = max(width, 1)
+    placed = rows.repartitionByRange(max(1, -(-n // chunk)), "term", "vec", "name").withColumn("chunk", F.spark_partition_id())
+    placed = stored(placed.sortWithinPartitions("term", "vec", "name").withColumn("row", F.monotonically_increasing_id()), "placed")
+    forget(rows)
+    asked = placed.where("asks").count()
     groups = max(1, -(-asked // group))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n)))
-    asks = placed.where(is_query).select(every(chunks).alias("chunk"), F.pmod(F.xxhash64("vec_id"), F.lit(groups)).cast("int").alias("part"), F.lit(0).alias("is_row"), F.xxhash64("vec").alias("ask"), "term", "vec_id", "vec")
-    them = placed.select("chunk", every(groups - 1).alias("part"), F.lit(1).alias("is_row"), F.lit(0).cast("long").alias("ask"), "term", "vec_id", "vec")
-    tiles = asks.union(them).repartition("chunk", "part").sortWithinPartitions("chunk", "part", "is_row", "term", "vec", "vec_id")
-    best = tiles.select("chunk", "part", "is_row", "ask", "vec_id", "vec").mapInArrow(_tiles(k, width), "query_id long, ask long, vec_id long, score long")
-    return _ranked(best, k)
-
-
-def _ranked(scored: DataFrame, k: int) -> DataFrame:
-    order = Window.partitionBy("query_id", "ask").orderBy(F.desc("score"), "vec_id")
-    return scored.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
-
-
-def _unscored(rows: DataFrame, is_query, k: int) -> DataFrame:
-    """All vectors are empty, so every score is 0: the k smallest other ids."""
-    first = rows.select("vec_id").distinct().orderBy("vec_id").limit(k + 1).agg(F.sort_array(F.collect_list("vec_id")).alias("all")).first()["all"]
-    other = F.filter(F.array(*[F.lit(i).cast("long") for i in first]), lambda i: i != F.col("query_id"))
-    asks = rows.where(is_query).select(F.col("vec_id").alias("query_id"))
-    return asks.select("query_id", F.posexplode(F.slice(other, 1, k)).alias("rank", "vec_id")).select("query_id", (F.col("rank") + 1).alias("rank"), "vec_id", F.lit(0).cast("long").alias("score"))
+    tile = ["chunk", "part", "is_row", "floor", "row", "name", "vec"]
+    asks = placed.where("asks").select("chunk", F.pmod(F.xxhash64("row"), F.lit(groups)).cast("int").alias("part"), F.lit(0).alias("is_row"), F.lit(float("-inf")).alias("floor"), "row", "name", "vec")
+    shape = "ask long, query_id long, name long, row long, score long, size double"
+
+    def searched(some: DataFrame, them: DataFrame) -> DataFrame:
+        tiles = some.select(*tile).union(them.select(*tile)).repartition("chunk", "part").sortWithinPartitions("chunk", "part", "is_row", "row")
+        return tiles.mapInArrow(_tiles(k, width), shape)
+
+    # a chunk's own queries are part 0 of it
+    at_home = stored(searched(asks.withColumn("part", F.lit(0)), placed.select("chunk", F.lit(0).alias("part"), F.lit(1).alias("is_row"), F.lit(0.0).alias("floor"), "row", "name", "vec")), "at-home")
+    kth = at_home.groupBy("ask").agg(F.when(F.count("*") >= k, F.min("size")).alias("kth"))
+    asks = stored(asks.drop("floor").join(kth, F.col("row") == F.col("ask"), "left").withColumn("floor", F.coalesce("kth", F.lit(float("-inf")))).drop("kth", "ask"), "asks")
+    ends = placed.select("chunk", F.posexplode("vec").alias("at", "x")).groupBy("chunk", "at").agg(F.max("x").alias("hi"), F.min("x").alias("lo"), F.count("*").alias("many"))
+    sizes = placed.groupBy("chunk").agg(F.count("*").alias("all"))
+    # a term that some row of the chunk lacks is 0 there
+    ends = ends.join(sizes, "chunk").select("chunk", "at", *[F.when(F.col("many") < F.col("all"), f(c, F.lit(0.0))).otherwise(F.col(c)).alias(c) for c, f in (("hi", F.greatest), ("lo", F.least))])
+    ends = ends.groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("at", "hi", "lo"))).alias("e"))
+    ends = stored(sizes.join(ends, "chunk", "left").select("chunk", *[F.coalesce(F.col(f"e.{c}"), F.array().cast("array<double>")).alias(a) for c, a in (("hi", "vec"), ("lo", "low"))]), "ends")
+    many = max(1, -(-asked // (8 * group)))  # bounds are cheap, so more queries meet at once
+    every = F.explode(F.sequence(F.lit(0), F.lit(many - 1))).alias("part")
+    left = asks.select(F.pmod(F.xxhash64("row"), F.lit(many)).cast("int").alias("part"), F.lit(0).alias("is_row"), "chunk", "floor", "row", "vec", F.lit(None).cast("array<double>").alias("low"))
+    over = ends.select(every, F.lit(1).alias("is_row"), F.lit(-1).alias("chunk"), F.lit(0.0).alias("floor"), F.col("chunk").cast("long").alias("row"), "vec", "low")
+    pairs = left.union(over).repartition("part").sortWithinPartitions("part", F.desc("is_row")).mapInArrow(_reach(width), "row long, chunk int")
+    sent = stored(asks.drop("chunk").join(pairs, "row"), "sent")
+    wanted = sent.select("chunk", "part").distinct()
+    them = placed.select("chunk", F.lit(1).alias("is_row"), F.lit(0.0).alias("floor"), "row", "name", "vec").join(wanted, "chunk")
+    best = at_home.union(searched(sent, them))
+    order = Window.partitionBy("ask").orderBy(F.desc("size"), F.desc("score"), "name", "row")
+    ranked = best.withColumn("rank", F.row_number().over(order).cast("int")).where(F.col("rank") <= k)
+    return ranked.select(*[F.when(F.col(c) != TOP, F.col(c)).alias(a) if a != "rank" else F.col("rank") for c, a in (("query_id", "query_id"), ("rank", "rank"), ("name", "vec_id"))], "score")
 
 
 def op8_topk(spark, sf_dir: str) -> DataFrame:
