@@ -8,9 +8,12 @@ from strataloom.operators import constraints as C
 from strataloom.operators import decode as D
 from strataloom.operators import encode as E
 from strataloom.operators import profile as P
+from strataloom.operators import ranks
+from strataloom.operators import sampler as M
 from strataloom.operators import sequences as S
 from strataloom.operators import tables as T
 from strataloom.operators.embedding import project
+from strataloom.sources import files
 from strataloom.sources.files import read_profile, read_table, write_profile, write_table
 from strataloom.streaming.codes import encode_stream
 
@@ -169,3 +172,70 @@ def test_private_statistics(spark):
     assert lo <= 0 and hi == 128.0
     assert [r.value for r in P.dp_counts(P.category_counts(df, F.col("c")), 5.0, 3).collect()] == ["many"]
     assert synthesize(spark, df, 20, {"privacy": Privacy(epsilon=5.0)}, seed=1).count() == 20
+
+
+def test_ranks_do_not_gather_in_one_cell(spark):
+    """One outlier, a common prefix and many ties: no cell holds more than a few times its share, and the sums are right."""
+
+
+    rows = [(i, float(i) if i else 1e12, f"Customer#{i:06}", i % 3) for i in range(4000)]
+    df = spark.createDataFrame(rows, "id int, x double, name string, tie int")
+    for order, key in ((["x"], lambda r: r[1]), (["name"], lambda r: r[2]), (["tie", "id"], lambda r: (r[3], r[0]))):
+        edges = ranks.boundaries(df, order, 16)
+        sizes = [r["count"] for r in df.withColumn("cell", ranks.cell_of(df, order, edges)).groupBy("cell").count().collect()]
+        assert len(sizes) == 16 and max(sizes) < 4 * 4000 / 16
+        got = {r.id: r.before for r in ranks.cumulated(df, order, F.lit(1), "before", 16).collect()}
+        assert got == {r[0]: k for k, r in enumerate(sorted(rows, key=key))}
+    nulls = spark.createDataFrame([(None, 1), (2, 2), (None, 3), (1, 4)], "x int, id int")
+    assert {r.id: r.at for r in ranks.cumulated(nulls, ["x", "id"], F.lit(1), "at").collect()} == {1: 0, 3: 1, 4: 2, 2: 3}
+
+
+def test_split_takes_the_smallest_hashes(spark):
+    df = spark.range(1000)
+    got = S.train_split(df, ["id"], 0.1, 3).withColumn("h", F.xxhash64(F.lit(3), "id")).collect()
+    assert {r.id for r in got if r.part == "val"} == {r.id for r in sorted(got, key=lambda r: r.h)[:100]}
+    assert S.train_split(df.where("id < 1"), ["id"], 0.1).first().part == "train"
+
+
+def test_fill_takes_values_as_often_as_they_stand(spark):
+    df = spark.range(6000).select("id", F.when(F.col("id") % 2 == 0, F.when(F.col("id") % 8 == 0, "a").otherwise("b")).alias("x"))
+    made = {r.x: r["count"] for r in E.fill_missing(df, "x", "id", 4).where("id % 2 = 1").groupBy("x").count().collect()}
+    assert abs(made["a"] / 3000 - 0.25) < 0.04 and set(made) == {"a", "b"}
+    none = E.fill_missing(df.withColumn("x", F.lit(None).cast("string")), "x", "id", 4)
+    assert none.where("x is null").count() == 6000
+
+
+def test_sequences_follow_conditions_and_parents(spark):
+    parents = spark.range(60).select("id", F.when(F.col("id") % 2 == 0, "even").otherwise("odd").alias("kind"))
+    rows = parents.select("id", "kind", F.explode(F.sequence(F.lit(1), F.lit(4))).alias("at")).select("id", "at", F.when(F.col("at") > 1, "x").when(F.col("kind") == "even", "e").otherwise("o").alias("c"))
+    model = M.fit(rows, {"privacy": {"threshold": 1}}, "id", ["at"], parents, "id", ["kind"])
+    first = {(r.id % 2, r.c) for r in M.generate_sequences(spark, model, parents, "id", seed=3).where("step = 0").collect()}
+    assert first == {(0, "e"), (1, "o")}
+    holed = rows.withColumn("c", F.when(F.col("at") != 2, F.col("c"))).withColumn("row_id", F.concat_ws("-", "id", "at"))
+    filled = M.impute(spark, model, holed, trials=2, seed=1).collect()
+    was = {(r.id, r["at"]): r.c for r in rows.collect()}
+    assert len(filled) == 240 and all(r.c == was[r.id, r["at"]] for r in filled)
+
+
+def test_a_pick_may_be_a_callable(spark):
+    rows = spark.createDataFrame([(i, "abc"[i % 3] if i < 30 else None) for i in range(40)], "row_id int, c string")
+    model = M.fit(rows.select("c").where("c is not null"), {"privacy": {"threshold": 1}})
+    every = M.impute(spark, model, rows, trials=4, pick="all", seed=5).where("row_id >= 30").groupBy("row_id").agg(F.max("c").alias("c")).collect()
+    got = {r.row_id: r.c for r in M.impute(spark, model, rows, trials=4, pick=F.array_max, seed=5).collect()}
+    assert {r.row_id: r.c for r in every} == {i: c for i, c in got.items() if i >= 30}
+
+
+def test_context_is_checked(spark):
+    child, parent = spark.createDataFrame([(1, 2)], "fk int, x int"), spark.createDataFrame([(1, 2)], "pk int, y int")
+    assert M.check_context(child, parent, None, "fk", "pk") == "pk" and M.check_context(child, None) is None
+    for given in ((None, {"y": "categorical"}, None, None), (None, None, None, "pk"), (parent, None, "no", None), (parent, None, "fk", None), (parent, None, "fk", "no")):
+        with pytest.raises(InvalidRequestError):
+            M.check_context(child, *given)
+
+
+def test_positions_and_embeddings_as_codes(spark):
+    df = spark.createDataFrame([(7,), (123,)], "p int")
+    assert [tuple(r) for r in df.select(*[c.alias(k) for k, c in S.positional(F.col("p"), 250, "s").items()]).collect()] == [(0, 0, 7), (1, 2, 3)]
+    assert [*S.positional(F.col("p"), 99, "s")] == ["scat"]
+    v = spark.createDataFrame([([0.5, -1.25, 3.0],), (None,)], "v array<float>")
+    assert [r.b for r in v.select(files.embedding_from_base64(files.embedding_to_base64(F.col("v"))).alias("b")).collect()] == [[0.5, -1.25, 3.0], None]
