@@ -77,3 +77,21 @@ def test_top_k_of_few_and_large_values():
     d = np.array([[2**40, 3], [2**40, 2], [-(2**40), 9]])
     (_, score, name), = topk.search(q, np.array([9]), np.array([1, 2, 3]), d, 5)
     assert name.tolist() == [1, 2, 3] and score[0] == 2**80 + 3
+
+
+def test_recall_where_few_lists_are_probed(spark):
+    """300 lists, 24 of them probed: nine tenths of the links, at least, that all pairs give."""
+    rng = np.random.default_rng(8)
+    base = rng.standard_normal((1000, 32))
+    v = np.concatenate([base, base + 0.25 * rng.standard_normal(base.shape), base + 0.3 * rng.standard_normal(base.shape)]).astype(np.float32)
+    u = v.astype(float) / np.linalg.norm(v.astype(float), axis=1, keepdims=True)
+    want = int((u @ u.T >= 0.93).sum()) - len(u)
+    df = spark.createDataFrame([(i, x.tolist(), 1) for i, x in enumerate(v)], "vec_id long, embedding array<float>, label int")
+    got = quantised.vector_classes(df, per_list=10).agg(F.sum("n_links")).first()[0]
+    assert 0.9 * want <= got <= want and want > 1000
+
+
+def test_null_ids_and_extreme_components(spark):
+    rows = [(None, [1.0, 0.0], 1), (None, [1.0, 0.0], 1), (5, [1.0, 0.0], 1), (6, [1e200, 1e190], 1), (7, [1e-200, 0.0], 1), (None, [0.0, 1.0], 2)]
+    got = sorted(((r.vec_id or -1, r.n_links, r.component_id) for r in quantised.vector_classes(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()), key=str)
+    assert got == sorted([(-1, 4, 5), (-1, 4, 5), (5, 4, 5), (6, 4, 5), (7, 4, 5), (-1, 0, None)], key=str)
