@@ -16,8 +16,20 @@ DAY_FIRST = ("dd/MM/yyyy", "dd/MM/yyyy HH:mm:ss")
 
 
 def to_text(c: Column, kind: str) -> Column:
-    """A value as text; booleans as True and False."""
-    return F.when(c, "True").when(~c, "False") if kind == "boolean" else c.cast("string")
+    """A value as text; booleans as True and False, doubles in full from 1e-4 up to 1e16 and else with an exponent of two digits at least."""
+    if kind == "boolean":
+        return F.when(c, "True").when(~c, "False")
+    return _double_text(c) if kind == "double" else c.cast("string")
+
+
+def _double_text(c: Column) -> Column:
+    text = c.cast("string")
+    digits = F.regexp_replace(F.regexp_replace(F.substring_index(text, "E", 1), "[-.]", ""), "(?<=.)0+$", "")
+    sign, exponent = F.when(text.startswith("-"), "-").otherwise(""), F.substring_index(text, "E", -1).try_cast("int")
+    wide = F.concat(F.rpad(digits, exponent + 1, F.lit("0")), F.lit("."), F.when(F.length(digits) > exponent + 1, F.substring(digits, exponent + 2, F.length(digits))).otherwise("0"))
+    near = F.concat(F.lit("0."), F.repeat(F.lit("0"), -exponent - 1), digits)
+    far = F.concat(F.left(digits, F.lit(1)), F.when(F.length(digits) > 1, F.concat(F.lit("."), F.substring(digits, F.lit(2), F.length(digits)))).otherwise(""), F.lit("e"), F.when(exponent < 0, "-").otherwise("+"), F.lpad(F.abs(exponent).cast("string"), F.greatest(F.lit(2), F.length(F.abs(exponent).cast("string"))), F.lit("0")))
+    return F.when(~text.contains("E"), text).otherwise(F.concat(sign, F.when((exponent >= 0) & (exponent < 16), wide).when((exponent < 0) & (exponent >= -4), near).otherwise(far)))
 
 
 def escape_tokens(c: Column) -> Column:

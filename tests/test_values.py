@@ -27,6 +27,11 @@ def test_escape_is_undone(spark, texts):
     assert all(a == c and b not in (V.RARE, V.NULL) for a, b, c in got)
 
 
+def test_doubles_as_text(spark):
+    xs = [0.0, -0.0, 1.5, -2.0, 9999999.5, 1e7, 12345678.0, -1234567890.125, 1e15, 123456789012345680.0, 1e16, 2.5e-3, 1e-4, 0.00012345, 1e-5, -1.25e-7, 1e100, 3.0e-300]
+    assert [g[0] for g in one(spark, V.to_text(F.col("a"), "double"), rows=[(x,) for x in xs], schema="a double")] == [repr(x) for x in xs]
+
+
 def test_numbers_in_text(spark):
     texts = ["$-1,234.5e3", "x 12.50 y", "", "none", ".5", "1e3", None]
     assert [g[0] for g in one(spark, V.to_number(F.col("a")), rows=[(t,) for t in texts], schema="a string")] == [-1.0, 12.5, None, None, 0.5, 1000.0, None]
