@@ -40,9 +40,9 @@ def weights(profile: Profile, dim: int, seed: int, size: str = "medium") -> dict
     return out | {"head:1": layer(total, hidden), "head:2": layer(hidden, dim)}
 
 
-def project(codes: DataFrame, profile: Profile, dim: int = 64, seed: int = 0, keep: tuple[str, ...] = ("row_id",), noise: float = 0.0, size: str = "medium") -> DataFrame:
-    """keep and `embedding`, an array of float, per row of codes. The weights, bounded by the profile, are broadcast."""
-    shared = codes.sparkSession.sparkContext.broadcast(weights(profile, dim, seed, size))
+def project(codes: DataFrame, profile: Profile, dim: int = 64, seed: int = 0, keep: tuple[str, ...] = ("row_id",), noise: float = 0.0, size: str = "medium", given: dict[str, np.ndarray] | None = None) -> DataFrame:
+    """keep and `embedding`, an array of float, per row of codes. The weights (those given, else drawn by the seed), bounded by the profile, are broadcast."""
+    shared = codes.sparkSession.sparkContext.broadcast(given or weights(profile, dim, seed, size))
     columns = {p.name: [f"{p.name}__{s}" for s in p.subs] for p in profile.columns.values()}
     flat = [c for cs in columns.values() for c in cs]
 

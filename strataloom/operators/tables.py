@@ -119,30 +119,49 @@ def assign_key(df: DataFrame, pk: str, kind: str, row_id: str = "row_id", seed:
     return df.select(key_column(kind, F.col(row_id), any_seed(seed)).alias(pk), *[F.col(f"`{c}`") for c in df.columns if c not in (row_id, pk)])
 
 
-def synthesize_tables(spark: SparkSession, tables: dict[str, Table], presets: dict[str, Synthetic] | None = None, config: ModelConfig | dict | None = None, seed: int | None = None) -> dict[str, DataFrame]:
+def check_per_table(value: dict | None, tables: dict[str, Table], name: str, fits, hint: str) -> dict:
+    """A setting by table: its tables exist and its values fit; an empty dict for None."""
+    unknown = set(value or {}) - set(tables)
+    if unknown:
+        raise InvalidRequestError(f"{name}: no such tables: {sorted(unknown)}", name)
+    for table, v in (value or {}).items():
+        if not fits(v):
+            raise InvalidRequestError(f"{name} of {table!r} must be {hint}", name)
+    return value or {}
+
+
+def _number(v: object) -> bool:
+    return isinstance(v, (int, float)) and not isinstance(v, bool)
+
+
+def synthesize_tables(
+    spark: SparkSession, tables: dict[str, Table], presets: dict[str, Synthetic] | None = None, config: ModelConfig | dict | None = None, seed: int | None = None,
+    diversity: dict[str, float] | None = None, rare_cutoff: dict[str, float] | None = None,
+) -> dict[str, DataFrame]:
     """New tables with valid keys. Models learn from the real parents; rows are made for the new ones.
 
-    A table's other foreign keys are drawn from the rows of their new parents in turn.
+    Sequences begin given the columns of their parents. A table's other foreign keys are drawn from
+    the rows of their new parents in turn. diversity and rare_cutoff: by table.
     """
     names, seed, out = check_tables(tables), any_seed(seed), {}
-    unknown = set(presets or {}) - set(tables)
-    if unknown:
-        raise InvalidRequestError(f"no such tables: {sorted(unknown)}", "presets")
+    check_per_table(presets, tables, "presets", lambda v: isinstance(v, Synthetic), "a Synthetic")
+    diversity = check_per_table(diversity, tables, "diversity", lambda v: _number(v) and v > 0, "above 0")
+    rare_cutoff = check_per_table(rare_cutoff, tables, "rare_cutoff", lambda v: _number(v) and 0 < v <= 1, "above 0 and 1 at most")
     for k, name in enumerate(names):
         t, preset = tables[name], (presets or {}).get(name)
-        own = seed + k if preset is None or preset.seed is None else None
+        own = {"seed": seed + k if preset is None or preset.seed is None else None} | {n: v[name] for n, v in (("diversity", diversity), ("rare_cutoff", rare_cutoff)) if name in v}
         keys = {t.primary_key, *t.foreign_keys} - {None}
         data = t.data.drop(*keys)
         if t.sequential:
             parent = tables[t.foreign_keys[t.context_key]]
             rows = t.data.select(t.context_key, *[c for c in t.data.columns if c not in keys or c in t.order])
             order = [c for c in t.order]
-            model = sampler.fit(rows.select(t.context_key, *[F.col(o).alias(f"_order{i}") for i, o in enumerate(order)], *data.columns), config, t.context_key, [f"_order{i}" for i in range(len(order))], parent.data, parent.primary_key)
+            model = sampler.fit(rows.select(t.context_key, *[F.col(o).alias(f"_order{i}") for i, o in enumerate(order)], *data.columns), config, t.context_key, [f"_order{i}" for i in range(len(order))], parent.data, parent.primary_key, [c for c in parent.data.columns if c not in {parent.primary_key, *parent.foreign_keys}])
             new_parent = out[t.foreign_keys[t.context_key]]
-            made = sampler.generate_sequences(spark, model, new_parent, parent.primary_key, preset=preset, seed=own)
+            made = sampler.generate_sequences(spark, model, new_parent, parent.primary_key, preset=preset, **own)
             made = _dense(made, t.context_key)
         else:
-            made = sampler.generate(spark, sampler.fit(data, config), None if preset and preset.n else t.data.count(), preset, seed=own)
+            made = sampler.generate(spark, sampler.fit(data, config), None if preset and preset.n else t.data.count(), preset, **own)
         for fk, parent in t.foreign_keys.items():
             if fk not in made.columns:
                 keys_of = with_index(out[parent].select(F.col(tables[parent].primary_key).alias("_pk")).withColumn("_h", F.xxhash64("_pk").cast("double")), ["_h", "_pk"], "_i").select("_pk", "_i")

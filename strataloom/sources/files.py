@@ -50,6 +50,20 @@ def read_profile(spark: SparkSession, path: str) -> Profile:
     return Profile(out)
 
 
+def write_weights(spark: SparkSession, weights: dict[str, np.ndarray], path: str) -> None:
+    """Weight tables by name, a row of numbers per row."""
+    rows = [(name, i, [float(x) for x in row]) for name, w in weights.items() for i, row in enumerate(w)]
+    spark.createDataFrame(rows, "name string, at int, row array<double>").coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def read_weights(spark: SparkSession, path: str) -> dict[str, np.ndarray]:
+    """What write_weights wrote."""
+    out: dict[str, list] = {}
+    for r in spark.read.parquet(path).orderBy("name", "at").collect():
+        out.setdefault(r.name, []).append(r.row)
+    return {k: np.array(v) for k, v in out.items()}
+
+
 def embedding_to_json(c: Column) -> Column:
     return F.to_json(c)
 

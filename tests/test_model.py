@@ -239,3 +239,21 @@ def test_positions_and_embeddings_as_codes(spark):
     assert [*S.positional(F.col("p"), 99, "s")] == ["scat"]
     v = spark.createDataFrame([([0.5, -1.25, 3.0],), (None,)], "v array<float>")
     assert [r.b for r in v.select(files.embedding_from_base64(files.embedding_to_base64(F.col("v"))).alias("b")).collect()] == [[0.5, -1.25, 3.0], None]
+
+
+def test_weights_come_back_from_files(spark, people, tmp_path):
+    from strataloom.operators.embedding import weights
+
+    p = P.profile_table(people.select("city", "age"), privacy=Privacy(threshold=1))
+    codes, w = E.encode_columns(people, p, ("row_id",)), weights(p, 8, 3)
+    files.write_weights(spark, w, str(tmp_path / "w"))
+    back = files.read_weights(spark, str(tmp_path / "w"))
+    assert set(back) == set(w) and all((back[k] == w[k]).all() for k in w)
+    assert project(codes, p, 8, 3).collect() == project(codes, p, 8, given=back).collect()
+
+
+def test_settings_by_table_are_checked(spark):
+    tables = {"a": Table(spark.range(3), "id")}
+    for name, value in (("presets", {"b": Synthetic()}), ("presets", {"a": 1}), ("diversity", {"a": 0}), ("rare_cutoff", {"a": 1.5}), ("diversity", {"b": 1})):
+        with pytest.raises(InvalidRequestError):
+            T.synthesize_tables(spark, tables, **{name: value})
