@@ -18,6 +18,7 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -196,7 +197,7 @@ def _texts(rows: DataFrame, *more: str) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), *more)
 
 
-def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 8_000) -> Model:
+def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 6_000) -> Model:
     """Learn from labelled (doc_id, toxic) joined with docs.
 
     max_examples bounds the labelled rows: of more, those with the smallest hashes of doc_id are
@@ -219,13 +220,17 @@ def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 8_000) -> Mode
             said = [names[t].tolist() for t, _ in own]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("label"), pa.array(said, pa.list_(pa.string())), pa.array([c.tolist() for _, c in own], pa.list_(pa.int64()))], ["doc_id", "label", "terms", "n"])
 
-    table = rows.mapInArrow(coded, "doc_id long, label int, terms array<string>, n array<long>").toArrow().sort_by([("doc_id", "ascending"), ("label", "ascending")])
+    table = rows.mapInArrow(coded, "doc_id long, label int, terms array<string>, n array<long>").toArrow()
     forget(rows)
-    names = table.column("terms").combine_chunks().flatten().dictionary_encode()
-    term, n = names.indices.to_numpy().astype(np.int64), table.column("n").combine_chunks().flatten().to_numpy()
-    terms = {t: i for i, t in enumerate(names.dictionary.to_pylist())}
-    row = np.repeat(np.arange(len(table)), np.array([len(x) for x in table.column("n").to_pylist()], np.int64))
+    # numbers of terms follow their order, examples that of ids and labels, so reruns agree
+    table = table.take(pc.sort_indices(table.select(["doc_id", "label"]), [("doc_id", "ascending"), ("label", "ascending")]))
     labels, ids = (table.column("label").to_numpy() > 0).astype(float), table.column("doc_id").to_numpy()
+    row = np.repeat(np.arange(len(ids)), pc.list_value_length(table.column("n")).to_numpy().astype(np.int64))
+    n, names = table.column("n").combine_chunks().flatten().to_numpy(), table.column("terms").combine_chunks().flatten().dictionary_encode()
+    del table
+    term, terms = names.indices.to_numpy().astype(np.int64), {t: i for i, t in enumerate(names.dictionary.to_pylist())}
+    del names
+    pa.default_memory_pool().release_unused()  # the driver has little room
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader, total = Reader(terms), np.zeros(len(terms) + 1, np.int64)
