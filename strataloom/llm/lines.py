@@ -26,7 +26,7 @@ FREQUENT = 14
 #: Sets of fewer words have a sketch of 64 bits, others of 128.
 SHORT = 80
 #: The words of prefixes are shuffled and joined in so many turns: bounds the disk that the join takes.
-TURNS = 4
+TURNS = 2
 #: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
 MARKS = 1 << 26
 
