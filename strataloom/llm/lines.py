@@ -19,9 +19,7 @@ from strataloom.llm.common import WORD, forget, stored
 
 #: Classes of words, by hash, that are counted: bounds the table that every task sees, a byte a class.
 WORD_CLASSES = 1 << 20
-#: How many of its rarest words a set meets other sets by first, and how many of those sets for each.
-RAREST, MET = 4, 2
-#: Sets of a word of this magnitude or more are dealt to tasks of about 2^FREQUENT rows when they meet a few, and stand apart by size when they meet all.
+#: Sets of a word of this magnitude or more are dealt to tasks of about 2^FREQUENT rows when they meet the earliest, and stand apart by size when they meet all.
 FREQUENT = 14
 #: Sets of fewer words have a sketch of 64 bits, others of 128.
 SHORT = 80
@@ -112,19 +110,16 @@ def _magnitude(word: Column) -> Column:
 
 
 def first_candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier): each set with the MET sets before it in a shuffled order of those with each of its RAREST words, where they can be similar.
+    """(later, earlier): each set with the earliest set of each word of its prefix (of a share of them, for frequent words), where they can be similar.
 
-    A bounded number of pairs per set, so a group of near copies adds pairs as it grows, not as its
-    square. The order differs from word to word, so a set meets different members of its group.
+    One pair per row at most, so a group of near copies adds pairs as it grows, not as its square.
     """
-    rows = prefix_rows(sets.withColumn("prefix", F.slice("prefix", 1, RAREST)))
+    rows = prefix_rows(sets)
     names = [k for k in rows.columns if k != "word"]
     salts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.lit(0), _magnitude(F.col("word")) - FREQUENT).cast("int"))
-    rows = rows.withColumn("draw", F.xxhash64("age", "word"))
-    order = Window.partitionBy("word", F.pmod("draw", salts)).orderBy("draw")
-    met = rows.select(F.struct(*names).alias("x"), *[F.lag(F.struct(*names), i + 1).over(order).alias(f"y{i}") for i in range(MET)])
-    met = met.where("y0 is not null").select("x", F.explode(F.array(*[f"y{i}" for i in range(MET)])).alias("y")).where(near("x", "y", percent))
-    return met.select(F.greatest("x.age", "y.age").alias("later"), F.least("x.age", "y.age").alias("earlier"))
+    order = Window.partitionBy("word", F.pmod(F.xxhash64("age"), salts)).orderBy("age")
+    met = rows.select(F.struct(*names).alias("x"), F.first(F.struct(*names)).over(order).alias("y"))
+    return met.where((F.col("x.age") > F.col("y.age")) & near("x", "y", percent)).select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
 
 
 def all_candidates(rows: DataFrame, percent: int) -> DataFrame:
@@ -173,9 +168,9 @@ def verified(docs: DataFrame, names: DataFrame, pairs: DataFrame, percent: int)
 
 
 def named_sets(rows: DataFrame) -> DataFrame:
-    """(s1, s2, late, doc_id, th, line, row, age, n, prefix, whole, odd), stored, per set of the stored line_sets: its first line, its place in the order of first lines, and its RAREST words."""
+    """(s1, s2, late, doc_id, th, line, row, age, n, prefix, whole, odd), stored, per set of the stored line_sets: its first line, its place in the order of first lines, and the words of its prefix."""
     at = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "th", "line", "row")
-    own = {"n": F.col("n"), "prefix": F.slice("prefix", 1, RAREST), "whole": F.col("whole"), "odd": F.col("odd")}
+    own = {"n": F.col("n"), "prefix": F.col("prefix"), "whole": F.col("whole"), "odd": F.col("odd")}
     names = rows.groupBy("s1", "s2").agg(F.min(at).alias("at"), *[F.any_value(v).alias(k) for k, v in own.items()])
     names = names.repartitionByRange("at").sortWithinPartitions("at")
     return stored(names.select("s1", "s2", "at.*", F.monotonically_increasing_id().alias("age"), *own), "names")
@@ -184,8 +179,8 @@ def named_sets(rows: DataFrame) -> DataFrame:
 def later_matches(docs: DataFrame, percent: int = 80) -> DataFrame:
     """(doc_id, th, line), stored: the lines that match a line before them, by (doc_id, hash of the text, line), null ids last.
 
-    A set's age is its place in the order of first lines. Sets are held against a few sets of
-    their rarest words first; those that this doesn't remove are held against all sets before them.
+    A set's age is its place in the order of first lines. Sets are held against the earliest
+    sets of their words first; those that this doesn't remove are held against all sets before them.
     """
     rows = stored(line_sets(docs, magnitudes(docs), percent).withColumn("row", F.monotonically_increasing_id()), "lines")
     names = named_sets(rows)
