@@ -16,7 +16,8 @@ class Template:
     """How a turn is written, which roles are learned, and which orders of roles are valid.
 
     Every marker starts with "<" or "["; `escapes` keeps both out of texts, so a text can never
-    hold a marker. The escapes apply in the order given and are undone in the reverse order.
+    hold a marker. `role_escapes` keeps the first character of open_right out of roles; it is looked
+    for behind open_left only. The escapes apply in the order given and are undone in the reverse order.
     """
 
     open_left: str = "<|"
@@ -75,10 +76,15 @@ def format_chats(rows: DataFrame, template: Template | None = None) -> DataFrame
 
 
 def read_chats(chats: DataFrame, template: Template | None = None) -> DataFrame:
-    """Undo format_chats: conv_id, formatted, turns (role, text), learned (all text under the loss mask)."""
+    """Undo format_chats: conv_id, formatted, turns (role, text), learned (all text under the loss mask).
+
+    chats: what format_chats returns; other columns are ignored. Nulls came in as empty texts and
+    come back as such. An empty table gives an empty one.
+    """
     t = template or Template()
     pieces = F.split("formatted", _literal(t.close))
-    at = lambda p: F.locate(t.open_right, p)
+    # a role that starts like the rest of open_right makes one together with the end of open_left
+    at = lambda p: F.locate(t.open_right, p, len(t.open_left) + 1)
     turn = lambda p: F.struct(
         t.unescape(F.substring(p, F.lit(len(t.open_left) + 1), at(p) - len(t.open_left) - 1), True).alias("role"),
         t.unescape(F.substring(p, at(p) + len(t.open_right), F.length(p))).alias("text"),
@@ -96,10 +102,13 @@ CONTROL = "</s>[INST] ok [/INST]"
 
 
 def op6_chat(spark, sf_dir: str) -> DataFrame:
-    """Digests of all conversations, and of one (-1) that says control strings, read back from the formatted output."""
+    """Digests of all conversations, and of one (-1) that says control strings, read back from the formatted output.
+
+    The planted conversation is formatted by itself, so one of the table with the same number stays as it is.
+    """
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(CONTROL).alias("text"))
-    chats = format_chats(rows.unionByName(extra))
+    chats = format_chats(rows).unionByName(format_chats(extra))
     back = read_chats(chats)
     said = F.concat_ws("", F.transform("turns", lambda x: F.concat(x.role, F.lit("\n"), x.text, F.lit("\n"))))
     return back.select(
@@ -116,14 +125,14 @@ QUERIES = {"op6_chat": op6_chat}
 ORACLES = {
     "op6_chat": """
 WITH c AS (
-  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
-  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, 0 AS planted FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]', 1
+  UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]', 1)
 SELECT conv_id, count(*) AS n_turns,
   sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
   CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
   sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(13 + length(role) + 4 * (length(role) - length(replace(role, '&', ''))) + 3 * (length(role) - length(replace(role, '<', ''))) + 4 * (length(role) - length(replace(role, '[', ''))) + 5 * (length(role) - length(replace(role, '|', '')))
     + length(text) + 4 * (length(text) - length(replace(text, '&', ''))) + 3 * (length(text) - length(replace(text, '<', ''))) + 4 * (length(text) - length(replace(text, '[', '')))) AS BIGINT) AS formatted_chars
-FROM c GROUP BY conv_id""",
+FROM c GROUP BY conv_id, planted""",
 }

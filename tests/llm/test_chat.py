@@ -1,6 +1,6 @@
 import hashlib
 
-from hypothesis import HealthCheck, given, settings
+from hypothesis import HealthCheck, example, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
@@ -28,6 +28,9 @@ def test_control_strings_come_back(spark):
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.tuples(st.text(alphabet="ab|<>&;[]\nénd", max_size=6), st.text(alphabet="ab|<>&;[]#91lt\né", max_size=12)), min_size=1, max_size=6))
+@example([(">\n", "")])
+@example([(">\nx", "b|>\nc"), ("|>\n", "|>\n"), ("", ">\n")])
+@example([("<|", ">\n"), ("&gt;", "&#124;"), (">", "<|end|>\n")])
 def test_any_role_and_text_come_back(spark, turns):
     got = back(spark, [(1, i, r, t) for i, (r, t) in enumerate(turns)])[1]
     assert [(x.role, x.text) for x in got.turns] == turns
@@ -56,3 +59,9 @@ def test_query_holds_the_planted_conversation(spark):
     said = f"user\n{chat.CONTROL}\nassistant\n{chat.CONTROL}\n"
     assert got.n_turns == 2 and got.turns_sha256 == hashlib.sha256(said.encode()).hexdigest()
     assert got.loss_chars == 21 and got.loss_sha256 == hashlib.sha256(chat.CONTROL.encode()).hexdigest()
+
+
+def test_a_conversation_with_the_planted_number_stays_apart(spark, tmp_path):
+    spark.createDataFrame([(-1, 0, "user", "mine"), (-1, 1, "assistant", "yours"), (5, 0, None, None)], ROWS).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = sorted((r.conv_id, r.n_turns, r.loss_chars) for r in chat.op6_chat(spark, str(tmp_path)).collect())
+    assert got == [(-1, 2, 5), (-1, 2, 21), (5, 1, 0)]
