@@ -44,13 +44,13 @@ def fill_missing(df: DataFrame, column: str, row: str, seed: int = 0, name: str
     sorted ones. Without any values nulls stay.
     """
     name = name or column
-    ranked, total = value_ranks(df, F.col(f"`{column}`"))
+    values, total = value_ranks(df, F.col(f"`{column}`"))
     if not total:
         return df.withColumn(name, F.col(f"`{column}`"))
     c = F.col(f"`{column}`")
     gone = c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
     rank = F.least(F.floor(uniform(seed, F.lit(column), row) * total), F.lit(total - 1)).cast("long")
-    made = at_ranks(ranked, df.where(gone).select(F.col(row).alias("_row"), rank.alias("rank")).distinct(), total).select("_row", F.col("x").alias("_drawn"))
+    made = at_ranks(values, df.where(gone).select(F.col(row).alias("_row"), rank.alias("rank")).distinct(), total).select("_row", F.col("x").alias("_drawn"))
     met = df.join(made, F.col(f"`{row}`") == F.col("_row"), "left")
     return met.withColumn("_value", F.when(gone, F.col("_drawn")).otherwise(c)).drop("_row", "_drawn", *([name] if name in df.columns else [])).withColumnRenamed("_value", name)
 

@@ -1,49 +1,49 @@
 """Ranks and running sums over whole tables, without a task that holds all rows.
 
-Rows are dealt to cells by boundaries taken from a hashed sample of their order, so cells hold
-about as many rows whatever the values look like: an outlier, a heavy tail or a common prefix
-doesn't gather them. Sums per cell, of which there are CELLS at most, move the sums within cells.
+Rows are range-partitioned by Spark and written with the number of their range, so both the sums
+of the ranges and the sums within them are of the same ranges, whatever is sampled to find them.
+The sums of the ranges, as many as there are shuffle partitions, move the sums within ranges.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Cells at most, and sampled rows a cell.
-CELLS, SAMPLED = 1024, 16
+from strataloom.sources.scratch import written
 
+#: Parts in which asked ranks and ranked values meet.
+PARTS = 1024
 
-def boundaries(df: DataFrame, order: list[str], cells: int = CELLS) -> list:
-    """Up to cells - 1 values of struct(order) that part df evenly; equal ones once."""
-    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in order]).alias("k"))
-    rate = min(1.0, cells * SAMPLED / max(rows.count(), 1))
-    sample = rows.where(F.xxhash64("k").bitwiseAND(0xFFFFFF) < rate * float(1 << 24)).distinct().orderBy("k").collect()
-    return [sample[i * len(sample) // cells].k for i in range(1, cells)] if len(sample) > cells else [r.k for r in sample[1:]]
 
+def in_ranges(df: DataFrame, order: list[str], ranges: int | None = None) -> DataFrame:
+    """df, written once, with `_range`: a number that never falls in the order of the columns, nulls first."""
+    ranges = ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return written(df.repartitionByRange(ranges, *[F.col(f"`{c}`") for c in order]).withColumn("_range", F.spark_partition_id()), "ranges")
 
-def cell_of(df: DataFrame, order: list[str], edges: list) -> Column:
-    """The cell of a row: how many edges are at its place or before it, found by halving."""
-    if not edges:
-        return F.lit(0)
-    kinds = [df.schema[c].dataType for c in order]
-    table = F.array(*[F.struct(*[F.lit(v).cast(t).alias(f"k{i}") for i, (v, t) in enumerate(zip(e, kinds, strict=True))]) for e in edges])
-    own = F.struct(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(order)])
-    steps = F.array(*[F.lit(1 << b) for b in reversed(range(len(edges).bit_length()))])
-    return F.aggregate(steps, F.lit(0), lambda at, step: F.when((at + step <= len(edges)) & (F.try_element_at(table, F.least(at + step, F.lit(len(edges)))) <= own), at + step).otherwise(at))
 
+def ranked(df: DataFrame, order: list[str], amount: Column, name: str, ranges: int | None = None) -> tuple[DataFrame, int | float]:
+    """df with `name`: the sum of `amount` over the rows before, in the order of the columns; and the sum over all rows."""
+    rows = in_ranges(df.withColumn("_amount", amount), order, ranges)
+    kind = T.LongType() if isinstance(rows.schema["_amount"].dataType, T.IntegralType) else T.DoubleType()
+    sums = rows.groupBy("_range").agg(F.sum("_amount").cast(kind).alias("s")).orderBy("_range").collect()
+    ahead, total = [], 0
+    for r in sums:
+        ahead.append((r["_range"], total))
+        total += r.s or 0
+    table = df.sparkSession.createDataFrame(ahead, T.StructType([T.StructField("_range", T.IntegerType()), T.StructField("_ahead", kind)])) if kind == T.LongType() else df.sparkSession.createDataFrame([(k, float(v)) for k, v in ahead], "_range int, _ahead double")
+    inside = F.coalesce(F.sum("_amount").over(Window.partitionBy("_range").orderBy(*[F.col(f"`{c}`") for c in order]).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    met = rows.withColumn("_inside", inside).join(F.broadcast(table), "_range")  # one row per range
+    return met.withColumn(name, F.col("_ahead") + F.col("_inside")).drop("_range", "_amount", "_inside", "_ahead"), total
 
-def cumulated(df: DataFrame, order: list[str], amount: Column, name: str, cells: int = CELLS) -> DataFrame:
+
+def cumulated(df: DataFrame, order: list[str], amount: Column, name: str, ranges: int | None = None) -> DataFrame:
     """df with `name`: the sum of `amount` over the rows before, in the order of the columns."""
-    rows = df.withColumn("_cell", cell_of(df, order, boundaries(df, order, cells))).withColumn("_amount", amount)
-    sums = rows.groupBy("_cell").agg(F.sum("_amount").alias("_sum"))
-    ahead = F.coalesce(F.sum("_sum").over(Window.orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    inside = F.coalesce(F.sum("_amount").over(Window.partitionBy("_cell").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    met = rows.withColumn("_inside", inside).join(F.broadcast(sums.select("_cell", ahead.alias("_ahead"))), "_cell")
-    return met.withColumn(name, F.col("_ahead") + F.col("_inside")).drop("_cell", "_amount", "_inside", "_ahead")
+    return ranked(df, order, amount, name, ranges)[0]
 
 
-def at_ranks(ranked: DataFrame, asked: DataFrame, total: int, parts: int = CELLS) -> DataFrame:
+def at_ranks(ranked: DataFrame, asked: DataFrame, total: int, parts: int = PARTS) -> DataFrame:
     """asked (rank, ...) with the columns of the row of ranked (lo, n, ...) whose ranks lo to lo + n - 1 hold it.
 
     Ranks meet by the part of [0, total) that they fall into; a row of many ranks stands in each part it covers.

@@ -174,18 +174,18 @@ def test_private_statistics(spark):
     assert synthesize(spark, df, 20, {"privacy": Privacy(epsilon=5.0)}, seed=1).count() == 20
 
 
-def test_ranks_do_not_gather_in_one_cell(spark):
-    """One outlier, a common prefix and many ties: no cell holds more than a few times its share, and the sums are right."""
-
-
+def test_ranks_do_not_gather_in_one_range(spark):
+    """One outlier, a common prefix and many ties: no range holds more than a few times its share, and the sums are right."""
     rows = [(i, float(i) if i else 1e12, f"Customer#{i:06}", i % 3) for i in range(4000)]
-    df = spark.createDataFrame(rows, "id int, x double, name string, tie int")
+    df = spark.createDataFrame(rows, "id int, x double, name string, tie int").repartition(7)
     for order, key in ((["x"], lambda r: r[1]), (["name"], lambda r: r[2]), (["tie", "id"], lambda r: (r[3], r[0]))):
-        edges = ranks.boundaries(df, order, 16)
-        sizes = [r["count"] for r in df.withColumn("cell", ranks.cell_of(df, order, edges)).groupBy("cell").count().collect()]
+        sizes = [r["count"] for r in ranks.in_ranges(df, order, 16).groupBy("_range").count().collect()]
         assert len(sizes) == 16 and max(sizes) < 4 * 4000 / 16
-        got = {r.id: r.before for r in ranks.cumulated(df, order, F.lit(1), "before", 16).collect()}
-        assert got == {r[0]: k for k, r in enumerate(sorted(rows, key=key))}
+        got, total = ranks.ranked(df, order, F.lit(1), "before", 16)
+        assert {r.id: r.before for r in got.collect()} == {r[0]: k for k, r in enumerate(sorted(rows, key=key))} and total == 4000
+        got, total = ranks.ranked(df, order, F.col("id") / 2, "before", 5)
+        halves = [r[0] / 2 for r in sorted(rows, key=key)]
+        assert {r.id: r.before for r in got.collect()} == {r[0]: sum(halves[:k]) for k, r in enumerate(sorted(rows, key=key))} and total == sum(halves)
     nulls = spark.createDataFrame([(None, 1), (2, 2), (None, 3), (1, 4)], "x int, id int")
     assert {r.id: r.at for r in ranks.cumulated(nulls, ["x", "id"], F.lit(1), "at").collect()} == {1: 0, 3: 1, 4: 2, 2: 3}
 
