@@ -11,7 +11,8 @@ UNKNOWN, MINIMUM, MAXIMUM = "<<UNK>>", "<<MIN>>", "<<MAX>>"
 PAD, MAX_CHARS = "\0", 50
 HIGHEST_DIGIT, LOWEST_DIGIT = 18, -8
 NUMBER = r"(-?[0-9]*[\.]?[0-9]+(?:[eE][+\-]?\d+)?)"
-DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss", "yyyy/MM/dd", "dd.MM.yyyy", "MMM d yyyy", "d MMM yyyy")
+DATE_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy/MM/dd", "dd.MM.yyyy", "MMM d yyyy", "d MMM yyyy")
+MONTH_FIRST = ("MM/dd/yyyy", "MM/dd/yyyy HH:mm:ss")
 DAY_FIRST = ("dd/MM/yyyy", "dd/MM/yyyy HH:mm:ss")
 
 
@@ -49,12 +50,22 @@ def to_number(c: Column, kind: str = "string") -> Column:
     return F.when(~F.isnan(out), out)
 
 
-def to_datetime(c: Column, day_first: bool = False) -> Column:
-    """A text as a timestamp: ISO forms first, then the fixed formats, month first unless day_first; else null."""
-    formats = DAY_FIRST + DATE_FORMATS if day_first else DATE_FORMATS + DAY_FIRST
+def _parsed(c: Column, formats: tuple[str, ...]) -> Column:
     return F.coalesce(F.try_to_timestamp(F.when(c.rlike(r"^\d{4}-\d"), c)), *[F.try_to_timestamp(c, F.lit(f)) for f in formats])
 
 
+def to_datetime(c: Column, day_first: bool = False) -> Column:
+    """A text as a timestamp: ISO forms first, then the fixed formats, of 1/2/2020 the month first unless day_first; else null."""
+    slashed = DAY_FIRST + MONTH_FIRST if day_first else MONTH_FIRST + DAY_FIRST
+    return _parsed(c, slashed[:2] + DATE_FORMATS + slashed[2:])
+
+
+def day_first_share(c: Column) -> Column:
+    """An aggregate: by how many texts fewer are lost when days come first throughout the column; 0 or less if months may come first."""
+    lost = lambda order: F.count(F.when(c.isNotNull() & _parsed(c, order + DATE_FORMATS).isNull(), 1))
+    return lost(MONTH_FIRST) - lost(DAY_FIRST)
+
+
 def digit_text(c: Column) -> Column:
     """The 27 digits of |c| from 10^18 to 10^-8, from its shortest decimal form; digits beyond are cut off, not rounded."""
     d = F.abs(c.cast("double")).try_cast("decimal(38,18)")

@@ -10,22 +10,37 @@ from strataloom.functions.rng import uniform
 from strataloom.operators.profile import ColumnProfile, Profile, code_name
 
 
+#: Labels up to which they are a literal array; longer lists are joined, and sent to all tasks up to so many characters.
+ARRAY_LABELS, BROADCAST = 2000, 4 << 20
+
+
+def known_labels(p: ColumnProfile) -> list[str]:
+    """The labels of values, without the tokens."""
+    return p.labels[2 if p.has_null else 1 :]
+
+
+def label_code(code: Column, p: ColumnProfile, rare: str, seed: int, row: Column) -> Column:
+    """The code whose label stands for this one: for that of rare values a drawn one, or the null code, or itself."""
+    first, n = (2 if p.has_null else 1), len(known_labels(p))
+    drawn = F.lit(first) + F.floor(uniform(seed, F.lit(p.name), F.lit("rare"), row) * n).cast("int")
+    if p.encoding == "categorical":
+        return F.when(code == 0, drawn).otherwise(code) if rare == "sample" else code
+    return F.when(code == 0, F.lit(1) if p.has_null else drawn).otherwise(code)
+
+
+def label_value(label: Column, p: ColumnProfile) -> Column:
+    """The value of a label."""
+    if p.encoding == "categorical":
+        return F.when(label == V.NULL, None).when(label == V.RARE, label).otherwise(V.unescape_tokens(label))
+    return F.when(label != V.NULL, label).try_cast("long" if p.min_decimal >= 0 else "double")
+
+
 def decode_column(codes: dict[str, Column], p: ColumnProfile, rare: str, seed: int, row: Column) -> Column:
     """The value of the codes of one column. rare: "mask" writes a token for a rare value, "sample" a frequent value."""
-    pick = lambda n, what: F.floor(uniform(seed, F.lit(p.name), F.lit(what), row) * n).cast("int")
     if p.encoding in ("categorical", "numeric_discrete"):
-        first = 2 if p.has_null else 1
-        known = p.labels[first:]
-        if not known:
+        if not known_labels(p):
             return F.lit(None).cast("string" if p.encoding == "categorical" else "double")
-        table = F.array(*[F.lit(x) for x in p.labels])
-        label = F.get(table, codes["cat"])
-        drawn = F.get(table, F.lit(first) + pick(len(known), "rare"))
-        if p.encoding == "categorical":
-            text = F.when(label == V.RARE, F.lit(V.RARE) if rare == "mask" else drawn).otherwise(label)
-            return F.when(label == V.NULL, None).when(label == V.RARE, text if rare == "mask" else V.unescape_tokens(text)).otherwise(V.unescape_tokens(text))
-        label = F.when(label == V.RARE, None if p.has_null else drawn).when(label == V.NULL, None).otherwise(label)
-        return label.try_cast("long" if p.min_decimal >= 0 else "double")
+        return label_value(F.get(F.array(*[F.lit(x) for x in p.labels]), label_code(codes["cat"], p, rare, seed, row)), p)
     if p.encoding == "numeric_binned":
         at = {s: i for i, s in enumerate(p.specials)}
         edges = F.array(*[F.lit(float(e)) for e in p.edges])
@@ -60,8 +75,13 @@ def decode_column(codes: dict[str, Column], p: ColumnProfile, rare: str, seed: i
 def decode_columns(codes: DataFrame, profile: Profile, rare: str = "sample", seed: int = 0, row: str = "row_id", keep: tuple[str, ...] = ()) -> DataFrame:
     """Code columns as values, in the order of the profile, besides the columns to keep. row: a column that tells rows apart."""
     out = [F.col(f"`{k}`") for k in keep]
-    for name, p in profile.columns.items():
-        if all(code_name(name, s) in codes.columns for s in p.subs):
+    for at, (name, p) in enumerate(profile.columns.items()):
+        if len(p.labels) > ARRAY_LABELS and code_name(name, "cat") in codes.columns:
+            table = codes.sparkSession.createDataFrame(list(enumerate(p.labels)), f"_k{at} int, _v{at} string")
+            table = F.broadcast(table) if sum(map(len, p.labels)) <= BROADCAST else table
+            codes = codes.withColumn(f"_c{at}", label_code(F.col(f"`{code_name(name, 'cat')}`"), p, rare, seed, F.col(row))).join(table, F.col(f"_c{at}") == F.col(f"_k{at}"), "left")
+            out.append(label_value(F.col(f"_v{at}"), p).alias(name))
+        elif all(code_name(name, s) in codes.columns for s in p.subs):
             own = {s: F.col(f"`{code_name(name, s)}`") for s in p.subs}
             out.append(decode_column(own, p, rare, seed, F.col(row)).alias(name))
     return codes.select(*out)

@@ -49,7 +49,7 @@ def shares(counts: DataFrame, shape: Shape) -> DataFrame:
         wished = {c: float(v) for c, v in shape.wishes}
         more = [F.lit(c) for c, v in wished.items() if v > 0]
         if more:
-            rows = rows.union(rows.select("by").distinct().select("by", F.explode(F.array(*more)).cast("int"), F.lit(0.0))).groupBy("by", "code").agg(F.max("p").alias("p"))
+            rows = rows.union(rows.select("by").distinct().select("by", F.explode(F.array(*more)).alias("code"), F.lit(0.0).alias("p"))).groupBy("by", "code").agg(F.max("p").alias("p"))
         wish = F.try_element_at(F.create_map(*[F.lit(x) for kv in wished.items() for x in kv]), F.col("code"))
         rows = rows.withColumn("wish", wish)
         rows = rows.withColumn("free", F.coalesce(F.sum(F.when(F.col("wish").isNull(), F.col("p"))).over(own), F.lit(0.0)))
@@ -85,33 +85,29 @@ def drawn(rows: DataFrame, name: str, u: Column, counts: DataFrame, shape: Shape
     No counts at all give code 0.
     """
     slots = _slots(shares(counts, shape))
-    rows = rows.withColumn("_u", u)
+    rows = rows.withColumn("_du", u)
     if codes <= SHORT:
         small = slots.select("by", "slots")
-        anyone = small.where(F.col("by") == ANY).select(F.lit(1).alias("_one"), F.col("slots").alias("_any"))
-        rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(anyone), "_one", "left")  # one row
-        table = F.col("_any")
+        anyone = small.where(F.col("by") == ANY).select(F.lit(1).alias("_dkey"), F.col("slots").alias("_dany"))
+        rows = rows.withColumn("_dkey", F.lit(1)).join(F.broadcast(anyone), "_dkey", "left")  # one row
+        table = F.col("_dany")
         if by is not None:
-            small = small.where(F.col("by") != ANY).select(F.col("by").alias("_by"), F.col("slots").alias("_own"))
-            rows = rows.withColumn("_of", by).join(F.broadcast(small) if groups * codes * 24 <= BROADCAST else small, F.col("_of") == F.col("_by"), "left")
-            table = F.coalesce("_own", "_any")
-        out = rows.withColumn("_drawn", F.coalesce(_first(F.col("_u"), table), F.lit(0)))
-        return out.drop("_u", "_one", "_any", "_of", "_by", "_own", *([name] if name in rows.columns else [])).withColumnRenamed("_drawn", name)
+            small = small.where(F.col("by") != ANY).select(F.col("by").alias("_dby"), F.col("slots").alias("_down"))
+            rows = rows.withColumn("_dof", by).join(F.broadcast(small) if groups * codes * 24 <= BROADCAST else small, F.col("_dof") == F.col("_dby"), "left")
+            table = F.coalesce("_down", "_dany")
+        out = rows.withColumn("_drawn", F.coalesce(_first(F.col("_du"), table), F.lit(0)))
+        return out.drop("_du", "_dkey", "_dany", "_dof", "_dby", "_down", *([name] if name in rows.columns else [])).withColumnRenamed("_drawn", name)
     heads = slots.select("by", "buckets").distinct()
-    anyone = heads.where(F.col("by") == ANY).select(F.lit(1).alias("_one"), F.col("buckets").alias("_many"))
-    rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(anyone), "_one", "left")  # one row
-    use, many = F.lit(ANY), F.col("_many")
+    anyone = heads.where(F.col("by") == ANY).select(F.lit(1).alias("_dkey"), F.col("buckets").alias("_dmany"))
+    rows = rows.withColumn("_dkey", F.lit(1)).join(F.broadcast(anyone), "_dkey", "left")  # one row
+    use, many = F.lit(ANY), F.col("_dmany")
     if by is not None:
-        own = heads.where(F.col("by") != ANY).select(F.col("by").alias("_by"), F.col("buckets").alias("_buckets"))
-        rows = rows.withColumn("_of", by).join(F.broadcast(own) if groups * 16 <= BROADCAST else own, F.col("_of") == F.col("_by"), "left")
-        use, many = F.coalesce("_by", F.lit(ANY)), F.coalesce("_buckets", "_many")
-    rows = rows.withColumns({"_use": use, "_bucket": F.least(F.floor(F.col("_u") * many).cast("int"), many - 1)})
-    table = slots.select(F.col("by").alias("_sby"), F.col("bucket").alias("_sb"), "slots")
-    met = rows.join(F.broadcast(table) if groups * codes * 48 <= BROADCAST else table, (F.col("_use") == F.col("_sby")) & (F.col("_bucket") == F.col("_sb")), "left")
-    out = met.withColumn("_drawn", F.coalesce(_first(F.col("_u"), F.col("slots")), F.lit(0)))
-    return out.drop("_u", "_one", "_many", "_of", "_by", "_buckets", "_use", "_bucket", "_sby", "_sb", "slots", *([name] if name in rows.columns else [])).withColumnRenamed("_drawn", name)
-
-
-def with_any(counts: DataFrame) -> DataFrame:
-    """Counts (by, code, n) and, as the group ANY, those of all rows."""
-    return counts.select("by", "code", "n").union(counts.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(ANY), "code", "n"))
+        own = heads.where(F.col("by") != ANY).select(F.col("by").alias("_dby"), F.col("buckets").alias("_dbuckets"))
+        rows = rows.withColumn("_dof", by).join(F.broadcast(own) if groups * 16 <= BROADCAST else own, F.col("_dof") == F.col("_dby"), "left")
+        use, many = F.coalesce("_dby", F.lit(ANY)), F.coalesce("_dbuckets", "_dmany")
+    rows = rows.withColumns({"_duse": use, "_dbucket": F.least(F.floor(F.col("_du") * many).cast("int"), many - 1)})
+    table = slots.select(F.col("by").alias("_dsby"), F.col("bucket").alias("_dsb"), F.col("slots").alias("_dslots"))
+    met = rows.join(F.broadcast(table) if groups * codes * 48 <= BROADCAST else table, (F.col("_duse") == F.col("_dsby")) & (F.col("_dbucket") == F.col("_dsb")), "left")
+    out = met.withColumn("_drawn", F.coalesce(_first(F.col("_du"), F.col("_dslots")), F.lit(0)))
+    return out.drop("_du", "_dkey", "_dmany", "_dof", "_dby", "_dbuckets", "_duse", "_dbucket", "_dsby", "_dsb", "_dslots", *([name] if name in rows.columns else [])).withColumnRenamed("_drawn", name)
+

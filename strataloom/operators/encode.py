@@ -50,9 +50,9 @@ def fill_missing(df: DataFrame, column: str, row: str, seed: int = 0, name: str
     c = F.col(f"`{column}`")
     gone = c.isNull() | F.isnan(c) if isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType)) else c.isNull()
     rank = F.least(F.floor(uniform(seed, F.lit(column), row) * total), F.lit(total - 1)).cast("long")
-    made = at_ranks(values, df.where(gone).select(F.col(row).alias("_row"), rank.alias("rank")).distinct(), total).select("_row", F.col("x").alias("_drawn"))
-    met = df.join(made, F.col(f"`{row}`") == F.col("_row"), "left")
-    return met.withColumn("_value", F.when(gone, F.col("_drawn")).otherwise(c)).drop("_row", "_drawn", *([name] if name in df.columns else [])).withColumnRenamed("_value", name)
+    made = at_ranks(values, df.where(gone).select(F.col(row).alias("_filled"), rank.alias("rank")).distinct(), total).select("_filled", F.col("x").alias("_drawn"))
+    met = df.join(made, F.col(f"`{row}`") == F.col("_filled"), "left")
+    return met.withColumn("_value", F.when(gone, F.col("_drawn")).otherwise(c)).drop("_filled", "_drawn", *([name] if name in df.columns else [])).withColumnRenamed("_value", name)
 
 
 def column_codes(c: Column, p: ColumnProfile, gone: Column | None = None) -> dict[str, Column]:
@@ -67,7 +67,7 @@ def column_codes(c: Column, p: ColumnProfile, gone: Column | None = None) -> dic
             out[f"P{i}"] = F.greatest(F.array_position(table, V.char_at(text, i)) - 1, F.lit(0)).cast("int") if chars else F.lit(0)
         return {k: F.coalesce(v, F.lit(0)) for k, v in out.items()}
     if p.encoding == "datetime":
-        t = V.to_datetime(c) if p.kind == "string" else c.cast("timestamp")
+        t = V.to_datetime(c, p.day_first) if p.kind == "string" else c.cast("timestamp")
         out = {"nan": (t.isNull() if gone is None else gone).cast("int")} if "nan" in p.subs else {}
         if p.bounds:
             lo, hi = (F.timestamp_micros(F.lit(b)) for b in p.bounds)

@@ -1,15 +1,15 @@
 """A model of coded rows and the sampling of new ones.
 
 Code columns are drawn one after another, each given one earlier column: the one that tells most
-about it (mutual information). A column's counts by the parent's code are cumulated to arrays, so
-a draw is a join with a small table and a search for a hashed uniform number. Cardinalities are
-bounded by the profile, so these tables are too.
+about it (mutual information). A draw is a join with a table of cumulated shares (see draws) and a
+search for a hashed uniform number. Cardinalities are bounded by the profile, so these tables are too.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,8 +18,10 @@ from strataloom.config import Bias, Distribution, ModelConfig, Synthetic, check_
 from strataloom.errors import InvalidRequestError, NotReadyError
 from strataloom.functions.rng import any_seed, uniform
 from strataloom.operators import constraints as C
+from strataloom.operators import paths as P
 from strataloom.operators import sequences as S
 from strataloom.operators.decode import decode_columns
+from strataloom.operators.draws import ANY, Shape, drawn
 from strataloom.operators.encode import encode_columns, fixed_values
 from strataloom.operators.profile import Profile, code_name, null_columns, profile_table
 
@@ -30,52 +32,42 @@ def pair_counts(codes: DataFrame, columns: list[str]) -> DataFrame:
     return codes.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").groupBy("i", "j", "a", "b").agg(F.count("*").alias("n"))
 
 
-def best_parents(pairs: DataFrame, columns: list[str], among: int | None = None) -> dict[int, int]:
-    """For each column the earlier one with the highest mutual information, if it says anything; among the first so many if given."""
+def informations(pairs: DataFrame) -> tuple[dict[tuple[int, int], tuple[float, int, int]], int]:
+    """By (i, j) of columns i < j: mutual information in nats, and how many codes each of the two has; and the number of rows."""
     one = pairs.where("i = j").select(F.col("i").alias("c"), F.col("a").alias("v"), F.col("n").alias("m"))
     total = one.where("c = 0").agg(F.coalesce(F.sum("m"), F.lit(1))).first()[0]
-    two = pairs.where("i < j") if among is None else pairs.where((F.col("i") < among) & (F.col("j") >= among))
     x = one.select(F.col("c").alias("i"), F.col("v").alias("a"), F.col("m").alias("na"))
     y = one.select(F.col("c").alias("j"), F.col("v").alias("b"), F.col("m").alias("nb"))
     n = F.col("n").cast("double")
-    got = two.join(x, ["i", "a"]).join(y, ["j", "b"]).groupBy("i", "j").agg(F.sum(n / total * F.log(n * float(total) / (F.col("na") * F.col("nb")))).alias("mi")).collect()
+    got = pairs.where("i < j").join(x, ["i", "a"]).join(y, ["j", "b"]).groupBy("i", "j").agg(F.sum(n / total * F.log(n * float(total) / (F.col("na") * F.col("nb")))).alias("mi"), F.count_distinct("a").alias("a"), F.count_distinct("b").alias("b")).collect()
+    return {(r.i, r.j): (r.mi, r.a, r.b) for r in got}, total
+
+
+def best_parents(told: dict[tuple[int, int], tuple[float, int, int]], allowed: Callable[[int, int], bool] = lambda i, j: True) -> dict[int, int]:
+    """For each column the earlier one, of those allowed, with the highest mutual information, if it says anything."""
     out: dict[int, tuple[float, int]] = {}
-    for r in sorted(got, key=lambda r: (r.j, r.i)):
-        if r.mi > 1e-9 and r.mi > out.get(r.j, (0.0, 0))[0] + 1e-12:
-            out[r.j] = (r.mi, r.i)
+    for (i, j), (mi, _, _) in sorted(told.items(), key=lambda kv: (kv[0][1], kv[0][0])):
+        if allowed(i, j) and mi > 1e-9 and mi > out.get(j, (0.0, 0))[0] + 1e-12:
+            out[j] = (mi, i)
     return {j: i for j, (_, i) in out.items()}
 
 
-def shaped(p: Column, fixed: dict[int, float], diversity: float, cutoff: float) -> Column:
-    """An array of (code, p), wishes, temperature and nucleus applied, as an array of (code, cum) with cum up to 1.
+def dependent(mi: float, a: int, b: int, n: int) -> bool:
+    """Whether columns of a and b codes depend on each other: a likelihood-ratio test at one in a hundred, its limit by Wilson and Hilferty's formula."""
+    free = (a - 1) * (b - 1)
+    if free <= 0:
+        return False
+    limit = free * (1 - 2 / (9 * free) + 2.3263 * math.sqrt(2 / (9 * free))) ** 3
+    return 2 * n * mi > limit
 
-    Named codes get their probabilities, the others share the rest in proportion. If nothing is
-    left, the wishes that forbid codes are dropped.
-    """
-    power = F.transform(p, lambda x: F.struct(x.code.alias("code"), F.pow(x.p, F.lit(1.0 / diversity)).alias("p"))) if diversity != 1 else p
-    if cutoff < 1:
-        order = F.array_sort(F.transform(power, lambda x: F.struct((-x.p).alias("neg"), x.code.alias("code"))))
-        whole = F.aggregate(order, F.lit(0.0), lambda acc, x: acc - x.neg)
-        ahead = F.transform(order, lambda x, i: F.struct(x.code.alias("code"), (-x.neg).alias("p"), (F.aggregate(F.slice(order, 1, i), F.lit(0.0), lambda acc, y: acc - y.neg) < cutoff * whole - 1e-12).alias("on")))
-        power = F.array_sort(F.transform(F.filter(ahead, lambda x: x.on), lambda x: F.struct(x.code.alias("code"), x.p.alias("p"))))
-    if fixed:
-        named = F.create_map(*[F.lit(v) for kv in fixed.items() for v in kv])
-        left = max(0.0, 1 - sum(fixed.values()))
-        free = F.aggregate(power, F.lit(0.0), lambda acc, x: acc + F.when(F.map_contains_key(named, x.code), 0.0).otherwise(x.p))
-        own = F.transform(power, lambda x: F.struct(x.code.alias("code"), F.coalesce(F.try_element_at(named, x.code), F.when(free > 0, x.p / free * left).otherwise(0.0)).alias("p")))
-        more = F.array(*[F.struct(F.lit(k).cast("int").alias("code"), F.lit(float(v)).alias("p")) for k, v in fixed.items() if v > 0]) if any(fixed.values()) else None
-        if more is not None:
-            own = F.array_sort(F.concat(own, F.filter(more, lambda x: ~F.exists(power, lambda y: y.code == x.code))))
-        some = F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x.p)
-        power = F.when(some > 0, own).otherwise(power)
-    whole = F.aggregate(power, F.lit(0.0), lambda acc, x: acc + x.p)
-    return F.transform(power, lambda x, i: F.struct(x.code.alias("code"), (F.aggregate(F.slice(power, 1, i + 1), F.lit(0.0), lambda acc, y: acc + y.p) / whole).alias("cum")))
-
-
-def drawn(u: Column, cdf: Column) -> Column:
-    """The first code whose cumulated probability exceeds u."""
-    got = F.filter(cdf, lambda x: x.cum > u)
-    return F.coalesce(F.get(got, 0).code, F.element_at(cdf, -1).code)
+
+def proxies(told: dict[tuple[int, int], tuple[float, int, int]], n: int, features: list[str], sensitive: tuple[str, ...]) -> set[str]:
+    """Features with a code column that depends on one of a sensitive feature. features: that of each code column, in order."""
+    out = set()
+    for (i, j), (mi, a, b) in told.items():
+        if (features[i] in sensitive) != (features[j] in sensitive) and dependent(mi, a, b, n):
+            out |= {features[i], features[j]} - set(sensitive)
+    return out
 
 
 @dataclass
@@ -91,9 +83,8 @@ class Model:
     key: str | None = None  # of sequences
     order: tuple[str, ...] = ()  # of their steps
     lengths: DataFrame | None = None  # (n, many): sequence lengths, 0 for childless parents
-    steps: DataFrame | None = None  # (column, prev, code, n): code by the step before
-    parents: Profile | None = None  # of the parents' columns that first steps depend on
-    starts: dict[str, tuple[str, DataFrame]] = field(default_factory=dict)  # by column: the parents' code column that says most about its first step, and (_p, code, n)
+    steps: DataFrame | None = None  # step_counts of the training rows
+    parents: Profile | None = None  # of the parents' columns that steps may depend on
 
     def close(self) -> None:
         for df in (self.pairs, self.lengths, self.steps):
@@ -106,45 +97,36 @@ class Model:
             raise NotReadyError(f"the model is {self.status}")
 
 
-def fit(df: DataFrame, config: ModelConfig | dict | None = None, key: str | None = None, order: list[str] = (), parents: DataFrame | None = None, pk: str | None = None, context: list[str] = ()) -> Model:
+def fit(df: DataFrame, config: ModelConfig | dict | None = None, key: str | None = None, order: list[str] = (), parents: DataFrame | None = None, pk: str | None = None, context: list[str] = (), row: str | None = None) -> Model:
     """Profile and encode df, and count what sampling needs. key: the entity of sequential rows, in `order`; parents: all entities.
 
-    context: columns of the parents; a sequence's first step is drawn given the one that says most about it.
+    context: columns of the parents, on which the steps of their sequences may depend. Digits, dates
+    and characters of nulls count as those of values drawn from the other rows, by the column `row`
+    that tells rows apart, or by a number that each row gets.
     """
     config = resolve_config(config)
-    features = [c for c in df.columns if c != key and c not in (order if key else ())] if key else df.columns
-    profile = profile_table(df.select(*[F.col(f"`{c}`") for c in features]), {k: v for k, v in config.encoding_types.items() if k in features}, config.privacy, config.seed or 0)
-    keep = (key, *order) if key else ()
-    codes = encode_columns(df, profile, keep)
+    features = [c for c in df.columns if c not in {key, row, *(order if key else ())}]
+    profile = profile_table(df.select(*[F.col(f"`{c}`") for c in features]), {k: v for k, v in config.encoding_types.items() if k in features}, config.privacy, config.seed)
+    keep, rows = (key, *order) if key else (), df
+    if row is None and any("nan" in p.subs for p in profile.columns.values()):
+        rows, row = S.with_index(df.withColumn("_at", F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])), ["_at"], "_row").drop("_at"), "_row"
+    codes = encode_columns(rows, profile, keep, config.seed or 0, row)
     columns = [code_name(p.name, s) for p in profile.columns.values() for s in p.subs]
     pairs = pair_counts(codes, columns).persist()
     out = Model(profile, columns, pairs, df.count(), config, key=key, order=tuple(order))
     if key:
-        own = Window.partitionBy(key).orderBy(*order)
-        moves = codes.select(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("code"), F.coalesce(F.lag(f"`{c}`").over(own), F.lit(-1)).alias("prev")).alias(f"m{i}") for i, c in enumerate(columns)])
-        out.steps = moves.select(F.explode(F.array(*moves.columns)).alias("m")).select("m.*").groupBy("column", "prev", "code").agg(F.count("*").alias("n")).persist()
+        known = None
+        if parents is not None and context:
+            out.parents = profile_table(parents.select(*[F.col(f"`{c}`") for c in context]), {k: v for k, v in config.parent_encoding_types.items() if k in context}, config.privacy, config.seed)
+            known = encode_columns(parents, out.parents, (pk,)).withColumnsRenamed({c: f"parent:{c}" for c in out.parents.cardinalities})
+        out.steps = P.step_counts(codes, key, list(order), columns, known, pk).persist()
         sizes = df.groupBy(key).agg(F.count("*").alias("n"))
         if parents is not None:
             sizes = sizes.select("n").union(S.childless(parents, pk, df, key).select(F.lit(0).cast("long")))
         out.lengths = sizes.groupBy("n").agg(F.count("*").alias("many")).persist()
-        if context:
-            out.parents = profile_table(parents.select(*[F.col(f"`{c}`") for c in context]), {k: v for k, v in config.parent_encoding_types.items() if k in context}, config.privacy, config.seed or 0)
-            firsts = codes.withColumn("_at", F.row_number().over(own)).where("_at = 1").select(F.col(key).alias("_key"), *columns)
-            known = encode_columns(parents, out.parents, (pk,)).withColumnsRenamed({c: f"parent:{c}" for c in out.parents.cardinalities})
-            theirs = [f"parent:{c}" for c in out.parents.cardinalities]
-            both = pair_counts(firsts.join(known, F.col("_key") == F.col(pk)).select(*theirs, *columns), [*theirs, *columns]).persist()
-            for j, i in best_parents(both, [*theirs, *columns], len(theirs)).items():
-                if j >= len(theirs):
-                    out.starts[columns[j - len(theirs)]] = (theirs[i], both.where((F.col("i") == i) & (F.col("j") == j)).select(F.col("a").alias("_p"), F.col("b").alias("code"), "n"))
     return out
 
 
-def _cdf(counts: DataFrame, by: list[str], fixed: dict[int, float], diversity: float, cutoff: float) -> DataFrame:
-    """(by, cdf) from counts (by, code, n)."""
-    rows = counts.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct(F.col("code").cast("int").alias("code"), F.col("n").cast("double").alias("p")))).alias("p"))
-    return rows.select(*by, shaped(F.col("p"), fixed, diversity, cutoff).alias("cdf"))
-
-
 def _fixed_of(c: str, codes: DataFrame, draw: Column) -> Column:
     """A condition's code where there is one that isn't -1, else the draw."""
     return F.when(F.col(f"`_f{c}`") >= 0, F.col(f"`_f{c}`")).otherwise(draw) if f"_f{c}" in codes.columns else draw
@@ -153,28 +135,28 @@ def _fixed_of(c: str, codes: DataFrame, draw: Column) -> Column:
 def sample_codes(model: Model, rows: DataFrame, order: list[str], weights: C.Weights, seed: int | Column, diversity: float = 1.0, cutoff: float = 1.0, bias: Bias | None = None) -> DataFrame:
     """rows (row_id, and _f<column> for conditions) with a code for each column of the model, drawn in the order of features.
 
-    The target of a bias is drawn by its own shares, given no other column: any column may stand in
-    for a sensitive one. It comes last, so no column is drawn by it.
+    With a bias, the columns that depend on a sensitive one, its proxies, are drawn by themselves
+    and each other, and so are all the others, the target last among them. No draw leads from one
+    part to the other, so the target keeps what it has to do with admissible columns and is
+    independent of the sensitive ones and their proxies.
     """
-    index = {c: i for i, c in enumerate(model.columns)}
+    index, cards = {c: i for i, c in enumerate(model.columns)}, model.profile.cardinalities
     ordered = [code_name(f, s) for f in order for s in model.profile.columns[f].subs]
-    parents = best_parents(_in_order(model.pairs, [index[c] for c in ordered]), ordered)
+    told, n = informations(_in_order(model.pairs, [index[c] for c in ordered]))
+    of = [f for f in order for _ in model.profile.columns[f].subs]
+    apart = proxies(told, n, of, bias.sensitive) - {bias.target} | set(bias.sensitive) if bias else set()
+    parents = best_parents(told, lambda i, j: (of[i] in apart) == (of[j] in apart))
     for at, c in enumerate(ordered):
-        own = model.pairs.where((F.col("i") == index[c]) & (F.col("j") == index[c])).select(F.col("a").alias("code"), "n")
-        alone = _cdf(own.withColumn("one", F.lit(1)), ["one"], weights.get(c, {}), diversity, cutoff).select(F.col("cdf").alias("_alone"), F.lit(1).alias("_one"))
-        u = uniform(seed, F.lit(c), "row_id")
-        rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(alone), "_one", "left").drop("_one")
+        counts = model.pairs.where((F.col("i") == index[c]) & (F.col("j") == index[c])).select(F.lit(ANY).alias("by"), F.col("a").alias("code"), "n")
         p = parents.get(at)
-        if p is not None and not (bias and c == code_name(bias.target, "cat")):
+        if p is not None:
             i, j = index[ordered[p]], index[c]
             a, b = ("a", "b") if i < j else ("b", "a")
-            both = model.pairs.where((F.col("i") == min(i, j)) & (F.col("j") == max(i, j))).select(F.col(a).alias("_p"), F.col(b).alias("code"), "n")
-            table = _cdf(both, ["_p"], weights.get(c, {}), diversity, cutoff)
-            rows = rows.join(table, F.col(f"`{ordered[p]}`") == F.col("_p"), "left")
-            cdf = F.coalesce("cdf", "_alone")
-        else:
-            cdf = F.col("_alone")
-        rows = rows.withColumn(c, _fixed_of(c, rows, F.coalesce(drawn(u, cdf), F.lit(0)))).drop("cdf", "_p", "_alone")
+            both = model.pairs.where((F.col("i") == min(i, j)) & (F.col("j") == max(i, j)))
+            counts = both.select(F.col(a).alias("by"), F.col(b).alias("code"), "n").union(counts)
+        by = (F.col(f"`{ordered[p]}`"), cards[ordered[p]]) if p is not None else (None, 1)
+        rows = drawn(rows, c, uniform(seed, F.lit(c), "row_id"), counts, Shape.of(weights.get(c, {}), diversity, cutoff), cards[c], *by)
+        rows = rows.withColumn(c, _fixed_of(c, rows, F.col(f"`{c}`")))
     return rows
 
 
@@ -219,34 +201,17 @@ def generate(spark: SparkSession, model: Model, n: int | None = None, preset: Sy
     return out
 
 
-def _move(seed: int | Column, column: str, key: str, fixed: bool, start: bool):
-    """A step of a fold: the path so far and the number of the step to the path with one more code."""
-
-    def move(path: Column, i: Column) -> Column:
-        before = F.when(F.size(path) > 0, F.element_at(path, -1)).otherwise(F.lit(-1))
-        cdf = F.coalesce(F.try_element_at(F.col("_moves"), before), F.col("_any"))
-        if start:
-            cdf = F.when(i == 1, F.coalesce(F.col("_start"), cdf)).otherwise(cdf)
-        code = drawn(uniform(seed, F.lit(column), key, i), cdf)
-        if fixed:
-            given = F.get(F.col(f"`_f{column}`"), i - 1)
-            code = F.when(given >= 0, given).otherwise(code)
-        return F.concat(path, F.array(code))
-
-    return move
-
-
 def generate_sequences(
     spark: SparkSession, model: Model, parents: DataFrame | None = None, pk: str | None = None, n: int | None = None, preset: Synthetic | None = None,
     conditions: DataFrame | None = None, imputed: list[str] = (), trials: int | None = None, **given: object,
 ) -> DataFrame:
-    """New rows per entity: a length drawn for each, then each column step by step given the step before.
+    """New rows per entity: a length drawn for each, then its steps.
 
-    Steps of one entity depend on each other, so a column's whole path is drawn in one row by a
-    fold over its steps. Entities are the parents, or n (100) numbered ones. A first step is drawn
-    given the parents' columns if the model has any. conditions: rows of steps, by the model's key
-    and order; what they hold is not drawn, but null cells of `imputed` columns are. An entity has
-    at least as many steps as conditions, and with `trials` (see generate) just as many.
+    A column of a step is drawn given another one of the same step, itself in the step before, or a
+    column of the parents, whichever says most about it (see paths). Entities are the parents, or n
+    (100) numbered ones. conditions: rows of steps, by the model's key and order; what they hold is
+    not drawn, but null cells of `imputed` columns are, and the other columns are drawn given it. An
+    entity has at least as many steps as conditions, and with `trials` (see generate) just as many.
     """
     model._ready()
     if not model.key:
@@ -257,39 +222,35 @@ def generate_sequences(
     weights = C.merged_weights(C.rare_weights(model.profile, rare), C.imputation_weights(model.profile, list(imputed)))
     keys = (model.key, "step")
     rows = parents.select(F.col(pk).alias(model.key)) if parents is not None else spark.range(want.n or model.config.n or 100).select(F.col("id").alias(model.key))
-    fixed = []
+    fixed, order = [], model.columns
     if conditions is not None:
         named = [c for c in conditions.columns if c in model.profile.columns]
         codes = fixed_values(conditions.select(model.key, *model.order, *named), model.profile, tuple(imputed), (model.key, *model.order))
         fixed = [c for c in codes.columns if c in model.columns]
+        order = [code_name(f, s) for f in C.column_order(list(model.profile.columns), named, [], list(imputed)) for s in model.profile.columns[f].subs]
         known = S.sequential_conditions(codes, model.key, list(model.order), fixed, rows, model.key)
         rows = known.select(model.key, *[F.col(f"`{c}`").alias(f"_f{c}") for c in fixed])
         many = conditions.groupBy(F.col(model.key).alias("_key")).agg(F.count("*").cast("int").alias("_many"))
         rows = rows.join(many, F.col(model.key) == F.col("_key"), "left").drop("_key").withColumn("_many", F.coalesce("_many", F.lit(0)))
-    starts = {}
-    if model.starts and parents is not None and set(model.parents.columns) <= set(parents.columns):
-        own = encode_columns(parents, model.parents, (pk,)).withColumnsRenamed({c: f"parent:{c}" for c in model.parents.cardinalities}).withColumnRenamed(pk, "_pk")
-        rows, starts = rows.join(own, F.col(model.key) == F.col("_pk"), "left").drop("_pk"), model.starts
+    theirs = []
+    if model.parents is not None:
+        theirs = [f"parent:{c}" for c in model.parents.cardinalities]
+        if parents is not None and set(model.parents.columns) <= set(parents.columns):
+            own = encode_columns(parents, model.parents, (pk,)).withColumnsRenamed({c: f"parent:{c}" for c in model.parents.cardinalities}).withColumnRenamed(pk, "_pk")
+            rows = rows.join(own, F.col(model.key) == F.col("_pk"), "left").drop("_pk")
+        else:
+            rows = rows.withColumns({c: F.lit(None).cast("int") for c in theirs})
     if trials is not None:
         rows, keys = rows.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1)))), (*keys, "trial")
         seed = F.lit(seed) + F.col("trial")
-    sizes = _cdf(model.lengths.select(F.lit(1).alias("_one"), F.col("n").alias("code"), F.col("many").alias("n")), ["_one"], {}, 1.0, 1.0)
-    rows = rows.withColumn("_one", F.lit(1)).join(F.broadcast(sizes), "_one").withColumn("_n", drawn(uniform(seed, F.lit("length"), model.key), F.col("cdf"))).drop("cdf")
+    sizes = model.lengths.select(F.lit(ANY).alias("by"), F.col("n").alias("code"), F.col("many").alias("n"))
+    rows = drawn(rows, "_n", uniform(seed, F.lit("length"), model.key), sizes, Shape(), model.lengths.count())
     if conditions is not None:
         rows = rows.withColumn("_n", F.col("_many") if trials is not None else F.greatest("_n", "_many"))
-    for c in model.columns:
-        counts = model.steps.where(F.col("column") == c).select("prev", "code", "n")
-        table = _cdf(counts, ["prev"], weights.get(c, {}), want.diversity, want.rare_cutoff)
-        whole = _cdf(counts.groupBy("code").agg(F.sum("n").alias("n")).withColumn("_one", F.lit(1)), ["_one"], weights.get(c, {}), want.diversity, want.rare_cutoff).select("_one", F.col("cdf").alias("_any"))
-        moves = table.groupBy().agg(F.map_from_entries(F.collect_list(F.struct("prev", "cdf"))).alias("_moves")).withColumn("_one", F.lit(1))
-        rows = rows.join(F.broadcast(moves), "_one").join(F.broadcast(whole), "_one")
-        if c in starts:
-            first = _cdf(starts[c][1], ["_p"], weights.get(c, {}), want.diversity, want.rare_cutoff).select("_p", F.col("cdf").alias("_start"))
-            rows = rows.join(first, F.col(f"`{starts[c][0]}`") == F.col("_p"), "left").drop("_p")
-        steps = F.when(F.col("_n") > 0, F.sequence(F.lit(1), F.col("_n"))).otherwise(F.array().cast("array<int>"))
-        rows = rows.withColumn(c, F.aggregate(steps, F.array().cast("array<int>"), _move(seed, c, model.key, c in fixed, c in starts))).drop("_moves", "_any", "_start")
-    own = [k for k in keys if k != "step"]
-    flat = S.flattened(rows, own, F.col("_n"), model.columns).withColumn("row_id", F.concat_ws("|", F.col(model.key).cast("string"), "step"))
+    shapes = {c: Shape.of(weights.get(c, {}), want.diversity, want.rare_cutoff) for c in model.columns}
+    cards = model.profile.cardinalities | {f"parent:{c}": n for c, n in (model.parents.cardinalities if model.parents else {}).items()}
+    flat = P.paths(rows, model.key, [k for k in keys if k != "step"], model.steps, order, shapes, cards, seed, fixed, theirs)
+    flat = flat.withColumn("row_id", F.concat_ws("|", F.col(model.key).cast("string"), "step"))
     return decode_columns(flat, model.profile, rare, seed, "row_id", keys)
 
 

@@ -284,11 +284,21 @@ def dt_roundtrip(spark: SparkSession, d: str) -> DataFrame:
     return back.withColumn("o_orderdate", F.date_trunc("second", "o_orderdate").cast("timestamp_ntz"))
 
 
-@register("""SELECT CAST(y AS INTEGER) AS y, CAST(m AS INTEGER) AS m, CAST(least(g, day(last_day(make_date(y, m, 1)))) AS INTEGER) AS day
-FROM range(1999, 2005) a(y), range(1, 13) b(m), range(27, 32) c(g)""")
+@register("""SELECT o_orderkey, CAST(least(1 + o_orderkey % 31, day(last_day(o_orderdate))) AS INTEGER) AS day,
+  make_date(year(o_orderdate), month(o_orderdate), least(1 + o_orderkey % 31, day(last_day(o_orderdate))))::TIMESTAMP AS t FROM orders""")
 def dt_clip_day(spark: SparkSession, d: str) -> DataFrame:
-    grid = spark.range(1999, 2005).select(F.col("id").cast("int").alias("y"), F.explode(F.sequence(F.lit(1), F.lit(12))).alias("m")).withColumn("g", F.explode(F.sequence(F.lit(27), F.lit(31))))
-    return grid.select("y", "m", V.clipped_day(F.col("y"), F.col("m"), F.col("g")).alias("day"))
+    """Days that go beyond the ends of the orders' months, and the dates assembled from them."""
+    year, month, day = F.year("o_orderdate"), F.month("o_orderdate"), (1 + F.col("o_orderkey") % 31).cast("int")
+    made = V.assembled_datetime({"year": year, "month": month, "day": day})
+    return _t(spark, d, "orders").select("o_orderkey", V.clipped_day(year, month, day).alias("day"), made.cast("timestamp_ntz").alias("t"))
+
+
+@register("SELECT event_id, date_trunc('day', ts) AS day_first, CASE WHEN event_id % 9 > 0 THEN date_trunc('day', ts) END AS month_first FROM events")
+def dt_day_first(spark: SparkSession, d: str) -> DataFrame:
+    """Two columns of dates with slashes: the order of day and month is that by which fewer texts of the column are lost."""
+    said = _t(spark, d, "events").select("event_id", F.date_format("ts", "dd/MM/yyyy").alias("a"), F.when(F.col("event_id") % 9 > 0, F.date_format("ts", "MM/dd/yyyy")).otherwise("?").alias("b"))
+    first = said.agg(*[(V.day_first_share(F.col(c)) > 0).alias(c) for c in "ab"]).first()
+    return said.select("event_id", *[V.to_datetime(F.col(c), first[c]).cast("timestamp_ntz").alias(k) for c, k in (("a", "day_first"), ("b", "month_first"))])
 
 
 @register("""SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('second', ts) WHEN 1 THEN date_trunc('day', ts) END AS t FROM events""")
@@ -599,6 +609,95 @@ def impute_mode(spark: SparkSession, d: str) -> DataFrame:
     return M.impute(spark, M.fit(rows.select("o_orderpriority"), {"privacy": PINNED}), rows, "o_orderkey", 3, "mode", seed=20)
 
 
+@register(f"""WITH v AS (SELECT CAST(l_partkey AS VARCHAR) AS value, count(*) AS n FROM lineitem GROUP BY 1),
+p AS (SELECT value, sum(n) OVER (ORDER BY value) / (SELECT count(*) FROM lineitem)::DOUBLE AS cum FROM v),
+r AS (SELECT i, {_u(9, "'item__cat'", "i")} AS u FROM range((SELECT count(*) FROM lineitem)) g(i))
+SELECT i AS row_id, value AS item FROM r ASOF JOIN p ON r.u < p.cum""")
+def sample_many_categories(spark: SparkSession, d: str) -> DataFrame:
+    """As many new rows as there are lineitems, of a column with a category for each part."""
+    rows = _t(spark, d, "lineitem").select(F.col("l_partkey").cast("string").alias("item"))
+    return M.generate(spark, M.fit(rows, {"privacy": Privacy(threshold=1), "encoding_types": {"item": "categorical"}}), seed=9)
+
+
+_DEPENDENT = """WITH c AS (SELECT c_custkey, CASE WHEN c_custkey % 3 = 0 THEN 'none' ELSE 'some' END AS g, CASE WHEN c_custkey % 3 > 0 THEN c_mktsegment END AS s FROM customer),
+v AS (SELECT s AS value, sum(count(*)) OVER (ORDER BY s) / (SELECT count(s) FROM c)::DOUBLE AS cum FROM c WHERE s IS NOT NULL GROUP BY s)"""
+
+
+@register(f"""{_DEPENDENT} SELECT c_custkey, g, coalesce(s, (SELECT min_by(value, cum) FROM v WHERE cum > {_u(9, "'s__cat'", "c_custkey")})) AS s FROM c""")
+def impute_dependent(spark: SparkSession, d: str) -> DataFrame:
+    """A column that is null exactly where another one says so: cells are filled from all rows, since the group of the null has nothing else."""
+    none = F.col("c_custkey") % 3 == 0
+    rows = _t(spark, d, "customer").select("c_custkey", F.when(none, "none").otherwise("some").alias("g"), F.when(~none, F.col("c_mktsegment")).alias("s"))
+    model = M.fit(rows.drop("c_custkey"), {"privacy": PINNED, "encoding_types": {"g": "categorical", "s": "categorical"}})
+    return M.impute(spark, model, rows, "c_custkey", seed=9)
+
+
+@register(_HOLED + f""", s AS (SELECT o_totalprice AS x, row_number() OVER (ORDER BY o_totalprice) - 1 AS k, count(*) OVER () AS n FROM h WHERE o_totalprice IS NOT NULL),
+p AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_totalprice IS NULL THEN CAST(floor({_u(5, "'o_totalprice'", "o_orderkey")} * (SELECT max(n) FROM s)) AS BIGINT) END AS k FROM h),
+b AS (SELECT (SELECT o_totalprice FROM h WHERE o_totalprice IS NOT NULL ORDER BY 1 LIMIT 1 OFFSET 5) AS lo, (SELECT o_totalprice FROM h WHERE o_totalprice IS NOT NULL ORDER BY 1 DESC LIMIT 1 OFFSET 5) AS hi),
+f AS (SELECT CAST(floor(least(greatest(coalesce(o_totalprice, x), lo), hi) / 10) AS BIGINT) % 10 AS digit FROM p LEFT JOIN s USING (k), b)
+SELECT CAST(digit AS INTEGER) AS digit, count(*) AS n FROM f GROUP BY 1""")
+def fit_null_fill(spark: SparkSession, d: str) -> DataFrame:
+    """What a model counts of a digit: nulls stand there as values drawn from the other rows."""
+    rows = _holed(spark, d).select("o_orderkey", "o_totalprice")
+    model = M.fit(rows, {"privacy": PINNED, "encoding_types": {"o_totalprice": "numeric_digit"}, "seed": 5}, row="o_orderkey")
+    at, low = model.columns.index("o_totalprice__E1"), model.profile.columns["o_totalprice"].low["E1"]
+    return model.pairs.where((F.col("i") == at) & (F.col("j") == at)).select((F.col("a") + low).cast("int").alias("digit"), "n")
+
+
+_STEPS = f"""e AS (SELECT user_id, event_type AS c, CASE WHEN {_u(31, "event_id")} < 0.9 THEN upper(event_type) ELSE 'OTHER' END AS band, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+m AS (SELECT a.pos = 1 AS first, coalesce(b.c, '') AS prev, a.c AS c, count(*) AS n FROM e a LEFT JOIN e b ON a.user_id = b.user_id AND a.pos = b.pos + 1 GROUP BY 1, 2, 3),
+cdf AS (SELECT prev, c, sum(n) OVER (PARTITION BY prev ORDER BY c) / sum(n) OVER (PARTITION BY prev)::DOUBLE AS cum FROM m),
+w AS (SELECT pos = 1 AS first, c, band, sum(count(*)) OVER (PARTITION BY pos = 1, c ORDER BY band) / sum(count(*)) OVER (PARTITION BY pos = 1, c)::DOUBLE AS cum FROM e GROUP BY 1, 2, 3),
+z AS (SELECT n, sum(count(*)) OVER (ORDER BY n) / (SELECT count(DISTINCT user_id) FROM events)::DOUBLE AS cum FROM (SELECT count(*) AS n FROM events GROUP BY user_id) GROUP BY n),
+l AS (SELECT user_id, (SELECT min_by(n, cum) FROM z WHERE cum > {_u(6, "'length'", "user_id")}) AS n FROM (SELECT DISTINCT user_id FROM events) u),
+g AS (SELECT user_id, pos, {_u(6, "'event_type__cat'", "user_id", "pos")} AS u, {_u(6, "'band__cat'", "user_id", "pos")} AS v FROM l JOIN (SELECT unnest(range(1, (SELECT max(n) + 1 FROM l))) AS pos) ON pos <= n),
+paths AS (SELECT user_id, CAST(0 AS BIGINT) AS pos, '' AS c FROM l UNION ALL
+  SELECT g.user_id, CAST(g.pos AS BIGINT), (SELECT min_by(cdf.c, cdf.cum) FROM cdf WHERE cdf.prev = paths.c AND cdf.cum > g.u) FROM paths JOIN g ON g.user_id = paths.user_id AND g.pos = paths.pos + 1)"""
+
+
+@register(f"""WITH RECURSIVE {_STEPS}
+SELECT p.user_id, CAST(p.pos - 1 AS INTEGER) AS step, p.c AS event_type, (SELECT min_by(w.band, w.cum) FROM w WHERE w.first = (p.pos = 1) AND w.c = p.c AND w.cum > g.v) AS band FROM paths p JOIN g USING (user_id, pos)""")
+def sample_sequence_joint(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences whose second column depends on the first one of the same step."""
+    band = F.when(uniform(31, "event_id") < 0.9, F.upper("event_type")).otherwise("OTHER")
+    rows = _t(spark, d, "events").select("user_id", "ts", "event_id", "event_type", band.alias("band"))
+    model = M.fit(rows, {"privacy": PINNED}, "user_id", ["ts", "event_id"])
+    return M.generate_sequences(spark, model, rows.select("user_id").distinct(), "user_id", seed=6)
+
+
+@register(f"""WITH e AS (SELECT o_custkey, c_mktsegment AS s, CASE WHEN {_u(31, "o_orderkey")} < 0.9 THEN c_mktsegment ELSE 'OTHER' END AS c, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS pos FROM orders JOIN customer ON o_custkey = c_custkey),
+w AS (SELECT pos = 1 AS first, s, c, sum(count(*)) OVER (PARTITION BY pos = 1, s ORDER BY c) / sum(count(*)) OVER (PARTITION BY pos = 1, s)::DOUBLE AS cum FROM e GROUP BY 1, 2, 3),
+h AS (SELECT c_custkey, c_mktsegment AS s, coalesce(n, 0) AS n FROM customer LEFT JOIN (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) ON o_custkey = c_custkey),
+z AS (SELECT n, sum(count(*)) OVER (ORDER BY n) / (SELECT count(*) FROM h)::DOUBLE AS cum FROM h GROUP BY n),
+l AS (SELECT c_custkey, s, (SELECT min_by(n, cum) FROM z WHERE cum > {_u(6, "'length'", "c_custkey")}) AS n FROM h),
+g AS (SELECT c_custkey, s, pos, {_u(6, "'c__cat'", "c_custkey", "pos")} AS u FROM l JOIN (SELECT unnest(range(1, (SELECT max(n) + 1 FROM l))) AS pos) ON pos <= n)
+SELECT c_custkey AS o_custkey, CAST(pos - 1 AS INTEGER) AS step, (SELECT min_by(w.c, w.cum) FROM w WHERE w.first = (g.pos = 1) AND w.s = g.s AND w.cum > g.u) AS c FROM g""")
+def sample_sequence_parents(spark: SparkSession, d: str) -> DataFrame:
+    """Sequences that follow a column of their parents at every step."""
+    customers = _t(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    orders = S.with_parent(_t(spark, d, "orders").select("o_custkey", "o_orderdate", "o_orderkey"), "o_custkey", customers, "c_custkey", ["c_mktsegment"])
+    rows = orders.select("o_custkey", "o_orderdate", "o_orderkey", F.when(uniform(31, "o_orderkey") < 0.9, F.col("c_mktsegment")).otherwise("OTHER").alias("c"))
+    model = M.fit(rows, {"privacy": Privacy(threshold=1)}, "o_custkey", ["o_orderdate", "o_orderkey"], customers, "c_custkey", ["c_mktsegment"])
+    return M.generate_sequences(spark, model, customers, "c_custkey", seed=6)
+
+
+@register(f"""WITH c AS (SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'even' ELSE 'odd' END AS g, CASE WHEN c_nationkey % 2 = 0 AND c_custkey % 20 > 0 THEN 'yes' ELSE 'no' END AS h,
+  CASE WHEN {_u(41, "c_custkey")} < 0.5 THEN 'a' ELSE 'b' END AS x, CASE WHEN {_u(42, "c_custkey")} < CASE WHEN {_u(41, "c_custkey")} < 0.5 THEN 0.8 ELSE 0.2 END * CASE WHEN c_nationkey % 2 = 0 THEN 1.0 ELSE 0.5 END THEN 'rich' ELSE 'poor' END AS t FROM customer),
+pg AS (SELECT g AS value, sum(count(*)) OVER (ORDER BY g) / (SELECT count(*) FROM c)::DOUBLE AS cum FROM c GROUP BY g),
+ph AS (SELECT g, h AS value, sum(count(*)) OVER (PARTITION BY g ORDER BY h) / sum(count(*)) OVER (PARTITION BY g)::DOUBLE AS cum FROM c GROUP BY g, h),
+px AS (SELECT x AS value, sum(count(*)) OVER (ORDER BY x) / (SELECT count(*) FROM c)::DOUBLE AS cum FROM c GROUP BY x),
+pt AS (SELECT x, t AS value, sum(count(*)) OVER (PARTITION BY x ORDER BY t) / sum(count(*)) OVER (PARTITION BY x)::DOUBLE AS cum FROM c GROUP BY x, t), {_ROWS},
+a AS (SELECT i, (SELECT min_by(value, cum) FROM pg WHERE cum > {_u(9, "'g__cat'", "i")}) AS g, (SELECT min_by(value, cum) FROM px WHERE cum > {_u(9, "'x__cat'", "i")}) AS x FROM rows)
+SELECT i AS row_id, g, (SELECT min_by(value, cum) FROM ph WHERE ph.g = a.g AND cum > {_u(9, "'h__cat'", "i")}) AS h, x, (SELECT min_by(value, cum) FROM pt WHERE pt.x = a.x AND cum > {_u(9, "'t__cat'", "i")}) AS t FROM a""")
+def bias_admissible(spark: SparkSession, d: str) -> DataFrame:
+    """The target keeps what it has to do with an admissible column, and nothing of a sensitive one and its proxy."""
+    even, a = F.col("c_nationkey") % 2 == 0, uniform(41, "c_custkey") < 0.5
+    rich = uniform(42, "c_custkey") < F.when(a, 0.8).otherwise(0.2) * F.when(even, 1.0).otherwise(0.5)
+    rows = _t(spark, d, "customer").select(F.when(even, "even").otherwise("odd").alias("g"), F.when(even & (F.col("c_custkey") % 20 > 0), "yes").otherwise("no").alias("h"), F.when(a, "a").otherwise("b").alias("x"), F.when(rich, "rich").otherwise("poor").alias("t"))
+    return M.generate(spark, M.fit(rows, {"privacy": PINNED}), 1000, bias=Bias("t", ("g",)), seed=9)
+
+
 _DRAWS = """WITH t AS (SELECT o_custkey, o_totalprice AS x FROM orders) """
 
 
