@@ -65,10 +65,14 @@ def sources(counts: DataFrame, order: list[str]) -> dict[tuple[bool, str], str]:
 
 
 def counts_of(counts: DataFrame, first: bool, column: str, source: str | None) -> DataFrame:
-    """(by, code, n) of a column given its source, and ANY: of first steps, or of all steps."""
+    """(by, code, n) of a column given its source, and ANY: of first steps, or of later ones, or of all where there are no later ones."""
     alone = counts.where((F.col("source") == "") & (F.col("column") == column))
-    alone = alone.where("first") if first else alone.groupBy("by", "code").agg(F.sum("n").alias("n"))
-    out = alone.select("by", "code", "n")
+    if first:
+        out = alone.where("first").select("by", "code", "n")
+    else:
+        both = alone.groupBy("by", "code").agg(F.sum("n").alias("n"), F.coalesce(F.sum(F.when(~F.col("first"), F.col("n"))), F.lit(0)).alias("later"))
+        some = F.sum("later").over(Window.partitionBy("by")) > 0
+        out = both.select("by", "code", F.when(some, F.col("later")).otherwise(F.col("n")).alias("n")).where("n > 0")
     if source is None:
         return out
     met = counts.where((F.col("first") == first) & (F.col("column") == column) & (F.col("source") == source))
