@@ -1,50 +1,24 @@
-"""Shared pieces: tables in the shared scratch folder, and connected components."""
+"""Shared pieces: tables in the shared scratch folder, hashes of rows, and connected components."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Regular expression of one word: a run of anything but ASCII white space.
-WORD = r"[^\x20\x09-\x0D]+"
-#: Spark's setting by which a query's shuffle files go when it ends; on while a table is written.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
+from strataloom.sources.scratch import dropped as forget
+from strataloom.sources.scratch import scratch_dir
+from strataloom.sources.scratch import written as stored
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir; one of our own only in local mode, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='strataloom-')}"
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base}/strataloom-{spark.sparkContext.applicationId}"
+__all__ = ["WORD", "ascii_lower", "connected_components", "forget", "row_hash", "scratch_dir", "stored"]
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before) if before is not None else spark.conf.unset(CLEANUP)
-    out = spark.read.schema(df.schema).parquet(path)
-    out._stored_at = path
-    return out
+#: Regular expression of one word: a run of anything but ASCII white space.
+WORD = r"[^\x20\x09-\x0D]+"
 
 
-def forget(df: DataFrame) -> None:
-    """Delete a table that stored() wrote, once nothing reads it any more."""
-    spark = df.sparkSession
-    path = spark._jvm.org.apache.hadoop.fs.Path(df._stored_at)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+def row_hash(df: DataFrame, seed: int) -> Column:
+    """A hash of all columns, of any type; maps count by their entries in the order that they have."""
+    plain = lambda f: not any(k in f.dataType.simpleString() for k in ("map<", "variant"))
+    return F.xxhash64(F.lit(seed), *[F.col(f"`{f.name}`") if plain(f) else F.to_json(F.struct(F.col(f"`{f.name}`").alias("x"))) for f in df.schema.fields])
 
 
 def ascii_lower(c: Column) -> Column:

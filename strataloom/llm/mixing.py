@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import WORD, stored
+from strataloom.llm.common import WORD, row_hash, stored
 
 #: floor(2^32 / golden ratio): the step of the Weyl sequence in 32-bit fractions.
 STEP = 2654435769
@@ -132,15 +132,14 @@ def take(docs: DataFrame, weights: tuple[int, ...] = (3, 1, 2), share: float = 1
     hashes of the text and of all columns; equal rows stand for each other. An empty table gives an empty one.
     """
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    h1, h2 = F.xxhash64(F.lit(1), F.col("text").cast("string")).alias("h1"), F.xxhash64(F.lit(2), *columns).alias("h2")
+    h1, h2 = F.xxhash64(F.lit(1), F.col("text").cast("string")).alias("h1"), row_hash(docs, 2).alias("h2")
     rows, shares = _planned(stored(_sizes(docs, h1, h2), "sized"), weights, share, most, block)
     starts = rows.where("copies > 0").select("h1", "h2", "key", F.explode(F.transform(F.sequence(F.lit(0), (F.col("copies") - 1).cast("int")), lambda p: (p * F.col("per_pass") + F.floor(F.col("start") / F.col("block"))).cast("long"))).alias("rank"))
     wanted = shares.select("key", (F.col("target") / F.col("block")).alias("target"))
     whole = float(wanted.agg(F.sum("target")).first()[0] or 0)
     slots = schedule(wanted, -int(-whole // 1)).select("slot", "key", F.col("rank").cast("long").alias("rank"))
     plan = stored(starts.join(slots, ["key", "rank"]).groupBy("h1", "h2").agg(F.sort_array(F.collect_list("slot")).alias("slots")), "plan")
-    own = docs.select(F.struct(*columns).alias("row"), h1, h2).join(plan, ["h1", "h2"])
-    own = own.withColumn("at", F.row_number().over(Window.partitionBy("h1", "h2").orderBy(F.lit(1)))).where("at = 1")
+    own = docs.select(F.struct(*columns).alias("row"), h1, h2).groupBy("h1", "h2").agg(F.first("row").alias("row")).join(plan, ["h1", "h2"])
     own = own.select("row", F.explode("slots").alias("slot")).repartitionByRange("slot").sortWithinPartitions("slot")
     return own.select("row.*")
 

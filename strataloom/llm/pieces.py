@@ -19,6 +19,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
+#: What stands for an id without a piece.
+UNREADABLE = "\ufffd".encode()
 #: Segments that a worker remembers at most; then it starts anew. Longer segments are not kept.
 REMEMBER, KEEP_CHARS = 300_000, 48
 #: Documents of one output batch.
@@ -120,8 +122,13 @@ class Codec:
         return own.join([b"".join([segment(x) for x in self.split(p.replace(" ", SPACE))]) for p in parts])
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of the ids."""
-        return b"".join(map(self.said.__getitem__, ids.tolist())).decode("utf-8", "surrogatepass")[1:]
+        """The text of the ids; an id that no piece has, and bytes that make no character, read as U+FFFD."""
+        said, n = self.said, len(self.said)
+        got = b"".join([said[i] if 0 <= i < n else UNREADABLE for i in ids.tolist()])
+        try:
+            return got.decode("utf-8", "surrogatepass")[1:]
+        except UnicodeDecodeError:
+            return got.decode("utf-8", "replace")[1:]
 
 
 _CODECS: dict[int, Codec] = {}
@@ -139,7 +146,8 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids, decoded_sha256 (of the text decoded from the ids), round_trip.
 
     No shuffle; the vocabulary (bounded by its file) is broadcast. A null text is like an empty
-    one: no ids, and it decodes to the empty text. Repeated rows come out repeated.
+    one: no ids, and it decodes to the empty text. Whole texts of any length are read. Repeated
+    rows come out repeated, an empty table gives an empty one, other columns are ignored.
     """
     shared = docs.sparkSession.sparkContext.broadcast(read_model(model or default_model()))
 
@@ -162,13 +170,17 @@ def encode_documents(docs: DataFrame, model: str | None = None) -> DataFrame:
 
 
 def decode_documents(encoded: DataFrame, model: str | None = None) -> DataFrame:
-    """doc_id, text: the texts of the ids in encoded (doc_id, ids); null ids give an empty text."""
+    """doc_id, text: the texts of the ids in encoded (doc_id, ids); other columns are ignored.
+
+    Null ids give an empty text. An id that is null or no piece's, and bytes that make no character,
+    as where ids were cut, read as U+FFFD. An empty table gives an empty one.
+    """
     shared = encoded.sparkSession.sparkContext.broadcast(read_model(model or default_model()))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(shared)
         for b in batches:
-            texts = [codec.decode(np.array(i or [], np.int32)) for i in b.column("ids").to_pylist()]
+            texts = [codec.decode(np.array([-1 if x is None else x for x in i or []], np.int64)) for i in b.column("ids").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(texts, pa.string())], ["doc_id", "text"])
 
     return encoded.select(F.col("doc_id").cast("long"), "ids").mapInArrow(work, "doc_id long, text string")

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strataloom.llm.common import connected_components, stored
+from strataloom.llm.common import connected_components, row_hash, stored
 
 #: Members of an anchor that one task compares at once; larger anchors go to pairs of chunks of this size.
 CHUNK = 16_384
@@ -248,16 +248,19 @@ def simhash_classes(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFra
 def keep_one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3) -> DataFrame:
     """One row of docs per class: the one with the smallest doc_id, of those the one with the smallest hashes of text and row.
 
-    A row without a doc_id stands for a class only if no row of the class has one.
+    A row without a doc_id stands for a class only if no row of the class has one. A null or empty
+    text has fingerprint zero and is of one class with the like. All columns come back as they are,
+    whatever their names and types. An empty table gives an empty one.
     """
-    marked = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_h1": F.xxhash64(F.col("text").cast("string")), "_h2": F.xxhash64(F.lit(7), *[F.col(f"`{c}`") for c in docs.columns])})
-    rows = stored(fingerprints(marked, shingle, ("_h1", "_h2")), "fingerprints")
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    marked = docs.select(F.struct(*columns).alias("row"), F.col("doc_id").cast("long").alias("id"), F.col("text").cast("string").alias("text"), F.xxhash64(F.col("text").cast("string")).alias("h1"), row_hash(docs, 7).alias("h2"))
+    rows = stored(fingerprints(marked.select(F.col("id").alias("doc_id"), "text", "h1", "h2"), shingle, ("h1", "h2")), "fingerprints")
     # per fp first, so that a large group of copies is not joined row by row
-    best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("_none"), F.col("doc_id").alias("_id"), "_h1", "_h2")).alias("best"))
+    best = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "h1", "h2")).alias("best"))
     heads = _classes(rows, bits).join(best, "fp").groupBy("root").agg(F.min("best").alias("best")).select("best.*")
-    heads = stored(heads.select(F.col("_id").alias("_i"), F.col("_h1").alias("_a"), F.col("_h2").alias("_b")), "kept")
-    met = marked.join(heads, F.col("_id").eqNullSafe(F.col("_i")) & (F.col("_h1") == F.col("_a")) & (F.col("_h2") == F.col("_b")), "left_semi")
-    return met.dropDuplicates(["_id", "_h1", "_h2"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    heads = stored(heads.select(F.col("id").alias("i"), F.col("h1").alias("a"), F.col("h2").alias("b")), "kept")
+    met = marked.select("row", "id", "h1", "h2").join(heads, F.col("id").eqNullSafe(F.col("i")) & (F.col("h1") == F.col("a")) & (F.col("h2") == F.col("b")), "left_semi")
+    return met.groupBy("id", "h1", "h2").agg(F.first("row").alias("row")).select("row.*")  # equal rows stand for each other
 
 
 def op7_simhash(spark, sf_dir: str) -> DataFrame:

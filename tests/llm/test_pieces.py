@@ -85,3 +85,13 @@ def test_edge_rows(spark):
     assert {r.doc_id: r.n_tokens for r in got if r.doc_id in (1, 2)} == {1: 0, 2: 0}
     assert next(r for r in got if r.doc_id == 1).decoded_sha256 == hashlib.sha256(b"").hexdigest()
     assert pieces.encode_documents(df.where("false")).count() == 0
+
+
+def test_ids_that_are_no_text_read_as_the_replacement_character(spark):
+    whole = pieces.encode_documents(spark.createDataFrame([(1, "a 😀 b 🜚")], "doc_id long, text string")).first().ids
+    codec = pieces.Codec(*pieces.read_model(pieces.default_model()))
+    rows = [(1, whole), (2, [*whole[:1], 10**9, -5, None]), (3, None), (4, [])]
+    rows += [(10 + k, whole[:k]) for k in range(1, len(whole))] + [(50, [codec.byte0 + 0xF0, codec.byte0 + 0x9F])]
+    got = {r.doc_id: r.text for r in pieces.decode_documents(spark.createDataFrame(rows, "doc_id long, ids array<int>")).collect()}
+    assert got[1] == "a 😀 b 🜚" and got[2].endswith("\ufffd" * 3) and got[3] == got[4] == "" and len(got) == len(rows)
+    assert all(got[10 + k].rstrip("\ufffd") == "a 😀 b 🜚"[: len(got[10 + k].rstrip("\ufffd"))] for k in range(1, len(whole)))

@@ -48,11 +48,16 @@ def test_stages_keep_what_plain_python_keeps(spark):
 
 def test_nulls_empty_texts_and_clashing_names(spark):
     rows = [(None, None, None, None, 1), (1, "", "en", "a", 1), (2, "one two three " * 9, "en", None, 1), (2, "one two three " * 9, "en", None, 1), (2, "other words here", None, "a", 2), (3, " ", "en", "a", 1), (4, "w " * 40_000, "en", "b", 1)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as row", "2 as copies", "3 as _h1", "4 as slot", "5 as gone", "6 as score")
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    # names that stages use inside, values that tell rows apart, and a map
+    names = [*"row copies slot gone score id h1 h2 i a b n best root _id _h1 _h2 _i _a _b key rank slots part fp th line".split()]
+    docs = docs.selectExpr("*", *[f"coalesce(doc_id, -1) * 100 + {k} as {c}" for k, c in enumerate(names)], "map('k', doc_id) as words")
+    had = {tuple(str(v) for k, v in r.asDict().items() if k != "text") for r in docs.collect()}
     for frame in (docs, docs.where("false")):
-        for _, stage in corpus_pipeline.STAGES:
+        for name, stage in corpus_pipeline.STAGES:
             out = corpus_pipeline.stored(stage(spark, frame, SF), "t")
-            if _ != corpus_pipeline.STAGES[-1][0]:
+            if name != corpus_pipeline.STAGES[-1][0]:
                 assert out.columns == docs.columns
+                assert {tuple(str(v) for k, v in r.asDict().items() if k != "text") for r in out.collect()} <= had
             frame = out
         assert frame.count() <= 2 * len(rows)
