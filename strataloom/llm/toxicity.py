@@ -1,6 +1,6 @@
 """Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-A term is the beginning of a run of letters. A term's weight in a text is its damped frequency times
+A term is a whole word, digits included; scripts without spaces give pairs of characters. A term's weight in a text is its damped frequency times
 its inverse document frequency over all documents, times how surely it goes with label 1 in the
 labelled sample; no term is left out. The examples stand in blocks. Terms that many examples hold
 have their entries as dense rows, with the highest entry of each block; the others have postings.
@@ -24,9 +24,21 @@ from pyspark.sql import functions as F
 
 from strataloom.llm.common import forget, stored
 
-LETTERS = re.compile(r"[^\W\d_]+")
-#: Letters of a run that make its term.
-START = 5
+#: A run of letters and digits, or a character of a script that is written without spaces (Han, kana, Thai, Lao, Khmer, Burmese).
+UNSPACED = r"\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff"
+WORDS = re.compile(rf"[{UNSPACED}]+|[^\W_{UNSPACED}]+")
+IS_UNSPACED = re.compile(rf"[{UNSPACED}]")
+
+
+def runs_of(text: str) -> list[str]:
+    """The terms of a text: whole lower-case words, digits included; of scripts without spaces each pair of neighbours, or the single character."""
+    text = text.lower()
+    out = WORDS.findall(text)
+    if text.isascii() or not IS_UNSPACED.search(text):
+        return out
+    return [t for w in out for t in ([w] if len(w) < 2 or not IS_UNSPACED.match(w) else [w[i : i + 2] for i in range(len(w) - 1)])]
+
+
 #: Examples of one block; texts that are looked up together, and their postings at most, but for a single text.
 BLOCK, TOGETHER, POSTINGS = 128, 128, 1 << 21
 #: A term that more than this share of the examples hold has a dense row.
@@ -43,7 +55,7 @@ class Reader:
 
     def counts(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """(term, count), ascending by term."""
-        runs = [w[:START] for w in LETTERS.findall((text or "").lower())]
+        runs = runs_of(text or "")
         if self.grow:
             for w in runs:
                 self.terms.setdefault(w, len(self.terms))
