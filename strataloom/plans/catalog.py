@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,7 +18,7 @@ from strataloom.operators import sampler as M
 from strataloom.operators import sequences as S
 from strataloom.operators import tables as T
 from strataloom.operators.decode import decode_columns
-from strataloom.operators.embedding import project
+from strataloom.operators.embedding import LinearEncoder, TableEncoder, context_vectors, embed, project, told_codes, with_context_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -743,6 +744,50 @@ def embed_project(spark: SparkSession, d: str) -> DataFrame:
     return project(E.encode_columns(rows, p, ("c_custkey",)), p, 16, 3, ("c_custkey",))
 
 
+_CODED = """seg AS (SELECT s AS v, row_number() OVER (ORDER BY s) AS code FROM (SELECT c_mktsegment AS s FROM customer GROUP BY 1 HAVING count(*) >= 5)),
+nat AS (SELECT n AS v, row_number() OVER (ORDER BY CAST(n AS VARCHAR)) AS code FROM (SELECT c_nationkey AS n FROM customer GROUP BY 1 HAVING count(*) >= 5)),
+c AS (SELECT c_custkey, coalesce(seg.code, 0) AS a, coalesce(nat.code, 0) AS b FROM customer LEFT JOIN seg ON seg.v = c_mktsegment LEFT JOIN nat ON nat.v = c_nationkey),
+x AS (SELECT c_custkey, """ + ", ".join(f"CAST((a + 1) * {3 * (k + 2)} % 13 + (b + 1) * {5 * (k + 2)} % 13 AS DOUBLE) AS x{k}" for k in range(4)) + " FROM c)"
+
+
+def _coded_customers(spark: SparkSession, d: str) -> tuple[DataFrame, P.Profile, TableEncoder]:
+    """Customers' codes, and whole weights for them by a rule."""
+    rows = _t(spark, d, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
+    p = P.profile_table(rows.drop("c_custkey"), {"c_mktsegment": "categorical", "c_nationkey": "numeric_discrete"}, PINNED)
+    rule = lambda n, step: np.array([[(code + 1) * step * (k + 2) % 13 for k in range(4)] for code in range(n)], float)
+    tables = {f"emb:{c}": rule(n, step) for (c, n), step in zip(p.cardinalities.items(), (3, 5), strict=True)}
+    return E.encode_columns(rows, p, ("c_custkey",)), p, TableEncoder(tables, 4)
+
+
+def _components(name: str) -> list:
+    return [F.get(name, F.lit(k)).cast("double").alias(f"x{k}") for k in range(4)]
+
+
+@register(f"WITH {_CODED} SELECT c_custkey, x0, x1, x2, x3 FROM x")
+def embed_tables(spark: SparkSession, d: str) -> DataFrame:
+    """Vectors of customers by given weights."""
+    codes, p, encoder = _coded_customers(spark, d)
+    return embed(codes, p, encoder, encoder.fit(codes, p), ("c_custkey",)).select("c_custkey", *_components("embedding"))
+
+
+@register(f"WITH {_CODED} SELECT o_orderkey, x0, x1, x2, x3 FROM orders LEFT JOIN x ON c_custkey = o_custkey")
+def ctx_vectors(spark: SparkSession, d: str) -> DataFrame:
+    """Orders with the vectors of their customers, made once per customer."""
+    codes, p, encoder = _coded_customers(spark, d)
+    vectors = context_vectors(codes, "c_custkey", p, encoder, encoder.fit(codes, p))
+    return with_context_vectors(_t(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", vectors, "c_custkey").select("o_orderkey", *_components("context"))
+
+
+@register(f"WITH {_CODED} SELECT c_custkey, CAST(a AS INTEGER) AS segment, CAST(b AS INTEGER) AS nation FROM c")
+def embed_fitted(spark: SparkSession, d: str) -> DataFrame:
+    """Customers' codes as their vectors tell them, with as many fitted directions as codes."""
+    codes, p, _ = _coded_customers(spark, d)
+    encoder = LinearEncoder(dim=sum(p.cardinalities.values()), rounds=2, seed=3)
+    state = encoder.fit(codes, p)
+    told = told_codes(embed(codes, p, encoder, state, ("c_custkey",)), p, state, ("c_custkey",))
+    return told.select("c_custkey", F.col("c_mktsegment__cat").alias("segment"), F.col("c_nationkey__cat").alias("nation"))
+
+
 @register(f"SELECT c_custkey, round(-2 * sign({_u(1, 'c_custkey')} - 0.5) * ln(greatest(1 - 2 * abs({_u(1, 'c_custkey')} - 0.5), 1e-300)), 9) AS lap, round(sqrt(-2 * ln(greatest({_u(2, 'c_custkey')}, 1e-300))) * cos(2 * pi() * {_u(3, 'c_custkey')}), 9) AS nor FROM customer")
 def noise(spark: SparkSession, d: str) -> DataFrame:
     k = "c_custkey"
