@@ -9,6 +9,7 @@ from strataloom.errors import InvalidRequestError
 
 ENCODINGS = ("categorical", "numeric_discrete", "numeric_binned", "numeric_digit", "numeric_auto", "datetime", "character")
 RARE_STRATEGIES = ("mask", "sample")
+MODEL_SIZES = ("small", "medium", "large")
 
 
 def _need(ok: bool, message: str, param: str) -> None:
@@ -104,7 +105,7 @@ class Privacy:
 
 @dataclass(frozen=True)
 class ModelConfig:
-    """Settings of a model: column encodings by name, privacy, seed, width of embeddings."""
+    """Settings of a model: column encodings by name, privacy, seed, width of embeddings and of their tables, and the share of rows held out."""
 
     privacy: Privacy = field(default_factory=Privacy)
     encoding_types: dict[str, str] = field(default_factory=dict)
@@ -112,6 +113,8 @@ class ModelConfig:
     seed: int | None = None
     n: int | None = None
     embedding_dim: int = 64
+    model_size: str = "medium"
+    val_split: float = 0.1
 
     def __post_init__(self) -> None:
         check_scalars(self.n, self.seed)
@@ -119,6 +122,8 @@ class ModelConfig:
             bad = {k: v for k, v in given.items() if v not in ENCODINGS}
             _need(not bad, f"unknown encodings: {bad}", name)
         _need(_whole(self.embedding_dim) and self.embedding_dim > 0, "embedding_dim must be above 0", "embedding_dim")
+        _need(self.model_size in MODEL_SIZES, f"model_size must be one of {MODEL_SIZES}", "model_size")
+        _need(isinstance(self.val_split, (int, float)) and not isinstance(self.val_split, bool) and 0 < self.val_split < 1, "val_split must be above 0 and below 1", "val_split")
 
     def to_dict(self) -> dict:
         from dataclasses import asdict

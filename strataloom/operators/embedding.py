@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from strataloom.config import ModelConfig
 from strataloom.errors import InvalidRequestError
 from strataloom.functions.rng import normal, uniform
 from strataloom.operators.profile import Profile, code_name
@@ -191,6 +192,11 @@ def _turned(rows: DataFrame, first: np.ndarray, basis: np.ndarray, mean: np.ndar
     return out - np.outer(mean, off)
 
 
+def encoder_of(config: ModelConfig) -> RandomEncoder:
+    """The default encoder, by a model's settings."""
+    return RandomEncoder(config.embedding_dim, config.seed or 0, config.model_size)
+
+
 def embed(codes: DataFrame, profile: Profile, encoder: Encoder, state: State, keep: tuple[str, ...] = ("row_id",), name: str = "embedding", noise: float = 0.0, seed: int = 0) -> DataFrame:
     """The columns to keep and the encoder's vector of each row, an array of float. noise: the deviation of normal noise, by the first column to keep."""
     if sum(w.size for w in state.values()) > MAX_NUMBERS:

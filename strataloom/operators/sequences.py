@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataloom.config import ModelConfig
 from strataloom.operators.ranks import cumulated
 
 
@@ -134,3 +135,8 @@ def train_split(df: DataFrame, key: list[str], share: float, seed: int = 0) -> D
     limit = rows.where(at == cut["at"]).select(F.struct("_h", *key).alias("k")).orderBy("k").limit(most - cut["ahead"]).agg(F.max("k")).first()[0]
     inside = F.struct("_h", *key) <= F.struct(*[F.lit(v).cast(t) for v, t in zip(limit, ["long", *[df.schema[k].dataType for k in key]], strict=True)])
     return rows.withColumn("part", F.when(inside, "val").otherwise("train")).drop("_h")
+
+
+def split_for(df: DataFrame, key: list[str], config: ModelConfig) -> DataFrame:
+    """train_split by a model's settings."""
+    return train_split(df, key, config.val_split, config.seed or 0)

@@ -5,14 +5,18 @@ from __future__ import annotations
 from dataclasses import dataclass, field
 from graphlib import CycleError, TopologicalSorter
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from strataloom.config import ModelConfig, Synthetic
+from strataloom.config import ModelConfig, Synthetic, resolve_config
 from strataloom.errors import InvalidRequestError
-from strataloom.functions.rng import any_seed
+from strataloom.functions.rng import any_seed, uniform
 from strataloom.operators import sampler
+from strataloom.operators.draws import ANY, Shape, drawn
+from strataloom.operators.encode import encode_columns
+from strataloom.operators.profile import Profile, profile_table
 from strataloom.operators.sequences import with_index
+from strataloom.sources.scratch import written
 
 KEY_TYPES = ("dxid", "uuid", "int")
 # Fixed value: digits of a number of base 62.
@@ -47,6 +51,7 @@ class Table:
         need(self.pk_type in KEY_TYPES, f"pk_type must be one of {KEY_TYPES}", "pk_type")
         need(not self.sequential or bool(self.foreign_keys), "a sequential table needs a foreign key", "sequential")
         need(not self.sequential or len(self.foreign_keys) == 1 or self.sequence_by is not None, "with several foreign keys, sequence_by must name one", "sequence_by")
+        need(self.sequence_by is None or self.sequential, "sequence_by needs a sequential table", "sequence_by")
         need(self.sequence_by is None or self.sequence_by in self.foreign_keys, f"{self.sequence_by!r} is no foreign key", "sequence_by")
         need(not self.sequential or bool(self.order), "a sequential table needs an order", "order")
         need(all(c in self.data.columns for c in self.order), "order must name columns", "order")
@@ -94,6 +99,67 @@ def remap_orphans(children: DataFrame, fk: str, order: list[str], parents: DataF
     return met.select(*[F.coalesce("_pk", fk).alias(c) if c == fk else F.col(f"`{c}`") for c in children.columns])
 
 
+@dataclass
+class Strata:
+    """How keys of parents go with children: the code columns of both that say most about each other, and counts (by, code, n) of them."""
+
+    profile: Profile  # of the parents' columns
+    child: str | None = None
+    parent: str | None = None
+    counts: DataFrame | None = None
+    cards: tuple[int, int] = (1, 1)
+
+
+def fit_strata(children: DataFrame, fk: str, profile: Profile, parents: DataFrame, pk: str, columns: list[str], config: ModelConfig) -> Strata:
+    """What the children's columns have to do with the `columns` of their parents: the pair of code columns with the highest mutual information, if they depend on each other at all.
+
+    profile: of the children. Children without a known parent don't count.
+    """
+    out = Strata(profile_table(parents.select(*[F.col(f"`{c}`") for c in columns]), {k: v for k, v in config.parent_encoding_types.items() if k in columns}, config.privacy, config.seed))
+    own = encode_columns(children, profile, (fk,)).withColumnRenamed(fk, "_fk")
+    theirs = encode_columns(parents, out.profile, (pk,)).withColumnRenamed(pk, "_pk").withColumnsRenamed({c: f"parent:{c}" for c in out.profile.cardinalities})
+    rows = own.join(theirs, F.col("_fk") == F.col("_pk"))
+    cell = lambda c, p: F.struct(F.lit(c).alias("child"), F.lit(p).alias("parent"), F.col(f"`{c}`").cast("int").alias("by"), F.col(f"`parent:{p}`").cast("int").alias("code"))
+    cells = [cell(c, p) for c in profile.cardinalities for p in out.profile.cardinalities]
+    if not cells:
+        return out
+    counts = rows.select(F.explode(F.array(*cells)).alias("s")).select("s.*").groupBy("child", "parent", "by", "code").agg(F.count("*").alias("n"))
+    counts = written(counts, "strata")
+    n, pair = F.col("n").cast("double"), Window.partitionBy("child", "parent")
+    total, x, y = F.sum("n").over(pair), F.sum("n").over(Window.partitionBy("child", "parent", "by")), F.sum("n").over(Window.partitionBy("child", "parent", "code"))
+    told = counts.withColumns({"t": total, "x": x, "y": y}).groupBy("child", "parent").agg(F.sum(n / F.col("t") * F.log(n * F.col("t") / (F.col("x") * F.col("y")))).alias("mi"), F.count_distinct("by").alias("a"), F.count_distinct("code").alias("b"), F.max("t").alias("t")).collect()
+    known = [r for r in told if sampler.dependent(r.mi, r.a, r.b, r.t)]
+    if known:
+        best = max(known, key=lambda r: (r.mi, r.child, r.parent))
+        mine = counts.where((F.col("child") == best.child) & (F.col("parent") == best.parent)).select("by", "code", "n")
+        alone = mine.groupBy("code").agg(F.sum("n").alias("n")).select(F.lit(ANY).alias("by"), "code", "n")
+        out.child, out.parent, out.counts, out.cards = best.child, best.parent, mine.union(alone), (profile.cardinalities[best.child], out.profile.cardinalities[best.parent])
+    return out
+
+
+def matched_keys(children: DataFrame, fk: str, profile: Profile, strata: Strata, parents: DataFrame, pk: str, seed: int, row: str = "row_id") -> DataFrame:
+    """children with fk: the key of a parent drawn for each, in two steps: a stratum given the child's code, then any parent of it.
+
+    Numbers are hashes of the seed, fk and `row`. Parents stand in the order of their strata and
+    keys; a stratum without parents stands for all of them. Without any parents keys are null.
+    """
+    kept = children.columns
+    if strata.counts is None:
+        placed, rows = parents.select(F.col(pk).alias("_pk")).withColumn("_stratum", F.lit(0)), children.withColumn("_drawn_stratum", F.lit(0))
+    else:
+        placed = encode_columns(parents, strata.profile, (pk,)).select(F.col(pk).alias("_pk"), F.col(f"`{strata.parent}`").cast("int").alias("_stratum"))
+        coded = encode_columns(children, profile, tuple(kept)).select(*[F.col(f"`{c}`") for c in kept], F.col(f"`{strata.child}`").alias("_child_code"))
+        rows = drawn(coded, "_drawn_stratum", uniform(seed, F.lit(f"stratum:{fk}"), row), strata.counts, Shape(), strata.cards[1], F.col("_child_code"), strata.cards[0])
+    keys = with_index(placed, ["_stratum", "_pk"], "_i")
+    sizes = [(r["_stratum"], r.first, r.n) for r in keys.groupBy("_stratum").agg(F.min("_i").alias("first"), F.count("*").alias("n")).collect()]  # one row per code
+    total = sum(n for _, _, n in sizes)
+    table = F.broadcast(children.sparkSession.createDataFrame(sizes, "_of int, _first long, _size long"))
+    rows = rows.join(table, F.col("_drawn_stratum") == F.col("_of"), "left")
+    at = F.floor(uniform(seed, F.lit(f"key:{fk}"), row) * F.coalesce("_size", F.lit(total))).cast("long") + F.coalesce("_first", F.lit(0))
+    met = rows.withColumn("_at", at).join(keys.select("_pk", "_i"), F.col("_at") == F.col("_i"), "left")
+    return met.select(*[F.col(f"`{c}`") for c in kept if c != fk], F.col("_pk").alias(fk))
+
+
 def base62(digest: Column) -> Column:
     """22 base-62 digits of a 128-bit number given as 32 hex digits, from two halves of 64 bits."""
     out = []
@@ -140,8 +206,9 @@ def synthesize_tables(
 ) -> dict[str, DataFrame]:
     """New tables with valid keys. Models learn from the real parents; rows are made for the new ones.
 
-    Sequences begin given the columns of their parents. A table's other foreign keys are drawn from
-    the rows of their new parents in turn. diversity and rare_cutoff: by table.
+    Steps of sequences depend on the columns of their parents. Other foreign keys, of flat tables
+    too, are drawn among the new parents that go with the row (see matched_keys), so what a row has
+    to do with its parents comes down to their children. diversity and rare_cutoff: by table.
     """
     names, seed, out = check_tables(tables), any_seed(seed), {}
     check_per_table(presets, tables, "presets", lambda v: isinstance(v, Synthetic), "a Synthetic")
@@ -161,12 +228,16 @@ def synthesize_tables(
             made = sampler.generate_sequences(spark, model, new_parent, parent.primary_key, preset=preset, **own)
             made = _dense(made, t.context_key)
         else:
-            made = sampler.generate(spark, sampler.fit(data, config), None if preset and preset.n else t.data.count(), preset, **own)
-        for fk, parent in t.foreign_keys.items():
+            model = sampler.fit(data, config)
+            made = sampler.generate(spark, model, None if preset and preset.n else t.data.count(), preset, **own)
+        # a row_id that is written keeps its row, however often what follows reads it
+        made = written(made, "made")
+        for fk, name_of in t.foreign_keys.items():
             if fk not in made.columns:
-                keys_of = with_index(out[parent].select(F.col(tables[parent].primary_key).alias("_pk")).withColumn("_h", F.xxhash64("_pk").cast("double")), ["_h", "_pk"], "_i").select("_pk", "_i")
-                n = keys_of.count()
-                made = made.join(keys_of, F.pmod(F.col("row_id"), F.lit(max(n, 1))) == F.col("_i"), "left").withColumn(fk, F.col("_pk")).drop("_pk", "_i")
+                of = tables[name_of]
+                about = [c for c in of.data.columns if c not in {of.primary_key, *of.foreign_keys}]
+                strata = fit_strata(t.data, fk, model.profile, of.data, of.primary_key, about, resolve_config(config))
+                made = matched_keys(made, fk, model.profile, strata, out[name_of], of.primary_key, seed + k)
         columns = [c for c in t.data.columns if c != t.primary_key]
         made = made.select("row_id", *columns)
         out[name] = assign_key(made, t.primary_key, t.pk_type, seed=seed + k) if t.primary_key else made.drop("row_id")

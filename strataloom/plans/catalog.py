@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from strataloom.config import Bias, Distribution, Privacy
+from strataloom.config import Bias, Distribution, Privacy, resolve_config
 from strataloom.functions import values as V
 from strataloom.functions.rng import laplace, normal, uniform
 from strataloom.operators import constraints as C
@@ -477,6 +477,23 @@ def fk_remap(spark: SparkSession, d: str) -> DataFrame:
     return T.remap_orphans(_adrift(spark, d), "s_nationkey", ["s_suppkey"], _t(spark, d, "nation"), "n_nationkey")
 
 
+@register(f"""WITH e AS (SELECT o_orderkey, o_custkey, c_mktsegment AS s, CASE WHEN {_u(31, "o_orderkey")} < 0.9 THEN c_mktsegment ELSE 'OTHER' END AS c FROM orders JOIN customer ON o_custkey = c_custkey),
+w AS (SELECT c, s, sum(count(*)) OVER (PARTITION BY c ORDER BY s) / sum(count(*)) OVER (PARTITION BY c)::DOUBLE AS cum FROM e GROUP BY c, s),
+k AS (SELECT c_custkey, c_mktsegment AS s, row_number() OVER (ORDER BY c_mktsegment, c_custkey) - 1 AS i FROM customer),
+z AS (SELECT s, min(i) AS first, count(*) AS n FROM k GROUP BY s),
+d AS (SELECT o_orderkey, c, (SELECT min_by(w.s, w.cum) FROM w WHERE w.c = e.c AND w.cum > {_u(8, "'stratum:o_custkey'", "o_orderkey")}) AS s FROM e)
+SELECT o_orderkey, c, k.c_custkey AS o_custkey FROM d JOIN z USING (s) JOIN k ON k.i = z.first + CAST(floor({_u(8, "'key:o_custkey'", "o_orderkey")} * z.n) AS BIGINT)""")
+def fk_strata(spark: SparkSession, d: str) -> DataFrame:
+    """Orders without keys get customers of the segment that goes with them."""
+    customers = _t(spark, d, "customer").select("c_custkey", "c_mktsegment")
+    met = S.with_parent(_t(spark, d, "orders").select("o_orderkey", "o_custkey"), "o_custkey", customers, "c_custkey", ["c_mktsegment"])
+    orders = met.select("o_orderkey", "o_custkey", F.when(uniform(31, "o_orderkey") < 0.9, F.col("c_mktsegment")).otherwise("OTHER").alias("c"))
+    config = resolve_config({"privacy": Privacy(threshold=1), "parent_encoding_types": {"c_mktsegment": "categorical"}})
+    p = P.profile_table(orders.select("c"), {"c": "categorical"}, config.privacy)
+    strata = T.fit_strata(orders, "o_custkey", p, customers, "c_custkey", ["c_mktsegment"], config)
+    return T.matched_keys(orders.select("o_orderkey", "c"), "o_custkey", p, strata, customers, "c_custkey", 8, "o_orderkey")
+
+
 @register("SELECT row_number() OVER (ORDER BY s_acctbal, s_suppkey) AS id, s_name FROM supplier")
 def pk_int(spark: SparkSession, d: str) -> DataFrame:
     return T.assign_key(S.with_index(_t(spark, d, "supplier"), ["s_acctbal", "s_suppkey"], "row_id"), "id", "int").select("id", "s_name")
