@@ -257,3 +257,8 @@ def test_settings_by_table_are_checked(spark):
     for name, value in (("presets", {"b": Synthetic()}), ("presets", {"a": 1}), ("diversity", {"a": 0}), ("rare_cutoff", {"a": 1.5}), ("diversity", {"b": 1})):
         with pytest.raises(InvalidRequestError):
             T.synthesize_tables(spark, tables, **{name: value})
+
+
+def test_types_are_exact_near_the_limits(spark):
+    df = spark.range(4000).select(*[(F.col("id") % n).alias(f"i{n}") for n in (100, 101, 140)], *[(F.col("id") % n).cast("double").alias(f"d{n}") for n in (20, 21)], *[F.concat(F.lit("v"), F.col("id") % n).alias(f"s{n}") for n in (100, 101)])
+    assert P.infer_types(df) == {"i100": "numeric_discrete", "i101": "numeric_binned", "i140": "numeric_binned", "d20": "categorical", "d21": "numeric_binned", "s100": "categorical", "s101": "character"}
