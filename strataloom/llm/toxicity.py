@@ -40,7 +40,7 @@ def runs_of(text: str) -> list[str]:
 
 
 #: Examples of one block; texts that are looked up together, and their postings at most, but for a single text.
-BLOCK, TOGETHER, POSTINGS = 128, 128, 1 << 21
+BLOCK, TOGETHER, POSTINGS = 128, 64, 1 << 19
 #: A term that more than this share of the examples hold has a dense row.
 COMMON = 0.04
 #: Weight of the vote that all examples cast together, and how many made-up votes hold the calibration to the votes as they are.
@@ -308,7 +308,8 @@ def score_documents(docs: DataFrame, model: Model, keep: bool = False) -> DataFr
         for whole in batches:
             for i in range(0, len(whole), TOGETHER):
                 b = whole.slice(i, TOGETHER)
-                cos, rows = m.nearest([reader.counts(t) for t in b.column("text").to_pylist()])
+                texts = b.column("text") if not inside else b.column("row").field("text")
+                cos, rows = m.nearest([reader.counts(t) for t in texts.to_pylist()])
                 s = m.score(m.votes(cos, rows))
                 on = rows >= 0
                 flat = pa.StructArray.from_arrays([pa.array(m.ids[rows[on]]), pa.array(cos[on]), pa.array(m.labels[rows[on]].astype(np.int32))], fields=list(kind.value_type))
@@ -316,7 +317,9 @@ def score_documents(docs: DataFrame, model: Model, keep: bool = False) -> DataFr
                 yield pa.RecordBatch.from_arrays([b.column(own), pa.array(s), pa.array((s >= 0.5).astype(np.int32)), evidence], [own, "score", "predicted", "evidence"])
 
     own = "row" if keep else "doc_id"
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text").cast("string")) if keep else _texts(docs)
+    inside = keep and dict(docs.dtypes).get("text") == "string"  # then texts needn't travel twice
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    rows = docs.select(row, *([] if inside else [F.col("text").cast("string")])) if keep else _texts(docs)
     return rows.mapInArrow(work, f"{own} {rows.schema[own].dataType.simpleString()}, score double, predicted int, evidence array<struct<doc_id: long, cosine: double, label: int>>")
 
 
