@@ -134,7 +134,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
     for _ in range(rounds):
         before, shape = now, f"vec_id long, label {kind['label']}, x {kind['x']}, old binary, code binary"
         now = stored(now.select("vec_id", "label", "x", "code").mapInArrow(_round([Book(b) for b in books], width, scale), shape), "codes")
-        if before is not None and hasattr(before, "_stored_at"):
+        if before is not None and hasattr(before, "_written_at"):
             forget(before)
         moved = now.where("old IS NULL OR old <> code").select("x", "old", "code").mapInArrow(_moved(parts, len(first), width, scale), "part int, entry int, at int, digit int, total long")
         change: dict[tuple[int, int, int], dict[int, int]] = defaultdict(dict)
@@ -145,7 +145,7 @@ def compress(vectors: DataFrame, parts: int = PARTS, entries: int = ENTRIES, rou
         for p, own in enumerate(running):
             books[p] = [[v // n for v in s] if n else books[p][e] for e, (n, *s) in enumerate(own)]
     out = stored(now.select("vec_id", "label", "x").mapInArrow(_final([Book(b) for b in books], width, scale), f"vec_id long, label {kind['label']}, code binary, error long"), "coded")
-    if hasattr(now, "_stored_at"):
+    if hasattr(now, "_written_at"):
         forget(now)
     return out, books
 

@@ -401,7 +401,7 @@ def find_leaks(docs: DataFrame, items: DataFrame, window: int = WINDOW, most: in
         now = now.mapInArrow(_search(spark.sparkContext.broadcast(block)), f"row {kind}, text string, {FOUND}")
         if after is not None:
             now = stored(now, "leaks")
-            if hasattr(before, "_stored_at"):
+            if hasattr(before, "_written_at"):
                 forget(before)
         block = after
     return now
