@@ -1,9 +1,12 @@
 import html
 import re
+from html.parser import HTMLParser
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
-from strataloom.llm.html import extract, extract_pages
+from strataloom.llm.html import Page, extract, extract_pages
 
 LONG = "A paragraph of the article, with commas, and enough text to be one."
 
@@ -91,3 +94,102 @@ def test_long_pages_take_time_in_proportion():
     for page in ("<a " * 300_000, "<b>" * 200_000 + "</i>" * 200_000, "<b>" * 100_000 + "<h1>x</h1>" * 50_000, '<a b="' * 200_000, "<a b='>" * 200_000, "<!-- " * 200_000, "<" * 500_000, "<div>" * 100_000 + "text"):
         extract(page)
     assert time.perf_counter() - start < 60
+
+
+PROSE = "The court held, after a long hearing, that the rule applies."
+
+
+@pytest.mark.parametrize(
+    ("part", "kept"),
+    [
+        (f"<section id=discussion><h2>Discussion</h2><p>{PROSE}</p></section>", f"Discussion\n{PROSE}"),
+        (f"<section id=discussion><h2>Discussion</h2><div><p>{PROSE}</p></div><div><p>{PROSE}</p></div></section>", None),
+        (f"<section id=comment-on-the-ruling><p>{PROSE}</p></section>", PROSE),
+        (f"<section id=menu><h2>The menu</h2><p>{PROSE}</p></section>", f"The menu\n{PROSE}"),
+        ("<ul id=menu><li>Home<li>About</ul>", None),
+        (f"<div id=menu>{LINKS}</div>", None),
+        ("<p class=social-security>Short remark.</p>", "Short remark."),
+        ("<div class=holiday-notice>We are closed.</div>", None),
+        ("<div class=comment-list><p>I agree.</p></div>", None),
+        (f"<section><h2>Reader comments</h2><div class=c1><p>{PROSE}</p></div><p>Me too.</p></section>", None),
+        (f"<div><h3>2 comments</h3></div><div><p>{PROSE}</p></div><div><p>Yes.</p></div>", None),
+        (f"<h3>Comments</h3><p>{PROSE}</p>", f"Comments\n{PROSE}"),
+        (f"<h3>Comments</h3><ul><li>{PROSE}</ul><h3>Sources</h3><p>Smith.</p>", "Sources\nSmith."),
+        ("<article class=user-post><p>I agree.</p></article>", None),
+        ("<form><label>Mail</label><h2>Write to us</h2><p>We answer soon.</p></form>", None),
+    ],
+)
+def test_names_and_headings_settled_by_content(part, kept):
+    for open_, close in (("<article>", "</article>"), ("<div class=post>", "</div>")):
+        if "<article" in part and open_ != "<article>":
+            continue
+        page = f"<body>{open_}<h1>Title</h1>{'<p>' + LONG + '</p>' * 3}{'<p>' + LONG + '</p>'}{part}{close}</body>"
+        assert extract(page) == "\n".join(["Title", LONG, LONG, *([kept] if kept else [])]), (open_, extract(page))
+
+
+def test_live_reports_pages_in_a_form_and_linked_leads():
+    report = f"<article><h1>Live</h1><p>Short intro.</p><article><p>{LONG}</p></article><article><p>{LONG} Then.</p></article></article>"
+    assert extract(report) == f"Live\nShort intro.\n{LONG}\n{LONG} Then."
+    assert extract(f"<body><form action=/x><header>Top</header><h1>Title</h1>{BODY}<input><label>Search</label></form></body>") == f"Title\n{KEPT}"
+    sources = "<ul><li>Smith, 2020, <a href=/1>The rule</a><li>Jones, 2021, in print</ul>"
+    assert extract(f"<div><p>A lead with <a href=/x>a link</a> in it</p>{BODY}{sources}{LINKS}</div>") == f"A lead with a link in it\n{KEPT}\nSmith, 2020, The rule\nJones, 2021, in print"
+
+
+class Brute(HTMLParser):
+    """Points of well-formed pages, computed anew from lists of ancestors."""
+
+    def __init__(self):
+        super().__init__(convert_charrefs=True)
+        self.path, self.n, self.found = [], 0, {}
+
+    def handle_starttag(self, tag, attrs):
+        self.n += 1
+        self.path.append((self.n, tag))
+
+    def handle_endtag(self, tag):
+        self.path.pop()
+
+    def handle_data(self, data):
+        block = max((i for i, (_, t) in enumerate(self.path) if t in ("p", "div", "section", "article", "body", "li", "ul", "h1")), default=-1)
+        key = tuple(self.path[: block + 1])
+        text, links = self.found.get(key, ("", 0))
+        self.found[key] = (text + data, links + len(data.strip()) * any(t == "a" for _, t in self.path))
+
+    def points(self):
+        given, length, linked = {}, {}, {}
+        for path, (text, links) in self.found.items():
+            text = " ".join(text.split())
+            if not text:
+                continue
+            worth = (1 + sum(text.count(c) for c in ",，、") + min(len(text) / 100, 3)) * (1 if len(text) >= 25 else 0.25) * (1 - min(1, links / len(text)))
+            holders = [n for n, _ in path]
+            to = holders if path[-1][1] in ("div", "section", "article", "body") else holders[:-1]
+            for n, share in zip(reversed([0, *to]), (1, 0.5), strict=False):
+                given[n] = given.get(n, 0) + worth * share
+            for n in [0, *holders]:
+                length[n] = length.get(n, 0) + len(text)
+                linked[n] = linked.get(n, 0) + links
+        return {n: given.get(n, 0) * (1 - min(1, linked[n] / length[n])) for n in length}
+
+
+@st.composite
+def well_formed(draw, depth=4):
+    words = st.sampled_from(["short", "a text, with commas, and long enough to count", "links here", "多、多，字"])
+    kind = draw(st.sampled_from(["p", "a", "ul"] + ["div", "section"] * 2)) if depth else "p"
+    if kind in ("div", "section"):
+        return f"<{kind}>{''.join(draw(st.lists(well_formed(depth=depth - 1), min_size=1, max_size=4)))}</{kind}>"
+    if kind == "ul":
+        return f"<ul><li>{draw(words)}</li><li><a>{draw(words)}</a></li></ul>"
+    return f"<p>{draw(words)} <a>{draw(words)}</a></p>" if kind == "a" else f"<p>{draw(words)}</p>"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(well_formed(), min_size=1, max_size=4))
+def test_points_against_brute_force(parts):
+    page = f"<body>{''.join(parts)}</body>"
+    brute = Brute()
+    brute.feed(page)
+    want = brute.points()
+    tree = Page(page)
+    got = {n: s for n, s in enumerate(tree.points()[0]) if tree.points()[1][n]}
+    assert got.keys() == want.keys() and all(abs(got[n] - want[n]) < 1e-9 for n in want)
