@@ -366,6 +366,29 @@ def priors(spark: SparkSession, d: str) -> DataFrame:
     return P.priors(E.encode_columns(rows, p), "o_orderpriority__cat", p.columns["o_orderpriority"].subs["cat"])
 
 
+def _bounds_sql(column: str, value: str) -> str:
+    """The profile_many row of a number: the fifth value from each end, counted from 0."""
+    return f"""SELECT '{column}' AS name, 0::BIGINT AS codes, 0::BIGINT AS rare, bool_or({column} IS NULL) AS has_null,
+      (SELECT {value} FROM h WHERE {column} IS NOT NULL ORDER BY 1 LIMIT 1 OFFSET 5)::DOUBLE AS low, (SELECT {value} FROM h WHERE {column} IS NOT NULL ORDER BY 1 DESC LIMIT 1 OFFSET 5)::DOUBLE AS high FROM h"""
+
+
+def _labels_sql(column: str) -> str:
+    """The profile_many row of a category."""
+    return f"""SELECT '{column}' AS name, 1 + (SELECT max(CAST({column} IS NULL AS BIGINT)) FROM h) + count(*) FILTER (n >= 5) AS codes, count(*) FILTER (n < 5) AS rare, (SELECT bool_or({column} IS NULL) FROM h) AS has_null,
+      NULL::DOUBLE AS low, NULL::DOUBLE AS high FROM (SELECT {column}, count(*) AS n FROM h WHERE {column} IS NOT NULL GROUP BY 1)"""
+
+
+_MANY = {"o_custkey": "categorical", "o_orderpriority": "categorical", "o_orderkey": "numeric_binned", "o_totalprice": "numeric_digit", "o_orderdate": "datetime"}
+
+
+@register(_HOLED + " " + " UNION ALL ".join(_labels_sql(c) if e == "categorical" else _bounds_sql(c, f"epoch_us({c})" if e == "datetime" else c) for c, e in _MANY.items()))
+def profile_many(spark: SparkSession, d: str) -> DataFrame:
+    """One row about each column of orders with gaps, from a profile that counts the values of all columns together."""
+    columns = P.profile_table(_holed(spark, d), _MANY, PINNED).columns.values()
+    rows = [(c.name, len(c.labels), c.rare, c.has_null, *(map(float, c.bounds) if c.bounds else (None, None))) for c in columns]
+    return spark.createDataFrame(rows, "name string, codes long, rare long, has_null boolean, low double, high double")
+
+
 @register("SELECT c_nationkey AS a, c_mktsegment AS b, count(*) AS n FROM customer GROUP BY 1, 2")
 def conditional_counts(spark: SparkSession, d: str) -> DataFrame:
     return M.pair_counts(_t(spark, d, "customer").select(F.col("c_nationkey").cast("string").alias("a"), F.col("c_mktsegment").alias("b")), ["a", "b"]).where("i = 0 and j = 1").select(F.col("a").cast("int").alias("a"), "b", "n")

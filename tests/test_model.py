@@ -44,6 +44,29 @@ def test_rare_values_are_protected(spark):
     assert {P.threshold(Privacy(threshold=None), s, "cat") for s in range(40)} == {5, 6, 7}
 
 
+def test_a_profile_reads_its_table_three_times_at_most(spark):
+    rows = spark.createDataFrame([(i, float(i % 97), f"w{i % 110}", str(i % 7), f"0{1 + i % 9}/12/2020", i * 0.5) for i in range(400)], "a long, b double, c string, d string, created string, e double")
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    counted = rows.mapInArrow(seen, rows.schema)
+    p = P.profile_table(counted, {"e": "numeric_digit", "a": "numeric_auto"}, PINNED)
+    assert set(p.columns) == set(rows.columns) and read.value <= 3 * 400
+    read.value = 0
+    P.profile_table(counted, {c: e for c, e in zip(rows.columns, ("numeric_binned", "numeric_discrete", "categorical", "character", "datetime", "numeric_digit"), strict=True)}, Privacy(epsilon=9.0), 3)
+    assert read.value <= 2 * 400
+    assert P.profile_table(rows.select(), privacy=PINNED).columns == {}
+
+
+def test_a_threshold_beyond_the_values_leaves_no_bounds(spark):
+    few = P.profile_table(spark.createDataFrame([(float(i),) for i in range(30)], "x double"), {"x": "numeric_binned"}, Privacy(threshold=30)).columns["x"]
+    assert few.bounds is None and few.edges == [0.0]
+
+
 def test_fewer_than_twenty_values_have_no_bounds(spark):
     p = P.profile_table(spark.createDataFrame([(float(i),) for i in range(19)], "x double"), {"x": "numeric_binned"}, PINNED)
     assert p.columns["x"].bounds is None and p.columns["x"].edges == [0.0]
