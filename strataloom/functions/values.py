@@ -17,10 +17,10 @@ DAY_FIRST = ("dd/MM/yyyy", "dd/MM/yyyy HH:mm:ss")
 
 
 def to_text(c: Column, kind: str) -> Column:
-    """A value as text; booleans as True and False, doubles in full from 1e-4 up to 1e16 and else with an exponent of two digits at least."""
+    """A value as text; booleans as True and False, floats and doubles in full from 1e-4 up to 1e16 and else with an exponent of two digits at least. The digits are the JVM's, which are not always the fewest."""
     if kind == "boolean":
         return F.when(c, "True").when(~c, "False")
-    return _double_text(c) if kind == "double" else c.cast("string")
+    return _double_text(c) if kind in ("double", "float") else c.cast("string")
 
 
 def _double_text(c: Column) -> Column:

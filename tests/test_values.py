@@ -68,3 +68,10 @@ def test_infinite_and_missing_numbers(spark):
     r = P.numeric_ranges(df.where("x is null or isnan(x) or x < 10"), F.col("x")).first()
     assert (r.n, r.n_null, r.low, r.min_digit) == (1, 2, 1.5, -1)
     assert P.log_histogram(df, F.col("x")).count() == 1
+
+
+def test_floats_as_text_have_the_form_of_doubles(spark):
+    said = ["0.1", "1.5", "10000000.0", "123456.79", "0.0001", "3.3e-05", "-0.25", "16777216.0"]
+    df = spark.createDataFrame([(float(x),) for x in said], "x float")
+    assert [r.t for r in df.select(V.to_text(F.col("x"), "float").alias("t")).collect()] == said
+    assert all(np.float32(t) == np.float32(r.x) for t, r in zip(said, df.collect(), strict=True))
