@@ -2,11 +2,12 @@
 
 A term is a whole word, digits included; scripts without spaces give pairs of characters. A term's weight in a text is its damped frequency times
 its inverse document frequency over all documents, times how surely it goes with label 1 in the
-labelled sample; no term is left out. The examples stand in blocks. Terms that many examples hold
-have their entries as dense rows, with the highest entry of each block; the others have postings.
-A text's postings are summed first, then it visits only the blocks whose bound, from those sums
-and the blocks' highest entries, reaches its kth cosine so far. The nearest examples vote by
-distance; votes are calibrated on the examples, each without itself.
+labelled sample; no term is left out. The examples stand in blocks. Every term has its highest
+entry of each block: terms that many examples hold beside a dense row of entries, the others
+beside the postings of that block. A text sums these highest entries to a bound for each block,
+then reads the entries only of blocks whose bound reaches its kth cosine so far. The nearest
+examples vote by distance. Votes are calibrated on the examples in folds, each looked up among the
+other folds with weights that its fold's labels haven't shaped.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ def runs_of(text: str) -> list[str]:
     return [t for w in out for t in ([w] if len(w) < 2 or not IS_UNSPACED.match(w) else [w[i : i + 2] for i in range(len(w) - 1)])]
 
 
-#: Examples of one block; texts that are looked up together, and their postings at most, but for a single text.
+#: Examples of one block; texts that are looked up together, and the blocks of their terms at most, but for a single text.
 BLOCK, TOGETHER, POSTINGS = 128, 64, 1 << 19
+#: Parts of the examples that are held out in turn for calibration.
+FOLDS = 5
 #: A term that more than this share of the examples hold has a dense row.
 COMMON = 0.04
 #: Weight of the vote that all examples cast together, and how many made-up votes hold the calibration to the votes as they are.
@@ -80,7 +83,12 @@ def telling(with_one: np.ndarray, with_zero: np.ndarray, ones: int, zeros: int,
 
 
 class Index:
-    """Vectors of n examples (row, term, entry x): dense rows of common terms with the blocks' maxima, postings of the others."""
+    """Vectors of n examples (row, term, entry x) in blocks of BLOCK rows.
+
+    Common terms have dense rows, and `highest` per block. The others have postings by term, then
+    block: run r of them, of one term and block, ends before postings[starts_at[r + 1]], lies in
+    block[r], and its highest entry is most[r]; the runs of a term begin at first[term].
+    """
 
     def __init__(self, row: np.ndarray, term: np.ndarray, x: np.ndarray, n: int, terms: int) -> None:
         often = np.bincount(term, minlength=terms) > COMMON * n
@@ -89,9 +97,13 @@ class Index:
         on = often[term]
         self.dense = np.zeros((len(self.common), n))
         self.dense[self.place[term[on]], row[on]] = x[on]
-        order = np.argsort(term[~on], kind="stable")
-        self.row, self.entry = row[~on][order], x[~on][order]
-        self.first = np.searchsorted(term[~on][order], np.arange(terms + 1))
+        order = np.lexsort((row[~on], term[~on]))
+        self.row, self.entry, term = row[~on][order], x[~on][order], term[~on][order]
+        block = self.row // BLOCK
+        new = np.flatnonzero(np.r_[True, (term[1:] != term[:-1]) | (block[1:] != block[:-1])]) if len(term) else np.zeros(0, np.int64)
+        self.starts_at, self.block = np.r_[new, len(term)], block[new]
+        self.most = np.maximum.reduceat(self.entry, new) if len(new) else np.zeros(0)
+        self.first = np.searchsorted(term[new], np.arange(terms + 1))
         self.starts = np.arange(0, n, BLOCK)
         self.highest = np.maximum.reduceat(self.dense, self.starts, axis=1) if n else np.zeros((len(self.common), 0))
 
@@ -127,14 +139,19 @@ class Model:
         ends = np.cumsum(self.sizes)
         return [(self.term[e - s : e].astype(np.int64), self.n[e - s : e]) for e, s in zip(ends[rows], self.sizes[rows], strict=True)]
 
+    def among(self, some: np.ndarray, weights: np.ndarray) -> Model:
+        """The model of some of the examples, with other weights of terms."""
+        on = np.repeat(some, self.sizes)
+        return Model({}, weights, self.ids[some], self.labels[some], self.term[on], self.n[on], self.sizes[some], self.k, self.power)
+
     @cached_property
     def index(self) -> Index:
         own = self.texts(np.arange(len(self.ids)))
         x = np.concatenate([weighed(t, n, self.weights) for t, n in own]) if own else np.zeros(0)
         return Index(np.repeat(np.arange(len(self.ids)), self.sizes), self.term, x, len(self.ids), len(self.weights))
 
-    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]], own: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """(cosines, rows) of the k nearest examples of each text (term, count), ties to smaller rows; -1 where there are fewer with a cosine above 0. own: a row of each text that doesn't count."""
+    def nearest(self, texts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+        """(cosines, rows) of the k nearest examples of each text (term, count), ties to smaller rows; -1 where there are fewer with a cosine above 0."""
         b, n, k = len(texts), len(self.ids), self.k
         best, rows = np.zeros((b, k)), np.full((b, k), -1)
         if not n or not b:
@@ -149,19 +166,27 @@ class Model:
         term, x, who = term[~on], x[~on], who[~on]
         many = index.first[term + 1] - index.first[term]
         if b > 1 and many.sum() > POSTINGS:
-            halves = [self.nearest(texts[part], None if own is None else own[part]) for part in (slice(b // 2), slice(b // 2, b))]
+            halves = [self.nearest(texts[part]) for part in (slice(b // 2), slice(b // 2, b))]
             return np.concatenate([h[0] for h in halves]), np.concatenate([h[1] for h in halves])
-        at = np.arange(many.sum()) + np.repeat(index.first[term] - np.cumsum(many) + many, many)
-        sums = np.bincount(np.repeat(who, many) * n + index.row[at], np.repeat(x, many) * index.entry[at], b * n).astype(float, copy=False).reshape(b, n)
-        if own is not None:
-            sums[np.arange(b), own] = -np.inf
-        bounds = np.maximum.reduceat(sums, index.starts, axis=1) + dense @ index.highest
+        run, whose, x = spread(index.first[term], many), np.repeat(who, many), np.repeat(x, many)
+        blocks = len(index.starts)
+        bounds = np.bincount(whose * blocks + index.block[run], x * index.most[run], b * blocks).astype(float, copy=False).reshape(b, blocks) + dense @ index.highest
+        order = np.argsort(index.block[run], kind="stable")
+        run, whose, x = run[order], whose[order], x[order]
+        begins = np.searchsorted(index.block[run], np.arange(blocks + 1))
         scores, top = np.full((b, n), -np.inf), np.zeros((b, k))  # top: the highest cosines so far, the least of them first
-        for block in np.argsort(-bounds.max(0), kind="stable"):
-            lo, hi = index.starts[block], min(index.starts[block] + BLOCK, n)
-            ask = np.flatnonzero((bounds[:, block] > 0) & (bounds[:, block] >= top[:, 0] - 1e-9))
+        for at in np.argsort(-bounds.max(0), kind="stable"):
+            lo, hi = index.starts[at], min(index.starts[at] + BLOCK, n)
+            visit = (bounds[:, at] > 0) & (bounds[:, at] >= top[:, 0] - 1e-9)
+            ask = np.flatnonzero(visit)
             if len(ask):
-                scores[ask, lo:hi] = got = sums[ask, lo:hi] + dense[ask] @ index.dense[:, lo:hi]
+                own = slice(begins[at], begins[at + 1])
+                on = visit[whose[own]]
+                r, w = run[own][on], (np.cumsum(visit) - 1)[whose[own][on]]
+                many = index.starts_at[r + 1] - index.starts_at[r]
+                read = spread(index.starts_at[r], many)
+                sums = np.bincount(np.repeat(w, many) * (hi - lo) + index.row[read] - lo, np.repeat(x[own][on], many) * index.entry[read], len(ask) * (hi - lo))
+                scores[ask, lo:hi] = got = sums.reshape(len(ask), hi - lo) + dense[ask] @ index.dense[:, lo:hi]
                 top[ask] = np.partition(np.concatenate([top[ask], got], axis=1), hi - lo, axis=1)[:, hi - lo :]
         who, row = np.nonzero((scores > 0) & (scores >= top[:, :1] - 1e-9))
         cos = np.round(scores[who, row], 12)  # equal cosines may differ by the order of sums
@@ -181,6 +206,11 @@ class Model:
         return sigmoid(self.slope * logit(votes) + self.shift)
 
 
+def spread(start: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """start, start + 1, ... of each of the ranges of so many numbers, one range after the other."""
+    return np.arange(many.sum()) + np.repeat(start - np.cumsum(many) + many, many)
+
+
 def logit(v: np.ndarray) -> np.ndarray:
     v = np.clip(v, 1e-4, 1 - 1e-4)
     return np.log(v / (1 - v))
@@ -191,18 +221,29 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 def calibrated(votes: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve from votes to labels, held to (1, 0) by HELD: Newton's steps."""
-    x = np.stack([logit(votes), np.ones(len(votes))], axis=1)
+    """Slope and shift of a logistic curve from votes to labels, held to (1, 0) by HELD.
+
+    The loss is convex. Newton's steps are halved until they lower it, since votes near 0 and 1 make
+    whole steps overshoot. A slope isn't below 0.05, so that more votes never score less.
+    """
+    x, start = np.stack([logit(votes), np.ones(len(votes))], axis=1), np.array([1.0, 0.0])
     ones = labels.sum()
     aim = np.where(labels > 0, (ones + 1) / (ones + 2), 1 / (len(labels) - ones + 2))
-    w, start = np.array([1.0, 0.0]), np.array([1.0, 0.0])
-    for _ in range(25):
+
+    def loss(w: np.ndarray) -> float:
+        z = x @ w
+        return float((np.logaddexp(0, z) - aim * z).sum() + HELD / 2 * ((w - start) ** 2).sum())
+
+    w, now = start, loss(start)
+    for _ in range(100):
         p = sigmoid(x @ w)
         step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + HELD * np.eye(2), x.T @ (p - aim) + HELD * (w - start))
-        w = w - step
-        if np.abs(step).max() < 1e-9:
+        while (new := loss(w - step)) > now and np.abs(step).max() > 1e-9:
+            step = step / 2
+        if np.abs(step).max() <= 1e-9:
             break
-    return (float(w[0]), float(w[1])) if np.isfinite(w).all() and w[0] > 0 else (1.0, 0.0)
+        w, now = w - step, new
+    return max(float(w[0]), 0.05), float(w[1])
 
 
 def _texts(rows: DataFrame, *more: str) -> DataFrame:
@@ -256,8 +297,16 @@ def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 6_000) -> Mode
     seen = docs.select(F.col("text").cast("string")).mapInArrow(found, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     df = np.zeros(len(terms) + 1)
     df[seen.column("term").to_numpy()] = seen.column("n").to_numpy()
-    with_one = np.bincount(term, labels[row], len(terms))
-    weights = (np.log((1 + df[-1]) / (1 + df[:-1])) + 1) * telling(with_one, np.bincount(term, minlength=len(terms)) - with_one, int(labels.sum()), int((1 - labels).sum()))
+    idf = np.log((1 + df[-1]) / (1 + df[:-1])) + 1
+
+    def weights_of(some: np.ndarray) -> np.ndarray:
+        """The weights of terms by the labels of some examples."""
+        on = some[row]
+        with_one = np.bincount(term[on], labels[row[on]], len(terms))
+        return idf * telling(with_one, np.bincount(term[on], minlength=len(terms)) - with_one, int(labels[some].sum()), int((1 - labels[some]).sum()))
+
+    weights = weights_of(labels >= 0)
+    without = np.stack([weights_of(ids % FOLDS != f) for f in range(FOLDS)])
     sizes = np.bincount(row, minlength=len(ids))
     # examples that lean on the same term share blocks, which makes the bounds tight
     ends, lead = np.cumsum(sizes), np.full(len(ids), -1)
@@ -267,23 +316,30 @@ def fit(docs: DataFrame, labelled: DataFrame, max_examples: int = 6_000) -> Mode
     order = np.lexsort((ids, lead))
     at = np.concatenate([np.arange(ends[i] - sizes[i], ends[i]) for i in order]) if len(order) else np.zeros(0, np.int64)
     model = Model(terms, weights, ids[order], labels[order], term[at].astype(np.int32), n[at].astype(np.int32), sizes[order])
-    model.slope, model.shift = calibrated(_own_votes(docs, model), model.labels)
+    model.slope, model.shift = calibrated(_held_out_votes(docs, model, without), model.labels)
     return model
 
 
-def _own_votes(docs: DataFrame, model: Model) -> np.ndarray:
-    """The vote on each example, looked up without itself, in tasks of a few hundred."""
-    spark, parts = docs.sparkSession, -(-len(model.ids) // TOGETHER)
-    shared = spark.sparkContext.broadcast(model)
+def _held_out_votes(docs: DataFrame, model: Model, without: np.ndarray) -> np.ndarray:
+    """The vote on each example of those of other folds (ids modulo FOLDS), with the weights without its fold, in tasks of a few hundred."""
+    sc = docs.sparkSession.sparkContext
+    fold = model.ids % FOLDS
+    asked = [(f, start) for f in range(FOLDS) for start in range(0, int((fold == f).sum()), TOGETHER)]
+    bare = Model({}, model.weights, model.ids, model.labels, model.term, model.n, model.sizes, model.k, model.power)  # the terms' names aren't read
+    shared = sc.broadcast((bare, without))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
+        m, weights = shared.value
+        now, others = -1, None
         for b in batches:
-            for start in b.column("id").to_numpy():
-                rows = np.arange(start * TOGETHER, min((start + 1) * TOGETHER, len(m.ids)))
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(m.votes(*m.nearest(m.texts(rows), rows)))], ["row", "vote"])
-
-    got = spark.range(0, parts, 1, max(1, min(parts, spark.sparkContext.defaultParallelism))).mapInArrow(work, "row long, vote double").toArrow()
+            for f, start in zip(b.column("fold").to_pylist(), b.column("start").to_pylist(), strict=True):
+                if f != now:
+                    now, others = f, m.among(m.ids % FOLDS != f, weights[f])
+                rows = np.flatnonzero(m.ids % FOLDS == f)[start : start + TOGETHER]
+                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(others.votes(*others.nearest(m.texts(rows))))], ["row", "vote"])
+
+    tasks = docs.sparkSession.createDataFrame(pa.table({"fold": [f for f, _ in asked], "start": [s for _, s in asked]}), "fold int, start long")
+    got = tasks.mapInArrow(work, "row long, vote double").toArrow()
     votes = np.zeros(len(model.ids))
     votes[got.column("row").to_numpy()] = got.column("vote").to_numpy()
     shared.destroy()
