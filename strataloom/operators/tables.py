@@ -167,7 +167,10 @@ def base62(digest: Column) -> Column:
         high = F.conv(F.substring(digest, at, 8), 16, 10).cast("decimal(20,0)")
         low = F.conv(F.substring(digest, at + 8, 8), 16, 10).cast("decimal(20,0)")
         n = (high * F.lit(4294967296).cast("decimal(11,0)") + low).cast("decimal(38,0)")
-        out += [F.substring(F.lit(BASE62), F.pmod(F.floor(n / F.lit(62**k).cast("decimal(20,0)")), F.lit(62)).cast("int") + 1, F.lit(1)) for k in range(10, -1, -1)]
+        for k in range(10, -1, -1):
+            # only whole quotients are exact: others are rounded to six digits, up to the next number if they are near it
+            power = F.lit(62**k).cast("decimal(20,0)")
+            out.append(F.substring(F.lit(BASE62), F.pmod((n - n % power) / power, F.lit(62)).cast("int") + 1, F.lit(1)))
     return F.concat(*out)
 
 

@@ -81,3 +81,12 @@ def test_settings_reach_the_encoder_and_the_split(spark):
     config = ModelConfig(model_size="small", embedding_dim=8, val_split=0.25, seed=3)
     assert E.encoder_of(config) == E.RandomEncoder(8, 3, "small") and E.width(10_000, "small") < E.width(10_000, "large")
     assert S.split_for(spark.range(400), ["id"], config).where("part = 'val'").count() == 100
+
+
+def test_base62_of_numbers_next_to_powers(spark):
+    """Halves of which a quotient is within a millionth of the next number."""
+    halves = [62**k * m + d for k in range(11) for m in (1, 5) for d in (-1, 0, 1)] + [0, 2**64 - 1]
+    want = ["".join(T.BASE62[n // 62**k % 62] for k in range(10, -1, -1)) for n in halves]
+    rows = spark.createDataFrame([(i, f"{n:016x}{m:016x}") for i, (n, m) in enumerate(zip(halves, reversed(halves), strict=True))], "i int, h string")
+    got = [r.t for r in rows.select("i", T.base62(F.col("h")).alias("t")).orderBy("i").collect()]
+    assert got == [a + b for a, b in zip(want, reversed(want), strict=True)]
