@@ -18,7 +18,7 @@ def rare_weights(profile: Profile, rare: str) -> Weights:
     """No rare token where values are sampled or none is rare, none ever for discrete numbers, no unknown bin."""
     out: Weights = {}
     for p in profile.columns.values():
-        if p.encoding == "categorical" and len(p.labels) > 1 and (rare == "sample" or not p.rare) or p.encoding == "numeric_discrete" and len(p.labels) > 1:
+        if p.encoding == "categorical" and p.n_labels > 1 and (rare == "sample" or not p.rare) or p.encoding == "numeric_discrete" and p.n_labels > 1:
             out[code_name(p.name, "cat")] = {0: 0.0}
         elif p.encoding == "numeric_binned" and p.subs["bin"] > 1:
             out[code_name(p.name, "bin")] = {p.specials.index(V.UNKNOWN): 0.0}
@@ -34,13 +34,14 @@ def distribution_weights(profile: Profile, wanted: list[Distribution]) -> Weight
             raise InvalidRequestError(f"no column {d.column!r}", "distribution")
         if "cat" not in p.subs:
             raise InvalidRequestError(f"{d.column!r} isn't encoded by categories", "distribution")
-        known = {k: x for k, x in d.probabilities.items() if k in p.labels}
+        codes = p.codes_of(list(d.probabilities))
+        known = {k: x for k, x in d.probabilities.items() if k in codes}
         if len(known) < len(d.probabilities):
             LOG.warning("categories of %s that aren't known: %s", d.column, sorted(set(d.probabilities) - set(known)))
         if not sum(known.values()):
             raise InvalidRequestError(f"no known category of {d.column!r} has a probability above 0", "distribution")
         scale = max(1.0, sum(known.values()))
-        out[code_name(d.column, "cat")] = {p.labels.index(k): x / scale for k, x in known.items()}
+        out[code_name(d.column, "cat")] = {codes[k]: x / scale for k, x in known.items()}
     return out
 
 
@@ -52,7 +53,7 @@ def imputation_weights(profile: Profile, columns: list[str]) -> Weights:
         if "nan" in p.subs:
             out[code_name(name, "nan")] = {1: 0.0}
         if "cat" in p.subs:
-            out[code_name(name, "cat")] = {i: 0.0 for i, v in enumerate(p.labels) if v == V.NULL or v == V.RARE and len(p.labels) > 1 + p.has_null}
+            out[code_name(name, "cat")] = {i: 0.0 for i, v in enumerate(p.labels) if v == V.NULL or v == V.RARE and p.n_labels > 1 + p.has_null}
         if "bin" in p.subs and V.NULL in p.specials:
             out[code_name(name, "bin")] = {p.specials.index(V.NULL): 0.0, p.specials.index(V.UNKNOWN): 0.0}
     return out

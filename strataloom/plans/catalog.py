@@ -385,7 +385,7 @@ _MANY = {"o_custkey": "categorical", "o_orderpriority": "categorical", "o_orderk
 def profile_many(spark: SparkSession, d: str) -> DataFrame:
     """One row about each column of orders with gaps, from a profile that counts the values of all columns together."""
     columns = P.profile_table(_holed(spark, d), _MANY, PINNED).columns.values()
-    rows = [(c.name, len(c.labels), c.rare, c.has_null, *(map(float, c.bounds) if c.bounds else (None, None))) for c in columns]
+    rows = [(c.name, c.n_labels, c.rare, c.has_null, *(map(float, c.bounds) if c.bounds else (None, None))) for c in columns]
     return spark.createDataFrame(rows, "name string, codes long, rare long, has_null boolean, low double, high double")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import json
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -35,9 +36,12 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tu
 
 
 def write_profile(spark: SparkSession, profile: Profile, path: str) -> None:
-    """A profile as one row of JSON per column."""
-    rows = [(i, json.dumps(vars(c))) for i, c in enumerate(profile.columns.values())]
+    """A profile as one row of JSON per column; categories that it holds as tables go to a folder beside it, `path`-labels."""
+    rows = [(i, json.dumps(c.plain())) for i, c in enumerate(profile.columns.values())]
     spark.createDataFrame(rows, "at int, profile string").coalesce(1).write.mode("overwrite").parquet(path)
+    tables = [c.table.withColumn("at", F.lit(i)) for i, c in enumerate(profile.columns.values()) if c.table is not None]
+    if tables:
+        reduce(DataFrame.union, tables).write.mode("overwrite").partitionBy("at").parquet(f"{path}-labels")
 
 
 def read_profile(spark: SparkSession, path: str) -> Profile:
@@ -46,7 +50,9 @@ def read_profile(spark: SparkSession, path: str) -> Profile:
     for r in spark.read.parquet(path).orderBy("at").collect():
         own = json.loads(r.profile)
         own["bounds"] = tuple(own["bounds"]) if own["bounds"] else None
-        out[own["name"]] = ColumnProfile(**own)
+        out[own["name"]] = c = ColumnProfile(**own)
+        if len(c.labels) < c.n_labels:
+            c.table = spark.read.parquet(f"{path}-labels").where(F.col("at") == r.at).select("value", "code")
     return Profile(out)
 
 

@@ -285,3 +285,22 @@ def test_settings_by_table_are_checked(spark):
 def test_types_are_exact_near_the_limits(spark):
     df = spark.range(4000).select(*[(F.col("id") % n).alias(f"i{n}") for n in (100, 101, 140)], *[(F.col("id") % n).cast("double").alias(f"d{n}") for n in (20, 21)], *[F.concat(F.lit("v"), F.col("id") % n).alias(f"s{n}") for n in (100, 101)])
     assert P.infer_types(df) == {"i100": "numeric_discrete", "i101": "numeric_binned", "i140": "numeric_binned", "d20": "categorical", "d21": "numeric_binned", "s100": "categorical", "s101": "character"}
+
+
+def test_categories_that_a_profile_keeps_in_tables(spark, people, monkeypatch, tmp_path):
+    """Columns with more categories than the driver may hold give what they give otherwise."""
+    kinds = {"city": "categorical", "age": "numeric_discrete", "code": "categorical"}
+    rows = people.select("city", "age", "code", "row_id")
+    rows = rows.union(spark.createDataFrame([("once", None, None, 300)], rows.schema))
+    held = P.profile_table(rows.drop("row_id"), kinds, Privacy(threshold=2))
+    monkeypatch.setattr(P, "MAX_CATEGORIES", 5)
+    kept = P.profile_table(rows.drop("row_id"), kinds, Privacy(threshold=2))
+    write_profile(spark, kept, f"{tmp_path}/profile")
+    for p in (kept, read_profile(spark, f"{tmp_path}/profile")):
+        assert p.columns["city"] == held.columns["city"] and p.cardinalities == held.cardinalities
+        for name in ("age", "code"):
+            own, other = p.columns[name], held.columns[name]
+            assert own.labels == other.labels[:2] and own.n_labels == len(other.labels) and own.rare == other.rare
+            assert sorted((r.code, r.value) for r in own.table.collect()) == list(enumerate(other.labels))[2:]
+    assert C.distribution_weights(kept, [Distribution("code", {"ID007": 0.5})]) == C.distribution_weights(held, [Distribution("code", {"ID007": 0.5})])
+    assert C.rare_weights(kept, "mask") == C.rare_weights(held, "mask") and C.imputation_weights(kept, list(kinds)) == C.imputation_weights(held, list(kinds))
