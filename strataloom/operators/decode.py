@@ -14,14 +14,14 @@ from strataloom.operators.profile import ColumnProfile, Profile, code_name
 ARRAY_LABELS, BROADCAST = 2000, 4 << 20
 
 
-def known_labels(p: ColumnProfile) -> list[str]:
-    """The labels of values, without the tokens."""
-    return p.labels[2 if p.has_null else 1 :]
+def known_labels(p: ColumnProfile) -> int:
+    """How many labels of values there are, without the tokens."""
+    return max(0, p.n_labels - (2 if p.has_null else 1))
 
 
 def label_code(code: Column, p: ColumnProfile, rare: str, seed: int, row: Column) -> Column:
     """The code whose label stands for this one: for that of rare values a drawn one, or the null code, or itself."""
-    first, n = (2 if p.has_null else 1), len(known_labels(p))
+    first, n = (2 if p.has_null else 1), known_labels(p)
     drawn = F.lit(first) + F.floor(uniform(seed, F.lit(p.name), F.lit("rare"), row) * n).cast("int")
     if p.encoding == "categorical":
         return F.when(code == 0, drawn).otherwise(code) if rare == "sample" else code
@@ -76,9 +76,12 @@ def decode_columns(codes: DataFrame, profile: Profile, rare: str = "sample", see
     """Code columns as values, in the order of the profile, besides the columns to keep. row: a column that tells rows apart."""
     out = [F.col(f"`{k}`") for k in keep]
     for at, (name, p) in enumerate(profile.columns.items()):
-        if len(p.labels) > ARRAY_LABELS and code_name(name, "cat") in codes.columns:
+        if (p.table is not None or len(p.labels) > ARRAY_LABELS) and code_name(name, "cat") in codes.columns:
             table = codes.sparkSession.createDataFrame(list(enumerate(p.labels)), f"_k{at} int, _v{at} string")
-            table = F.broadcast(table) if sum(map(len, p.labels)) <= BROADCAST else table
+            if p.table is not None:
+                table = table.union(p.table.select("code", "value")).hint("merge")  # never sent whole
+            else:
+                table = F.broadcast(table) if sum(map(len, p.labels)) <= BROADCAST else table
             codes = codes.withColumn(f"_c{at}", label_code(F.col(f"`{code_name(name, 'cat')}`"), p, rare, seed, F.col(row))).join(table, F.col(f"_c{at}") == F.col(f"_k{at}"), "left")
             out.append(label_value(F.col(f"_v{at}"), p).alias(name))
         elif all(code_name(name, s) in codes.columns for s in p.subs):

@@ -12,10 +12,14 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strataloom.operators.ranks import ranked
+
 #: The group of all rows; stands in for groups that are unknown or of which wishes leave nothing.
 ANY = -2
 #: Codes up to which a group is one bucket; codes a bucket else.
 SHORT, EACH = 32, 8
+#: Codes beyond which groups may be too long for one task: their sums are taken in ranges of codes.
+LONG = 100_000
 #: Bytes that a broadcast table of draws may take, by what the profile says of its size.
 BROADCAST = 8 << 20
 
@@ -33,18 +37,34 @@ class Shape:
         return Shape(tuple(sorted(wishes.items())), diversity, cutoff)
 
 
-def shares(counts: DataFrame, shape: Shape) -> DataFrame:
+def _with_sums(rows: DataFrame, long: bool, **sums: Column) -> DataFrame:
+    """rows with aggregates of their groups: by windows, or, where groups are long, taken first and joined."""
+    if not long:
+        return rows.withColumns({k: v.over(Window.partitionBy("by")) for k, v in sums.items()})
+    table = rows.groupBy(F.col("by").alias("_sby")).agg(*[v.alias(k) for k, v in sums.items()])
+    return rows.join(table, F.col("by") == F.col("_sby")).drop("_sby")
+
+
+def _with_before(rows: DataFrame, long: bool, name: str, order: list[str]) -> DataFrame:
+    """rows with the sum of p over those before in their group: by a window, or, where groups are long, over ranges of all rows, less where the group begins."""
+    if not long:
+        own = Window.partitionBy("by").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return rows.withColumn(name, F.coalesce(F.sum("p").over(own), F.lit(0.0)))
+    met = _with_sums(ranked(rows, ["by", *order], F.col("p"), "_before")[0], True, _begin=F.min("_before"))
+    return met.withColumn(name, F.col("_before") - F.col("_begin")).drop("_before", "_begin")
+
+
+def shares(counts: DataFrame, shape: Shape, long: bool = False) -> DataFrame:
     """(by, code, low, cum, many): the codes of each group with the part [low, cum) of [0, 1) that each one gets.
 
     counts: (by, code, n), the group ANY among them. Named codes get the probabilities wished for
     them, the others share the rest in proportion. A group of which nothing is left is left out,
-    and so ANY stands in for it; if nothing is left of ANY, its wishes are dropped.
+    and so ANY stands in for it; if nothing is left of ANY, its wishes are dropped. long: whether a
+    group may hold more codes than a task should.
     """
-    own = Window.partitionBy("by")
     rows = counts.select(F.col("by").cast("int").alias("by"), F.col("code").cast("int").alias("code"), (F.pow(F.col("n").cast("double"), F.lit(1 / shape.diversity)) if shape.diversity != 1 else F.col("n").cast("double")).alias("p"))
     if shape.cutoff < 1:
-        ahead = F.coalesce(F.sum("p").over(own.orderBy(F.desc("p"), "code").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0.0))
-        rows = rows.withColumns({"ahead": ahead, "whole": F.sum("p").over(own)}).where(F.col("ahead") < shape.cutoff * F.col("whole") - 1e-12).select("by", "code", "p")
+        rows = _with_sums(_with_before(rows.withColumn("_less", -F.col("p")), long, "ahead", ["_less", "code"]), long, whole=F.sum("p")).where(F.col("ahead") < shape.cutoff * F.col("whole") - 1e-12).select("by", "code", "p")
     if shape.wishes:
         wished = {c: float(v) for c, v in shape.wishes}
         more = [F.lit(c) for c, v in wished.items() if v > 0]
@@ -52,11 +72,18 @@ def shares(counts: DataFrame, shape: Shape) -> DataFrame:
             rows = rows.union(rows.select("by").distinct().select("by", F.explode(F.array(*more)).alias("code"), F.lit(0.0).alias("p"))).groupBy("by", "code").agg(F.max("p").alias("p"))
         wish = F.try_element_at(F.create_map(*[F.lit(x) for kv in wished.items() for x in kv]), F.col("code"))
         rows = rows.withColumn("wish", wish)
-        rows = rows.withColumn("free", F.coalesce(F.sum(F.when(F.col("wish").isNull(), F.col("p"))).over(own), F.lit(0.0)))
+        rows = _with_sums(rows, long, free=F.sum(F.when(F.col("wish").isNull(), F.col("p")))).fillna(0.0, "free")
         left = max(0.0, 1 - sum(wished.values()))
-        rows = rows.withColumn("q", F.coalesce("wish", F.when(F.col("free") > 0, F.col("p") / F.col("free") * left), F.lit(0.0)))
-        rows = rows.withColumn("some", F.sum("q").over(own) > 0).select("by", "code", F.when(F.col("some"), F.col("q")).when(F.col("by") == ANY, F.col("p")).alias("p"))
+        # counts stay whole where codes are only left out: sums of rounded parts would move the limits of many codes
+        rest = F.col("p") / F.col("free") * left if more else F.col("p")
+        rows = rows.withColumn("q", F.coalesce("wish", F.when(F.col("free") > 0, rest), F.lit(0.0)))
+        rows = _with_sums(rows, long, all=F.sum("q")).withColumn("some", F.col("all") > 0).select("by", "code", F.when(F.col("some"), F.col("q")).when(F.col("by") == ANY, F.col("p")).alias("p"))
     rows = rows.where("p > 0")
+    if long:
+        rows = _with_sums(_with_before(rows, long, "before", ["code"]), long, whole=F.sum("p"), last=F.max("code"), many=F.count("*"))
+        cum = F.when(F.col("code") == F.col("last"), 1.0).otherwise((F.col("before") + F.col("p")) / F.col("whole"))
+        return rows.select("by", "code", (F.col("before") / F.col("whole")).alias("low"), cum.alias("cum"), "many")
+    own = Window.partitionBy("by")
     upto = F.sum("p").over(own.orderBy("code").rowsBetween(Window.unboundedPreceding, Window.currentRow)) / F.sum("p").over(own)
     rows = rows.select("by", "code", upto.alias("upto"), F.count("*").over(own).alias("many"))
     at = own.orderBy("code")
@@ -84,7 +111,7 @@ def drawn(rows: DataFrame, name: str, u: Column, counts: DataFrame, shape: Shape
     profile, by which the tables are known to be small enough to be broadcast, or joined if not.
     No counts at all give code 0.
     """
-    slots = _slots(shares(counts, shape))
+    slots = _slots(shares(counts, shape, codes > LONG))
     rows = rows.withColumn("_du", u)
     if codes <= SHORT:
         small = slots.select("by", "slots")

@@ -105,7 +105,7 @@ def encode_columns(df: DataFrame, profile: Profile, keep: tuple[str, ...] = (),
             df = fill_missing(df.withColumn(f"_gone:{name}", F.col(f"`{name}`").isNull()), name, row, seed)
     for name, p in profile.columns.items():
         if name in df.columns:
-            if p.encoding in ("categorical", "numeric_discrete") and len(p.labels) > MAP_LABELS:
+            if p.encoding in ("categorical", "numeric_discrete") and (p.table is not None or len(p.labels) > MAP_LABELS):
                 long[name] = p
                 continue
             codes = column_codes(F.col(f"`{name}`"), p, gone.get(name))
@@ -115,7 +115,10 @@ def encode_columns(df: DataFrame, profile: Profile, keep: tuple[str, ...] = (),
     for name, p in long.items():
         c = F.col(f"`{name}`")
         text = V.escape_tokens(V.to_text(c, p.kind)) if p.encoding == "categorical" else number_label(V.to_number(c, p.kind), p.min_decimal)
-        table = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(p.labels) if v not in (V.RARE, V.NULL)], f"`_v{name}` string, `_c{name}` int")
+        if p.table is not None:
+            table = p.table.select(F.col("value").alias(f"_v{name}"), F.col("code").alias(f"_c{name}")).hint("merge")  # never sent whole
+        else:
+            table = df.sparkSession.createDataFrame([(v, i) for i, v in enumerate(p.labels) if v not in (V.RARE, V.NULL)], f"`_v{name}` string, `_c{name}` int")
         df = df.join(table, text == F.col(f"`_v{name}`"), "left")
         out.append(F.when(text.isNull(), F.lit(1 if p.has_null else 0)).otherwise(F.coalesce(F.col(f"`_c{name}`"), F.lit(0))).cast("int").alias(code_name(name, "cat")))
     return df.select(*out)

@@ -6,6 +6,7 @@ from strataloom.config import ModelConfig, merged, resolve_config
 from strataloom.functions import values as V
 from strataloom.operators import constraints as C
 from strataloom.operators import decode as D
+from strataloom.operators import draws
 from strataloom.operators import encode as E
 from strataloom.operators import profile as P
 from strataloom.operators import ranks
@@ -304,3 +305,23 @@ def test_categories_that_a_profile_keeps_in_tables(spark, people, monkeypatch, t
             assert sorted((r.code, r.value) for r in own.table.collect()) == list(enumerate(other.labels))[2:]
     assert C.distribution_weights(kept, [Distribution("code", {"ID007": 0.5})]) == C.distribution_weights(held, [Distribution("code", {"ID007": 0.5})])
     assert C.rare_weights(kept, "mask") == C.rare_weights(held, "mask") and C.imputation_weights(kept, list(kinds)) == C.imputation_weights(held, list(kinds))
+
+
+def test_rows_of_categories_in_tables(spark, people, monkeypatch):
+    """Codes, decoded values and new rows of long vocabularies, and shares of long groups, are those of short ones."""
+    kinds = {"city": "categorical", "age": "numeric_discrete", "code": "categorical"}
+    config = {"privacy": Privacy(threshold=2), "encoding_types": kinds, "seed": 4}
+    rows = people.select("row_id", *kinds)
+
+    def made():
+        model = fit(rows.drop("row_id"), config)
+        codes = E.encode_columns(rows, model.profile, ("row_id",))
+        back = D.decode_columns(codes, model.profile, keep=("row_id",))
+        new = [generate(spark, model, 200, seed=5, **own) for own in ({}, {"distribution": Distribution("code", {"ID007": 0.5})}, {"rare_cutoff": 0.6})]
+        return [sorted(map(str, df.collect())) for df in (codes, back, *new)]
+
+    want = made()
+    monkeypatch.setattr(P, "MAX_CATEGORIES", 5)
+    monkeypatch.setattr(draws, "LONG", 5)
+    monkeypatch.setattr(draws, "SHORT", 5)
+    assert made() == want
