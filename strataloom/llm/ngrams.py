@@ -445,10 +445,9 @@ def _prepared(docs: DataFrame, tables: Tables) -> tuple[DataFrame, tuple[int, in
     return (answered(sliced(docs), tables) if any(sizes) else _texts(docs)), sizes
 
 
-def tune(model: Model, docs: DataFrame, tables: Tables, max_texts: int) -> np.ndarray:
-    """Shares of pairs by magnitude: expectation steps over about max_texts training texts, each left out of the counts."""
-    n = max(model.texts, 1)
-    sample, sizes = _prepared(docs.where(F.xxhash64("doc_id", "text").bitwiseAND(0xFFFFFF) < min(1.0, max_texts / n) * float(1 << 24)), tables)
+def tune(model: Model, docs: DataFrame, tables: Tables) -> np.ndarray:
+    """Shares of pairs by magnitude: expectation steps over all training texts, each left out of the counts."""
+    texts, sizes = _prepared(docs, tables)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -460,7 +459,7 @@ def tune(model: Model, docs: DataFrame, tables: Tables, max_texts: int) -> np.nd
             key, many = np.unique(magnitude * 1000 + ratio + 400, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(many)], ["key", "n"])
 
-    bins = sample.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    bins = texts.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     share, mag, ratio, many = np.full(64, 0.3), bins["key"].to_numpy(np.int64) // 1000, 2.0 ** ((bins["key"].to_numpy(np.int64) % 1000 - 400) / 8), bins["n"].to_numpy(float)
     for _ in range(30):
         own = share[mag] * ratio / (share[mag] * ratio + 1 - share[mag])
@@ -469,7 +468,7 @@ def tune(model: Model, docs: DataFrame, tables: Tables, max_texts: int) -> np.nd
     return np.clip(share, 0.001, 0.95)
 
 
-def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30, tune_texts: int = 1000) -> tuple[Model, Tables]:
+def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables]:
     """(model, tables): a model of all training texts (doc_id, text), and what it needs besides where that is too large to broadcast.
 
     Words are known by XXH64. max_vocabulary bounds the word table that is broadcast and max_bits the
@@ -498,7 +497,7 @@ def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1
         tables.bits = stored(segments_of(pairs, tables.segments), "segments")
     forget(counts)
     model = Model(n, v, texts.n if texts else 0, np.full(64, 0.3), look, held)
-    model.share = tune(model, training, tables, tune_texts)
+    model.share = tune(model, training, tables)
     return model, tables
 
 

@@ -100,3 +100,25 @@ def test_pairs_that_occur_once_count(spark):
     model.share = np.full(64, 0.5)
     seen, mixed = (r.score for r in ngrams.score_documents(spark.createDataFrame([(1, "a1 b1"), (2, "a1 b2")], "doc_id long, text string"), model, counts).orderBy("doc_id").collect())
     assert seen > mixed + 2
+
+
+def test_shares_come_from_all_texts(spark):
+    """The shares of 3,000 texts by plain Python, each pair's every occurrence among them."""
+    rows = [(i, f"a{i % 7} b{i % 3 if i % 5 else i % 11} c") for i in range(3000)]
+    model, _ = ngrams.fit(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    texts = [[*t.encode().split(), b""] for _, t in rows]
+    one, two = Counter(w for ws in texts for w in ws), Counter(p for ws in texts for p in zip([None, *ws], ws, strict=False))
+    bins = Counter()
+    for (a, b), n in two.items():
+        first = (len(texts) if a is None else one[a]) - 1
+        held = max(min(ngrams.VALUES[ngrams.levels_of(np.array([n]))[0]], one[b], first + 1) - 1, 0)
+        ratio = max(held / max(first, 1), 1e-12) / (one[b] / (model.tokens + model.words + 1))
+        bins[int(math.log2(max(first, 1))), min(max(round(8 * math.log2(ratio)), -400), 400)] += n
+    share = [0.3] * 64
+    for _ in range(30):
+        total, own = [0.0] * 64, [0.0] * 64
+        for (m, r), n in bins.items():
+            total[m] += n
+            own[m] += n * share[m] * 2 ** (r / 8) / (share[m] * 2 ** (r / 8) + 1 - share[m])
+        share = [(x + 0.3) / (t + 1) for x, t in zip(own, total, strict=True)]
+    assert np.allclose(model.share, np.clip(share, 0.001, 0.95), rtol=0.02)
