@@ -22,11 +22,13 @@ WORD_CLASSES = 1 << 20
 #: Sets of a word of this magnitude or more are dealt to tasks of about 2^FREQUENT rows when they meet the earliest, and stand apart by size when they meet all.
 FREQUENT = 14
 #: Sets of fewer words have a sketch of 64 bits, others of 128.
-SHORT = 80
+SHORT = 40
 #: The words of prefixes are shuffled and joined in so many turns: bounds the disk that the join takes.
 TURNS = 2
-#: Bits of the table that tells which documents a later step needs: bounds what is broadcast.
-MARKS = 1 << 26
+#: Bits a key, and at most, of the table that tells which documents a later step needs: bounds what is broadcast.
+MARK_BITS, MARKS = 64, 1 << 26
+#: How far before a set, among those of a word, the sets stand that it meets besides the earliest: only in large groups.
+BESIDE = (5, 12)
 
 
 def _lowered(docs: DataFrame) -> DataFrame:
@@ -110,16 +112,20 @@ def _magnitude(word: Column) -> Column:
 
 
 def first_candidates(sets: DataFrame, percent: int) -> DataFrame:
-    """(later, earlier): each set with the earliest set of each word of its prefix (of a share of them, for frequent words), where they can be similar.
+    """(later, earlier): each set with the earliest set of each word of its prefix and those BESIDE it (of a share of them, for frequent words), where they can be similar.
 
-    One pair per row at most, so a group of near copies adds pairs as it grows, not as its square.
+    So many pairs per row at most, so a group of near copies adds pairs as it grows, not as its square.
     """
     rows = prefix_rows(sets)
-    names = [k for k in rows.columns if k != "word"]
+    own = F.struct(*[k for k in rows.columns if k != "word"])
     salts = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.lit(0), _magnitude(F.col("word")) - FREQUENT).cast("int"))
     order = Window.partitionBy("word", F.pmod(F.xxhash64("age"), salts)).orderBy("age")
-    met = rows.select(F.struct(*names).alias("x"), F.first(F.struct(*names)).over(order).alias("y"))
-    return met.where((F.col("x.age") > F.col("y.age")) & near("x", "y", percent)).select(F.col("x.age").alias("later"), F.col("y.age").alias("earlier"))
+    met = rows.select(own.alias("x"), F.first(own).over(order).alias("y0"), *[F.lag(own, k).over(order).alias(f"y{k}") for k in BESIDE])
+    # one within the other: near() is costly, and most sets have no other of a word before them
+    hit = lambda y: F.when(F.col(f"{y}.age").isNotNull(), F.when(F.col("x.age") > F.col(f"{y}.age"), F.when(near("x", y, percent), F.col(f"{y}.age"))))
+    hits = [f"e{k}" for k in (0, *BESIDE)]
+    met = met.select(F.col("x.age").alias("later"), *[hit(f"y{e[1:]}").alias(e) for e in hits]).where(F.coalesce(*hits).isNotNull())
+    return met.select("later", F.explode(F.array(*hits)).alias("earlier")).where("earlier is not null")
 
 
 def all_candidates(rows: DataFrame, percent: int) -> DataFrame:
@@ -137,8 +143,9 @@ def all_candidates(rows: DataFrame, percent: int) -> DataFrame:
 
 
 def marked(docs: DataFrame, th: Column, keys: DataFrame) -> DataFrame:
-    """(row, marked): the columns of docs as one struct, and false only for texts whose hash isn't in keys (th). Reads a bitmap of MARKS bits, 4 KB a row."""
-    bit = lambda c: F.pmod(c, F.lit(MARKS))
+    """(row, marked): the columns of docs as one struct, and false only for texts whose hash isn't in keys (th, read twice). Reads a bitmap, 4 KB a row, of MARK_BITS bits a key, MARKS at most."""
+    bits = min(MARKS, max(1 << 15, 1 << (MARK_BITS * keys.count()).bit_length()))
+    bit = lambda c: F.pmod(c, F.lit(bits))
     maps = keys.select(bit(F.col("th")).alias("b")).groupBy(F.bitmap_bucket_number("b").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("b")).alias("bits"))
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), bit(th).alias("b"))
     met = rows.join(F.broadcast(maps), F.bitmap_bucket_number("b") == F.col("bucket"), "left")
