@@ -12,14 +12,14 @@ count and are tuned on training texts.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strataloom.llm.common import forget, stored
@@ -136,17 +136,21 @@ class Filter:
 
     bits: np.ndarray
 
-    def counts(self, key: np.ndarray) -> np.ndarray:
-        """The count of each key as the filter knows it, 0 if not held. Remembers the last key of each of 2^20 slots."""
+    def of(self, key: np.ndarray) -> np.ndarray:
+        """The level of each key, 0 if not held. Remembers the last key of each of 2^20 slots."""
         if not hasattr(self, "_keys"):
-            self._keys, self._values = np.full(1 << 20, (1 << 64) - 1, np.uint64), np.zeros(1 << 20)
+            self._keys, self._levels = np.full(1 << 20, (1 << 64) - 1, np.uint64), np.zeros(1 << 20, np.uint8)
         slot = key >> np.uint64(28)
-        out, miss = self._values[slot], np.flatnonzero(self._keys[slot] != key)
+        out, miss = self._levels[slot], np.flatnonzero(self._keys[slot] != key)
         k, s = key[miss], slot[miss]
-        out[miss] = got = VALUES[probe(self.bits, segment_of(k, len(self.bits)), k)]
-        self._keys[s], self._values[s] = k, got
+        out[miss] = got = probe(self.bits, segment_of(k, len(self.bits)), k)
+        self._keys[s], self._levels[s] = k, got
         return out
 
+    def counts(self, key: np.ndarray) -> np.ndarray:
+        """The count of each key as the filter knows it, 0 if not held."""
+        return VALUES[self.of(key)]
+
 
 class Known:
     """What was found for the keys of a slice: keys, ascending, and a value of each."""
@@ -154,7 +158,7 @@ class Known:
     def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
         self.keys, self.values = keys, values
 
-    def counts(self, key: np.ndarray) -> np.ndarray:
+    def of(self, key: np.ndarray) -> np.ndarray:
         if not len(self.keys):
             return np.zeros(len(key), self.values.dtype)
         i = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
@@ -172,26 +176,30 @@ class Model:
     look: Known | None
     filter: Filter | None
 
-    def parts(self, ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: np.ndarray, pairs: Filter | Known, less: int = 0):
-        """(frequency of the word, relative frequency of the pair, magnitude of the first word's count, count); less: how often the text itself was counted."""
-        before = firsts(ids, sizes)
-        c = counts[ids] - less
-        one = (c + 1) / (self.tokens + self.words + 1)
-        c1 = np.where(before < 0, self.texts, counts[before]) - less
-        both = np.zeros(len(ids))
-        some = np.flatnonzero((c + less > 0) & (c1 + less > 0))
-        left = np.where(before[some] < 0, START, hashes[before[some]])
-        got = pairs.counts(pair_keys(left, hashes[ids[some]]))
-        both[some] = np.maximum(np.minimum(np.minimum(got, c[some] + less), c1[some] + less) - less, 0)
-        return one, both / np.maximum(c1, 1), np.log2(np.maximum(c1, 1)).astype(int), c
-
-    def scores(self, ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: np.ndarray, pairs: Filter | Known):
+    def parts(self, sizes: np.ndarray, count: np.ndarray, level: np.ndarray, less: int = 0):
+        """(frequency of the word, relative frequency of the pair, magnitude of the first word's count) for each word, from what `found` gives; less: how often the text itself was counted."""
+        first = firsts(count, sizes)
+        first[first < 0] = self.texts
+        both = np.maximum(np.minimum(np.minimum(VALUES[level], count), first) - less, 0)
+        c1 = np.maximum(first - less, 1)
+        return (count - less + 1) / (self.tokens + self.words + 1), both / c1, np.log2(c1).astype(int)
+
+    def scores(self, sizes: np.ndarray, count: np.ndarray, level: np.ndarray):
         """Per text (n_known, base_score, score)."""
-        one, pair, magnitude, c = self.parts(ids, sizes, hashes, counts, pairs)
+        one, pair, magnitude = self.parts(sizes, count, level)
         at = np.cumsum(sizes) - sizes
         base = np.add.reduceat(np.log10(one), at)
         share = self.share[np.minimum(magnitude, len(self.share) - 1)]
-        return np.add.reduceat((c > 0).astype(np.int64), at), base, np.add.reduceat(np.log10(share * pair + (1 - share) * one), at)
+        return np.add.reduceat((count > 0).astype(np.int64), at), base, np.add.reduceat(np.log10(share * pair + (1 - share) * one), at)
+
+
+def found(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: np.ndarray, pairs: Filter | Known, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(count, level) for each word: its count in training texts and the level of the pair that it ends, 0 where a word of it is unknown."""
+    before, count, level = firsts(ids, sizes), counts[ids], np.zeros(len(ids), np.uint8)
+    some = np.flatnonzero((count > 0) & (np.where(before < 0, texts, counts[before]) > 0))
+    left = np.where(before[some] < 0, START, hashes[before[some]])
+    level[some] = pairs.of(pair_keys(left, hashes[ids[some]]))
+    return count, level
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +233,9 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 def count_ngrams(docs: DataFrame) -> DataFrame:
     """(kind, key, n), stored: counts over all docs of words (kind 1) and of pairs (2)."""
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    counts = docs.select(F.col("text").cast("string")).mapInArrow(_count, "kind byte, key long, n long")
+    # partitions are summed already: few of their keys would meet before the shuffle
+    counts = counts.repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"))
     return stored(counts, "counts")
 
 
@@ -383,7 +393,7 @@ def answered(slices: DataFrame, tables: Tables) -> DataFrame:
                 both = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for _, x in held], axis=1) if held else np.zeros((2, 0), np.int64)
                 order = np.argsort(both[0].view(np.uint64))
                 known = Known(both[0].view(np.uint64)[order], both[1][order])
-                return lambda blob: known.counts(np.frombuffer(blob, np.uint64)).tobytes()
+                return lambda blob: known.of(np.frombuffer(blob, np.uint64)).tobytes()
             whole = np.zeros((PART, SEGMENT // 8), np.uint8)
             for at, x in held:
                 whole[at % PART] = np.frombuffer(x, np.uint8)
@@ -417,12 +427,12 @@ def answered(slices: DataFrame, tables: Tables) -> DataFrame:
 
 
 def _read(batches: Iterator[pa.RecordBatch], m: Model, tables: tuple[int, int]):
-    """(doc_ids, numbers of words, sizes, hashes and counts by number, what knows the pairs) of a few documents at a time."""
-    words = Words(m.look.counts if m.look else None)
+    """(doc_ids, sizes, count and level of each word) of a few documents at a time."""
+    words = Words(m.look.of if m.look else None)
     if not any(tables):
         for b in _slices(batches):
             ids, sizes = words.read(b.column("text").to_pylist())
-            yield b.column("doc_id"), ids, sizes, words.hash, words.count, m.filter
+            yield b.column("doc_id"), sizes, *found(ids, sizes, words.hash, words.count, m.filter, m.texts)
         return
     for b in batches:
         for i in range(len(b)):
@@ -430,13 +440,13 @@ def _read(batches: Iterator[pa.RecordBatch], m: Model, tables: tuple[int, int]):
             asked, said = _asked(ids, sizes, words.hash, tables), {1: {}, 2: {}}
             for x in b.column("said")[i].as_py() or []:
                 said[x["kind"]][x["part"]] = x["blob"]
-            found = {}
+            known = {}
             for kind, (_, key) in asked.items():
                 got = np.frombuffer(b"".join(said[kind][p] for p in sorted(said[kind])), np.int64 if kind == 1 else np.uint8)
                 order = np.argsort(key)
-                found[kind] = Known(key[order], (got if kind == 1 else VALUES[got])[order])
-            counts = words.count if m.look else found[1].counts(words.hash)
-            yield b.column("ids")[i].values, ids, sizes, words.hash, counts, m.filter or found[2]
+                known[kind] = Known(key[order], got[order])
+            counts = words.count if m.look else known[1].of(words.hash)
+            yield b.column("ids")[i].values, sizes, *found(ids, sizes, words.hash, counts, m.filter or known[2], m.texts)
 
 
 def _prepared(docs: DataFrame, tables: Tables) -> tuple[DataFrame, tuple[int, int]]:
@@ -445,21 +455,45 @@ def _prepared(docs: DataFrame, tables: Tables) -> tuple[DataFrame, tuple[int, in
     return (answered(sliced(docs), tables) if any(sizes) else _texts(docs)), sizes
 
 
-def tune(model: Model, docs: DataFrame, tables: Tables) -> np.ndarray:
-    """Shares of pairs by magnitude: expectation steps over all training texts, each left out of the counts."""
-    texts, sizes = _prepared(docs, tables)
+def looked_up(docs: DataFrame, model: Model, tables: Tables) -> DataFrame:
+    """(ids, sizes, count, level), stored: a row per few documents, with the count of each of their words and the level of each pair, so that texts needn't be read again."""
+    rows, parts = _prepared(docs, tables)
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for _, ids, own, hashes, counts, pairs in _read(batches, m, sizes):
-            one, pair, magnitude, _ = m.parts(ids, own, hashes, counts, pairs, 1)
+        for names, *arrays in _read(batches, m, parts):
+            kinds = (np.int64, np.uint32 if m.tokens < 1 << 32 else np.int64, np.uint8)
+            blobs = [pa.array([a.astype(k).tobytes()], pa.binary()) for a, k in zip(arrays, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([names.to_pylist()], pa.list_(pa.int64())), *blobs], ["ids", "sizes", "count", "level"])
+
+    return stored(rows.mapInArrow(work, "ids array<long>, sizes binary, count binary, level binary"), "found")
+
+
+def _found(batches: Iterator[pa.RecordBatch], m: Model):
+    """(doc_ids, sizes, count, level) of the rows of looked_up, as _read gives them."""
+    for b in batches:
+        for i in range(len(b)):
+            kinds = (np.int64, np.uint32 if m.tokens < 1 << 32 else np.int64, np.uint8)
+            sizes, count, level = (np.frombuffer(b.column(c)[i].as_buffer(), k) for c, k in zip(("sizes", "count", "level"), kinds, strict=True))
+            yield b.column("ids")[i].values, sizes, count.astype(np.int64), level
+
+
+def tune(model: Model, looked: DataFrame) -> np.ndarray:
+    """Shares of pairs by magnitude: expectation steps over all training texts, as looked_up gives them, each left out of the counts."""
+    shared = looked.sparkSession.sparkContext.broadcast(replace(model, look=None, filter=None))
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, bins = shared.value, np.zeros(64_000, np.int64)
+        for _, sizes, count, level in _found(batches, m):
+            one, pair, magnitude = m.parts(sizes, count, level, 1)
             # texts give triples in bins: only how the pair compares with the word matters for the share
             ratio = np.clip(np.round(8 * np.log2(np.maximum(pair, 1e-12) / np.maximum(one, 1e-12))), -400, 400).astype(np.int64)
-            key, many = np.unique(magnitude * 1000 + ratio + 400, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(many)], ["key", "n"])
+            bins += np.bincount(magnitude * 1000 + ratio + 400, minlength=len(bins))
+        key = np.flatnonzero(bins)
+        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(bins[key])], ["key", "n"])
 
-    bins = texts.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
+    bins = looked.mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toPandas()
     share, mag, ratio, many = np.full(64, 0.3), bins["key"].to_numpy(np.int64) // 1000, 2.0 ** ((bins["key"].to_numpy(np.int64) % 1000 - 400) / 8), bins["n"].to_numpy(float)
     for _ in range(30):
         own = share[mag] * ratio / (share[mag] * ratio + 1 - share[mag])
@@ -468,8 +502,8 @@ def tune(model: Model, docs: DataFrame, tables: Tables) -> np.ndarray:
     return np.clip(share, 0.001, 0.95)
 
 
-def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables]:
-    """(model, tables): a model of all training texts (doc_id, text), and what it needs besides where that is too large to broadcast.
+def fit_looked_up(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables, DataFrame]:
+    """(model, tables, looked): a model of all training texts (doc_id, text), what it needs besides where that is too large to broadcast, and the texts looked up in it.
 
     Words are known by XXH64. max_vocabulary bounds the word table that is broadcast and max_bits the
     filter; larger ones stay on the executors and are asked there, so no word and no pair is left
@@ -497,7 +531,15 @@ def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1
         tables.bits = stored(segments_of(pairs, tables.segments), "segments")
     forget(counts)
     model = Model(n, v, texts.n if texts else 0, np.full(64, 0.3), look, held)
-    model.share = tune(model, training, tables)
+    looked = looked_up(training, model, tables)
+    model.share = tune(model, looked)
+    return model, tables, looked
+
+
+def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables]:
+    """(model, tables) as fit_looked_up gives them."""
+    model, tables, looked = fit_looked_up(training, max_vocabulary, max_bits)
+    forget(looked)
     return model, tables
 
 
@@ -508,19 +550,31 @@ def score_documents(docs: DataFrame, model: Model, tables: Tables) -> DataFrame:
     probability. A null or empty text is one end, long texts are read whole. Repeated rows come out
     repeated, an empty table gives an empty one, other columns are ignored. tables: as fit() gives them.
     """
-    rows, sizes = _prepared(docs, tables)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    rows, parts = _prepared(docs, tables)
+    return _scored(rows, model, lambda batches, m: _read(batches, m, parts))
+
+
+def _scored(rows: DataFrame, model: Model, read) -> DataFrame:
+    """score_documents of the documents that read(batches, model) gives."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
-        for names, ids, own, hashes, counts, pairs in _read(batches, m, sizes):
-            if len(own):
-                known, base, score = m.scores(ids, own, hashes, counts, pairs)
-                yield pa.RecordBatch.from_arrays([names, pa.array(own), pa.array(known), pa.array(np.full(len(own), m.tokens, np.int64)), pa.array(base), pa.array(score)], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
+        for names, sizes, count, level in read(batches, m):
+            if len(sizes):
+                known, base, score = m.scores(sizes, count, level)
+                yield pa.RecordBatch.from_arrays([names, pa.array(sizes), pa.array(known), pa.array(np.full(len(sizes), m.tokens, np.int64)), pa.array(base), pa.array(score)], ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
 
     return rows.mapInArrow(work, "doc_id long, n_tokens long, n_known long, train_tokens long, base_score double, score double")
 
 
+def fit_and_score(docs: DataFrame, learned: Column) -> DataFrame:
+    """score_documents of docs by a model of those that are `learned`, whose words and pairs are looked up once, for the shares and the scores."""
+    model, tables, looked = fit_looked_up(docs.where(learned))
+    others = score_documents(docs.where(~learned), model, tables)
+    return _scored(looked, replace(model, look=None, filter=None), _found).union(others)
+
+
 def held_out(doc_id: str = "doc_id"):
     """True for the seventh of the documents that is never learned from; a null id is not held out."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("long").cast("string")) % 7 == 2, F.lit(False))
@@ -529,8 +583,7 @@ def held_out(doc_id: str = "doc_id"):
 def op4_ngrams(spark, sf_dir: str) -> DataFrame:
     """Scores of all documents by a model of those that aren't held out."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model, tables = fit(docs.where(~held_out()))
-    return score_documents(docs, model, tables).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return fit_and_score(docs, ~held_out()).select("doc_id", held_out().alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 QUERIES = {"op4_ngrams": op4_ngrams}

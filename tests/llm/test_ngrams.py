@@ -125,3 +125,15 @@ def test_shares_come_from_all_texts(spark, monkeypatch):
             own[m] += n * share[m] * 2 ** (r / 8) / (share[m] * 2 ** (r / 8) + 1 - share[m])
         share = [(x + 0.3) / (t + 1) for x, t in zip(own, total, strict=True)]
     assert np.allclose(model.share, np.clip(share, 0.001, 0.95), rtol=1e-4)
+
+
+def test_training_texts_are_read_twice(spark, monkeypatch):
+    """Once to count and once to look up; shares and scores come from what was looked up, equal to those of the texts."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    learned, read, prepared = ~ngrams.held_out(), [], ngrams._prepared
+    model, tables = ngrams.fit(docs.where(learned))
+    want = ngrams.score_documents(docs, model, tables).orderBy("doc_id").toPandas()
+    monkeypatch.setattr(ngrams, "_prepared", lambda rows, tables: read.append(rows.count()) or prepared(rows, tables))
+    got = ngrams.fit_and_score(docs, learned).orderBy("doc_id").toPandas()
+    assert sorted(read) == sorted([docs.where(learned).count(), docs.where(~learned).count()])
+    assert got.equals(want)
