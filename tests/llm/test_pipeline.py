@@ -61,3 +61,13 @@ def test_nulls_empty_texts_and_clashing_names(spark):
                 assert {tuple(str(v) for k, v in r.asDict().items() if k != "text") for r in out.collect()} <= had
             frame = out
         assert frame.count() <= 2 * len(rows)
+
+
+def test_tables_that_go_leave_no_garbage_on_the_driver(spark):
+    """Each table deleted is a point at which the driver's heap is collected whole, and so shrinks."""
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    full = lambda: sum(b.getCollectionCount() for b in beans if "Young" not in b.getName())
+    table = corpus_pipeline.stored(spark.range(10), "t")
+    before = full()
+    corpus_pipeline.forget(table)
+    assert full() > before
