@@ -1,12 +1,13 @@
 """Language-model scores from a log-frequency Bloom filter of n-gram counts.
 
 The filter holds each word pair once per level of its count, on a logarithmic scale; a count is
-read by probing level after level until one is missing. The filter is built in segments on the
-executors. Where all segments fit a bound they are broadcast; beyond it they stay on the executors:
-texts are put together in slices, a slice's distinct pairs go to the tasks that hold their
-segments, and what the probes say comes back to the slice. A pair's probability mixes its relative
-frequency with that of the word, with shares that depend on the magnitude of the first word's
-count and are tuned on training texts.
+read by probing level after level until one is missing. Texts are read once, into slices of
+numbered words. Words and pairs are dealt to parts by ranges of their hashes: a slice sends its
+distinct ones to their parts, with counts if it is learned from; the task of a part sums them,
+builds its own segments of the filter and answers all slices at once; the answers go back to the
+slices. A filter and a word table of bounded size can also be broadcast, to score other texts. A
+pair's probability mixes its relative frequency with that of the word, with shares that depend on
+the magnitude of the first word's count and are tuned on training texts.
 """
 
 from __future__ import annotations
@@ -26,10 +27,14 @@ from strataloom.llm.common import forget, stored
 
 #: Ratio of neighbouring levels; probes of an entry; filter bits of an entry; bits of a segment.
 RATIO, PROBES, BITS, SEGMENT = 1.5, 5, 10, 1 << 20
-#: Pairs that a worker gathers before it counts them; words that it remembers; documents at a time.
-GATHER, REMEMBER, ROWS = 2_500_000, 250_000, 256
-#: Segments that one task holds when they aren't broadcast, words of a table of counts that one task holds, and characters of a slice (more in a longer text).
-PART, WORDS_PART, SLICE = 16, 500_000, 2_000_000
+#: Words that a worker remembers; documents that are read and words that are scored at a time.
+REMEMBER, ROWS, SOME = 250_000, 256, 200_000
+#: Filter segments of a part at most; words of a part, counted once for each slice that has them; words of a slice (more in a longer text).
+PART, WORDS_PART, SLICE = 32, 2_000_000, 1_000_000
+#: Kinds of keys, and what a row that goes to a part is: its table, keys that are counted, or keys that are only asked for.
+WORD, PAIR = 1, 2
+TABLE, COUNTED, ASKED = range(3)
+SHAPE = "kind byte, part int, step byte, slice long, key binary, n binary, many long"
 START = np.uint64(0x9E3779B97F4A7C15)
 _digest = xxhash.xxh64_intdigest
 
@@ -105,36 +110,50 @@ def value(level: int) -> float:
 VALUES = np.array([value(x) for x in range(110)])
 
 
-def places(key: np.ndarray, level: int) -> list[np.ndarray]:
-    """The bits of a segment that hold a level of a key."""
+def place(key: np.ndarray, level, i: int) -> np.ndarray:
+    """The i-th bit of a segment that holds a level of each key."""
     a, b = key & np.uint64(SEGMENT - 1), (key >> np.uint64(20)) | np.uint64(1)
-    return [(a + np.uint64(level * PROBES + i) * b) & np.uint64(SEGMENT - 1) for i in range(PROBES)]
+    return (a + (np.asarray(level, np.uint64) * np.uint64(PROBES) + np.uint64(i)) * b) & np.uint64(SEGMENT - 1)
 
 
-def segment_of(key: np.ndarray, segments: int) -> np.ndarray:
-    return (((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)) % np.uint64(segments)).astype(np.int64)
+def part_of(kind: int, key: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each key: parts are ranges of keys of equal width."""
+    return (((key >> np.uint64(32 if kind == WORD else 16)) * np.uint64(parts)) >> np.uint64(32)).astype(np.int64)
 
 
-def probe(bits: np.ndarray, segment: np.ndarray, key: np.ndarray) -> np.ndarray:
-    """The level of each key, 0 if it isn't held: levels are probed upwards until one is missing. bits: (segments, SEGMENT / 8) bytes."""
-    out, at, level = np.zeros(len(key), np.uint8), np.arange(len(key)), 1
+def segment_of(key: np.ndarray, segments) -> np.ndarray:
+    return (((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(16)) % np.asarray(segments, np.uint64)).astype(np.int64)
+
+
+def filled(key: np.ndarray, level: np.ndarray) -> np.ndarray:
+    """The segments that hold each key once per level up to its own, BITS bits for each: (segments, SEGMENT / 8) bytes."""
+    segments = max(1, -(-int(level.sum(dtype=np.int64)) * BITS // SEGMENT))
+    flags, start, on = np.zeros(segments * SEGMENT, bool), segment_of(key, segments) * SEGMENT, np.arange(len(key))
+    for now in range(1, int(level.max(initial=0)) + 1):
+        on = on[level[on] >= now]
+        for i in range(PROBES):
+            flags[start[on] + place(key[on], now, i).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").reshape(segments, -1)
+
+
+def probe(bits: np.ndarray, segment: np.ndarray, key: np.ndarray, level: np.ndarray | None = None) -> np.ndarray:
+    """The level of each key, 0 if it isn't held: levels are probed upwards until one is missing. level: up to where each key is known to be held."""
+    out, at = np.zeros(len(key), np.uint8) if level is None else level.astype(np.uint8), np.arange(len(key))
     while len(at):
-        k, s = key[at], segment[at]
-        on = np.ones(len(at), bool)
-        for p in places(k, level):
-            i = np.flatnonzero(on)
-            on[i] = (bits[s[i], p[i] >> np.uint64(3)] >> (p[i] & np.uint64(7)).astype(np.uint8)) & 1 > 0
-        at = at[on]
-        out[at] = level
-        level += 1
+        for i in range(PROBES):
+            p = place(key[at], out[at] + np.uint64(1), i)
+            at = at[(bits[segment[at], p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+        out[at] += 1
+        at = at[out[at] < len(VALUES) - 1]
     return out
 
 
 @dataclass
 class Filter:
-    """All segments of the filter, in one place."""
+    """All segments of the filter, in one place. first: the first segment of each part, and their number."""
 
     bits: np.ndarray
+    first: np.ndarray
 
     def of(self, key: np.ndarray) -> np.ndarray:
         """The level of each key, 0 if not held. Remembers the last key of each of 2^20 slots."""
@@ -143,7 +162,8 @@ class Filter:
         slot = key >> np.uint64(28)
         out, miss = self._levels[slot], np.flatnonzero(self._keys[slot] != key)
         k, s = key[miss], slot[miss]
-        out[miss] = got = probe(self.bits, segment_of(k, len(self.bits)), k)
+        part = part_of(PAIR, k, len(self.first) - 1)
+        out[miss] = got = probe(self.bits, self.first[part] + segment_of(k, self.first[part + 1] - self.first[part]), k)
         self._keys[s], self._levels[s] = k, got
         return out
 
@@ -152,6 +172,13 @@ class Filter:
         return VALUES[self.of(key)]
 
 
+def gathered(parts: list[tuple[int, np.ndarray]], number: int) -> Filter:
+    """The filter of (part, segments) pairs; of a part without any, an empty segment."""
+    by = dict(parts)
+    each = [by.get(p, np.zeros((1, SEGMENT // 8), np.uint8)) for p in range(number)]
+    return Filter(np.concatenate(each), np.cumsum([0, *map(len, each)]))
+
+
 class Known:
     """What was found for the keys of a slice: keys, ascending, and a value of each."""
 
@@ -202,281 +229,292 @@ def found(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, counts: np.nda
     return count, level
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(kind, key, n): words (1) and pairs (2) of a partition, summed as far as memory allows."""
-    words, held, size = Words(), ([], []), 0
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        for kind, parts in enumerate(held, 1):
-            if parts:
-                key, n = np.unique(np.concatenate(parts), return_counts=True)
-                parts.clear()
-                for i in range(0, len(key), 200_000):
-                    k = key[i : i + 200_000].view(np.int64)
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(k), kind, np.int8)), pa.array(k), pa.array(n[i : i + 200_000])], ["kind", "key", "n"])
-
-    for b in _slices(batches):
-        ids, sizes = words.read(b.column("text").to_pylist())
-        before, own = firsts(ids, sizes), words.hash[ids]
-        held[0].append(own)
-        held[1].append(pair_keys(np.where(before < 0, START, words.hash[before]), own))
-        size += len(ids)
-        if size >= GATHER:
-            yield from flush()
-            size = 0
-    yield from flush()
-
-
 def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
 
 
-def count_ngrams(docs: DataFrame) -> DataFrame:
-    """(kind, key, n), stored: counts over all docs of words (kind 1) and of pairs (2)."""
-    counts = docs.select(F.col("text").cast("string")).mapInArrow(_count, "kind byte, key long, n long")
-    # partitions are summed already: few of their keys would meet before the shuffle
-    counts = counts.repartition("kind", "key").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    return stored(counts, "counts")
-
-
 def entries(pairs: DataFrame) -> int:
     """The filter's entries for the pairs (key, n): one per level of each."""
     hist = pairs.groupBy(F.floor(F.log2(F.col("n").cast("double")) * 64).alias("magnitude")).agg(F.count("*").alias("many"), F.max("n").alias("n")).toPandas()
     return int((hist["many"].to_numpy(np.int64) * levels_of(hist["n"].to_numpy(np.int64))).sum())
 
 
-def segments_of(pairs: DataFrame, segments: int) -> DataFrame:
-    """(segment, bits): the filter of pairs (key, n), each segment built by one task."""
-
-    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, flags = None, np.zeros(SEGMENT, bool)
+def build_filter(pairs: DataFrame, parts: int) -> Filter:
+    """The filter of pairs (key, n) that were counted elsewhere, each part built by one task."""
 
-        def done() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([own], pa.int32()), pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())], ["segment", "bits"])
-
-        for b in batches:
-            seg, key, n = (b.column(c).to_numpy() for c in ("segment", "key", "n"))
-            cuts = np.r_[0, np.flatnonzero(seg[1:] != seg[:-1]) + 1, len(seg)]
-            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
-                if lo == hi:
-                    continue
-                if own is not None and seg[lo] != own:
-                    yield done()
-                    flags[:] = False
-                own = seg[lo]
-                k, top = key[lo:hi].view(np.uint64), levels_of(n[lo:hi])
-                for level in range(1, top.max() + 1):
-                    for p in places(k[top >= level], level):
-                        flags[p] = True
-        if own is not None:
-            yield done()
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def place_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(segment_of(b.column("key").to_numpy().view(np.uint64), segments).astype(np.int32)), b.column("key"), b.column("n")], ["segment", "key", "n"])
+            own = part_of(PAIR, b.column("key").to_numpy().view(np.uint64), parts)
+            yield pa.RecordBatch.from_arrays([pa.array(own.astype(np.int32)), b.column("key"), b.column("n")], ["part", "key", "n"])
 
-    rows = pairs.select("key", "n").mapInArrow(place, "segment int, key long, n long")
-    return rows.repartition("segment").sortWithinPartitions("segment").mapInArrow(build, "segment int, bits binary")
+    def build(key: tuple, rows: pa.Table) -> pa.Table:
+        bits = filled(rows["key"].to_numpy().view(np.uint64), levels_of(rows["n"].to_numpy()))
+        return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([bits.tobytes()], pa.binary())})
 
-
-def build_filter(pairs: DataFrame, segments: int) -> Filter:
-    """The filter of pairs (key, n) in one place, for what is small enough to broadcast."""
-    bits = np.zeros((segments, SEGMENT // 8), np.uint8)
-    for r in segments_of(pairs, segments).toLocalIterator():
-        bits[r.segment] = np.frombuffer(bytes(r.bits), np.uint8)
-    return Filter(bits)
+    rows = pairs.select("key", "n").mapInArrow(place_, "part int, key long, n long").groupBy("part").applyInArrow(build, "part int, bits binary")
+    return gathered([(r.part, np.frombuffer(bytes(r.bits), np.uint8).reshape(-1, SEGMENT // 8)) for r in rows.toLocalIterator()], parts)
 
 
 @dataclass
 class Tables:
-    """What the model gathers and doesn't broadcast: words' counts (key, n) and the filter's segments (segment, bits), with their numbers of parts; None if broadcast."""
+    """What the model gathers and doesn't broadcast: rows of SHAPE with words' counts and with the filter's segments, None if broadcast, and their numbers of parts."""
 
     words: DataFrame | None
     words_parts: int
     bits: DataFrame | None
-    segments: int
+    bits_parts: int
+
+    def asked(self) -> dict[int, int]:
+        """The number of parts of each kind that isn't broadcast."""
+        return {kind: parts for kind, rows, parts in ((WORD, self.words, self.words_parts), (PAIR, self.bits, self.bits_parts)) if rows is not None}
 
 
-def _pack(key: np.ndarray) -> bytes:
+def _pack(key: np.ndarray) -> np.ndarray:
     """Keys of 48 bits in 6 bytes each."""
-    return key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+    return np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6])
 
 
-def _unpack(blob: bytes) -> np.ndarray:
-    out = np.zeros((len(blob) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(blob, np.uint8).reshape(-1, 6)
+def _unpack(raw: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = raw.reshape(-1, 6)
     return out.view("<u8").reshape(-1)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        for i in range(0, len(b), ROWS):
-            yield b.slice(i, ROWS)
+def _blobs(rows: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Binary values: the rows between each cut and the next."""
+    width = rows.itemsize * int(np.prod(rows.shape[1:]))
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32)), pa.py_buffer(rows.reshape(-1).view(np.uint8))])
 
 
-def sliced(docs: DataFrame) -> DataFrame:
-    """(slice, ids, texts), stored: docs put together, up to SLICE characters or ROWS rows, or one longer text."""
+def _bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(all bytes, cuts) of binary values, as _blobs joins them."""
+    _, at, data = column.buffers()
+    cuts = np.frombuffer(at, np.int64 if pa.types.is_large_binary(column.type) else np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    return np.frombuffer(data, np.uint8)[cuts[0] : cuts[-1]] if cuts[-1] > cuts[0] else np.zeros(0, np.uint8), cuts - cuts[0]
 
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 33
 
-        def row(ids: list, texts: list) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([number], pa.int64()), pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.string()))], ["slice", "ids", "texts"])
+def _zip(x: np.ndarray) -> pa.Array:
+    """Numbers as one binary value, byte by byte of all of them, compressed."""
+    return pa.array([pa.compress(x.view(np.uint8).reshape(len(x), -1).T.tobytes(), codec="zstd", asbytes=True)], pa.binary())
 
-        ids, texts, size = [], [], 0
-        for b in batches:
-            for i, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                if ids and (len(ids) >= ROWS or size + len(text or "") > SLICE):
-                    yield row(ids, texts)
-                    ids, texts, size, number = [], [], 0, number + 1
-                ids.append(i)
-                texts.append(text)
-                size += len(text or "")
-        if ids:
-            yield row(ids, texts)
-
-    return stored(_texts(docs).mapInArrow(work, "slice long, ids array<long>, texts array<string>"), "slices")
-
-
-def _asked(ids: np.ndarray, sizes: np.ndarray, hashes: np.ndarray, tables: tuple[int, int]) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By kind (1 words, 2 pairs) what a slice has to ask for: (part, key), ascending. tables: parts of words and segments, 0 for what is broadcast."""
-    out, parts = {}, {}
-    if tables[0]:
-        key = np.unique(hashes[ids])
-        parts[1] = ((key >> np.uint64(32)) % np.uint64(tables[0])).astype(np.int64), key
-    if tables[1]:
-        before = firsts(ids, sizes)
-        key = np.unique(pair_keys(np.where(before < 0, START, hashes[before]), hashes[ids]))
-        parts[2] = segment_of(key, tables[1]) // PART, key
-    for kind, (part, key) in parts.items():
-        order = np.argsort(part, kind="stable")
-        out[kind] = part[order], key[order]
-    return out
+
+def _unzip(blob: pa.Scalar, kind: type, n: int) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    raw = pa.decompress(blob.as_buffer(), decompressed_size=n * size, codec="zstd")
+    return np.ascontiguousarray(np.frombuffer(raw, np.uint8).reshape(size, n).T).view(kind).reshape(-1)
 
 
-def answered(slices: DataFrame, tables: Tables) -> DataFrame:
-    """slices with `said`: (kind, part, blob), what the tables that aren't broadcast hold for the distinct words and pairs of each slice, in the order of _asked."""
-    sizes = (tables.words_parts if tables.words is not None else 0, tables.segments if tables.bits is not None else 0)
-    shape = "kind byte, part int, asks boolean, at long, blob binary"
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        for i in range(0, len(b), ROWS):
+            yield b.slice(i, ROWS)
 
-    def batch(kind: int, part, asks: bool, at, blobs: list) -> pa.RecordBatch:
-        n = len(blobs)
-        return pa.RecordBatch.from_arrays([pa.array(np.full(n, kind, np.int8)), pa.array(np.asarray(part, np.int32)), pa.array(np.full(n, asks)), pa.array(np.asarray(at, np.int64)), pa.array(blobs, pa.binary())], ["kind", "part", "asks", "at", "blob"])
 
-    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Words()
-        for b in batches:
-            for number, texts in zip(b.column("slice").to_pylist(), b.column("texts").to_pylist(), strict=True):
-                for kind, (part, key) in _asked(*reader.read(texts), reader.hash, sizes).items():
-                    own, first = np.unique(part, return_index=True)
-                    pack = _pack if kind == 2 else np.ndarray.tobytes
-                    yield batch(kind, own, True, np.full(len(own), number), [pack(k) for k in np.split(key, first[1:])])
+def _prepared(docs: DataFrame, learned: bool) -> DataFrame:
+    """(slice, learned, tokens, own, ids, sizes, words, hashes): docs put together up to SLICE words. words: each word's number among the slice's `own` distinct ones."""
 
-    def words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            key, n = b.column("key").to_numpy().view(np.uint64), b.column("n").to_numpy()
-            part = ((key >> np.uint64(32)) % np.uint64(sizes[0])).astype(np.int64)
-            order = np.argsort(part, kind="stable")
-            own, first = np.unique(part[order], return_index=True)
-            yield batch(1, own, False, np.zeros(len(own)), [np.stack([key[i].view(np.int64), n[i]]).tobytes() for i in np.split(order, first[1:])])
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader, held, tokens, number = Words(), [], 0, (TaskContext.get().partitionId() << 34) + learned
+
+        def row() -> pa.RecordBatch:
+            names, ids, sizes = zip(*held, strict=True)
+            ids, sizes, names = np.concatenate(ids), np.concatenate(sizes), pa.concat_arrays(names)
+            own = np.flatnonzero(np.bincount(ids, minlength=len(reader.hash)))
+            local = np.zeros(len(reader.hash), np.uint32)
+            local[own] = np.arange(len(own))
+            blobs = [pa.array([sizes.tobytes()], pa.binary()), _zip(local[ids]), pa.array([reader.hash[own].tobytes()], pa.binary())]
+            plain = [pa.array([number], pa.int64()), pa.array([learned]), pa.array([len(ids)], pa.int64()), pa.array([len(own)], pa.int64())]
+            return pa.RecordBatch.from_arrays([*plain, pa.ListArray.from_arrays([0, len(names)], names), *blobs], ["slice", "learned", "tokens", "own", "ids", "sizes", "words", "hashes"])
 
-    def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in _slices(batches):
+            if held and len(reader.number) > REMEMBER:  # it begins to number anew
+                yield row()
+                held, tokens, number = [], 0, number + 2
+            texts = b.column("text")
+            held.append((b.column("doc_id"), *(x.astype(k) for x, k in zip(reader.read(texts.to_pylist()), (np.uint32, np.int64), strict=True))))
+            tokens += len(held[-1][1])
+            if tokens >= SLICE:
+                yield row()
+                held, tokens, number = [], 0, number + 2
+        if held:
+            yield row()
+
+    return _texts(docs).mapInArrow(work, "slice long, learned boolean, tokens long, own long, ids array<long>, sizes binary, words binary, hashes binary")
+
+
+def _row(b: pa.RecordBatch, i: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(sizes, words, hashes) of a slice."""
+    sizes, hashes = (np.frombuffer(b.column(c)[i].as_buffer(), k) for c, k in (("sizes", np.int64), ("hashes", np.uint64)))
+    return sizes, _unzip(b.column("words")[i], np.uint32, sizes.sum()).astype(np.int64), hashes
+
+
+def _pairs(sizes: np.ndarray, words: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """The key of the pair that each word ends."""
+    before = firsts(words, sizes)
+    return pair_keys(np.where(before < 0, START, hashes[before]), hashes[words])
+
+
+def _said(kind, part, step: int, slices, key: pa.Array, n: pa.Array | None = None, many: int = 0) -> pa.RecordBatch:
+    """Rows of SHAPE; one kind and part, or one each."""
+    size = len(key)
+    full = lambda x, k: pa.array(np.broadcast_to(np.asarray(x, k), size))
+    n = _blobs(np.zeros(0, np.uint8), np.zeros(size + 1, np.int64)) if n is None else n
+    return pa.RecordBatch.from_arrays([full(kind, np.int8), full(part, np.int32), full(step, np.int8), full(slices, np.int64), key, n, full(many, np.int64)], ["kind", "part", "step", "slice", "key", "n", "many"])
+
+
+class Part:
+    """One part: its table, and the answers of it."""
+
+    def __init__(self, kind: int, part: int) -> None:
+        self.kind, self.part = kind, part
+        self.known, self.bits = Known(np.zeros(0, np.uint64), np.zeros(0, np.int64)), np.zeros((1, SEGMENT // 8), np.uint8)
+
+    def take(self, step: int, held: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Takes rows of a step; gives rows of SHAPE: the answers, in the rows' key, and the table when it is counted."""
+        slices, key, n = (pa.concat_arrays([b.column(c) for b in held]) for c in ("slice", "key", "n"))
+        raw, cuts = _bytes(key)
+        if step == TABLE:
+            if self.kind == WORD:
+                self.known = Known(raw.view(np.uint64), _bytes(n)[0].view(np.int64))
+            else:
+                self.bits = raw.reshape(-1, SEGMENT // 8)
+            return
+        key, cuts = (raw.view(np.uint64), cuts // 8) if self.kind == WORD else (_unpack(raw), cuts // 6)
+        order = np.argsort(key)
+        new = np.diff(key[order], prepend=~key[order[:1]]) != 0
+        distinct, at = key[order[new]], np.cumsum(new) - 1
+        if step == COUNTED:
+            sums = np.add.reduceat(_bytes(n)[0].view(np.uint32)[order].astype(np.int64), np.flatnonzero(new))
+            if self.kind == WORD:
+                self.known = Known(distinct, sums)
+                yield _said(WORD, self.part, TABLE, -1, _blobs(distinct, np.array([0, len(distinct)])), _blobs(sums, np.array([0, len(sums)])), len(distinct))
+            else:
+                level = levels_of(sums)
+                self.bits = filled(distinct, level)
+                yield _said(PAIR, self.part, TABLE, -1, _blobs(self.bits, np.array([0, len(self.bits)])), None, len(self.bits))
+        if self.kind == WORD:
+            got = sums if step == COUNTED else self.known.of(distinct)
+        else:
+            got = probe(self.bits, segment_of(distinct, len(self.bits)), distinct, level if step == COUNTED else None)
+        out = np.empty(len(key), got.dtype)
+        out[order] = got[at]
+        yield _said(self.kind, self.part, step, slices.to_numpy(), _blobs(out, cuts))
+
+
+def answered(slices: DataFrame, parts: dict[int, int], tables: list[DataFrame]) -> DataFrame:
+    """Rows of SHAPE, stored: by slice, kind and part the counts of words and the levels of pairs, for the slice's distinct ones as they ascend, and the tables of what was counted. parts: their numbers, of the kinds to be asked for; tables: rows of SHAPE of an earlier call, if slices aren't counted."""
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield batch(2, b.column("segment").to_numpy() // PART, False, b.column("segment").to_numpy(), b.column("bits").to_pylist())
+            for i, (number, learned) in enumerate(zip(b.column("slice").to_pylist(), b.column("learned").to_pylist(), strict=True)):
+                sizes, words, hashes = _row(b, i)
+                for kind, many in parts.items():
+                    if kind == WORD:
+                        order = np.argsort(hashes)
+                        key, n = hashes[order], np.bincount(words, minlength=len(hashes))[order]
+                    else:
+                        key, n = np.unique(_pairs(sizes, words, hashes), return_counts=True)
+                    part = part_of(kind, key, many)
+                    first = np.flatnonzero(np.diff(part, prepend=-1))
+                    cuts = np.r_[first, len(key)]
+                    yield _said(kind, part[first], COUNTED if learned else ASKED, number, _blobs(key if kind == WORD else _pack(key), cuts), _blobs(n.astype(np.uint32), cuts) if learned else None)
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Reads a sorted partition: what a part holds comes before what is asked of it."""
-        own, held, look = None, [], None
+        """Reads a sorted partition: by part its table, what is counted, what is asked; the last as it comes, so that its size doesn't matter."""
+        now, own, held, size = None, None, [], 0
+        for b in batches:
+            if not len(b):
+                continue
+            by = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("kind", "part", "step")])
+            cuts = np.r_[0, np.flatnonzero((by[:, 1:] != by[:, :-1]).any(axis=0)) + 1, len(b)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                kind, part, step = by[:, lo].tolist()
+                if held and ((kind, part, step) != own or step == ASKED and size > 8 * WORDS_PART):
+                    yield from now.take(own[2], held)
+                    held, size = [], 0
+                if now is None or (kind, part) != (now.kind, now.part):
+                    now = Part(kind, part)
+                own = kind, part, step
+                held.append(b.slice(lo, hi - lo))
+                size += len(_bytes(held[-1].column("key"))[0])
+        if held:
+            yield from now.take(own[2], held)
+
+    rows = slices.select("slice", "learned", "sizes", "words", "hashes").mapInArrow(ask, SHAPE)
+    for table in tables:
+        rows = rows.union(table)
+    # a partition for each part
+    at = F.col("part") + F.when(F.col("kind") == PAIR, parts.get(WORD, 0)).otherwise(0)
+    rows = rows.repartitionById(sum(parts.values()), at).sortWithinPartitions("kind", "part", "step")
+    return stored(rows.mapInArrow(answer, SHAPE), "answers")
+
+
+def _read(batches: Iterator[pa.RecordBatch], m: Model):
+    """(doc_ids, sizes, count and level of each word) of a few documents at a time, from what is broadcast."""
+    words = Words(m.look.of)
+    for b in _slices(batches):
+        ids, sizes = words.read(b.column("text").to_pylist())
+        yield b.column("doc_id"), sizes, *found(ids, sizes, words.hash, words.count, m.filter, m.texts)
 
-        def table(kind: int):
-            if kind == 1:
-                both = np.concatenate([np.frombuffer(x, np.int64).reshape(2, -1) for _, x in held], axis=1) if held else np.zeros((2, 0), np.int64)
-                order = np.argsort(both[0].view(np.uint64))
-                known = Known(both[0].view(np.uint64)[order], both[1][order])
-                return lambda blob: known.of(np.frombuffer(blob, np.uint64)).tobytes()
-            whole = np.zeros((PART, SEGMENT // 8), np.uint8)
-            for at, x in held:
-                whole[at % PART] = np.frombuffer(x, np.uint8)
 
-            def probed(blob: bytes) -> bytes:
-                key = _unpack(blob)
-                return probe(whole, segment_of(key, sizes[1]) % PART, key).tobytes()
+def looked_up(slices: DataFrame, said: DataFrame, many: int, model: Model) -> DataFrame:
+    """(learned, ids, sizes, count, level): a row per few documents of the slices, whose number is many, with the count of each of their words and the level of each pair. said: as answered() gives it; what isn't asked there comes from the model."""
+    shared = slices.sparkSession.sparkContext.broadcast(model)
 
-            return probed
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m, slice_, said = shared.value, None, {WORD: [], PAIR: []}
+
+        def rows() -> Iterator[pa.RecordBatch]:
+            learned, ids, sizes, words, hashes = slice_
+            counts = np.empty(len(hashes), np.int64)
+            counts[np.argsort(hashes)] = m.look.of(np.sort(hashes)) if m.look else np.concatenate(said[WORD]).view(np.int64)
+            key = _pairs(sizes, words, hashes)
+            order = np.argsort(key)
+            new = np.diff(key[order], prepend=~key[order[:1]]) != 0
+            got = m.filter.of(key[order[new]]) if m.filter else np.concatenate(said[PAIR])
+            level = np.empty(len(key), np.uint8)
+            level[order] = got[np.cumsum(new) - 1]
+            before, count = firsts(words, sizes), counts[words]
+            level[(count == 0) | (np.where(before < 0, m.texts, counts[before]) == 0)] = 0
+            ends = np.cumsum(sizes)
+            last = np.r_[np.flatnonzero(np.diff((ends - 1) // SOME)), len(sizes) - 1]
+            for lo, hi in zip(np.r_[0, last[:-1] + 1], last + 1, strict=True):
+                at = slice(ends[lo] - sizes[lo], ends[hi - 1])
+                kinds = (np.int64, np.uint32 if m.tokens < 1 << 32 else np.int64, np.uint8)
+                blobs = [_zip(x.astype(k)) for x, k in zip((sizes[lo:hi], count[at], level[at]), kinds, strict=True)]
+                own = ids.slice(lo, hi - lo)
+                yield pa.RecordBatch.from_arrays([pa.array([learned]), pa.ListArray.from_arrays([0, len(own)], own), *blobs], ["learned", "ids", "sizes", "count", "level"])
 
         for b in batches:
-            for kind, part, asks, at, blob in zip(*(b.column(c).to_pylist() for c in ("kind", "part", "asks", "at", "blob")), strict=True):
-                if (kind, part) != own:
-                    own, held, look = (kind, part), [], None
-                if not asks:
-                    held.append((at, blob))
+            if not len(b):
+                continue
+            by = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("slice", "kind")])
+            cuts = np.r_[0, np.flatnonzero((by[:, 1:] != by[:, :-1]).any(axis=0)) + 1, len(b)]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                if by[1, lo]:
+                    said[int(by[1, lo])].append(_bytes(b.column("key").slice(lo, hi - lo))[0])
                     continue
-                if look is None:
-                    look, held = table(kind), []
-                yield pa.RecordBatch.from_arrays([pa.array([at], pa.int64()), pa.array([kind], pa.int8()), pa.array([part], pa.int32()), pa.array([look(blob)], pa.binary())], ["slice", "kind", "part", "blob"])
-
-    rows = slices.select("slice", "texts").mapInArrow(ask, shape)
-    if tables.words is not None:
-        rows = rows.union(tables.words.select("key", "n").mapInArrow(words, shape))
-    if tables.bits is not None:
-        rows = rows.union(tables.bits.mapInArrow(bits, shape))
-    rows = rows.repartition("kind", "part").sortWithinPartitions("kind", "part", "asks")
-    said = stored(rows.mapInArrow(answer, "slice long, kind byte, part int, blob binary"), "answers")
-    said = said.groupBy("slice").agg(F.collect_list(F.struct("kind", "part", "blob")).alias("said"))
-    return slices.join(said, "slice", "left")
-
-
-def _read(batches: Iterator[pa.RecordBatch], m: Model, tables: tuple[int, int]):
-    """(doc_ids, sizes, count and level of each word) of a few documents at a time."""
-    words = Words(m.look.of if m.look else None)
-    if not any(tables):
-        for b in _slices(batches):
-            ids, sizes = words.read(b.column("text").to_pylist())
-            yield b.column("doc_id"), sizes, *found(ids, sizes, words.hash, words.count, m.filter, m.texts)
-        return
-    for b in batches:
-        for i in range(len(b)):
-            ids, sizes = words.read(b.column("texts")[i].as_py())
-            asked, said = _asked(ids, sizes, words.hash, tables), {1: {}, 2: {}}
-            for x in b.column("said")[i].as_py() or []:
-                said[x["kind"]][x["part"]] = x["blob"]
-            known = {}
-            for kind, (_, key) in asked.items():
-                got = np.frombuffer(b"".join(said[kind][p] for p in sorted(said[kind])), np.int64 if kind == 1 else np.uint8)
-                order = np.argsort(key)
-                known[kind] = Known(key[order], got[order])
-            counts = words.count if m.look else known[1].of(words.hash)
-            yield b.column("ids")[i].values, sizes, *found(ids, sizes, words.hash, counts, m.filter or known[2], m.texts)
-
-
-def _prepared(docs: DataFrame, tables: Tables) -> tuple[DataFrame, tuple[int, int]]:
-    """docs as _read needs them, and its `tables`."""
-    sizes = (tables.words_parts if tables.words is not None else 0, tables.segments if tables.bits is not None else 0)
-    return (answered(sliced(docs), tables) if any(sizes) else _texts(docs)), sizes
-
-
-def looked_up(docs: DataFrame, model: Model, tables: Tables) -> DataFrame:
-    """(ids, sizes, count, level), stored: a row per few documents, with the count of each of their words and the level of each pair, so that texts needn't be read again."""
-    rows, parts = _prepared(docs, tables)
-    shared = docs.sparkSession.sparkContext.broadcast(model)
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = shared.value
-        for names, *arrays in _read(batches, m, parts):
-            kinds = (np.int64, np.uint32 if m.tokens < 1 << 32 else np.int64, np.uint8)
-            blobs = [pa.array([a.astype(k).tobytes()], pa.binary()) for a, k in zip(arrays, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([pa.array([names.to_pylist()], pa.list_(pa.int64())), *blobs], ["ids", "sizes", "count", "level"])
+                if slice_:
+                    yield from rows()
+                slice_, said = (b.column("learned")[lo].as_py(), b.column("ids")[lo].values, *_row(b, lo)), {WORD: [], PAIR: []}
+        if slice_:
+            yield from rows()
 
-    return stored(rows.mapInArrow(work, "ids array<long>, sizes binary, count binary, level binary"), "found")
+    own = slices.select("slice", F.lit(0).cast("byte").alias("kind"), F.lit(0).alias("part"), "learned", "ids", "sizes", "words", "hashes", F.lit(None).cast("binary").alias("key"))
+    none = [F.lit(None).cast(own.schema[c].dataType).alias(c) for c in ("learned", "ids", "sizes", "words", "hashes")]
+    rows = own.union(said.where("slice >= 0").select("slice", "kind", "part", *none, "key"))
+    rows = rows.repartition(max(1, many), "slice").sortWithinPartitions("slice", "kind", "part")
+    return rows.mapInArrow(work, "learned boolean, ids array<long>, sizes binary, count binary, level binary")
 
 
 def _found(batches: Iterator[pa.RecordBatch], m: Model):
     """(doc_ids, sizes, count, level) of the rows of looked_up, as _read gives them."""
     for b in batches:
         for i in range(len(b)):
-            kinds = (np.int64, np.uint32 if m.tokens < 1 << 32 else np.int64, np.uint8)
-            sizes, count, level = (np.frombuffer(b.column(c)[i].as_buffer(), k) for c, k in zip(("sizes", "count", "level"), kinds, strict=True))
-            yield b.column("ids")[i].values, sizes, count.astype(np.int64), level
+            ids = b.column("ids")[i].values
+            sizes = _unzip(b.column("sizes")[i], np.int64, len(ids))
+            count = _unzip(b.column("count")[i], np.uint32 if m.tokens < 1 << 32 else np.int64, sizes.sum())
+            yield ids, sizes, count.astype(np.int64), _unzip(b.column("level")[i], np.uint8, len(count))
 
 
 def tune(model: Model, looked: DataFrame) -> np.ndarray:
@@ -502,44 +540,44 @@ def tune(model: Model, looked: DataFrame) -> np.ndarray:
     return np.clip(share, 0.001, 0.95)
 
 
-def fit_looked_up(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables, DataFrame]:
-    """(model, tables, looked): a model of all training texts (doc_id, text), what it needs besides where that is too large to broadcast, and the texts looked up in it.
+def learned_from(slices: DataFrame) -> tuple[Model, DataFrame, dict[int, int], DataFrame]:
+    """(model, answers, parts, looked): a model of the slices that are `learned`, with what answered() says of all slices and its numbers of parts, and all slices looked up in it, stored."""
+    own = F.sum(F.when(F.col("learned"), F.col("own")))
+    many, n, texts, own = slices.agg(F.count("*"), *(F.coalesce(x, F.lit(0)) for x in (F.sum(F.when(F.col("learned"), F.col("tokens"))), F.sum(F.when(F.col("learned"), F.size("ids"))), own))).first()
+    parts = {WORD: max(1, -(-own // WORDS_PART)), PAIR: max(1, -(-n * BITS // (PART * SEGMENT)))}  # no more entries than words
+    said = answered(slices, parts, [])
+    v = said.where(f"step = {TABLE} and kind = {WORD}").agg(F.coalesce(F.sum("many"), F.lit(0))).first()[0]
+    model = Model(n, v, texts, np.full(64, 0.3), None, None)
+    looked = stored(looked_up(slices, said, many, model), "found")
+    model.share = tune(model, looked.where("learned"))
+    return model, said, parts, looked
+
+
+def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables]:
+    """(model, tables): a model of all training texts (doc_id, text), and what it needs besides where that is too large to broadcast.
 
     Words are known by XXH64. max_vocabulary bounds the word table that is broadcast and max_bits the
     filter; larger ones stay on the executors and are asked there, so no word and no pair is left
     out, those that occur once included. Texts of null count as empty; of no texts, all words are unknown.
     """
-    training = _texts(training)
-    counts = count_ngrams(training)
-    words = counts.where("kind = 1").select("key", "n")
-    v, n = words.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    texts = words.where(F.col("key") == int(np.array([_digest(b"")], np.uint64).view(np.int64)[0])).select("n").first()
-    tables, look, held = Tables(None, max(1, -(-v // WORDS_PART)), None, 0), None, None
-    if v <= max_vocabulary:
-        table = words.toArrow()
-        hashes = table.column("key").to_numpy().view(np.uint64)
+    slices = stored(_prepared(training, True), "slices")
+    model, said, parts, looked = learned_from(slices)
+    words, bits = (said.where(f"step = {TABLE} and kind = {kind}") for kind in (WORD, PAIR))
+    tables = Tables(None, parts[WORD], None, parts[PAIR])
+    if model.words <= max_vocabulary:
+        rows = words.select("key", "n").toArrow()
+        hashes, n = (np.concatenate([np.zeros(0, np.uint8), *(_bytes(c)[0] for c in rows[name].chunks if len(c))]) for name in ("key", "n"))
+        hashes, n = hashes.view(np.uint64), n.view(np.int64)
         order = np.argsort(hashes)
-        look = Known(hashes[order], table.column("n").to_numpy()[order])
+        model.look = Known(hashes[order], n[order])
     else:
         tables.words = stored(words, "words")
-    pairs = counts.where("kind = 2").select("key", "n")
-    bits = entries(pairs) * BITS
-    tables.segments = max(1, -(-bits // SEGMENT))
-    if bits <= max_bits:
-        held = build_filter(pairs, tables.segments)
+    if bits.agg(F.coalesce(F.sum("many"), F.lit(0))).first()[0] * SEGMENT <= max_bits:
+        model.filter = gathered([(r.part, np.frombuffer(bytes(r.key), np.uint8).reshape(-1, SEGMENT // 8)) for r in bits.select("part", "key").toLocalIterator()], parts[PAIR])
     else:
-        tables.bits = stored(segments_of(pairs, tables.segments), "segments")
-    forget(counts)
-    model = Model(n, v, texts.n if texts else 0, np.full(64, 0.3), look, held)
-    looked = looked_up(training, model, tables)
-    model.share = tune(model, looked)
-    return model, tables, looked
-
-
-def fit(training: DataFrame, max_vocabulary: int = 8_000_000, max_bits: int = 1 << 30) -> tuple[Model, Tables]:
-    """(model, tables) as fit_looked_up gives them."""
-    model, tables, looked = fit_looked_up(training, max_vocabulary, max_bits)
-    forget(looked)
+        tables.bits = stored(bits, "segments")
+    for table in (slices, said, looked):
+        forget(table)
     return model, tables
 
 
@@ -550,8 +588,12 @@ def score_documents(docs: DataFrame, model: Model, tables: Tables) -> DataFrame:
     probability. A null or empty text is one end, long texts are read whole. Repeated rows come out
     repeated, an empty table gives an empty one, other columns are ignored. tables: as fit() gives them.
     """
-    rows, parts = _prepared(docs, tables)
-    return _scored(rows, model, lambda batches, m: _read(batches, m, parts))
+    parts = tables.asked()
+    if not parts:
+        return _scored(_texts(docs), model, _read)
+    slices = stored(_prepared(docs, False), "slices")
+    said = answered(slices, parts, [x for x in (tables.words, tables.bits) if x is not None])
+    return _scored(looked_up(slices, said, slices.count(), model), replace(model, look=None, filter=None), _found)
 
 
 def _scored(rows: DataFrame, model: Model, read) -> DataFrame:
@@ -569,10 +611,12 @@ def _scored(rows: DataFrame, model: Model, read) -> DataFrame:
 
 
 def fit_and_score(docs: DataFrame, learned: Column) -> DataFrame:
-    """score_documents of docs by a model of those that are `learned`, whose words and pairs are looked up once, for the shares and the scores."""
-    model, tables, looked = fit_looked_up(docs.where(learned))
-    others = score_documents(docs.where(~learned), model, tables)
-    return _scored(looked, replace(model, look=None, filter=None), _found).union(others)
+    """score_documents of docs by a model of those that are `learned`, whose words and pairs are counted and looked up together; nothing is broadcast."""
+    slices = stored(_prepared(docs.where(learned), True).union(_prepared(docs.where(~learned), False)), "slices")
+    model, said, _, looked = learned_from(slices)
+    for table in (slices, said):
+        forget(table)
+    return _scored(looked, model, _found)
 
 
 def held_out(doc_id: str = "doc_id"):

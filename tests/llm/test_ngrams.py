@@ -1,4 +1,5 @@
 import math
+import pickle
 from collections import Counter
 
 import numpy as np
@@ -137,3 +138,49 @@ def test_training_texts_are_read_twice(spark, monkeypatch):
     got = ngrams.fit_and_score(docs, learned).orderBy("doc_id").toPandas()
     assert sorted(read) == sorted([docs.where(learned).count(), docs.where(~learned).count()])
     assert got.equals(want)
+
+
+def test_slices_are_cut_by_words(spark, monkeypatch):
+    """What is asked of the parts grows with the words, not with the number of texts; one row answers a slice for each part."""
+    rows, stored = {}, ngrams.stored
+    monkeypatch.setattr(ngrams, "stored", lambda df, name: rows.setdefault(name, stored(df, name)))
+    docs = spark.createDataFrame([(i, f"a{i % 7} b{i % 11} c") for i in range(3000)], "doc_id long, text string").coalesce(1)
+    monkeypatch.setattr(ngrams, "forget", lambda df: None)
+    model, _ = ngrams.fit(docs, max_bits=0, max_vocabulary=0)
+    assert rows["slices"].count() == 1 and model.texts == 3000 and model.tokens == 12_000
+
+
+def test_nothing_large_is_broadcast(spark, monkeypatch):
+    sent, broadcast = [], type(spark.sparkContext).broadcast
+    monkeypatch.setattr(type(spark.sparkContext), "broadcast", lambda self, value: sent.append(len(pickle.dumps(value))) or broadcast(self, value))
+    assert ngrams.op4_ngrams(spark, SF).count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    assert sent and max(sent) < 10_000
+
+
+def test_many_parts_and_slices(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").repartition(3)
+    few = ngrams.fit_and_score(docs, ~ngrams.held_out()).orderBy("doc_id").toPandas()
+    for name, size in (("PART", 1), ("WORDS_PART", 20_000), ("SLICE", 50_000), ("SOME", 1000)):
+        monkeypatch.setattr(ngrams, name, size)
+    many = ngrams.fit_and_score(docs, ~ngrams.held_out()).orderBy("doc_id").toPandas()
+    assert few[["doc_id", "n_tokens", "n_known", "train_tokens"]].equals(many[["doc_id", "n_tokens", "n_known", "train_tokens"]])
+    # other segments have other false positives
+    assert np.allclose(few["base_score"], many["base_score"]) and np.allclose(few["score"], many["score"], rtol=0.01)
+
+
+def test_a_part_is_probed_once_for_all_slices(monkeypatch):
+    asked, probe = [], ngrams.probe
+    monkeypatch.setattr(ngrams, "probe", lambda bits, segment, key, level=None: asked.append(len(key)) or probe(bits, segment, key, level))
+    rng = np.random.default_rng(4)
+    keys = [np.sort(rng.choice(2000, 500, False)) for _ in range(300)]
+    all_keys = np.sort(rng.integers(0, 2**48, 2000).astype(np.uint64))
+    rows = [ngrams._said(ngrams.PAIR, [0], ngrams.COUNTED, i, ngrams._blobs(ngrams._pack(all_keys[k]), np.array([0, 500])), ngrams._blobs(np.full(500, i % 3 + 1, np.uint32), np.array([0, 500]))) for i, k in enumerate(keys)]
+    part = ngrams.Part(ngrams.PAIR, 0)
+    table, answers = part.take(ngrams.COUNTED, rows)
+    total = np.zeros(2000, np.int64)
+    for i, k in enumerate(keys):
+        total[k] += i % 3 + 1
+    assert asked == [2000] and table.column("many").to_pylist() == [len(part.bits)]
+    for k, blob in zip(keys, answers.column("key").to_pylist(), strict=True):
+        got, want = np.frombuffer(blob, np.uint8), ngrams.levels_of(total[k])
+        assert (got >= want).all() and (got == want).mean() > 0.9
